@@ -52,9 +52,12 @@ def clean_text(c: Column | str, multiline: bool = False) -> Column:
     return F.when((t != "") & ~F.lower(t).isin(*PLACEHOLDERS), t)
 
 
+_UNUSABLE = r"(?i)^[\s\p{Z}\p{C}]*(?:" + "|".join(w.replace(" ", r"\s+") for w in sorted(PLACEHOLDERS, key=len, reverse=True)) + r")?[\s\p{Z}\p{C}]*$"
+
+
 def usable(c: Column | str) -> Column:
     """True unless the text is null, blank or a placeholder word. Never null."""
-    return clean_text(c).isNotNull()
+    return F.coalesce(~_col(c).rlike(_UNUSABLE), F.lit(False))
 
 
 def usable_year(c: Column | str) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vernissage.llm import canonical, encoding, survivor
+from vernissage.llm import canonical, encoding, language, leakage, survivor
 from vernissage.queries import _ID_ARTIST
 from vernissage.session import table
 
@@ -50,6 +50,24 @@ def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding.encode_corpus(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "ids")
 
 
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that reproduce a held-out item or a passage of it, and the items."""
+    return leakage.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items")).select("doc_id", "item_id").distinct()
+
+
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of documents whose label is missing, wrong or not their only language."""
+    docs = table(spark, sf_dir, "documents")
+    return language.mislabelled(docs, language.fit_model(table(spark, sf_dir, "lang_samples"), docs)).select("doc_id", "lang")
+
+
+def p9_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language and confidence of every segment of every document."""
+    docs = table(spark, sf_dir, "documents")
+    model = language.fit_model(table(spark, sf_dir, "lang_samples"), docs)
+    return language.document_segments(docs, model).withColumn("confidence", F.round("confidence", 4))
+
+
 _UNUSABLE = "('none','null','nan','n/a','na','-','--','unknown','unknown date','undefined','')"
 _P2_FIELDS = ["full_name", "birth_year", "nationality", "country", "city", "biography"]
 
@@ -68,4 +86,4 @@ ORACLES: dict[str, str] = {
     + " SELECT r.platform_name, r.id AS platform_artist_id, strftime(r.crawl_date, '%Y-%m-%d') AS crawl_date, field_name, source_file FROM r JOIN g USING (platform_name, id, crawl_date) WHERE rn = 1",
 }
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p2_found, p2_survivors, p2_value_quality, p4_found, p7_ids)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p2_found, p2_survivors, p2_value_quality, p4_found, p7_ids, p8_found, p9_found, p9_segments)}

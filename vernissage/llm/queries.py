@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vernissage.llm import canonical, encoding, language, leakage, survivor
+from vernissage.llm import canonical, encoding, language, leakage, linkage, survivor
 from vernissage.queries import _ID_ARTIST
 from vernissage.session import table
 
@@ -45,6 +45,16 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return canonical.disguised_fields(table(spark, sf_dir, "artists"), table(spark, sf_dir, "artworks"))
 
 
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Artists and house listings that are the same person."""
+    return p5_confidence(spark, sf_dir).filter("confidence >= 0.5").drop("confidence")
+
+
+def p5_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All candidate pairs with the confidence that they are the same person."""
+    return linkage.artist_listing_links(table(spark, sf_dir, "artists"), table(spark, sf_dir, "house_artists"))
+
+
 def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document."""
     return encoding.encode_corpus(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "ids")
@@ -86,4 +96,4 @@ ORACLES: dict[str, str] = {
     + " SELECT r.platform_name, r.id AS platform_artist_id, strftime(r.crawl_date, '%Y-%m-%d') AS crawl_date, field_name, source_file FROM r JOIN g USING (platform_name, id, crawl_date) WHERE rn = 1",
 }
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p2_found, p2_survivors, p2_value_quality, p4_found, p7_ids, p8_found, p9_found, p9_segments)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p2_found, p2_survivors, p2_value_quality, p4_found, p5_found, p5_confidence, p7_ids, p8_found, p9_found, p9_segments)}

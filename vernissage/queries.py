@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vernissage import survey_queries
 from vernissage.operators import history, snapdiff, units
 from vernissage.session import table
 
@@ -137,3 +138,6 @@ ORACLES: dict[str, str] = {
 }
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_price_history, p3_found, p6_found)}
+
+QUERIES |= survey_queries.QUERIES
+ORACLES |= survey_queries.ORACLES

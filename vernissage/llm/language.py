@@ -10,7 +10,8 @@ Titles, names and quoted phrases do not count: quoted text is taken out before
 scoring, and a language needs a segment with enough words of its own.
 
 Defined cases: null, empty and wordless texts have no language; a label that
-names no known language is meaningless; a label in another notation or with a
+names no known language is meaningless; without labelled sentences no text
+has a language; a label in another notation or with a
 region is the language it names; ties go to the first language by code.
 """
 
@@ -105,7 +106,7 @@ class NaiveBayes:
             for at in range(0, len(own), 200):
                 counts[i] += np.bincount(ngram_buckets(own[at : at + 200])[0], minlength=size)
         counts += alpha
-        return cls(languages, np.log(counts / counts.sum(axis=1, keepdims=True)).astype(np.float32))
+        return cls(languages, np.log(counts / counts.sum(axis=1, keepdims=True)).astype(np.float32).reshape(len(languages), size))
 
     def scores(self, texts: list[str]) -> np.ndarray:
         """Tempered log-likelihood of every text under every language (texts × languages)."""
@@ -133,7 +134,7 @@ def segments(model: NaiveBayes, texts: list[str]) -> list[list[Segment]]:
         plain = _plain(text)
         bare = _QUOTED.sub(lambda m: " " * len(m.group()), plain)
         own = []
-        for m in _SENTENCE.finditer(bare):
+        for m in _SENTENCE.finditer(bare) if model.languages else ():
             letters = _letters(m.group())
             if len(letters) > 2:
                 cjk = len(_CJK.findall(letters))
@@ -196,11 +197,9 @@ def fit_model(samples: DataFrame, docs: DataFrame | None = None, lang: str = "la
     judged by the model of the trusted sentences.
     """
     rows = small_rows(samples.select(lang, text).filter(F.col(lang).isNotNull() & F.col(text).isNotNull()), MAX_SAMPLES, "the labelled sentences")
-    if not rows:
-        raise ValueError("no labelled sentences to fit on")
     trusted = [(r[0], r[1]) for r in rows]
     model = NaiveBayes.fit(trusted)
-    if docs is None:
+    if docs is None or not model.languages:
         return model
     named = docs.select(label_language(lang).alias("named"), text, id_col).filter(F.col("named").isin(*model.languages) & F.col(text).isNotNull())
     more = [(r["named"], r[text]) for r in named.orderBy(F.xxhash64(id_col), id_col).limit(SAMPLE_DOCUMENTS).collect()]

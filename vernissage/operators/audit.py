@@ -15,8 +15,8 @@ def counters(df: DataFrame, by: Sequence[str], **conditions: Column) -> DataFram
 
 def duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row ``n_rows, n_keys, n_duplicates``; two aggregations, both combined map-side."""
-    per = df.groupBy(*keys).agg(F.count("*").alias("n"))
-    return per.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), F.count("*").alias("n_keys")).withColumn("n_duplicates", F.col("n_rows") - F.col("n_keys"))
+    per = df.groupBy(*keys).agg(F.count("*").alias("_n"))
+    return per.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n_rows"), F.count("*").alias("n_keys")).withColumn("n_duplicates", F.col("n_rows") - F.col("n_keys"))
 
 
 def shortfall(expected: DataFrame, found: DataFrame, by: Sequence[str], n: str = "expected") -> DataFrame:

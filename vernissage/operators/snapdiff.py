@@ -37,7 +37,7 @@ def consecutive_crawls(crawls: DataFrame, source: str = "platform_name", at: str
 
 def digest(rows: DataFrame, by: Sequence[str], values: Sequence[str | Column]) -> DataFrame:
     """Order-free digest of rows per group: two independent 64-bit xors and the count."""
-    return rows.groupBy(*by).agg(F.bit_xor(F.xxhash64(*values)).alias("xor"), F.bit_xor(F.xxhash64(F.lit("second"), *values)).alias("xor2"), F.count("*").alias("n"))
+    return rows.groupBy(*by).agg(F.bit_xor(F.xxhash64(*values)).alias("_xor"), F.bit_xor(F.xxhash64(F.lit("second"), *values)).alias("_xor2"), F.count("*").alias("_n"))
 
 
 def levels_for(rows_per_snapshot: int) -> int:
@@ -48,37 +48,37 @@ def levels_for(rows_per_snapshot: int) -> int:
 
 
 def differing_leaves(leaves: DataFrame, source: str, levels: int) -> DataFrame:
-    """``source, seq, leaf``: leaves that differ between snapshot ``seq - 1`` and ``seq``.
+    """``source, seq, _leaf``: leaves that differ between snapshot ``seq - 1`` and ``seq``.
 
-    ``leaves`` has ``source, seq, leaf, xor, xor2, n`` of every snapshot. The
+    ``leaves`` has ``source, seq, _leaf, _xor, _xor2, _n`` of every snapshot. The
     tree is walked from the root: a node is looked at only under a parent that
     differs.
     """
 
     def at_level(level: int) -> DataFrame:
-        node = F.shiftright("leaf", 4 * (levels - level))
-        return leaves.groupBy(source, "seq", node.alias("node")).agg(F.bit_xor("xor").alias("xor"), F.bit_xor("xor2").alias("xor2"), F.sum("n").alias("n"))
+        node = F.shiftright("_leaf", 4 * (levels - level))
+        return leaves.groupBy(source, "seq", node.alias("_node")).agg(F.bit_xor("_xor").alias("_xor"), F.bit_xor("_xor2").alias("_xor2"), F.sum("_n").alias("_n"))
 
-    last = leaves.groupBy(source).agg(F.max("seq").alias("last"), F.min("seq").alias("first"))
+    last = leaves.groupBy(source).agg(F.max("seq").alias("_last"), F.min("seq").alias("_first"))
     differ: DataFrame | None = None
     for level in range(levels + 1):
         nodes = at_level(level)
         if differ is not None:
-            parents = differ.select(source, "seq", F.col("node").alias("parent"))
+            parents = differ.select(source, "seq", F.col("_node").alias("_parent"))
             both = parents.unionByName(parents.withColumn("seq", F.col("seq") - 1)).distinct()
-            nodes = nodes.withColumn("parent", F.shiftright("node", 4)).join(both, [source, "seq", "parent"], "left_semi").drop("parent")
+            nodes = nodes.withColumn("_parent", F.shiftright("_node", 4)).join(both, [source, "seq", "_parent"], "left_semi").drop("_parent")
         # A node stands for its own snapshot and, as the earlier side, for the next one: one
         # aggregation compares both sides, also where only one of them has the node.
-        sides = nodes.select(source, F.explode(F.array(F.struct(F.col("seq").alias("seq"), F.lit(1).alias("side")), F.struct((F.col("seq") + 1).alias("seq"), F.lit(-1).alias("side")))).alias("s"), "node", "xor", "xor2", "n")
+        sides = nodes.select(source, F.explode(F.array(F.struct(F.col("seq").alias("seq"), F.lit(1).alias("side")), F.struct((F.col("seq") + 1).alias("seq"), F.lit(-1).alias("side")))).alias("_s"), "_node", "_xor", "_xor2", "_n")
         differ = (
-            sides.groupBy(source, F.col("s.seq").alias("seq"), "node")
-            .agg(F.bit_xor("xor").alias("x"), F.bit_xor("xor2").alias("y"), F.sum(F.col("n") * F.col("s.side")).alias("m"))
-            .filter("x <> 0 or y <> 0 or m <> 0")
+            sides.groupBy(source, F.col("_s.seq").alias("seq"), "_node")
+            .agg(F.bit_xor("_xor").alias("_x"), F.bit_xor("_xor2").alias("_y"), F.sum(F.col("_n") * F.col("_s.side")).alias("_m"))
+            .filter("_x <> 0 or _y <> 0 or _m <> 0")
             .join(last, source)
-            .filter("seq > first and seq <= last")
-            .select(source, "seq", "node")
+            .filter("seq > _first and seq <= _last")
+            .select(source, "seq", "_node")
         )
-    return differ.select(source, "seq", F.col("node").alias("leaf"))
+    return differ.select(source, "seq", F.col("_node").alias("_leaf"))
 
 
 def snapshot_diff(snapshots: DataFrame, source: str, key: str, values: Sequence[str], levels: int) -> DataFrame:
@@ -88,22 +88,22 @@ def snapshot_diff(snapshots: DataFrame, source: str, key: str, values: Sequence[
     key; it is read twice, so it should be checkpointed or stored.
     """
     leaf = F.shiftrightunsigned(F.xxhash64(key), 64 - 4 * levels).cast("int") if levels else F.lit(0)
-    rows = snapshots.filter(F.col(key).isNotNull()).select(source, "seq", key, *values, leaf.alias("leaf"))
+    rows = snapshots.filter(F.col(key).isNotNull()).select(source, "seq", key, *values, leaf.alias("_leaf"))
     # Nulls take part: xxhash64 skips them, so each value's nullness is hashed as well.
-    leaves = checkpoint(digest(rows, [source, "seq", "leaf"], [key, *values, *[F.col(v).isNull() for v in values]]))
+    leaves = checkpoint(digest(rows, [source, "seq", "_leaf"], [key, *values, *[F.col(v).isNull() for v in values]]))
     differ = differing_leaves(leaves, source, levels)
     earlier_or_later = differ.unionByName(differ.withColumn("seq", F.col("seq") - 1)).distinct()
-    suspects = rows.join(earlier_or_later, [source, "seq", "leaf"], "left_semi")
+    suspects = rows.join(earlier_or_later, [source, "seq", "_leaf"], "left_semi")
     # As above a row is the later side of its own snapshot and the earlier side of the next.
     state = F.struct(*[F.col(v) for v in values])
-    sides = suspects.select(source, key, "leaf", state.alias("state"), F.explode(F.array(F.struct(F.col("seq").alias("seq"), F.lit(True).alias("later")), F.struct((F.col("seq") + 1).alias("seq"), F.lit(False).alias("later")))).alias("s"))
+    sides = suspects.select(source, key, "_leaf", state.alias("_state"), F.explode(F.array(F.struct(F.col("seq").alias("seq"), F.lit(True).alias("later")), F.struct((F.col("seq") + 1).alias("seq"), F.lit(False).alias("later")))).alias("_s"))
     pairs = (
-        sides.groupBy(source, key, "leaf", F.col("s.seq").alias("seq"))
-        .agg(F.max(F.when(F.col("s.later"), F.col("state"))).alias("after"), F.max(F.when(~F.col("s.later"), F.col("state"))).alias("before"))
-        .filter("before is null or after is null or not (before <=> after)")
-        .join(differ, [source, "seq", "leaf"], "left_semi")
+        sides.groupBy(source, key, "_leaf", F.col("_s.seq").alias("seq"))
+        .agg(F.max(F.when(F.col("_s.later"), F.col("_state"))).alias("_after"), F.max(F.when(~F.col("_s.later"), F.col("_state"))).alias("_before"))
+        .filter("_before is null or _after is null or not (_before <=> _after)")
+        .join(differ, [source, "seq", "_leaf"], "left_semi")
     )
-    kind = F.when(F.col("before").isNull(), "added").when(F.col("after").isNull(), "removed").otherwise("changed")
+    kind = F.when(F.col("_before").isNull(), "added").when(F.col("_after").isNull(), "removed").otherwise("changed")
     return pairs.select(source, key, "seq", kind.alias("change_kind"))
 
 

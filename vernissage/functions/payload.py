@@ -39,7 +39,7 @@ def meta_content(html: Column | str, name: str) -> Column:
 
 def flight_chunks(html: Column | str) -> Column:
     """Strings pushed by streamed page rendering, unescaped, as one array."""
-    raw = F.regexp_extract_all(_col(html), F.lit(r"\.push\(\s*\[\s*\d+\s*,\s*(\"(?:[^\"\\\\]|\\\\.)*\")\s*\]\s*\)"), 1)
+    raw = F.regexp_extract_all(_col(html), F.lit(r"\.push\(\s*\[\s*\d+\s*,\s*(\"(?:[^\"\\]|\\.)*\")\s*\]\s*\)"), 1)
     return F.array_compact(F.transform(raw, lambda s: F.try_variant_get(F.try_parse_json(s), "$", "string")))
 
 
@@ -48,7 +48,7 @@ def pairs_after(html: Column | str, anchor: str, length: int = 6000) -> Column:
     h = _col(html)
     at = F.instr(h, anchor)
     part = F.substring(h, at, F.lit(length))
-    found = F.transform(F.regexp_extract_all(part, F.lit(r"\"(\w+)\"\s*:\s*\"((?:[^\"\\\\]|\\\\.)*)\""), 0), lambda p: F.struct(F.regexp_extract(p, r"^\"(\w+)\"", 1).alias("k"), F.regexp_extract(p, r":\s*\"((?:[^\"\\\\]|\\\\.)*)\"$", 1).alias("v")))
+    found = F.transform(F.regexp_extract_all(part, F.lit(r"\"(\w+)\"\s*:\s*\"((?:[^\"\\]|\\.)*)\""), 0), lambda p: F.struct(F.regexp_extract(p, r"^\"(\w+)\"", 1).alias("k"), F.regexp_extract(p, r":\s*\"((?:[^\"\\]|\\.)*)\"$", 1).alias("v")))
     keys = F.array_distinct(F.transform(found, lambda s: s["k"]))
     return F.when(at > 0, F.map_from_entries(F.transform(keys, lambda k: F.struct(k.alias("key"), F.get(F.filter(found, lambda s: s["k"] == k), 0)["v"].alias("value")))))
 
@@ -120,7 +120,8 @@ class _Literal:
             return self.string()
         word = self.word()
         if word == "void":
-            return self.value(depth + 1) and None
+            self.value(depth + 1)
+            return None
         if word == "new":
             self.word()
             if not self.take("("):

@@ -15,15 +15,15 @@ LOG_SCHEMA = "url string, filename string, status_code int, error string, block_
 MANIFEST_SCHEMA = "marketplace string, crawl_date string, started_at string, finished_at string, workers int, rps double, url_count int, status string, crawl_mode string"
 
 
-def page_files(spark: SparkSession, root: str, encoding: str = "UTF-8") -> DataFrame:
+def page_files(spark: SparkSession, root: str) -> DataFrame:
     """``path, filename, html, modified`` of all pages below ``root``.
 
     Hidden folders and the leftovers of archives are skipped. Bytes that are no
-    text become replacement characters.
+    UTF-8 become replacement characters.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.html").load(root)
     hidden = F.col("path").rlike(r"/(?:\.[^/]+|__MACOSX)/")
-    return files.filter(~hidden).select("path", F.element_at(F.split("path", "/"), -1).alias("filename"), F.decode("content", F.lit(encoding)).alias("html"), F.col("modificationTime").alias("modified"))
+    return files.filter(~hidden).select("path", F.element_at(F.split("path", "/"), -1).alias("filename"), F.make_valid_utf8(F.col("content").cast("string")).alias("html"), F.col("modificationTime").alias("modified"))
 
 
 def crawl_log(spark: SparkSession, path: str) -> DataFrame:

@@ -55,7 +55,7 @@ LANGUAGE_NAMES = {
 
 _TAGS = regex.compile(r"<[^<>]{0,400}>|https?://\S+|\S+@\S+|#\w+")
 _QUOTED = regex.compile(r"«[^«»\n]{0,200}»|„[^„“”\n]{0,200}[“”]|“[^“”\n]{0,200}”|\"[^\"\n]{0,200}\"|「[^「」\n]{0,200}」|『[^『』\n]{0,200}』|‹[^‹›\n]{0,200}›")
-_SENTENCE = regex.compile(r"[^\n.!?。！？]+(?:[.!?。！？]+(?![\s\n])[^\n.!?。！？]+)*[.!?。！？]*")
+_SENTENCE = regex.compile(r"[^\n.!?。！？]+(?:[.!?]+(?![\s\n])[^\n.!?。！？]+)*[.!?。！？]*")
 _WORDS = regex.compile(r"[\p{L}\p{M}]+")
 _CJK = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}]")
 

@@ -53,6 +53,13 @@ def pairs_after(html: Column | str, anchor: str, length: int = 6000) -> Column:
     return F.when(at > 0, F.map_from_entries(F.transform(keys, lambda k: F.struct(k.alias("key"), F.get(F.filter(found, lambda s: s["k"] == k), 0)["v"].alias("value")))))
 
 
+def blocked(status: Column, header: Column, body: Column, statuses: tuple[int, ...] = (403, 429, 503), keywords: tuple[str, ...] = ("captcha", "access denied", "unusual traffic", "verify you are human")) -> Column:
+    """Why a response is a block page, or null: its status, a challenge header, or the first keyword in its first 16 KB."""
+    start = F.lower(F.substring(body, 1, 16384))
+    by_word = [F.when(start.contains(k), F.concat(F.lit("keyword:"), F.lit(k))) for k in keywords]
+    return F.coalesce(F.when(status.isin(*statuses), F.concat(F.lit("status:"), status.cast("string"))), F.when(F.lower(header).contains("challenge"), F.lit("header")), *by_word)
+
+
 def balanced(text: str, start: int) -> str | None:
     """The bracketed text that opens at ``start``; brackets in strings do not count."""
     closing = {"{": "}", "[": "]", "(": ")"}

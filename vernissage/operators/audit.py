@@ -75,3 +75,11 @@ def feature_counts(pages: DataFrame, group: str, features: str, page: str, least
     kept = counted.join(total, group).filter(F.col("n_pages") >= F.greatest(F.lit(1), F.round(F.col("n_group") * least_share)))
     w = Window.partitionBy(group).orderBy(F.desc("n_pages"), "path")
     return kept.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= limit)
+
+
+def requeue(children: DataFrame, cached: DataFrame, keys: Sequence[str], found: str = "found", done: str = "done", least_share: float = 0.5) -> DataFrame:
+    """Children to read: those not done, or all if the cache holds less than a share of what the done ones gave."""
+    promised = children.agg(F.coalesce(F.sum(F.when(F.col(done), F.col(found))), F.lit(0)).alias("promised"))
+    have = cached.select(*keys).distinct().agg(F.count("*").alias("have"))
+    lost = promised.crossJoin(have).select((F.col("have") < F.col("promised") * least_share).alias("lost"))
+    return children.crossJoin(F.broadcast(lost)).filter(F.col("lost") | ~F.coalesce(F.col(done), F.lit(False))).drop("lost")

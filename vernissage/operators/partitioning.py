@@ -75,3 +75,11 @@ def monthly(day: Column, month_start: Column) -> Column:
 def line_chunks(df: DataFrame, column: str, rows: int, path: str) -> None:
     """Writes one value per line in files of at most ``rows`` lines."""
     df.select(F.col(column).cast("string").alias("value")).filter("value is not null").write.mode("overwrite").option("maxRecordsPerFile", rows).text(path)
+
+
+def fill_ranges(df: DataFrame, by: Sequence[str], number: str, expected: str) -> DataFrame:
+    """Numbers of each group: the whole range where its ends and expected size say it has no gap, else those seen."""
+    per = df.groupBy(*by).agg(F.min(number).alias("lo"), F.max(number).alias("hi"), F.max(expected).alias("size"))
+    whole = per.filter(F.col("hi") - F.col("lo") + 1 == F.col("size")).select(*by, F.explode(F.sequence("lo", "hi")).alias(number))
+    rest = df.join(whole.select(*by).distinct(), list(by), "left_anti").select(*by, number).distinct()
+    return whole.unionByName(rest)

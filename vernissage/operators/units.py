@@ -23,7 +23,8 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vernissage.functions.text import INVISIBLE, clean_id, clean_line
+from vernissage.functions.sizes import NUM, ONE, UNIT, size_text, written_number
+from vernissage.functions.text import clean_id, clean_line
 from vernissage.operators.history import price_observations
 from vernissage.session import small_rows
 
@@ -169,28 +170,11 @@ def convert(df: DataFrame, value: str, unit: str, table: DataFrame, out: str = "
 
 # ── sizes in text ───────────────────────────────────────────────────────────────
 
-#: Vulgar fractions and the fraction each stands for.
-FRACTIONS = {"½": "1/2", "¼": "1/4", "¾": "3/4", "⅓": "1/3", "⅔": "2/3", "⅛": "1/8", "⅜": "3/8", "⅝": "5/8", "⅞": "7/8"}
-
-_NUM = r"(?:\d+(?:\.\d+)?(?: \d+/\d+)?|\d+/\d+)"
-_UNIT = r"(?:millimet(?:re|er)s?|centimet(?:re|er)s?|zentimeter|met(?:re|er)s?|inch(?:es)?|feet|foot|mm|cm|dm|ft|in|m|\"|'')"
-_ONE = rf"(?:{_NUM} ?(?:'(?!')|ft|feet|foot)(?: ?{_NUM} ?(?:\"|''|in(?:ch(?:es)?)?)?)?|{_NUM} ?{_UNIT}?)"
 _SEP = r" ?(?:x|×|by|\*) ?"
-_WIDTH_AFTER = rf"(?:^|[^a-zß-ÿ])(?:width|wide|breite|breedte|larghezza|largeur|anchura|ancho|largura|larg|[wbl])[. :]* ?({_ONE})"
-_WIDTH_BEFORE = rf"({_ONE}) ?(?:width|wide|breit|w)(?![a-z])"
-_SECOND = rf"^\D*?{_ONE}{_SEP}({_ONE})"
-_LAST_UNIT = rf"{_NUM} ?[wh]? ?({_UNIT})[ .;,wh]*$"
-
-
-def _size_text(c: Column) -> Column:
-    t = F.lower(F.regexp_replace(c, INVISIBLE, ""))
-    for ch, frac in FRACTIONS.items():
-        t = F.replace(t, F.lit(ch), F.lit(f" {frac}"))
-    t = F.translate(t, "″”“′’", "\"\"\"''")
-    t = F.regexp_replace(t, r"[\s\p{Z}]+", " ")
-    t = F.regexp_replace(t, r"(?<=\d),(?=\d{1,2}(?!\d))", ".")
-    t = F.regexp_replace(t, r"(?<=\d),(?=\d{3}(?!\d))", "")
-    return F.trim(F.regexp_replace(t, r"(?<=[\w\".] ?)\(.*$", ""))
+_WIDTH_AFTER = rf"(?:^|[^a-zß-ÿ])(?:width|wide|breite|breedte|larghezza|largeur|anchura|ancho|largura|larg|[wbl])[. :]* ?({ONE})"
+_WIDTH_BEFORE = rf"({ONE}) ?(?:width|wide|breit|w)(?![a-z])"
+_SECOND = rf"^\D*?{ONE}{_SEP}({ONE})"
+_LAST_UNIT = rf"{NUM} ?[wh]? ?({UNIT})[ .;,wh]*$"
 
 
 def parse_widths(df: DataFrame, text: str = "text", default_unit: str = "default_unit") -> DataFrame:
@@ -202,14 +186,14 @@ def parse_widths(df: DataFrame, text: str = "text", default_unit: str = "default
     pattern is matched twice on one row.
     """
     keep = df.columns
-    t = _staged(df, keep, _t=_size_text(F.col(text)))
+    t = _staged(df, keep, _t=size_text(F.col(text)))
     t = _staged(t, [*keep, "_t"], _before=F.regexp_extract("_t", _WIDTH_BEFORE, 1), _after=F.regexp_extract("_t", _WIDTH_AFTER, 1), _second=F.regexp_extract("_t", _SECOND, 1), _trailing=F.regexp_extract("_t", _LAST_UNIT, 1))
     piece = F.when(F.col("_before") != "", F.col("_before")).when(F.col("_after") != "", F.col("_after")).otherwise(F.col("_second"))
-    t = _staged(t, [*keep, "_trailing"], _piece=piece, _feet=F.regexp_extract(piece, rf"^({_NUM}) ?(?:'(?!')|ft|feet|foot)", 1))
-    rest = F.when(F.col("_feet") != "", F.regexp_replace("_piece", rf"^{_NUM} ?(?:'(?!')|ft|feet|foot) ?", "")).otherwise(F.col("_piece"))
+    t = _staged(t, [*keep, "_trailing"], _piece=piece, _feet=F.regexp_extract(piece, rf"^({NUM}) ?(?:'(?!')|ft|feet|foot)", 1))
+    rest = F.when(F.col("_feet") != "", F.regexp_replace("_piece", rf"^{NUM} ?(?:'(?!')|ft|feet|foot) ?", "")).otherwise(F.col("_piece"))
     t = _staged(t, [*keep, "_trailing", "_piece", "_feet"], _rest=rest)
-    said = F.when(F.col("_feet") != "", F.lit("in")).when(F.regexp_extract("_rest", rf"({_UNIT})$", 1) != "", F.regexp_extract("_rest", rf"({_UNIT})$", 1)).when(F.col("_trailing") != "", F.col("_trailing"))
-    number = F.when(F.col("_piece") != "", (12 * F.coalesce(_number(F.col("_feet")), F.lit(0)) + F.coalesce(_number(F.col("_rest")), F.lit(0))).cast("decimal(14,4)"))
+    said = F.when(F.col("_feet") != "", F.lit("in")).when(F.regexp_extract("_rest", rf"({UNIT})$", 1) != "", F.regexp_extract("_rest", rf"({UNIT})$", 1)).when(F.col("_trailing") != "", F.col("_trailing"))
+    number = F.when(F.col("_piece") != "", (12 * F.coalesce(written_number(F.col("_feet")), F.lit(0)) + F.coalesce(written_number(F.col("_rest")), F.lit(0))).cast("decimal(14,4)"))
     t = _staged(t, keep, value=number, _said=said)
     return t.select(*keep, "value", F.coalesce(F.col("_said"), F.col(default_unit)).alias("unit"), F.col("_said").isNotNull().alias("named"))
 
@@ -223,16 +207,6 @@ def _staged(df: DataFrame, keep: list[str], **new: Column) -> DataFrame:
     return df.select(*keep, F.inline(F.array(F.struct(*[c.alias(n) for n, c in new.items()]))))
 
 
-def _number(text: Column) -> Column:
-    """Whole, decimal and fractional parts of ``12``, ``12.5``, ``12 1/2`` or ``1/2``."""
-    whole = F.regexp_extract(text, r"^(\d+(?:\.\d+)?)(?![\d/.])", 1)
-    num = F.regexp_extract(text, r"(\d+)/(\d+)", 1).try_cast("decimal(6,0)")
-    den = F.regexp_extract(text, r"(\d+)/(\d+)", 2).try_cast("decimal(6,0)")
-    part = F.when(den != 0, (num / den).cast("decimal(14,6)"))
-    w = whole.try_cast("decimal(14,6)")
-    return F.when(w.isNotNull() | part.isNotNull(), F.coalesce(w, F.lit(0)) + F.coalesce(part, F.lit(0)))
-
-
 def recorded_widths(artworks: DataFrame) -> DataFrame:
     """One row per recorded width: ``platform_name, platform_artwork_id, width, unit, strength, prefer, width_cm``.
 

@@ -8,6 +8,7 @@ are no JSON.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
@@ -31,6 +32,12 @@ class Mapping:
     relevant: Callable[[Column], Column] | None = None
 
 
+def fingerprint(m: Mapping) -> str:
+    """Short digest of what a mapping declares; rows of different fingerprints were read differently."""
+    said = repr((m.rows, m.key, sorted(m.columns.items()), sorted(m.convert)))
+    return hashlib.sha256(said.encode()).hexdigest()[:16]
+
+
 def parsed(pages: DataFrame, m: Mapping, html: str = "html") -> DataFrame:
     """Pages with their payload in ``v``; null where none could be read."""
     return pages.withColumn("v", m.payload(F.col(html)))

@@ -85,8 +85,11 @@ class Transducer:
         # The longest match: a legitimate sequence, then a cluster with its marks, then one character.
         self.pattern = regex.compile(rf"({_LEGITIMATE})|([^\p{{M}}\s][{_INVISIBLE}]*(?:\p{{M}}[{_INVISIBLE}]*)+)|([{_INVISIBLE}]+)|([{chars}])")
         self.hidden = regex.compile(rf"[{_INVISIBLE}]+")
-        self.simple = regex.compile(rf"()()([{_INVISIBLE}]+)|([{chars}])")
-        self.clusters = regex.compile(rf"[\p{{M}}\u200C\u200D\u20E3]|{_EMOJI}")
+        # The same pattern without the parts that cannot match in texts without marks or joiners.
+        self.simple = regex.compile(rf"(?!)()()|([{_INVISIBLE}]+)|([{chars}])")
+        self.joined = regex.compile(rf"({_LEGITIMATE})|(?!)()|([{_INVISIBLE}]+)|([{chars}])")
+        self.marks = regex.compile(r"[\p{M}--[\uFE00-\uFE0F]]", regex.V1)
+        self.joiners = regex.compile(r"[\u200C\u200D\u20E3\uFE0F]")
         self.cjk = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}\u3001-\u303F]")
 
     def _rewrite(self, m: regex.Match) -> str:
@@ -104,7 +107,7 @@ class Transducer:
         return U.normalize("NFC", self.hidden.sub("", "".join(self.singles.get(c, c) for c in s)))
 
     def characters(self, text: str) -> str:
-        pattern = self.pattern if self.clusters.search(text) else self.simple
+        pattern = self.pattern if self.marks.search(text) else self.joined if self.joiners.search(text) else self.simple
         return pattern.sub(self._rewrite, text)
 
 
@@ -205,7 +208,7 @@ def canonical(text: str | None) -> str | None:
 def suspicious() -> str:
     """Pattern of texts the transducer might change, for a filter inside the JVM."""
     t = character_map()
-    inert = {chr(c) for c in (*range(1, 0x250), *range(0x2010, 0x2028), *range(0x2030, 0x205F), *range(0x20A0, 0x20C1), *range(0x2100, 0x2200), *range(0x3001, 0x3100), *range(0x4E00, 0xA000))}
+    inert = {chr(c) for c in (*range(1, 0x250), *range(0x2010, 0x2028), *range(0x2030, 0x205F), *range(0x20A0, 0x20C1), *range(0x2100, 0x27C0), *range(0x2B00, 0x2C00), *range(0x3001, 0x3100), *range(0x4E00, 0xA000), *range(0x1F000, 0x1FB00))}
     inert = sorted(ord(c) for c in inert if c not in t and not U.combining(c) and U.category(c) not in ("Cf", "Cn") and c not in OTHER)
     ranges: list[list[int]] = []
     for c in inert:

@@ -1,8 +1,8 @@
 """Held-out passages that appear, whole or in part, in a training corpus.
 
 Every document is brought to plain words. Word n-grams of the test items seed
-the search: pairs of a document and an item that share a rare seed, or several
-common ones, are aligned by Smith–Waterman over words, which finds passages
+the search: pairs of a document and an item that share seeds of which one is
+rare, or several common ones, are aligned by Smith–Waterman over words, which finds passages
 that are written differently or have single words changed, added or missing.
 
 Only documents that share a seed leave the first stage, as ids. The corpus is
@@ -19,8 +19,10 @@ for one word; Chinese and Japanese characters count as words.
 from __future__ import annotations
 
 import html
+import re
 import unicodedata
 from collections.abc import Iterable
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -37,9 +39,9 @@ from vernissage.session import checkpoint
 SEED = 4
 #: A seed is rare if at most this share of the documents (or ``RARE_LEAST`` of them) has it.
 RARE_SHARE, RARE_LEAST = 0.001, 20
-#: Shared seeds that make a candidate even if all are frequent: fifteen words with two changed
-#: have four at least.
-MANY = 4
+#: Shared seeds that make a candidate: a few if one of them is rare, more if all are frequent.
+#: A passage that scores enough with three words changed has four at least.
+FEW, MANY = 2, 4
 #: Item words an alignment must span, and its least score (match 1, mismatch or gap -1): fifteen
 #: words with one changed score 13; phrases of ten words, or what two items share, score less.
 PASSAGE, SCORE = 15, 13.0
@@ -50,17 +52,40 @@ _TAGS = regex.compile(r"<[^<>]{0,400}>")
 _WORD = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}]|[\p{L}\p{M}\p{N}--[\p{Han}\p{Hiragana}\p{Katakana}]]+", regex.V1)
 _HYPHEN = regex.compile(r"(?<=\p{L})[-‐]\s*\n\s*(?=\p{Ll})")
 _MARKS = regex.compile(r"\p{M}+")
+_ASCII = re.compile(r"[a-z0-9]+")
+_OTHER = re.compile("[^\x00-\x7f]")
+
+
+@cache
+def _folded() -> dict[str, str]:
+    """Latin letters with accents and the plain letters they stand for; most typographic marks are blanks."""
+    out = {"ß": "ss", "ł": "l", "ø": "o"} | dict.fromkeys("«»–—‘’‚“”„…€·¡¿•°×", " ")
+    for cp in range(0xC0, 0x250):
+        ch = chr(cp).lower()
+        base = "".join(c for c in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(c))
+        if base.isascii() and base.isalpha():
+            out.setdefault(chr(cp), base)
+    return out
+
+
+def _fold(m: re.Match) -> str:
+    return _folded().get(m.group(), m.group())
 
 
 def plain_words(text: str | None) -> list[str]:
     """Words in one form: no tags, entities, look-alikes, accents, capitals or broken words."""
     if not text:
         return []
-    t = canonical(_TAGS.sub(" ", html.unescape(text) if "&" in text else text))
-    t = _HYPHEN.sub("", t).lower().replace("ß", "ss")
+    t = html.unescape(text) if "&" in text else text
+    t = canonical(_TAGS.sub(" ", t) if "<" in t else t)
+    if "\n" in t:
+        t = _HYPHEN.sub("", t)
+    t = t.lower()
     if not t.isascii():
-        t = _MARKS.sub("", unicodedata.normalize("NFKD", t)).replace("ł", "l").replace("ø", "o")
-    return _WORD.findall(t)
+        t = _OTHER.sub(_fold, t)
+    if t.isascii():
+        return _ASCII.findall(t)
+    return _WORD.findall(_MARKS.sub("", unicodedata.normalize("NFKD", t)))
 
 
 @F.pandas_udf(T.StringType())
@@ -128,7 +153,7 @@ def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: st
     n_docs = texts.count()
     limit = max(RARE_LEAST, int(RARE_SHARE * n_docs))
     rare = hits.groupBy("seed").agg(F.countDistinct(doc_id).alias("df")).select("seed", (F.col("df") <= limit).alias("rare"))
-    pairs = hits.join(seeds.join(rare, "seed"), "seed").groupBy(doc_id, item_id).agg(F.max("rare").alias("rare"), F.count("*").alias("n")).filter(F.col("rare") | (F.col("n") >= MANY)).select(doc_id, item_id)
+    pairs = hits.join(seeds.join(rare, "seed"), "seed").groupBy(doc_id, item_id).agg(F.max("rare").alias("rare"), F.count("*").alias("n")).filter((F.col("rare") & (F.col("n") >= FEW)) | (F.col("n") >= MANY)).select(doc_id, item_id)
     candidates = pairs.join(test, item_id)
     found = texts.join(candidates, doc_id)
 

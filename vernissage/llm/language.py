@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import html
 import unicodedata
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -61,7 +62,9 @@ _CJK = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}]")
 
 
 def _plain(text: str) -> str:
-    return unicodedata.normalize("NFC", html.unescape(_TAGS.sub(" ", text)))
+    if "<" in text or "&" in text or "#" in text or "@" in text or "://" in text:
+        text = html.unescape(_TAGS.sub(" ", text))
+    return unicodedata.normalize("NFC", text)
 
 
 def _letters(text: str) -> str:
@@ -69,32 +72,36 @@ def _letters(text: str) -> str:
     return " " + " ".join(_WORDS.findall(text.lower())) + " "
 
 
-def ngram_buckets(texts: list[str], bits: int = BUCKETS_BITS, orders: tuple[int, ...] = ORDERS) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket of every n-gram of all texts, and the text each belongs to."""
+def _ngrams(texts: list[str], bits: int, orders: tuple[int, ...]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each order the bucket of every n-gram of all texts, in order, and the text it belongs to."""
     joined = "".join(texts)
-    lengths = np.fromiter((len(t) for t in texts), dtype=np.int64, count=len(texts))
-    owner = np.repeat(np.arange(len(texts)), lengths)
+    owner = np.repeat(np.arange(len(texts), dtype=np.int32), [len(t) for t in texts])
     code = np.frombuffer(joined.encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
-    buckets, owners = [], []
     h = np.zeros(len(code), dtype=np.uint64)
     for n in range(1, max(orders, default=0) + 1):
         if len(code) < n:
             break
         h = h[: len(code) - n + 1] * np.uint64(0x100000001B3) + code[n - 1 :] + np.uint64(1)
         if n in orders:
-            within = owner[: len(h)] == owner[n - 1 :]
-            mixed = (h[within] ^ (h[within] >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-            buckets.append((mixed >> np.uint64(64 - bits)).astype(np.int64))
-            owners.append(owner[: len(h)][within])
-    if not buckets:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    return np.concatenate(buckets), np.concatenate(owners)
+            own, g = owner[: len(h)], h
+            if n > 1:
+                within = own == owner[n - 1 :]
+                own, g = own[within], g[within]
+            yield (((g ^ (g >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(64 - bits)).astype(np.int32), own
+
+
+def ngram_buckets(texts: list[str], bits: int = BUCKETS_BITS, orders: tuple[int, ...] = ORDERS) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of the n-grams of all orders and the text of each."""
+    found = list(_ngrams(texts, bits, orders))
+    if not found:
+        return np.empty(0, np.int32), np.empty(0, np.int32)
+    return np.concatenate([b for b, _ in found]), np.concatenate([o for _, o in found])
 
 
 @dataclass
 class NaiveBayes:
     languages: list[str]
-    log_prob: np.ndarray  # languages × buckets
+    by_bucket: np.ndarray  # log-probabilities, buckets × languages
 
     @classmethod
     def fit(cls, samples: list[tuple[str, str]], alpha: float = 0.05) -> NaiveBayes:
@@ -106,14 +113,16 @@ class NaiveBayes:
             for at in range(0, len(own), 200):
                 counts[i] += np.bincount(ngram_buckets(own[at : at + 200])[0], minlength=size)
         counts += alpha
-        return cls(languages, np.log(counts / counts.sum(axis=1, keepdims=True)).astype(np.float32).reshape(len(languages), size))
+        return cls(languages, np.ascontiguousarray(np.log(counts / counts.sum(axis=1, keepdims=True)).T.astype(np.float32)))
 
     def scores(self, texts: list[str]) -> np.ndarray:
         """Tempered log-likelihood of every text under every language (texts × languages)."""
-        b, owner = ngram_buckets(texts)
-        out = np.empty((len(texts), len(self.languages)))
-        for i in range(len(self.languages)):
-            out[:, i] = np.bincount(owner, weights=self.log_prob[i][b], minlength=len(texts))
+        out = np.zeros((len(texts), len(self.languages)), dtype=np.float64)
+        for b, owner in _ngrams(texts, BUCKETS_BITS, ORDERS):
+            if len(b):
+                # One row of probabilities per n-gram; n-grams of a text lie side by side.
+                starts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+                out[owner[starts]] += np.add.reduceat(self.by_bucket[b], starts, axis=0)
         return out / TEMPERATURE
 
 
@@ -137,8 +146,9 @@ def segments(model: NaiveBayes, texts: list[str]) -> list[list[Segment]]:
         for m in _SENTENCE.finditer(bare) if model.languages else ():
             letters = _letters(m.group())
             if len(letters) > 2:
-                cjk = len(_CJK.findall(letters))
-                words = sum(len(w) > 1 for w in letters.split()) if not cjk else sum(not _CJK.search(w) for w in letters.split())
+                cjk = 0 if letters.isascii() else len(_CJK.findall(letters))
+                # Words of two letters or more; of East Asian text the characters count.
+                words = sum([len(w) > 1 for w in letters.split()]) if not cjk else sum([not _CJK.search(w) for w in letters.split()])
                 own.append((m.start(), m.end(), len(pieces), words + cjk / 2))
                 pieces.append(letters)
         spans.append(own)

@@ -110,30 +110,34 @@ def align(item: list[str], doc: list[str]) -> tuple[float, int, int]:
     best = (0.0, 0, 0)
     step = BLOCK - min(BLOCK // 2, 4 * len(item))
     for at in range(0, max(1, len(doc)), step):
-        part = doc[at : at + BLOCK]
-        b = np.array([codes.get(w, -1) for w in part], dtype=np.int32)
-        if not (b >= 0).any():
-            continue
-        m = len(b)
-        place = np.arange(m + 1, dtype=np.float32)
-        h = np.zeros((len(a) + 1, m + 1), dtype=np.float32)
-        for i, code in enumerate(a, 1):
-            row = np.zeros(m + 1, dtype=np.float32)
-            np.maximum(h[i - 1, :-1] + np.where(b == code, np.float32(1), np.float32(-1)), h[i - 1, 1:] - 1, out=row[1:])
-            np.maximum(row, 0, out=row)
-            h[i] = np.maximum.accumulate(row + place) - place
-        top = float(h.max())
-        if top > best[0]:
-            i, j = (int(x) for x in np.unravel_index(h.argmax(), h.shape))
-            end = i
-            while i and j and h[i, j] > 0:
-                if h[i, j] == h[i - 1, j - 1] + (1 if b[j - 1] == a[i - 1] else -1):
-                    i, j = i - 1, j - 1
-                elif h[i, j] == h[i - 1, j] - 1:
-                    i -= 1
-                else:
-                    j -= 1
-            best = (top, i, end)
+        b = np.array([codes.get(w, -1) for w in doc[at : at + BLOCK]], dtype=np.int32)
+        if (b >= 0).any():
+            # Scores are kept with their column number added: then a gap along the row costs
+            # nothing, and the row's running maximum is all that it needs.
+            m = len(b)
+            column = np.arange(m + 1, dtype=np.int32)
+            gain = np.where(a[:, None] == b[None, :], np.int32(2), np.int32(0))
+            g = np.empty((len(a) + 1, m + 1), dtype=np.int32)
+            g[0] = column
+            for i in range(len(a)):
+                row = g[i + 1]
+                np.subtract(g[i], 1, out=row)
+                np.maximum(row, column, out=row)
+                np.maximum(row[1:], g[i, :-1] + gain[i], out=row[1:])
+                np.maximum.accumulate(row, out=row)
+            h = g - column
+            top = int(h.max())
+            if top > best[0]:
+                i, j = (int(x) for x in np.unravel_index(h.argmax(), h.shape))
+                end = i
+                while i and j and h[i, j] > 0:
+                    if h[i, j] == h[i - 1, j - 1] + (1 if b[j - 1] == a[i - 1] else -1):
+                        i, j = i - 1, j - 1
+                    elif h[i, j] == h[i - 1, j] - 1:
+                        i -= 1
+                    else:
+                        j -= 1
+                best = (float(top), i, end)
         if at + BLOCK >= len(doc):
             break
     return best

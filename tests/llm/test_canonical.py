@@ -11,7 +11,7 @@ from vernissage.llm.canonical import Transducer, canonical, disguised
     "text, expected",
     [
         ("Ｆｉｓｓｕｒｅ", "Fissure"), ("Orchard of Ferries　", "Orchard of Ferries "), ("Th­e T​ide﻿", "The Tide"), ("Café", "Café"), ("Åsa", "Åsa"), ("Reﬆless ﬁre Ⅷ", "Restless fire VIII"),
-        ("Ηоllоw Field", "Hollow Field"), ("Cинeе окно", "Синее окно"), ("Vіlla ІΙ", "Villa II"), ("Inѐs", "Inès"), ("S️ilent", "Silent"), ("𝐁old", "Bold"), ("la а la", "la a la"), ("l'і̂le", "l'île"), ("ｶﾅ", "カナ"),
+        ("Ηоllоw Field", "Hollow Field"), ("Cинeе окно", "Синее окно"), ("Τихая гавань", "Тихая гавань"), ("Λευκό νηсί", "Λευκό νηсί"), ("Άσπρо", "Άσπρο"), ("Vіlla ІΙ", "Villa II"), ("Inѐs", "Inès"), ("S️ilent", "Silent"), ("𝐁old", "Bold"), ("la а la", "la a la"), ("l'і̂le", "l'île"), ("ｶﾅ", "カナ"),
     ],
 )
 def test_disguises(text, expected):

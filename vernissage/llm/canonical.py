@@ -113,7 +113,10 @@ class Transducer:
 
 _WORD = regex.compile(r"[\p{L}\p{M}]+(?:['’][\p{L}\p{M}]+)*")
 _TO_CYRILLIC = {v: k for k, v in CYRILLIC.items() if k not in "ѕіјЅІЈԁһԛԝ"}
+_LATIN_LIKE_CYRILLIC = frozenset(_TO_CYRILLIC)
+_TO_CYRILLIC |= {g: _TO_CYRILLIC[latin] for g, latin in GREEK.items() if latin in _TO_CYRILLIC}
 _TO_GREEK = {v: k for k, v in GREEK.items() if k not in _WEAK_GREEK}
+_TO_GREEK |= {c: _TO_GREEK[latin] for c, latin in CYRILLIC.items() if latin in _TO_GREEK}
 _LATIN, _CYR, _GREEK = (regex.compile(rf"\p{{Script={s}}}") for s in ("Latin", "Cyrillic", "Greek"))
 
 
@@ -136,7 +139,7 @@ def _word(word: str) -> tuple[str, str]:
     for ch in plain:
         if _LATIN.match(ch):
             latin += 1
-            sure_latin += ch not in _TO_CYRILLIC
+            sure_latin += ch not in _LATIN_LIKE_CYRILLIC
         elif _CYR.match(ch):
             cyr += 1
             sure_cyr += ch not in CYRILLIC and ch not in OTHER

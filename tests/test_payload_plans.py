@@ -50,6 +50,30 @@ def test_scripts_metas_and_chunks(one, spark):
     assert [tuple(x) for x in one(payload.leaf_paths("s"), "s string", '{"a": [{"b": 1}], "c": null}')] == [("a[].b", "1"), ("c", "null")]
 
 
+def test_jsonld_lists_graphs_and_types(spark):
+    block = lambda x: f'<script type="application/ld+json">{x}</script>'
+    html = block('[{"@type": "A", "n": 1}, {"@type": ["B", "C"], "n": 2}]') + block("{broken") + block('{"@graph": [{"@type": "D", "n": 3}]}') + block('{"@type": "A", "n": 4}')
+    df = spark.createDataFrame([(html,), ("none",), (None,)], "s string").select(payload.jsonld_objects("s").alias("o"))
+    got = df.select(*[F.try_variant_get(payload.first_of_type(F.col("o"), t), "$.n", "int").alias(t) for t in "ACDX"], F.size("o").alias("n")).collect()
+    assert tuple(got[0]) == (1, 2, 3, None, 4) and tuple(got[1]) == (None, None, None, None, 0)
+
+
+def test_twice_encoded_and_keyed_objects(spark):
+    inner = json.dumps({"a": [1, {"b": "}"}]})
+    html = f'<script id="r">{json.dumps(inner)}</script>'
+    df = spark.createDataFrame([(html, ['x"lot":1,"lot":', '{"id":7,"t":"}"} rest']), ("", None)], "s string, c array<string>")
+    got = df.select(F.try_variant_get(payload.twice_encoded("s", "r"), "$.a[1].b", "string").alias("b"), payload.object_after("lot")("c").alias("o")).collect()
+    assert [tuple(r) for r in got] == [("}", '{"id":7,"t":"}"}'), (None, None)]
+
+
+def test_cards(spark):
+    html = '<div class="card big" data-id="1"><a href="/x"><img src="i.jpg"></a><h3>Ti<b>tle</b> &amp; more</h3><p class="price">9</p><br></div><div class="other">no</div><li class="card"><p class="price">8</p></li><div class="card"><p>'
+    df = spark.createDataFrame([(html,), (None,), ("challenge",)], "s string")
+    cards = payload.cards_udf("card", {"url": ("a", "href"), "image": ("img", "src"), "title": ("h3", "text"), "price": ("price", "text")})
+    got = [r.v for r in df.select(cards("s").alias("v")).collect()]
+    assert got[0][:2] == [{"data-id": "1", "url": "/x", "image": "i.jpg", "title": "Title & more", "price": "9"}, {"price": "8"}] and got[1] == [] == got[2]
+
+
 MAPPING = pages.Mapping(
     payload=lambda h: payload.script_json(h, "d"), rows="$.items", key="platform_artwork_id",
     columns={"platform_artwork_id": ("$.id", "string"), "title": ("$.title", "string"), "price": ("$.price", "string"), "has_detail": ("$.full", "boolean")},

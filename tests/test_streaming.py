@@ -33,10 +33,10 @@ def test_windows_distinct_and_batches(spark, tmp_path):
     spark.createDataFrame([(utc(2025, 1, 1, 0, i % 10), i % 3, "x") for i in range(30)], "ts timestamp, k int, t string").write.parquet(src)
     stream = lambda: spark.readStream.schema("ts timestamp, k int, t string").parquet(src)
     w = ingest.windowed_counts(stream(), "ts", ["t"], "5 minutes", "5 minutes", keys=F.approx_count_distinct("k"))
-    ingest.run_to_memory(w, "w1", "complete")
-    assert rows(spark.table("w1"), "t", "n", "keys") == [("x", 15, 3), ("x", 15, 3)]
-    ingest.run_to_memory(ingest.distinct_stream(stream(), ["k"], "ts", "1 hour"), "d1", "append")
-    assert rows(spark.table("d1"), "k") == [(0,), (1,), (2,)]
+    ingest.run_to_table(w, str(tmp_path / "w1"), "complete")
+    assert rows(spark.read.parquet(str(tmp_path / "w1")), "t", "n", "keys") == [("x", 15, 3), ("x", 15, 3)]
+    ingest.run_to_table(ingest.distinct_stream(stream(), ["k"], "ts", "1 hour"), str(tmp_path / "d1"), "append")
+    assert rows(spark.read.parquet(str(tmp_path / "d1")), "k") == [(0,), (1,), (2,)]
     seen = []
     ingest.on_each_batch(stream(), lambda df, i: seen.append(df.count()), str(tmp_path / "c"))
     assert sum(seen) == 30

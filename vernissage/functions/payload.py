@@ -8,6 +8,7 @@ the one column they read.
 from __future__ import annotations
 
 import json
+from html.parser import HTMLParser
 from typing import Any
 
 import pandas as pd
@@ -29,6 +30,32 @@ def jsonld_blocks(html: Column | str) -> Column:
     return F.regexp_extract_all(_col(html), F.lit(r"(?is)<script\b[^>]*application/ld\+json[^>]*>(.*?)</script\s*>"), 1)
 
 
+def jsonld_objects(html: Column | str) -> Column:
+    """Objects of all JSON-LD scripts, lists and graphs flattened; broken scripts are skipped."""
+
+    def listed(v: Column) -> Column:
+        whole = F.when(v.isNotNull(), F.array(v))
+        return F.coalesce(F.try_variant_get(v, "$", "array<variant>"), whole)
+
+    def opened(v: Column) -> Column:
+        return F.coalesce(F.try_variant_get(v, "$['@graph']", "array<variant>"), F.array(v))
+
+    blocks = F.array_compact(F.transform(jsonld_blocks(html), lambda b: F.try_parse_json(b)))
+    return F.flatten(F.transform(F.flatten(F.transform(blocks, listed)), opened))
+
+
+def first_of_type(objects: Column, kind: str) -> Column:
+    """First object whose ``@type`` is, or holds, the given one."""
+    one = lambda v: F.try_variant_get(v, "$['@type']", "string")
+    many = lambda v: F.try_variant_get(v, "$['@type']", "array<string>")
+    return F.get(F.filter(objects, lambda v: F.coalesce(F.array_contains(many(v), kind), one(v) == kind, F.lit(False))), 0)
+
+
+def twice_encoded(html: Column | str, script_id: str) -> Column:
+    """Script whose JSON is a string that holds JSON again."""
+    return F.try_parse_json(F.try_variant_get(script_json(html, script_id), "$", "string"))
+
+
 def meta_content(html: Column | str, name: str) -> Column:
     """``content`` of a meta tag, in either order of its attributes."""
     h, n = _col(html), name.replace(":", "[:]")
@@ -236,6 +263,93 @@ def assigned_udf(name: str):
     return assigned
 
 
+def object_after(key: str):
+    """Function of arrays of text chunks: JSON text of the first object assigned to a key."""
+
+    @F.pandas_udf(T.StringType())
+    def found(chunks: pd.Series) -> pd.Series:
+        mark = f'"{key}":'
+
+        def one(parts: Any) -> str | None:
+            text = "".join(p for p in parts if p) if parts is not None else ""
+            at = text.find(mark)
+            while at >= 0:
+                start = at + len(mark)
+                body = balanced(text, start) if text[start : start + 1] == "{" else None
+                try:
+                    if body:
+                        json.loads(body)
+                        return body
+                except ValueError:
+                    pass
+                at = text.find(mark, start)
+            return None
+
+        return chunks.map(one)
+
+    return found
+
+
+class _Cards(HTMLParser):
+    """Collects the texts and attributes of the elements inside every card."""
+
+    VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
+
+    def __init__(self, card: str, parts: dict[str, tuple[str, str]]):
+        super().__init__(convert_charrefs=True)
+        self.card, self.parts = card, parts
+        self.cards: list[dict[str, str]] = []
+        self.depth = 0
+        self.inside: list[tuple[str, int]] = []
+
+    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        given = {k: v or "" for k, v in attrs}
+        classes = given.get("class", "").split()
+        if not self.depth:
+            if self.card not in classes:
+                return
+            self.cards.append({k: v for k, v in given.items() if k.startswith("data-")})
+        if tag not in self.VOID:
+            self.depth += 1
+        for name, (where, what) in self.parts.items():
+            if where == tag or where in classes:
+                if what == "text":
+                    if tag not in self.VOID and name not in self.cards[-1]:
+                        self.cards[-1][name] = ""
+                        self.inside.append((name, self.depth))
+                elif what in given:
+                    self.cards[-1].setdefault(name, given[what])
+
+    def handle_endtag(self, tag: str) -> None:
+        if self.depth and tag not in self.VOID:
+            self.inside = [(n, d) for n, d in self.inside if d < self.depth]
+            self.depth -= 1
+
+    def handle_data(self, data: str) -> None:
+        for name, _ in self.inside:
+            self.cards[-1][name] += data
+
+
+def cards_udf(card: str, parts: dict[str, tuple[str, str]]):
+    """Function of pages: one map per element of class ``card``.
+
+    ``parts`` names for each value the class or tag of an element inside the
+    card and its attribute, or ``text``. Data attributes of the card itself are
+    kept under their names.
+    """
+
+    @F.pandas_udf(T.ArrayType(T.MapType(T.StringType(), T.StringType())))
+    def cards(pages: pd.Series) -> pd.Series:
+        def one(html: str | None) -> list[dict[str, str]]:
+            p = _Cards(card, parts)
+            p.feed(html or "")
+            return [{k: " ".join(v.split()) for k, v in c.items()} for c in p.cards]
+
+        return pages.map(one)
+
+    return cards
+
+
 @F.pandas_udf(T.StringType())
 def resolved_json(tables: pd.Series) -> pd.Series:
     """JSON text of a reference-coded array of values."""

@@ -10,7 +10,6 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
 
 from vernissage.operators.dedup import SortField
 from vernissage.operators.merge import Store
@@ -45,12 +44,19 @@ def sessions(df: DataFrame, event_time: str, by: Sequence[str], gap: str) -> Dat
     return s.select(F.col("w.start").alias("start"), F.col("w.end").alias("end"), *by, "n")
 
 
-def run_to_memory(stream: DataFrame, name: str, mode: str, checkpoint: str | None = None) -> StreamingQuery:
-    """Runs a stream over everything available into an in-memory table (for tests and reports)."""
-    w = stream.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True)
-    q = (w.option("checkpointLocation", checkpoint) if checkpoint else w).start()
+def run_to_table(stream: DataFrame, path: str, mode: str) -> None:
+    """Runs a stream over everything available into Parquet files at ``path``.
+
+    In complete mode each batch replaces the table, in append mode a batch that
+    is repeated after a failure replaces its own part.
+    """
+
+    def sink(batch: DataFrame, number: int) -> None:
+        out = path if mode == "complete" else f"{path}/batch={number}"
+        batch.write.mode("overwrite").parquet(out)
+
+    q = stream.writeStream.foreachBatch(sink).outputMode(mode).option("checkpointLocation", f"{path}-progress").trigger(availableNow=True).start()
     q.awaitTermination()
-    return q
 
 
 def on_each_batch(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str) -> None:

@@ -410,13 +410,24 @@ def a_path_categories(spark: SparkSession, d: str) -> DataFrame:
 # ── ranges ──────────────────────────────────────────────────────────────────────
 
 
-@query()
+@query(
+    "WITH RECURSIVE h AS (SELECT platform_name, CAST(year AS BIGINT) AS v, count(*) AS n, row_number() OVER (PARTITION BY platform_name ORDER BY year) AS k FROM artworks WHERE year IS NOT NULL GROUP BY platform_name, year), "
+    "f AS (SELECT platform_name, k, v, n, v AS lo, n >= 800 AS alone, CASE WHEN n >= 800 THEN 0 ELSE n END AS acc, n < 800 AS open FROM h WHERE k = 1 UNION ALL "
+    "SELECT h.platform_name, h.k, h.v, h.n, CASE WHEN h.n >= 800 OR NOT f.open OR f.acc + h.n > 800 THEN h.v ELSE f.lo END, h.n >= 800, CASE WHEN h.n >= 800 THEN 0 WHEN f.acc + h.n > 800 THEN h.n ELSE f.acc + h.n END, h.n < 800 "
+    "FROM f JOIN h ON h.platform_name = f.platform_name AND h.k = f.k + 1), "
+    "g AS (SELECT platform_name, lo, bool_or(alone) AS alone, CAST(sum(n) AS BIGINT) AS n FROM f GROUP BY 1, 2), e AS (SELECT platform_name, max(v) + 1 AS stop FROM h GROUP BY 1) "
+    "SELECT g.platform_name, lo, CASE WHEN alone THEN lo + 1 ELSE coalesce(lead(lo) OVER (PARTITION BY g.platform_name ORDER BY lo), stop) END AS hi, n FROM g JOIN e USING (platform_name)"
+)
 def r_plan_ranges(spark: SparkSession, d: str) -> DataFrame:
     years = table(spark, d, "artworks").filter("year is not null").groupBy("platform_name", "year").agg(F.count("*").alias("n"))
     return partitioning.plan_ranges(years, ["platform_name"], "year", "n", 800)
 
 
-@query()
+@query(
+    "WITH a AS (SELECT platform_name AS p, coalesce(category, '') AS c, coalesce(support, '') AS s FROM artworks), l1 AS (SELECT p, count(*) AS n FROM a GROUP BY 1), l2 AS (SELECT p, c, count(*) AS n FROM a GROUP BY 1, 2), l3 AS (SELECT p, c, s, count(*) AS n FROM a GROUP BY 1, 2, 3) "
+    "SELECT p AS platform_name, NULL AS category, NULL AS support, 1 AS depth, n, true AS fits FROM l1 WHERE n <= 300 UNION ALL "
+    "SELECT l2.p, l2.c, NULL, 2, l2.n, true FROM l2 JOIN l1 USING (p) WHERE l2.n <= 300 AND l1.n > 300 UNION ALL SELECT l3.p, l3.c, l3.s, 3, l3.n, l3.n <= 300 FROM l3 JOIN l2 USING (p, c) WHERE l2.n > 300"
+)
 def r_split_facets(spark: SparkSession, d: str) -> DataFrame:
     return partitioning.split_facets(table(spark, d, "artworks"), ["platform_name", "category", "support"], 300)
 
@@ -456,10 +467,11 @@ def _event_stream(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _streamed(stream: DataFrame, mode: str) -> DataFrame:
-    """Result of a stream over all files there are, as a table."""
-    spark, name = stream.sparkSession, "s" + uuid.uuid4().hex
-    ingest.run_to_memory(stream, name, mode, f"{_scratch(spark)}/{name}")
-    return spark.table(name)
+    """Result of a stream over all files there are, written to the shared folder and read again."""
+    spark = stream.sparkSession
+    out = f"{_scratch(spark)}/{uuid.uuid4().hex}"
+    ingest.run_to_table(stream, out, mode)
+    return spark.read.parquet(out)
 
 
 @query("SELECT CAST(time_bucket(INTERVAL 1 DAY, ts) AS VARCHAR)[:10] AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2")

@@ -68,6 +68,15 @@ def test_mislabelled(spark, model):
     assert rows(L.mislabelled(docs, model), "doc_id", "lang") == [(3, "en"), (4, "en"), (5, "de"), (5, "en"), (8, "en")]
 
 
+def test_a_sentence_without_end_is_scored_in_pieces(model, monkeypatch):
+    text = " ".join([EN.strip(" .")] * 50)
+    whole = model.scores([text, DE, text])
+    monkeypatch.setattr(L, "PIECE_CHARS", 700)
+    monkeypatch.setattr(L, "BATCH_CHARS", 1500)
+    pieces = model.scores([text, DE, text])
+    assert abs(pieces - whole).max() < 0.02 * abs(whole).max() and (pieces.argmax(1) == whole.argmax(1)).all()
+
+
 def test_ngrams_do_not_cross_texts():
     together, owner = L.ngram_buckets([" ab ", " cd "])
     alone, _ = L.ngram_buckets([" cd "])

@@ -45,6 +45,10 @@ MIN_WORDS = 8.0
 LEAST_WORDS = 2.0
 #: Documents at most from which the model learns further words of the languages it knows.
 SAMPLE_DOCUMENTS = 2_000
+#: Characters of a document of that sample at most; longer ones teach nothing, they are scored like all.
+SAMPLE_CHARS = 20_000
+#: Characters scored at a time, and of one piece of a sentence without end.
+BATCH_CHARS, PIECE_CHARS = 400_000, 100_000
 
 #: ISO 639-1 codes with their other codes and names.
 LANGUAGE_NAMES = {
@@ -98,6 +102,23 @@ def ngram_buckets(texts: list[str], bits: int = BUCKETS_BITS, orders: tuple[int,
     return np.concatenate([b for b, _ in found]), np.concatenate([o for _, o in found])
 
 
+def _batches(texts: list[str]) -> Iterator[tuple[list[int], list[str]]]:
+    """Pieces of texts with the text each is of, a bounded number of characters at a time."""
+    of: list[int] = []
+    part: list[str] = []
+    size = 0
+    for i, t in enumerate(texts):
+        for at in range(0, max(1, len(t)), PIECE_CHARS):
+            of.append(i)
+            part.append(t[at : at + PIECE_CHARS])
+            size += len(part[-1])
+            if size >= BATCH_CHARS:
+                yield of, part
+                of, part, size = [], [], 0
+    if part:
+        yield of, part
+
+
 @dataclass
 class NaiveBayes:
     languages: list[str]
@@ -118,11 +139,12 @@ class NaiveBayes:
     def scores(self, texts: list[str]) -> np.ndarray:
         """Tempered log-likelihood of every text under every language (texts × languages)."""
         out = np.zeros((len(texts), len(self.languages)), dtype=np.float64)
-        for b, owner in _ngrams(texts, BUCKETS_BITS, ORDERS):
-            if len(b):
-                # One row of probabilities per n-gram; n-grams of a text lie side by side.
-                starts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
-                out[owner[starts]] += np.add.reduceat(self.by_bucket[b], starts, axis=0)
+        for of, part in _batches(texts):
+            for b, owner in _ngrams(part, BUCKETS_BITS, ORDERS):
+                if len(b):
+                    # One row of probabilities per n-gram; n-grams of a text lie side by side.
+                    starts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+                    np.add.at(out, np.asarray(of)[owner[starts]], np.add.reduceat(self.by_bucket[b], starts, axis=0))
         return out / TEMPERATURE
 
 
@@ -211,7 +233,7 @@ def fit_model(samples: DataFrame, docs: DataFrame | None = None, lang: str = "la
     model = NaiveBayes.fit(trusted)
     if docs is None or not model.languages:
         return model
-    named = docs.select(label_language(lang).alias("named"), text, id_col).filter(F.col("named").isin(*model.languages) & F.col(text).isNotNull())
+    named = docs.select(label_language(lang).alias("named"), text, id_col).filter(F.col("named").isin(*model.languages) & (F.length(text) <= SAMPLE_CHARS))
     more = [(r["named"], r[text]) for r in named.orderBy(F.xxhash64(id_col), id_col).limit(SAMPLE_DOCUMENTS).collect()]
     agreed = []
     for (label, t), found in zip(more, segments(model, [t for _, t in more])):

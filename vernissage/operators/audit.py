@@ -58,8 +58,9 @@ def spread_sample(df: DataFrame, size: int, weight: str, at: str, key: str) -> D
     heavy = df.orderBy(F.desc(weight), F.col(key)).limit(max(1, size // 4))
     rest = df.join(heavy.select(key), key, "left_anti")
     count = max(1, size - max(1, size // 4))
-    ranges = rest.agg(F.min(F.unix_seconds(F.col(at).cast("timestamp"))).alias("lo"), F.max(F.unix_seconds(F.col(at).cast("timestamp"))).alias("hi"))
-    placed = rest.crossJoin(F.broadcast(ranges)).withColumn("slot", F.floor((F.unix_seconds(F.col(at).cast("timestamp")) - F.col("lo")) * count / (F.col("hi") - F.col("lo") + 1)))
+    second = F.unix_seconds(F.col(at).cast("timestamp"))
+    lo, hi = rest.agg(F.min(second)).scalar(), rest.agg(F.max(second)).scalar()
+    placed = rest.withColumn("slot", F.floor((second - lo) * count / (hi - lo + 1)))
     even = placed.groupBy("slot").agg(F.min(F.struct(F.col(at), F.col(key))).alias("pick")).select(F.col(f"pick.{key}").alias(key))
     return heavy.select(key, F.lit("weight").alias("chosen_by")).unionByName(even.select(key, F.lit("time").alias("chosen_by")))
 
@@ -79,7 +80,6 @@ def feature_counts(pages: DataFrame, group: str, features: str, page: str, least
 
 def requeue(children: DataFrame, cached: DataFrame, keys: Sequence[str], found: str = "found", done: str = "done", least_share: float = 0.5) -> DataFrame:
     """Children to read: those not done, or all if the cache holds less than a share of what the done ones gave."""
-    promised = children.agg(F.coalesce(F.sum(F.when(F.col(done), F.col(found))), F.lit(0)).alias("promised"))
-    have = cached.select(*keys).distinct().agg(F.count("*").alias("have"))
-    lost = promised.crossJoin(have).select((F.col("have") < F.col("promised") * least_share).alias("lost"))
-    return children.crossJoin(F.broadcast(lost)).filter(F.col("lost") | ~F.coalesce(F.col(done), F.lit(False))).drop("lost")
+    promised = children.agg(F.coalesce(F.sum(F.when(F.col(done), F.col(found))), F.lit(0))).scalar()
+    have = cached.select(*keys).distinct().agg(F.count("*")).scalar()
+    return children.filter((have < promised * least_share) | ~F.coalesce(F.col(done), F.lit(False)))

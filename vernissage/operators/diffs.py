@@ -32,13 +32,12 @@ def vanished(before: DataFrame, after: DataFrame, key: str, flag: str, owner: st
 
     Rows whose owner is gone are left out; a null owner is never gone. If the
     later side holds less than ``least_share`` of the earlier one it is taken
-    for incomplete, and only flips are reported. The guard is one row, joined
-    by broadcast, not a value on the driver.
+    for incomplete, and only flips are reported. The two counts are scalar
+    subqueries.
     """
     gone = missing(before, after, [key]).join(owners_gone(before, after, owner), owner, "left_anti")
-    sizes = before.agg(F.count("*").alias("b")).crossJoin(after.agg(F.count("*").alias("a")))
-    guard = sizes.select((F.col("a") >= F.col("b") * least_share).alias("complete"))
-    disappeared = gone.crossJoin(F.broadcast(guard)).filter("complete").select(key, F.lit("disappeared").alias("reason"))
+    complete = after.agg(F.count("*")).scalar() >= before.agg(F.count("*")).scalar() * least_share
+    disappeared = gone.filter(complete).select(key, F.lit("disappeared").alias("reason"))
     return disappeared.unionByName(flipped(before, after, [key], flag).select(key, F.lit("flagged").alias("reason")))
 
 

@@ -78,4 +78,4 @@ def run(pages: DataFrame, m: Mapping, order: Sequence[SortField], platform: str,
 def run_stats(with_payload: DataFrame, rows: DataFrame) -> DataFrame:
     """One row of counters: pages, pages without payload, rows."""
     a = with_payload.agg(F.count("*").alias("files_total"), F.count_if(F.col("v").isNull()).alias("errors"))
-    return a.crossJoin(rows.agg(F.count("*").alias("rows")))
+    return a.withColumn("rows", rows.agg(F.count("*")).scalar())

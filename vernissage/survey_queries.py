@@ -391,7 +391,11 @@ def o_hash_sample(spark: SparkSession, d: str) -> DataFrame:
     return audit.hash_sample(table(spark, d, "orders").select("o_orderkey"), "o_orderkey", 100)
 
 
-@query()
+@query(
+    "WITH heavy AS (SELECT o_orderkey FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 10), rest AS (SELECT o_orderkey, o_orderdate, CAST(epoch(o_orderdate) AS BIGINT) AS e FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM heavy)), "
+    "s AS (SELECT *, floor((e - (SELECT min(e) FROM rest)) * 30.0 / ((SELECT max(e) FROM rest) - (SELECT min(e) FROM rest) + 1)) AS slot FROM rest) "
+    "SELECT o_orderkey, 'weight' AS chosen_by FROM heavy UNION ALL SELECT o_orderkey, 'time' FROM (SELECT o_orderkey, row_number() OVER (PARTITION BY slot ORDER BY o_orderdate, o_orderkey) AS k FROM s) WHERE k = 1"
+)
 def o_spread_sample(spark: SparkSession, d: str) -> DataFrame:
     return audit.spread_sample(table(spark, d, "orders"), 40, "o_totalprice", "o_orderdate", "o_orderkey")
 

@@ -96,4 +96,11 @@ ORACLES: dict[str, str] = {
     + " SELECT r.platform_name, r.id AS platform_artist_id, strftime(r.crawl_date, '%Y-%m-%d') AS crawl_date, field_name, source_file FROM r JOIN g USING (platform_name, id, crawl_date) WHERE rn = 1",
 }
 
+ORACLES["p2_survivors"] = (
+    f"WITH a AS (SELECT *, {_ID_ARTIST} AS id, coalesce(crawled_at, TIMESTAMPTZ '0001-01-01 00:00:00+00') AS at, coalesce(source_file, '') AS src FROM artists) "
+    "SELECT platform_name, id AS platform_artist_id, strftime(crawl_date, '%Y-%m-%d') AS crawl_date, count(*) AS n_rows, "
+    + ", ".join(f"arg_max({f}, (at, src, {f})) FILTER (WHERE {_usable_sql(f)}) AS {f}" for f in _P2_FIELDS[:-1])
+    + " FROM a WHERE id IS NOT NULL GROUP BY platform_name, id, a.crawl_date"
+)
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (p2_found, p2_survivors, p2_value_quality, p4_found, p5_found, p5_confidence, p7_ids, p8_found, p9_found, p9_segments)}

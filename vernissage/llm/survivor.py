@@ -69,7 +69,7 @@ def artist_rows(artists: DataFrame, fields: Sequence[str] = ARTIST_FIELDS) -> Da
 
 
 def value_quality(
-    df: DataFrame, keys: Sequence[str], fields: Sequence[str], source: Column, iterations: int = 12, prior: float = 0.5, keep: float = 0.5
+    df: DataFrame, keys: Sequence[str], fields: Sequence[str], source: Column, iterations: int = 12, keep: float = 0.5
 ) -> tuple[DataFrame, DataFrame]:
     """Posterior truth of every value, and the quality of every source and field.
 
@@ -80,44 +80,42 @@ def value_quality(
     """
     spark = df.sparkSession
     long = df.select(*keys, source.alias("source"), F.inline(F.array(*[F.struct(F.lit(f).alias("field_name"), F.when(is_usable(df, f), F.lower(clean_line(F.col(f).cast("string")))).alias("value")) for f in fields]))).filter("source is not null")
-    stated = long.filter("value is not null and value <> ''").groupBy(*keys, "field_name", "value").agg(F.collect_set("source").alias("stated_by"))
+    long = long.filter("value is not null and value <> ''")
+    stated = long.groupBy(*keys, "field_name", "value").agg(F.collect_set("source").alias("stated_by"))
     # Who could have stated a value: the sources that state any value of the field in the group.
-    present = long.filter("value is not null and value <> ''").groupBy(*keys, "field_name").agg(F.collect_set("source").alias("present"))
+    present = long.groupBy(*keys, "field_name").agg(F.collect_set("source").alias("present"))
     evidence = stated.join(present, [*keys, "field_name"]).select(*keys, "field_name", "value", F.array_sort("stated_by").alias("stated_by"), F.array_sort(F.array_except("present", "stated_by")).alias("silent"))
     evidence = checkpoint(evidence)
-    patterns = checkpoint(evidence.groupBy("field_name", "stated_by", "silent").agg(F.count("*").alias("n")))
-    small_rows(patterns.select(F.explode(F.concat("stated_by", "silent")).alias("s")).distinct(), MAX_SOURCES, "the list of sources")
-
-    quality: dict[tuple[str, str], tuple[float, float]] = {}
-    base: dict[str, float] = {}
-
-    def odds() -> Column:
-        """Log odds of truth of a pattern under the present parameters."""
-        if not quality:
-            # The first guess: a value is true if most sources present state it.
-            return F.ln((F.size("stated_by") + 0.5) / (F.size("silent") + 0.5))
-        table = F.create_map(*[x for (f, s), (se, sp) in quality.items() for x in (F.lit(f"{f}\t{s}"), F.array(F.lit(_logit(se, 1 - sp)), F.lit(_logit(1 - se, sp))))])
-        term = lambda i: lambda acc, s: acc + F.coalesce(F.try_element_at(table, F.concat(F.col("field_name"), F.lit("\t"), s))[i], F.lit(0.0))
-        start = F.try_element_at(F.create_map(*[x for f, p in base.items() for x in (F.lit(f), F.lit(_logit(p, 1 - p)))]), F.col("field_name"))
-        return F.aggregate("silent", F.aggregate("stated_by", F.coalesce(start, F.lit(_logit(prior, 1 - prior))), term(0)), term(1))
-
-    def posterior() -> Column:
-        return 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), odds()))))
-
+    patterns = checkpoint(evidence.groupBy("field_name", "stated_by", "silent").agg(F.count("*").alias("n")).withColumn("pattern", F.monotonically_increasing_id()))
+    said = lambda c, v: F.transform(c, lambda s: F.struct(s.alias("source"), F.lit(v).alias("said")))
+    cases = checkpoint(patterns.select("pattern", "field_name", "n", F.inline(F.concat(said("stated_by", 1), said("silent", 0)))))
+    small_rows(cases.select("source").distinct(), MAX_SOURCES, "the list of sources")
+
+    # The first guess: a value is true if most sources present state it.
+    post = patterns.select("pattern", "field_name", "n", _probability(F.ln((F.size("stated_by") + 0.5) / (F.size("silent") + 0.5))).alias("p"))
+    quality: list[tuple[str, str, float, float]] = []
     for _ in range(iterations):
-        p = patterns.withColumn("p", posterior())
-        cases = p.select("field_name", "n", "p", F.explode(F.concat(F.transform("stated_by", lambda s: F.struct(s.alias("source"), F.lit(1.0).alias("said"))), F.transform("silent", lambda s: F.struct(s.alias("source"), F.lit(0.0).alias("said"))))).alias("c"))
-        sums = cases.groupBy("field_name", F.col("c.source").alias("source")).agg(
-            F.sum(F.col("n") * F.col("p") * F.col("c.said")).alias("tp"), F.sum(F.col("n") * F.col("p")).alias("t"), F.sum(F.col("n") * (1 - F.col("p")) * (1 - F.col("c.said"))).alias("tn"), F.sum(F.col("n") * (1 - F.col("p"))).alias("f")
-        )
-        rows = small_rows(sums, MAX_SOURCES * max(1, len(fields)), "the parameters")
+        w = F.col("n") * F.col("p")
+        v = F.col("n") * (1 - F.col("p"))
+        sums = cases.join(post.select("pattern", "p"), "pattern").groupBy("field_name", "source").agg(F.sum(w * F.col("said")).alias("tp"), F.sum(w).alias("t"), F.sum(v * (1 - F.col("said"))).alias("tn"), F.sum(v).alias("f"))
         # One case of each kind is added, so that no parameter reaches 0 or 1.
-        quality = {(r["field_name"], r["source"]): ((r["tp"] + 1) / (r["t"] + 2), (r["tn"] + 1) / (r["f"] + 2)) for r in rows}
-        base = {r["field_name"]: min(0.99, max(0.01, r["p"])) for r in p.groupBy("field_name").agg((F.sum(F.col("n") * F.col("p")) / F.sum("n")).alias("p")).collect()}
-    judged = evidence.withColumn("posterior", posterior())
+        quality = [(r["field_name"], r["source"], (r["tp"] + 1) / (r["t"] + 2), (r["tn"] + 1) / (r["f"] + 2)) for r in small_rows(sums, MAX_SOURCES * max(1, len(fields)), "the parameters")]
+        base = post.groupBy("field_name").agg((F.sum(w) / F.sum("n")).alias("p"))
+        base_rows = [(r["field_name"], _logit(min(0.99, max(0.01, r["p"])), 1 - min(0.99, max(0.01, r["p"])))) for r in small_rows(base, len(fields) + 1, "the fields")]
+        if not quality:
+            break
+        # Both tables are bounded by MAX_SOURCES, whatever the number of groups.
+        says = spark.createDataFrame([(f, s, v, _logit(se, 1 - sp) if v else _logit(1 - se, sp)) for f, s, se, sp in quality for v in (1, 0)], "field_name string, source string, said int, odds double")
+        start = spark.createDataFrame(base_rows, "field_name string, start double")
+        odds = cases.join(F.broadcast(says), ["field_name", "source", "said"]).groupBy("pattern", "field_name", "n").agg(F.sum("odds").alias("odds"))
+        post = checkpoint(odds.join(F.broadcast(start), "field_name").select("pattern", "field_name", "n", _probability(F.col("odds") + F.col("start")).alias("p")))
+    judged = evidence.join(patterns.join(post.select("pattern", F.col("p").alias("posterior")), "pattern").drop("n", "pattern"), ["field_name", "stated_by", "silent"])
     judged = judged.select(*keys, "field_name", "value", F.size("stated_by").alias("n_sources"), "posterior", (F.col("posterior") >= keep).alias("retained"))
-    schema = "field_name string, source string, sensitivity double, specificity double"
-    return judged, spark.createDataFrame([(f, s, se, sp) for (f, s), (se, sp) in sorted(quality.items())], schema)
+    return judged, spark.createDataFrame(sorted(quality), "field_name string, source string, sensitivity double, specificity double")
+
+
+def _probability(odds: Column) -> Column:
+    return 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), odds))))
 
 
 def _logit(a: float, b: float) -> float:

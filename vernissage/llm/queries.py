@@ -97,9 +97,9 @@ ORACLES: dict[str, str] = {
 }
 
 ORACLES["p2_survivors"] = (
-    f"WITH a AS (SELECT *, {_ID_ARTIST} AS id, coalesce(crawled_at, TIMESTAMPTZ '0001-01-01 00:00:00+00') AS at, coalesce(source_file, '') AS src FROM artists) "
+    f"WITH a AS (SELECT *, {_ID_ARTIST} AS id, coalesce(crawled_at, TIMESTAMPTZ '0001-01-01 00:00:00+00') AS seen, coalesce(source_file, '') AS src FROM artists) "
     "SELECT platform_name, id AS platform_artist_id, strftime(crawl_date, '%Y-%m-%d') AS crawl_date, count(*) AS n_rows, "
-    + ", ".join(f"arg_max({f}, (at, src, {f})) FILTER (WHERE {_usable_sql(f)}) AS {f}" for f in _P2_FIELDS[:-1])
+    + ", ".join(f"arg_max({f}, (seen, src, {f})) FILTER (WHERE {_usable_sql(f)}) AS {f}" for f in _P2_FIELDS[:-1])
     + " FROM a WHERE id IS NOT NULL GROUP BY platform_name, id, a.crawl_date"
 )
 

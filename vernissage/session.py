@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +24,26 @@ def build_session(app: str = "vernissage", cores: int | str = "*", **conf: str)
     )
     for k, v in conf.items():
         b = b.config(k.replace("__", "."), v)
-    return b.getOrCreate()
+    return ship(b.getOrCreate())
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Sends this package to the executors' Python workers, once per application.
+
+    The driver serves the archive; executors need neither the repository nor
+    a path to it.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_vernissage_shipped", False):
+        return spark
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="vernissage-code-")) / "vernissage_code.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for p in sorted(package.rglob("*.py")):
+            z.write(p, p.relative_to(package.parent))
+    sc.addPyFile(str(archive))
+    sc._vernissage_shipped = True
+    return spark
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -47,12 +47,20 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Artists and house listings that are the same person."""
-    return p5_confidence(spark, sf_dir).filter("confidence >= 0.5").drop("confidence")
+    return linkage.matches(table(spark, sf_dir, "artists"), table(spark, sf_dir, "house_artists")).drop("confidence")
 
 
 def p5_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All candidate pairs with the confidence that they are the same person."""
-    return linkage.artist_listing_links(table(spark, sf_dir, "artists"), table(spark, sf_dir, "house_artists"))
+    """Candidates between classes of equal profiles with their confidence; a class is named by its least id."""
+    pairs, _, _ = linkage.artist_listing_links(table(spark, sf_dir, "artists"), table(spark, sf_dir, "house_artists"))
+    return pairs.select("a_id.*", "b_id.*", F.round("confidence", 4).alias("confidence"))
+
+
+def p5_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Members of the classes of ``p5_confidence``: the class's name and each record's."""
+    _, people, houses = linkage.artist_listing_links(table(spark, sf_dir, "artists"), table(spark, sf_dir, "house_artists"))
+    named = [p.select(F.lit(side).alias("side"), F.to_json("id").alias("class"), F.to_json("member").alias("member")) for side, p in (("artist", people), ("listing", houses))]
+    return named[0].unionByName(named[1])
 
 
 def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,4 +111,4 @@ ORACLES["p2_survivors"] = (
     + " FROM a WHERE id IS NOT NULL GROUP BY platform_name, id, a.crawl_date"
 )
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p2_found, p2_survivors, p2_value_quality, p4_found, p5_found, p5_confidence, p7_ids, p8_found, p9_found, p9_segments)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p2_found, p2_survivors, p2_value_quality, p4_found, p5_found, p5_confidence, p5_classes, p7_ids, p8_found, p9_found, p9_segments)}

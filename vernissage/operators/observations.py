@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vernissage.session import small_rows
-
 #: More ledger rows than this are joined by shuffle instead of by broadcast.
 LEDGER_BROADCAST_ROWS = 100_000
 
@@ -39,8 +37,6 @@ def best_per_crawl(rows: DataFrame, keys: Sequence[str], rank: Column, values: S
     Ties in ``rank`` are broken by the values themselves, so the result does
     not depend on the order of rows. A hot key costs one partial row per task.
     """
-    best = F.max(F.struct(rank.alias("rank"), *values)).alias("best")
+    best = F.max(F.struct(rank.alias("_rank"), *values)).alias("best")
     return rows.groupBy(*keys).agg(best).select(*keys, *[F.col(f"best.{v}").alias(v) for v in values])
 
-
-__all__ = ["best_rank", "best_per_crawl", "crawls_of", "only_crawls", "small_rows"]

@@ -508,7 +508,7 @@ def p_features(spark: SparkSession, d: str) -> DataFrame:
     return audit.feature_counts(e, "event_type", "features", "event_id").select("event_type", "path", "n_pages", "rank")
 
 
-@query("SELECT event_type, sum(CAST(json_extract(props, '$.k') AS BIGINT)) AS total FROM events GROUP BY 1")
+@query("SELECT event_type, CAST(sum(CAST(json_extract(props, '$.k') AS BIGINT)) AS BIGINT) AS total FROM events GROUP BY 1")
 def p_script_json(spark: SparkSession, d: str) -> DataFrame:
     """Payloads are put into pages, found again and read."""
     page = F.concat(F.lit("<html><script id=\"data\" type=\"application/json\">"), F.col("props"), F.lit("</script></html>"))
@@ -516,7 +516,7 @@ def p_script_json(spark: SparkSession, d: str) -> DataFrame:
     return v.groupBy("event_type").agg(F.sum("k").alias("total"))
 
 
-@query("SELECT event_type, sum(CAST(json_extract(props, '$.k') AS BIGINT)) AS total FROM events GROUP BY 1")
+@query("SELECT event_type, CAST(sum(CAST(json_extract(props, '$.k') AS BIGINT)) AS BIGINT) AS total FROM events GROUP BY 1")
 def p_assigned_literal(spark: SparkSession, d: str) -> DataFrame:
     page = F.concat(F.lit("<script>window.state = {a: '}', inner: "), F.col("props"), F.lit(", d: new Date(5)};</script>"))
     e = table(spark, d, "events").select("event_type", payload.assigned_udf("window.state")(page).alias("j"))

@@ -163,11 +163,13 @@ def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: st
 
     def score(batches: Iterable[pd.DataFrame]) -> Iterable[pd.DataFrame]:
         for pdf in batches:
-            rows, last, words = [], None, []
+            # A document's rows are put side by side, so that its words are found once.
+            pdf = pdf.sort_values(doc_id, kind="stable")
+            rows, last, words, items = [], None, [], {}
             for d, i, t, w in zip(pdf[doc_id], pdf[item_id], pdf["text"], pdf["item_words"]):
-                if t is not last:
+                if t != last:
                     last, words = t, plain_words(t)
-                item = w.split(" ")
+                item = items.setdefault(i, w.split(" "))
                 s, first, end = align(item, words)
                 if is_leak(len(item), s, end - first):
                     rows.append((d, i, s, first, end - first))

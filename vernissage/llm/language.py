@@ -18,6 +18,7 @@ region is the language it names; ties go to the first language by code.
 from __future__ import annotations
 
 import html
+import re
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -58,10 +59,12 @@ LANGUAGE_NAMES = {
     "hu": "hun hungarian", "ro": "ron rum romanian", "el": "ell gre greek", "tr": "tur turkish", "uk": "ukr ukrainian", "zh": "zho chi chinese", "ko": "kor korean", "ar": "ara arabic", "he": "heb hebrew", "ca": "cat catalan",
 }
 
-_TAGS = regex.compile(r"<[^<>]{0,400}>|https?://\S+|\S+@\S+|#\w+")
-_QUOTED = regex.compile(r"«[^«»\n]{0,200}»|„[^„“”\n]{0,200}[“”]|“[^“”\n]{0,200}”|\"[^\"\n]{0,200}\"|「[^「」\n]{0,200}」|『[^『』\n]{0,200}』|‹[^‹›\n]{0,200}›")
-_SENTENCE = regex.compile(r"[^\n.!?。！？]+(?:[.!?]+(?![\s\n])[^\n.!?。！？]+)*[.!?。！？]*")
-_WORDS = regex.compile(r"[\p{L}\p{M}]+")
+_TAGS = re.compile(r"<[^<>]{0,400}>|https?://\S+|\S+@\S+|#\w+")
+_QUOTED = re.compile(r"«[^«»\n]{0,200}»|„[^„“”\n]{0,200}[“”]|“[^“”\n]{0,200}”|\"[^\"\n]{0,200}\"|「[^「」\n]{0,200}」|『[^『』\n]{0,200}』|‹[^‹›\n]{0,200}›")
+_SENTENCE = re.compile(r"[^\n.!?。！？]+(?:[.!?]+(?![\s\n])[^\n.!?。！？]+)*[.!?。！？]*")
+_WORDS = re.compile(r"[^\W\d_]+")
+_MARKED = regex.compile(r"[\p{L}\p{M}]+")
+_MARK = regex.compile(r"\p{M}")
 _CJK = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}]")
 
 
@@ -73,7 +76,10 @@ def _plain(text: str) -> str:
 
 def _letters(text: str) -> str:
     """Words in lower case with one blank around each; everything else is dropped."""
-    return " " + " ".join(_WORDS.findall(text.lower())) + " "
+    text = text.lower()
+    # Marks that stay after composition belong to their words; few texts have any.
+    words = _WORDS.findall(text) if text.isascii() or not _MARK.search(text) else _MARKED.findall(text)
+    return " " + " ".join(words) + " "
 
 
 def _ngrams(texts: list[str], bits: int, orders: tuple[int, ...]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -139,12 +145,17 @@ class NaiveBayes:
     def scores(self, texts: list[str]) -> np.ndarray:
         """Tempered log-likelihood of every text under every language (texts × languages)."""
         out = np.zeros((len(texts), len(self.languages)), dtype=np.float64)
-        for of, part in _batches(texts):
+        for pieces, part in _batches(texts):
+            of, whole = np.asarray(pieces), len(set(pieces)) == len(pieces)
             for b, owner in _ngrams(part, BUCKETS_BITS, ORDERS):
                 if len(b):
                     # One row of probabilities per n-gram; n-grams of a text lie side by side.
                     starts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
-                    np.add.at(out, np.asarray(of)[owner[starts]], np.add.reduceat(self.by_bucket[b], starts, axis=0))
+                    sums, to = np.add.reduceat(self.by_bucket[b], starts, axis=0), of[owner[starts]]
+                    if whole:
+                        out[to] += sums
+                    else:  # pieces of one text meet in one row
+                        np.add.at(out, to, sums)
         return out / TEMPERATURE
 
 
@@ -195,6 +206,9 @@ def segments(model: NaiveBayes, texts: list[str]) -> list[list[Segment]]:
 
 
 def _viterbi(rows: np.ndarray) -> list[int]:
+    tops = rows.argmax(axis=1)
+    if (tops == tops[0]).all():
+        return [int(tops[0])] * len(tops)  # the best of every sentence: no path is better
     best, back = rows[0], []
     for r in rows[1:]:
         top = int(best.argmax())

@@ -77,3 +77,20 @@ def test_copies_are_compared_once_and_all_found(spark):
     assert pairs.filter("a_id.platform_artist_id like 'a%' and b_id.house_artist_id like 'h%'").count() == 1
     assert m.count() == len(a) and n.count() == len(h)
     assert K.matches(artists, houses).filter("platform_artist_id like 'a%'").count() == 60 * 50
+
+
+@pytest.mark.parametrize("rare", [64, 5])
+def test_every_related_pair_is_a_candidate_however_frequent_its_tokens(spark, monkeypatch, rare):
+    # Smith, Johannes, Smit and Anna are borne by more than five; no listing has a year.
+    monkeypatch.setattr(K, "RARE", rare)
+    names = ["Johannes Smith", "Anna Smith", "J. Smith", "Johannes Smit", "Anna Smit", "Smith Smith"] + [f"{g} Smith" for g in ("Bea", "Cleo", "Dora", "Emil")] + [f"Johannes {s}" for s in ("Kolb", "Lund", "Marr", "Nowak")] + [f"{g} Smit" for g in ("Finn", "Gus", "Hugo", "Iris")] + [f"Anna {s}" for s in ("Orth", "Pohl", "Quint", "Roth")]
+    listed = ["J. Smith", "Johanes Smith", "Johannes Smth", "Johannes Smith", "Johannes Smit", "Jhoannes Smith", "Johannes B. Smith", "Anna Smyth", "Anna Smith", "S. Smith", "Smith Smit", "Johannes"]
+    profile = "id string, tokens array<string>, year int"
+    a = spark.createDataFrame([(n, K.name_tokens(n), 1950) for n in names], profile)
+    b = spark.createDataFrame([(n, K.name_tokens(n), None) for n in listed], profile)
+    want = {(x, y) for x in names for y in listed if K.name_relation(K.name_tokens(x), K.name_tokens(y)) != "other"}
+    got = [(r.a_id, r.b_id) for r in K.candidates(a, b).collect()]
+    assert {("Johannes Smith", n) for n in ("J. Smith", "Johanes Smith", "Johannes Smth")} | {("Smith Smith", "Smith Smit")} <= want
+    assert want <= set(got) and len(got) == len(set(got))
+    if rare == 5:
+        assert ("Anna Smith", "Johanes Smith") not in got  # no initial, nothing but a frequent token

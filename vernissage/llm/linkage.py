@@ -1,8 +1,10 @@
 """Matching entities of two sources that share no key, with a confidence.
 
 Candidates share a token of the name that is rare in both sources, or one that
-differs from it by one edit (deletion neighbourhoods); equal whole names are
-always candidates. Many heuristic functions vote on each candidate: how the
+differs from it by one edit (deletion neighbourhoods). Names that share only a
+frequent token are candidates if a second token is equal, differs by one edit
+or is the other's initial: all pairs whose names relate are candidates, however
+frequent their tokens are. Equal whole names are always candidates. Many heuristic functions vote on each candidate: how the
 names relate, how far the birth years are apart, whether nationalities,
 countries (also those the cities lie in) and cities agree. A generative label
 model with a latent class (same person or not) learns from the votes alone how
@@ -39,8 +41,8 @@ from vernissage.llm.canonical import canonical
 from vernissage.llm.survivor import artist_rows, survivors
 from vernissage.session import checkpoint
 
-#: A token with more records than this is no key by itself: it is split by a second token, or by
-#: an initial and the year.
+#: A token with more records than this is no key by itself: it is split by a second token, one
+#: that differs from it by one edit, or an initial.
 RARE = 64
 #: Vote patterns at most (the levels of all functions multiplied).
 MAX_PATTERNS = 20_000
@@ -181,25 +183,49 @@ def with_land(p: DataFrame, known: DataFrame) -> DataFrame:
     return p.drop("land").join(known, "city", "left")
 
 
-def _keys(p: DataFrame, df: DataFrame) -> DataFrame:
-    """``id, key`` of every block a record belongs to."""
+def _deletions(t: Column) -> Column:
+    """A token and, from four letters on, what is left of it without one letter."""
+    cut = F.transform(F.sequence(F.lit(1), F.length(t)), lambda i: F.concat(F.substring(t, F.lit(1), i - 1), F.substring(t, i + 1, F.length(t))))
+    return F.when(F.length(t) >= 4, F.array_append(cut, t)).otherwise(F.array(t))
+
+
+def _relatives(df: DataFrame) -> DataFrame:
+    """``token, near``: tokens that may be one edit away, where one of both is frequent.
+
+    Two rare ones meet by their deletions.
+    """
+    cut = lambda rows, name: rows.filter(F.length("token") >= 4).select(F.col("token").alias(name), F.explode(F.array_distinct(_deletions(F.col("token")))).alias("cut"))
+    frequent = cut(df.filter(F.col("df") > RARE), "f")
+    pairs = frequent.join(cut(df, "t"), "cut").filter("f <> t").select("f", "t").distinct()
+    both = pairs.select(F.col("f").alias("token"), F.col("t").alias("near")).unionByName(pairs.select(F.col("t").alias("token"), F.col("f").alias("near")))
+    return both.groupBy("token").agg(F.collect_set("near").alias("near"))
+
+
+def _keys(p: DataFrame, df: DataFrame, near: DataFrame | None = None) -> DataFrame:
+    """``id, key`` of every block a record belongs to.
+
+    One side is given ``near`` and writes its tokens the other side's way, too,
+    so that a pair meets once for a kind of agreement and not once for each deletion.
+    """
     counted = p.select("id", "tokens", "year", F.explode(F.array_distinct("tokens")).alias("token")).join(df, "token")
-    per = counted.groupBy("id").agg(F.first("tokens").alias("tokens"), F.first("year").alias("year"), F.collect_list(F.struct("df", "token")).alias("t"))
+    counted = counted.withColumn("near", F.array().cast("array<string>")) if near is None else counted.join(near, "token", "left")
+    per = counted.groupBy("id").agg(F.first("tokens").alias("tokens"), F.first("year").alias("year"), F.collect_list(F.struct("df", "token", "near")).alias("t"))
+    per = per.withColumn("near", F.map_from_entries(F.transform("t", lambda x: F.struct(x["token"], x["near"]))))
     kept = F.filter("t", lambda x: F.length(x["token"]) > 1)
-
-    def deletions(t: Column) -> Column:
-        cut = F.transform(F.sequence(F.lit(1), F.length(t)), lambda i: F.concat(F.substring(t, F.lit(1), i - 1), F.substring(t, i + 1, F.length(t))))
-        return F.when(F.length(t) >= 4, F.array_append(cut, t)).otherwise(F.array(t))
+    # An initial meets the whole tokens of the other side alone.
+    own, other = ("p", "q") if near is None else ("q", "p")
 
     def blocks(x: Column) -> Column:
         t = x["token"]
-        others = F.filter("tokens", lambda o: o != t)
+        others = F.filter("tokens", lambda o, i: i + 1 != F.array_position("tokens", t))
         years = F.when(F.col("year").isNull(), F.array()).otherwise(F.array(F.col("year") - 1, F.col("year"), F.col("year") + 1))
+        spelled = F.concat(others, F.flatten(F.transform(others, lambda o: F.coalesce(F.try_element_at("near", o), F.array().cast("array<string>")))))
         split = F.concat(
-            F.transform(others, lambda o: F.concat(F.lit("f|"), t, F.lit("|"), o)),
+            F.transform(spelled, lambda o: F.concat(F.lit("f|"), t, F.lit("|"), o)),
+            F.transform(others, lambda o: F.concat(F.when(F.length(o) == 1, F.lit(f"{own}|")).otherwise(F.lit(f"{other}|")), t, F.lit("|"), F.substring(o, 1, 1))),
             F.flatten(F.transform(others, lambda o: F.transform(years, lambda y: F.concat(F.lit("i|"), t, F.lit("|"), F.substring(o, 1, 1), F.lit("|"), y.cast("string"))))),
         )
-        return F.when(x["df"] <= RARE, F.transform(deletions(t), lambda d: F.concat(F.lit("d|"), d))).otherwise(split)
+        return F.when(x["df"] <= RARE, F.transform(_deletions(t), lambda d: F.concat(F.lit("d|"), d))).otherwise(split)
 
     whole = F.array(F.concat(F.lit("n|"), F.array_join("tokens", " ")))
     return per.select("id", F.explode(F.array_distinct(F.concat(whole, F.flatten(F.transform(kept, blocks))))).alias("key"))
@@ -208,8 +234,8 @@ def _keys(p: DataFrame, df: DataFrame) -> DataFrame:
 def candidates(a: DataFrame, b: DataFrame) -> DataFrame:
     """Distinct pairs ``a_id, b_id`` that share a block."""
     tokens = a.select("tokens").unionByName(b.select("tokens"))
-    df = tokens.select(F.explode(F.array_distinct("tokens")).alias("token")).groupBy("token").agg(F.count("*").alias("df"))
-    pairs = _keys(a, df).withColumnRenamed("id", "a_id").join(_keys(b, df).withColumnRenamed("id", "b_id"), "key")
+    df = checkpoint(tokens.select(F.explode(F.array_distinct("tokens")).alias("token")).groupBy("token").agg(F.count("*").alias("df")))
+    pairs = _keys(a, df).withColumnRenamed("id", "a_id").join(_keys(b, df, _relatives(df)).withColumnRenamed("id", "b_id"), "key")
     return pairs.select("a_id", "b_id").distinct()
 
 

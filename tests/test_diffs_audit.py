@@ -34,6 +34,24 @@ def test_vanished_owner_gone_but_null_owner_kept(spark):
     assert rows(diffs.vanished(before, after, "k", "flag", "o"), "k") == [("b",), ("n",)]
 
 
+def test_vanished_judges_each_source_and_crawl_on_its_own(spark):
+    s = "p string, d string, k string, flag boolean, o string"
+    keep = [("q", "2", f"r{i}", False, "x") for i in range(9)] + [("q", "3", f"r{i}", False, "x") for i in range(9)]
+    before = spark.createDataFrame([("p", "2", k, False, "x") for k in "abc"] + keep + [("q", "2", "g", False, "x"), ("q", "2", "h", False, "y"), ("q", "3", "f", False, "y"), ("r", "2", "z", False, None)], s)
+    # Source p is incomplete; owner y is gone from q's pair 2 and not from pair 3; r has no rows later.
+    after = spark.createDataFrame([("p", "2", "a", True, "x")] + keep + [("q", "3", "f", True, "y")], s)
+    assert rows(diffs.vanished(before, after, "k", "flag", "o", by=["p", "d"])) == [("p", "2", "a", "flagged"), ("q", "2", "g", "disappeared"), ("q", "3", "f", "flagged")]
+
+
+def test_every_pair_of_full_crawls_is_compared(spark):
+    from vernissage.survey_queries import QUERIES
+
+    from .conftest import SF
+
+    pairs = QUERIES["w_consecutive"](spark, SF).filter("dataset = 'artworks' and previous is not null").count()
+    assert 1 < QUERIES["j_vanished_pairs"](spark, SF).select("platform_name", "crawl_date").distinct().count() <= pairs
+
+
 def test_url_changes(spark):
     s = "t string, id string, url string, lastmod timestamp"
     e = spark.createDataFrame([("l", "1", "u1", utc(2025, 1, 2)), ("l", "1", "u0", None), ("l", "2", "u2", utc(2025, 1, 1)), ("l", "3", "u3", None), ("l", "4", "u4", utc(2025, 1, 1)), (None, "9", "u9", None)], s)

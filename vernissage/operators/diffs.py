@@ -22,23 +22,30 @@ def flipped(before: DataFrame, after: DataFrame, keys: Sequence[str], flag: str)
     return b.join(after.filter(F.col(flag)).select(*keys), list(keys))
 
 
-def owners_gone(before: DataFrame, after: DataFrame, owner: str) -> DataFrame:
-    """Owners that have rows before and none after."""
-    return before.select(owner).filter(F.col(owner).isNotNull()).distinct().join(after.select(owner).distinct(), owner, "left_anti")
+def owners_gone(before: DataFrame, after: DataFrame, owner: str, by: Sequence[str] = ()) -> DataFrame:
+    """Owners that have rows before and none after, in each pair of sides ``by`` tells apart."""
+    keys = [*by, owner]
+    return before.select(*keys).filter(F.col(owner).isNotNull()).distinct().join(after.select(*keys).distinct(), keys, "left_anti")
 
 
-def vanished(before: DataFrame, after: DataFrame, key: str, flag: str, owner: str, least_share: float = 0.8) -> DataFrame:
-    """``key, reason`` of rows that disappeared or whose flag turned true.
+def vanished(before: DataFrame, after: DataFrame, key: str, flag: str, owner: str, least_share: float = 0.8, by: Sequence[str] = ()) -> DataFrame:
+    """``by…, key, reason`` of rows that disappeared or whose flag turned true.
 
-    Rows whose owner is gone are left out; a null owner is never gone. If the
-    later side holds less than ``least_share`` of the earlier one it is taken
-    for incomplete, and only flips are reported. The two counts are scalar
-    subqueries.
+    ``by`` tells many pairs of sides apart, such as the source and the later
+    crawl; each is judged on its own. Rows whose owner is gone are left out; a
+    null owner is never gone. If the later side holds less than ``least_share``
+    of the earlier one it is taken for incomplete, and only flips are reported.
     """
-    gone = missing(before, after, [key]).join(owners_gone(before, after, owner), owner, "left_anti")
-    complete = after.agg(F.count("*")).scalar() >= before.agg(F.count("*")).scalar() * least_share
-    disappeared = gone.filter(complete).select(key, F.lit("disappeared").alias("reason"))
-    return disappeared.unionByName(flipped(before, after, [key], flag).select(key, F.lit("flagged").alias("reason")))
+    keys = [*by, key]
+    gone = missing(before, after, keys).join(owners_gone(before, after, owner, by), [*by, owner], "left_anti")
+    if by:
+        sizes = before.select(*by, F.lit(1).alias("b"), F.lit(0).alias("a")).unionByName(after.select(*by, F.lit(0).alias("b"), F.lit(1).alias("a"))).groupBy(*by).agg(F.sum("b").alias("b"), F.sum("a").alias("a"))
+        disappeared = gone.join(sizes.filter(F.col("a") >= F.col("b") * least_share).select(*by), list(by), "left_semi")
+    else:
+        # The two counts are scalar subqueries.
+        disappeared = gone.filter(after.agg(F.count("*")).scalar() >= before.agg(F.count("*")).scalar() * least_share)
+    flips = flipped(before, after, keys, flag).select(*keys, F.lit("flagged").alias("reason"))
+    return disappeared.select(*keys, F.lit("disappeared").alias("reason")).unionByName(flips)
 
 
 def url_changes(entries: DataFrame, known: DataFrame, keys: Sequence[str], lastmod: str = "lastmod") -> DataFrame:

@@ -18,7 +18,9 @@ from pyspark.sql import functions as F
 from vernissage.functions import catalogue, payload, scalars, text, urls
 from vernissage.operators import audit, dedup, diffs, merge, partitioning
 from vernissage.operators.dedup import SortField
-from vernissage.session import table
+from vernissage.operators.observations import best_per_crawl, best_rank, crawls_of, only_crawls
+from vernissage.operators.snapdiff import consecutive_crawls
+from vernissage.session import checkpoint, table
 from vernissage.sources import crawl
 from vernissage.streaming import ingest
 
@@ -310,6 +312,37 @@ def j_vanished(spark: SparkSession, d: str) -> DataFrame:
     return diffs.vanished(before, after, "platform_artwork_id", "is_sold", "platform_artist_id")
 
 
+def _id(c: str) -> str:
+    return f"nullif(regexp_replace(regexp_replace({c}, '{_HIDDEN}', '', 'g'), '^{_SPACE}|{_SPACE}$', '', 'g'), '')"
+
+
+@query(
+    f"WITH n AS (SELECT * REPLACE ({_id('platform_artwork_id')} AS platform_artwork_id, {_id('platform_artist_id')} AS platform_artist_id) FROM artworks), "
+    "w AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY platform_name, crawl_date, platform_artwork_id ORDER BY has_detail DESC NULLS LAST, crawled_at DESC NULLS LAST, source_file DESC NULLS LAST, platform_artist_id DESC NULLS LAST, is_sold DESC NULLS LAST) AS rn FROM n WHERE platform_artwork_id IS NOT NULL) WHERE rn = 1), "
+    "c AS (SELECT source, crawl_date, lag(crawl_date) OVER (PARTITION BY source ORDER BY crawl_date) AS previous FROM (SELECT DISTINCT source, crawl_date FROM crawls WHERE dataset = 'artworks' AND status = 'completed' AND crawl_mode = 'full')), "
+    "b AS (SELECT w.platform_name, c.crawl_date AS d, platform_artwork_id AS k, platform_artist_id AS o, is_sold FROM w JOIN c ON w.platform_name = c.source AND w.crawl_date = c.previous), "
+    "a AS (SELECT w.platform_name, c.crawl_date AS d, platform_artwork_id AS k, platform_artist_id AS o, is_sold FROM w JOIN c ON w.platform_name = c.source AND w.crawl_date = c.crawl_date WHERE c.previous IS NOT NULL), "
+    "nb AS (SELECT platform_name, d, count(*) AS n FROM b GROUP BY ALL), na AS (SELECT platform_name, d, count(*) AS n FROM a GROUP BY ALL), whole AS (SELECT platform_name, d FROM nb JOIN na USING (platform_name, d) WHERE na.n >= 0.8 * nb.n), "
+    "f AS (SELECT platform_name, d, k, 'disappeared' AS reason FROM b JOIN whole USING (platform_name, d) WHERE NOT EXISTS (SELECT 1 FROM a WHERE (a.platform_name, a.d, a.k) = (b.platform_name, b.d, b.k)) "
+    "AND (b.o IS NULL OR EXISTS (SELECT 1 FROM a WHERE (a.platform_name, a.d, a.o) = (b.platform_name, b.d, b.o))) "
+    "UNION ALL SELECT a.platform_name, a.d, a.k, 'flagged' FROM a JOIN b USING (platform_name, d, k) WHERE a.is_sold AND NOT b.is_sold) "
+    "SELECT platform_name, strftime(d, '%Y-%m-%d') AS crawl_date, k AS platform_artwork_id, reason FROM f"
+)
+def j_vanished_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """Each full crawl of every source against the full crawl before it; ``j_vanished`` is the last pair of one source."""
+    crawls = consecutive_crawls(crawls_of(table(spark, d, "crawls"), "artworks", full_only=True)).drop("seq")
+    columns = [c for c in _SHORT if c not in ("platform_artwork_id", "price")]
+    ids = [text.clean_id(c).alias(c) for c in ("platform_artwork_id", "platform_artist_id")]
+    rows = only_crawls(table(spark, d, "artworks").select(*columns, *ids), crawls)
+    best = best_per_crawl(rows.filter("platform_artwork_id is not null"), ["platform_name", "crawl_date", "platform_artwork_id"], best_rank("has_detail", "crawled_at", "source_file"), ["platform_artist_id", "is_sold"])
+    best = checkpoint(best)
+    pairs = crawls.filter("previous is not null")
+    before = best.withColumnRenamed("crawl_date", "previous").join(pairs, ["platform_name", "previous"]).drop("previous")
+    after = best.join(pairs.drop("previous"), ["platform_name", "crawl_date"])
+    found = diffs.vanished(before, after, "platform_artwork_id", "is_sold", "platform_artist_id", by=["platform_name", "crawl_date"])
+    return found.withColumn("crawl_date", F.col("crawl_date").cast("string"))
+
+
 @query(
     "WITH e AS (SELECT user_id, event_type, max(ts) AS ts FROM events GROUP BY 1, 2), k AS (SELECT user_id, event_type, max(ts) AS ts FROM events WHERE ts < TIMESTAMP '2024-01-15' AND event_type <> 'signup' GROUP BY 1, 2) "
     "SELECT CASE WHEN k.user_id IS NULL THEN 'new' WHEN e.ts > k.ts THEN 'updated' ELSE 'unchanged' END AS status, count(*) AS n FROM e LEFT JOIN k USING (user_id, event_type) GROUP BY 1"

@@ -57,3 +57,21 @@ def test_quality_model_keeps_several_true_values(spark):
     kept = judged.filter("retained").groupBy("e").count()
     assert kept.filter("count >= 2").count() == 50
     assert survivor.value_quality(df.filter("false"), ["e"], ["v"], F.col("s"))[0].count() == 0
+
+
+def test_quality_model_judges_long_values_whole(spark):
+    bio, other = "Born in Lyon. " * 40, "Born in Lyon. " * 40 + "x"
+    data = [(f"e{i}", s, v) for i in range(20) for s, v in (("a", bio), ("b", bio), ("c", other))] + [("short", "a", "x" * survivor.LONG), ("short", "b", "x" * (survivor.LONG + 1))]
+    judged = survivor.value_quality(spark.createDataFrame(data, "e string, s string, v string"), ["e"], ["v"], F.col("s"))[0].collect()
+    assert len(judged) == 42 and {(r.value, r.n_sources) for r in judged if r.e != "short"} == {(bio.strip().lower(), 2), (other.lower(), 1)}
+    assert {r.value for r in judged if r.e == "short"} == {"x" * survivor.LONG, "x" * (survivor.LONG + 1)}
+
+
+def test_every_field_is_judged_and_survives(spark):
+    from vernissage.llm.queries import QUERIES
+
+    from ..conftest import SF
+
+    assert {r.field_name for r in QUERIES["p2_value_quality"](spark, SF).select("field_name").distinct().collect()} == set(survivor.ARTIST_FIELDS)
+    records = QUERIES["p2_records"](spark, SF)
+    assert set(survivor.ARTIST_FIELDS) < set(records.columns) and records.filter("biography is not null").count() > 0

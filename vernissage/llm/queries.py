@@ -30,11 +30,19 @@ def p2_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("platform_name", "platform_artist_id", F.col("crawl_date").cast("string").alias("crawl_date"), "n_rows", *[F.col(f"{f}.value").alias(f) for f in fields])
 
 
+def p2_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The surviving record with all its fields; ``p2_survivors`` is the record without the biography."""
+    fields = survivor.ARTIST_FIELDS
+    found = survivor.survivors(survivor.artist_rows(table(spark, sf_dir, "artists")), _GROUP, fields, ["crawled_at", "source_file"])
+    return found.select("platform_name", "platform_artist_id", F.col("crawl_date").cast("string").alias("crawl_date"), "n_rows", *[F.col(f"{f}.value").alias(f) for f in fields])
+
+
 def p2_value_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Posterior truth of every value of a group; several values may be retained."""
-    fields = ["full_name", "birth_year", "nationality", "country", "city"]
+    fields = survivor.ARTIST_FIELDS
     rows = survivor.artist_rows(table(spark, sf_dir, "artists"), fields)
-    filled = sum((survivor.is_usable(rows, f).cast("int") for f in fields), F.lit(0))
+    # The biography tells nothing about how full a page is: the buckets are those of the other fields.
+    filled = sum((survivor.is_usable(rows, f).cast("int") for f in fields if f != "biography"), F.lit(0))
     source = F.concat_ws("#", "platform_name", F.when(filled >= 4, "full").when(filled >= 2, "partial").otherwise("card"))
     judged, _ = survivor.value_quality(rows, _GROUP, fields, source)
     return judged.withColumn("crawl_date", F.col("crawl_date").cast("string")).withColumn("posterior", F.round("posterior", 4))
@@ -111,4 +119,11 @@ ORACLES["p2_survivors"] = (
     + " FROM a WHERE id IS NOT NULL GROUP BY platform_name, id, a.crawl_date"
 )
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p2_found, p2_survivors, p2_value_quality, p4_found, p5_found, p5_confidence, p5_classes, p7_ids, p8_found, p9_found, p9_segments)}
+ORACLES["p2_records"] = (
+    f"WITH a AS (SELECT *, {_ID_ARTIST} AS id, coalesce(crawled_at, TIMESTAMPTZ '0001-01-01 00:00:00+00') AS seen, coalesce(source_file, '') AS src FROM artists) "
+    "SELECT platform_name, id AS platform_artist_id, strftime(crawl_date, '%Y-%m-%d') AS crawl_date, count(*) AS n_rows, "
+    + ", ".join(f"arg_max({f}, (seen, src, {f})) FILTER (WHERE {_usable_sql(f)}) AS {f}" for f in _P2_FIELDS)
+    + " FROM a WHERE id IS NOT NULL GROUP BY platform_name, id, a.crawl_date"
+)
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p2_found, p2_survivors, p2_records, p2_value_quality, p4_found, p5_found, p5_confidence, p5_classes, p7_ids, p8_found, p9_found, p9_segments)}

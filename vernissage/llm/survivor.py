@@ -34,6 +34,9 @@ from vernissage.session import checkpoint, small_rows
 #: The fields of an artist's record that are chosen one by one.
 ARTIST_FIELDS = ("full_name", "birth_year", "nationality", "country", "city", "biography")
 
+#: Characters from which on the quality model keys a value by a hash and joins the text at the end.
+LONG = 64
+
 #: Sources at most for the quality model; their parameters are kept on the driver.
 MAX_SOURCES = 10_000
 
@@ -81,6 +84,11 @@ def value_quality(
     spark = df.sparkSession
     long = df.select(*keys, source.alias("source"), F.inline(F.array(*[F.struct(F.lit(f).alias("field_name"), F.when(is_usable(df, f), F.lower(clean_line(F.col(f).cast("string")))).alias("value")) for f in fields]))).filter("source is not null")
     long = long.filter("value is not null and value <> ''")
+    # A short value cannot equal the key of a long one, which has more than LONG characters.
+    key = F.when(F.length("value") > LONG, F.concat(F.lit("sha256:"), F.sha2("value", 256))).otherwise(F.col("value"))
+    keyed = long.withColumn("key", key)
+    texts = keyed.filter(F.length("value") > LONG).select(F.col("key").alias("value"), F.col("value").alias("text")).distinct()
+    long = keyed.drop("value").withColumnRenamed("key", "value")
     stated = long.groupBy(*keys, "field_name", "value").agg(F.collect_set("source").alias("stated_by"))
     # Who could have stated a value: the sources that state any value of the field in the group.
     present = long.groupBy(*keys, "field_name").agg(F.collect_set("source").alias("present"))
@@ -110,6 +118,7 @@ def value_quality(
         odds = cases.join(F.broadcast(says), ["field_name", "source", "said"]).groupBy("pattern", "field_name", "n").agg(F.sum("odds").alias("odds"))
         post = checkpoint(odds.join(F.broadcast(start), "field_name").select("pattern", "field_name", "n", _probability(F.col("odds") + F.col("start")).alias("p")))
     judged = evidence.join(patterns.join(post.select("pattern", F.col("p").alias("posterior")), "pattern").drop("n", "pattern"), ["field_name", "stated_by", "silent"])
+    judged = judged.join(texts, "value", "left").withColumn("value", F.coalesce("text", "value"))
     judged = judged.select(*keys, "field_name", "value", F.size("stated_by").alias("n_sources"), "posterior", (F.col("posterior") >= keep).alias("retained"))
     return judged, spark.createDataFrame(sorted(quality), "field_name string, source string, sensitivity double, specificity double")
 

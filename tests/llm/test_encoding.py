@@ -48,3 +48,19 @@ def test_column(spark):
     df = spark.createDataFrame([(1, "Hello, world"), (2, ""), (3, None), (4, "<|endoftext|>")], "doc_id bigint, text string")
     got = {r.doc_id: r.ids for r in encoding.encode_corpus(df, leaf=4).collect()}
     assert got[2] == [] and got[3] == [] and len(got[4]) > 1 and got[1][0] == 15496
+
+
+def test_ids_are_carried_up_the_tree(reference):
+    enc = encoding.TreeEncoder(VOCABULARY, 16, 8)
+    left, right = "Johannes painted seven harb", "ours and didn't sell any of them."
+    nodes = []
+    for part, at in ((left, 0), (right, len(left))):
+        starts, ids = enc.reduce(part)
+        nodes.append(([s + at for s in starts], ids))
+    encoded = []
+    make = enc.ids_of
+    enc.ids_of = lambda text, starts, end: encoded.extend(starts) or make(text, starts, end)
+    starts, ids = enc.join(left + right, *nodes, len(left), len(left + right))
+    assert [i for word in ids for i in word] == reference(left + right) and len(starts) == len(ids)
+    # Only the word over the seam is encoded again.
+    assert encoded == [left.rindex(" ")]

@@ -20,7 +20,7 @@ tokens are ordinary text; unpaired surrogates cannot occur in Spark strings.
 from __future__ import annotations
 
 import base64
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import lru_cache
 
 import pandas as pd
@@ -46,6 +46,10 @@ LEAF = 1024
 MAX_VOCABULARY = 64 << 20
 
 
+#: Starts of the words of a part of a text, and the ids of each.
+Node = tuple[list[int], list[Sequence[int]]]
+
+
 class TreeEncoder:
     """Encodes texts of any length; ``leaf`` is the longest text encoded in one piece."""
 
@@ -63,16 +67,20 @@ class TreeEncoder:
             return []
         if len(text) <= self.leaf:
             return self.encoding.encode_ordinary(text)
-        ids: list[int] = []
-        starts = self.split(text)
-        for s, e in zip(starts, [*starts[1:], len(text)]):
-            ids += self.word_ids(text[s:e]) if e - s <= 64 else self.encoding.encode_ordinary(text[s:e])
-        return ids
-
-    def split(self, text: str) -> list[int]:
-        """Starts of all words, by the tree reduction."""
-        level = [[m.start() + at for m in self.words.finditer(text[at : at + self.leaf])] for at in range(0, len(text), self.leaf)]
+        return [i for word in self.reduce(text)[1] for i in word]
+
+    def ids_of(self, text: str, starts: list[int], end: int) -> list[Sequence[int]]:
+        """Ids of each word of ``text[starts[0]:end]``."""
+        words = (text[s:e] for s, e in zip(starts, [*starts[1:], end]))
+        return [self.word_ids(w) if len(w) <= 64 else self.encoding.encode_ordinary(w) for w in words]
+
+    def reduce(self, text: str) -> Node:
+        """Starts and ids of all words, by the tree reduction."""
         bounds = [*range(0, len(text), self.leaf), len(text)]
+        level = []
+        for at, end in zip(bounds, bounds[1:]):
+            starts = [m.start() + at for m in self.words.finditer(text[at:end])]
+            level.append((starts, self.ids_of(text, starts, end)))
         while len(level) > 1:
             joined, ends = [], [bounds[0]]
             for i in range(0, len(level) - 1, 2):
@@ -84,8 +92,9 @@ class TreeEncoder:
             level, bounds = joined, ends
         return level[0]
 
-    def join(self, text: str, left: list[int], right: list[int], seam: int, end: int) -> list[int]:
-        """Word starts of ``left`` and ``right`` as one; ``right`` covers ``text[seam:end]``."""
+    def join(self, text: str, left_node: Node, right_node: Node, seam: int, end: int) -> Node:
+        """Two neighbours as one; only words of the window are encoded. The right one covers ``text[seam:end]``."""
+        (left, left_ids), (right, right_ids) = left_node, right_node
         keep = len(left)
         while keep and (left[keep] if keep < len(left) else seam) > seam - MARGIN:
             keep -= 1
@@ -99,9 +108,10 @@ class TreeEncoder:
             for n, at in enumerate(window):
                 sure = stop == end or at <= stop - MARGIN
                 if at >= seam and sure and at in of_right:
-                    return left[:keep] + window[:n] + right[right.index(at) :]
+                    k = right.index(at)
+                    return left[:keep] + window[:n] + right[k:], left_ids[:keep] + self.ids_of(text, window[:n], at) + right_ids[k:]
             if stop == end:
-                return left[:keep] + window
+                return left[:keep] + window, left_ids[:keep] + self.ids_of(text, window, end)
             size *= 2
 
     def decode(self, ids: list[int]) -> str:

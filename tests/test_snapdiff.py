@@ -60,6 +60,21 @@ def test_only_differing_leaves_are_kept(spark):
     assert snapdiff.differing_leaves(leaves, "s", 2).count() == 1
 
 
-@pytest.mark.parametrize("n, levels", [(0, 0), (16, 0), (17, 1), (5000, 3), (10**12, 6)])
+@pytest.mark.parametrize("n, levels", [(0, 0), (16, 0), (17, 1), (5000, 3), (10**12, 9), (10**30, 15)])
 def test_levels_follow_the_size(n, levels):
     assert snapdiff.levels_for(n) == levels
+
+
+def test_plan_of_a_level_does_not_grow_with_the_tree(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame([("a", q, f"k{i}", i * q % 7, True, "", "") for q in (1, 2, 3) for i in range(50)], SCHEMA)
+
+    def joins(levels):
+        leaf = F.shiftrightunsigned(F.xxhash64("k"), 64 - 4 * levels)
+        leaves = snapdiff.digest(df.withColumn("_leaf", leaf), ["s", "seq", "_leaf"], ["k", "x", "y"])
+        diff = snapdiff.snapshot_diff(df, "s", "k", ["x", "y"], levels)
+        one = snapdiff.differing_leaves(leaves, "s", levels)
+        return [f._jdf.queryExecution().optimizedPlan().toString().count("Join") for f in (diff, one)]
+
+    assert joins(1) == joins(6) == [1, 0]

@@ -50,17 +50,31 @@ def test_column(spark):
     assert got[2] == [] and got[3] == [] and len(got[4]) > 1 and got[1][0] == 15496
 
 
-def test_ids_are_carried_up_the_tree(reference):
-    enc = encoding.TreeEncoder(VOCABULARY, 16, 8)
-    left, right = "Johannes painted seven harb", "ours and didn't sell any of them."
-    nodes = []
-    for part, at in ((left, 0), (right, len(left))):
-        starts, ids = enc.reduce(part)
-        nodes.append(([s + at for s in starts], ids))
-    encoded = []
-    make = enc.ids_of
-    enc.ids_of = lambda text, starts, end: encoded.extend(starts) or make(text, starts, end)
-    starts, ids = enc.join(left + right, *nodes, len(left), len(left + right))
-    assert [i for word in ids for i in word] == reference(left + right) and len(starts) == len(ids)
-    # Only the word over the seam is encoded again.
-    assert encoded == [left.rindex(" ")]
+def test_leaves_are_encoded_and_only_the_window_is_encoded_again(reference):
+    enc = encoding.TreeEncoder(VOCABULARY, 32, 4)
+    text = "Johannes painted seven harbours and did not sell any of them while he lived in Lyon."
+    seen, make = [], enc.piece_ids
+    enc.piece_ids = lambda part: seen.append(part) or make(part)
+    assert enc.encode(text) == reference(text)
+    quarter = len(text) // 4
+    assert text[:quarter] in seen and text[quarter : 2 * quarter] in seen
+    # Four leaves, and for each of three seams its two sides and the window.
+    assert len(seen) == 4 + 3 * 3 and max(map(len, seen)) <= 32
+
+
+def test_cuts_split_any_text(reference):
+    rnd = random.Random(5)
+    pieces = [*PIECES, ", ", "é", "x'", "'s", "12", "。", "々", "(", "\u00a0", "½", "ก"]
+    for _ in range(300):
+        text = "".join(rnd.choice(pieces) for _ in range(rnd.randint(1, 40)))
+        whole = reference(text)
+        for m in encoding.CUT.finditer(text):
+            assert reference(text[: m.start()]) + reference(text[m.start() :]) == whole
+
+
+def test_very_long_texts_are_trees(reference):
+    enc = encoding.TreeEncoder(VOCABULARY)
+    text = "Sold in Lyon for 1,200 €; it wasn't signed.\n" * 3000
+    assert enc.encode(text) == reference(text) and enc.decode(enc.encode(text)) == text
+    for text in ("日本の画家。" * 5000, "ก" * 3000, "x" * 20000):
+        assert enc.encode(text) == reference(text)

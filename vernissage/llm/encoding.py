@@ -1,17 +1,19 @@
 """Encoding of a corpus with a public byte-level BPE tokenizer.
 
-A text is encoded by a tree reduction. Leaves are encoded on their own; two
-neighbours are joined by encoding a window over their seam again, which grows
-until the words outside it provably stay as they are; ids are concatenated up
-the tree, and so are decoded bytes. Encoding is a narrow map without shuffle.
-
-Why a join is exact: words (pre-tokens) are found from left to right by a
-pattern without look-behind, so a word depends only on the place where it
-starts and on the text from there up to ``MARGIN`` characters past its end.
-Words of the left part that end ``MARGIN`` before the seam are therefore words
-of the whole text. Past the seam, as soon as a word of the window that ends
-``MARGIN`` before the window's end starts where a word of the right part
-starts, all further words are those of the right part. BPE works within words.
+A text is encoded by a tree reduction: it is halved until a part is no longer
+than ``leaf`` characters, parts are encoded to ids, and two neighbours are
+joined by encoding a window over their seam again. The window grows on both
+sides until the tokens outside it are proven to stay; the ids before it, of it
+and after it are then concatenated up the tree, and so are decoded bytes. The
+join is associative with the empty node as its unit. Encoding is a narrow map
+without shuffle.
+
+The proof: at a *cut*, a place where any match of the word pattern that covers
+the character before must end (see ``CUT``), the ids of the text are those of
+the text before and those of the text after. Whether a place is a cut depends on the
+characters beside it alone, so a cut within a part is a cut of the whole. The
+window runs from the last cut before the seam to the first one after it. Where
+there is none up to the end of a part, that part is encoded again as a whole.
 
 Defined cases: empty and null texts give the empty list; strings of special
 tokens are ordinary text; unpaired surrogates cannot occur in Spark strings.
@@ -20,8 +22,7 @@ tokens are ordinary text; unpaired surrogates cannot occur in Spark strings.
 from __future__ import annotations
 
 import base64
-from collections.abc import Callable, Sequence
-from functools import lru_cache
+from collections.abc import Callable
 
 import pandas as pd
 import regex
@@ -35,91 +36,79 @@ TOKENIZERS = "/opt/tokenizers"
 #: Fixed value: the word pattern of the byte-level BPE vocabulary.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
-#: Characters past its end on which a word may depend: the rest of a contraction, or the
-#: character after a run of white space.
-MARGIN = 3
+#: Letters, digits and signs that every version of Unicode classes alike; a cut lies beside such
+#: characters only, so that the two pattern engines cannot disagree about it.
+_L, _N, _S = r"A-Za-zÀ-ÖØ-öø-ɏа-яА-Яα-ωぁ-ゖァ-ヺ一-龥가-힣", "0-9", r"!-&(-/:-@\[-`{-~«»‐-”、。「」"
 
-#: Texts up to this many characters are leaves.
-LEAF = 1024
+#: Places where a word ends whatever stands further off: before a blank between two characters that
+#: are none, and between characters of two classes. After an apostrophe a letter may belong to it.
+CUT = regex.compile(rf"(?<=[{_L}{_N}{_S}])(?= [{_L}{_N}{_S}'])|(?<=[{_L}])(?=[{_N}{_S}'])|(?<=[{_N}])(?=[{_L}{_S}'])|(?<=[{_S}])(?=[{_L}{_N}])")
+
+#: Characters of a leaf at most, and of the first window on each side of a seam.
+LEAF, WINDOW = 1024, 32
 
 #: Bytes of a vocabulary file at most; it is sent to the executors.
 MAX_VOCABULARY = 64 << 20
 
 
-#: Starts of the words of a part of a text, and the ids of each.
-Node = tuple[list[int], list[Sequence[int]]]
-
-
 class TreeEncoder:
-    """Encodes texts of any length; ``leaf`` is the longest text encoded in one piece."""
+    """Encodes texts of any length; ``leaf`` is the longest part encoded in one piece."""
 
-    def __init__(self, vocabulary: bytes, leaf: int = LEAF, window: int = 64):
+    def __init__(self, vocabulary: bytes, leaf: int = LEAF, window: int = WINDOW):
         import tiktoken
 
         ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in vocabulary.splitlines() if line)}
-        self.encoding = tiktoken.Encoding("byte_bpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.words = regex.compile(PATTERN)
-        self.leaf, self.window = max(leaf, 1), max(window, MARGIN + 1)
-        self.word_ids: Callable[[str], tuple[int, ...]] = lru_cache(1 << 16)(lambda w: tuple(self.encoding.encode_ordinary(w)))
+        encoding = tiktoken.Encoding("byte_bpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.piece_ids: Callable[[str], list[int]] = encoding.encode_ordinary
+        self.piece_bytes: Callable[[list[int]], bytes] = encoding.decode_bytes
+        self.leaf, self.window = max(leaf, 1), max(window, 1)
 
     def encode(self, text: str | None) -> list[int]:
-        if not text:
-            return []
-        if len(text) <= self.leaf:
-            return self.encoding.encode_ordinary(text)
-        return [i for word in self.reduce(text)[1] for i in word]
-
-    def ids_of(self, text: str, starts: list[int], end: int) -> list[Sequence[int]]:
-        """Ids of each word of ``text[starts[0]:end]``."""
-        words = (text[s:e] for s, e in zip(starts, [*starts[1:], end]))
-        return [self.word_ids(w) if len(w) <= 64 else self.encoding.encode_ordinary(w) for w in words]
-
-    def reduce(self, text: str) -> Node:
-        """Starts and ids of all words, by the tree reduction."""
-        bounds = [*range(0, len(text), self.leaf), len(text)]
-        level = []
-        for at, end in zip(bounds, bounds[1:]):
-            starts = [m.start() + at for m in self.words.finditer(text[at:end])]
-            level.append((starts, self.ids_of(text, starts, end)))
-        while len(level) > 1:
-            joined, ends = [], [bounds[0]]
-            for i in range(0, len(level) - 1, 2):
-                joined.append(self.join(text, level[i], level[i + 1], bounds[i + 1], bounds[i + 2]))
-                ends.append(bounds[i + 2])
-            if len(level) % 2:
-                joined.append(level[-1])
-                ends.append(bounds[-1])
-            level, bounds = joined, ends
-        return level[0]
-
-    def join(self, text: str, left_node: Node, right_node: Node, seam: int, end: int) -> Node:
-        """Two neighbours as one; only words of the window are encoded. The right one covers ``text[seam:end]``."""
-        (left, left_ids), (right, right_ids) = left_node, right_node
-        keep = len(left)
-        while keep and (left[keep] if keep < len(left) else seam) > seam - MARGIN:
-            keep -= 1
-        # left[:keep] start words that end at left[keep] ≤ seam - MARGIN at the latest
-        start = left[keep] if keep < len(left) else seam
-        of_right = set(right)
+        return self.reduce(text, 0, len(text)) if text else []
+
+    def reduce(self, text: str, start: int, end: int) -> list[int]:
+        """Ids of ``text[start:end]``."""
+        if end - start <= self.leaf:
+            return self.piece_ids(text[start:end])
+        seam = (start + end) // 2
+        return self.join(text, start, seam, end, self.reduce(text, start, seam), self.reduce(text, seam, end))
+
+    def join(self, text: str, start: int, seam: int, end: int, left: list[int], right: list[int]) -> list[int]:
+        """Ids of ``text[start:end]`` from those of its parts before and after the seam."""
+        a, b = self.last_cut(text, start, seam), self.first_cut(text, seam, end)
+        kept = len(left) - len(self.piece_ids(text[a:seam]))
+        dropped = len(self.piece_ids(text[seam:b]))
+        return left[:kept] + self.piece_ids(text[a:b]) + right[dropped:]
+
+    def last_cut(self, text: str, start: int, seam: int) -> int:
+        """The last cut of ``text[start:seam]``, looked for in growing windows; its start if there is none."""
         size = self.window
         while True:
-            stop = min(seam + size, end)
-            window = [m.start() + start for m in self.words.finditer(text[start:stop])]
-            for n, at in enumerate(window):
-                sure = stop == end or at <= stop - MARGIN
-                if at >= seam and sure and at in of_right:
-                    k = right.index(at)
-                    return left[:keep] + window[:n] + right[k:], left_ids[:keep] + self.ids_of(text, window[:n], at) + right_ids[k:]
-            if stop == end:
-                return left[:keep] + window, left_ids[:keep] + self.ids_of(text, window, end)
+            at = max(start, seam - size)
+            cuts = [m.start() for m in CUT.finditer(text, at, seam) if m.start() > start]
+            if cuts or at == start:
+                return cuts[-1] if cuts else start
+            size *= 2
+
+    def first_cut(self, text: str, seam: int, end: int) -> int:
+        """The first cut of ``text[seam:end]``, looked for in growing windows; its end if there is none."""
+        size = self.window
+        while True:
+            stop = min(end, seam + size)
+            cut = next((m.start() for m in CUT.finditer(text, seam, stop) if m.start() > seam), None)
+            if cut is not None or stop == end:
+                return end if cut is None else cut
             size *= 2
 
     def decode(self, ids: list[int]) -> str:
-        """The text of ids: bytes of the tokens, concatenated pairwise up a tree."""
-        parts = [self.encoding.decode_single_token_bytes(i) for i in ids]
-        while len(parts) > 1:
-            parts = [b"".join(parts[i : i + 2]) for i in range(0, len(parts), 2)]
-        return b"".join(parts).decode("utf-8", errors="replace")
+        """The text of ids: bytes of leaves of ids, concatenated up the tree."""
+
+        def part(a: int, b: int) -> bytes:
+            if b - a <= self.leaf:
+                return self.piece_bytes(ids[a:b])
+            return part(a, (a + b) // 2) + part((a + b) // 2, b)
+
+        return part(0, len(ids)).decode("utf-8", errors="replace")
 
 
 def load_vocabulary(name: str = "byte_bpe_50k", folder: str = TOKENIZERS) -> bytes:

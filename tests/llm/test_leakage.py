@@ -17,19 +17,36 @@ def slow(a, b):
     return best
 
 
+def coded(*texts):
+    codes = {}
+    return [np.array([codes.setdefault(w, len(codes)) for w in t], np.int32) for t in texts]
+
+
 def test_alignment_against_the_textbook():
     rnd = random.Random(0)
     for _ in range(60):
         a = [rnd.choice("abcd") for _ in range(rnd.randint(1, 20))]
         b = [rnd.choice("abcde") for _ in range(rnd.randint(0, 30))]
-        assert leakage.align(a, b)[0] == slow(a, b)
-
-
-def test_alignment_across_blocks(monkeypatch):
-    item = [f"w{i}" for i in range(30)]
-    doc = [f"x{i}" for i in range(395)] + item + [f"y{i}" for i in range(400)]
-    monkeypatch.setattr(leakage, "BLOCK", 400)
-    assert leakage.align(item, doc) == (30.0, 0, 30)
+        found = leakage.align(*coded(a, b))
+        assert found.score == slow(a, b) == found.ops.count("=") * 2 - len(found.ops)
+
+
+def test_passages_across_parts_of_long_items_and_documents(monkeypatch):
+    rnd = random.Random(1)
+    item = [f"w{i}" for i in range(900)]
+    monkeypatch.setattr(leakage, "PIECE", 64)
+    monkeypatch.setattr(leakage, "STRETCH", 128)
+    for _ in range(40):
+        a, at = rnd.randrange(880), rnd.randrange(1000)
+        passage = item[a : a + 20]
+        passage[rnd.randrange(20)] = "zzz"
+        doc = [f"x{i}" for i in range(at)] + passage + [f"y{i}" for i in range(500)]
+        items = leakage.Items.of([(1, item)])
+        codes = items.encode(doc)
+        places, numbers = items.hits(codes)
+        used = items.uses(np.unique(numbers))
+        found = leakage.find_leak(items.codes[0], codes, items.place[used], places)
+        assert found and a <= found.first and found.end <= a + 20
 
 
 ITEM = "suppose the sculptor hides painted panels in a shared studio which of thirty witnesses loyal to the weight of clouds would name old linen first and then leave".split()
@@ -48,7 +65,8 @@ def changed(words, *at):
     "text, found",
     [
         (doc(ITEM), True), (doc(ITEM[5:20]), True), (doc(ITEM[5:15]), False), (doc(changed(ITEM, 4, 13, 22)), True), (doc([w for i, w in enumerate(ITEM) if i not in (6, 15)]), True), (doc(changed(ITEM[3:18], 7)), True),
-        (doc(ITEM).upper(), True), ("<p>" + " ".join(f"<em>{w}</em>" for w in ITEM[2:20]) + "</p>", True), (doc(ITEM).replace("o", "о"), True), (" ".join(f"{w}\n> " for w in ITEM), True), (doc(ITEM[:7]) + " " + doc(ITEM[12:20]), False), ("", False), (None, False), ("— 🎨", False),
+        (doc(ITEM).upper(), True), ("<p>" + " ".join(f"<em>{w}</em>" for w in ITEM[2:20]) + "</p>", True), (doc(ITEM).replace("o", "о"), True), (" ".join(f"{w}\n> " for w in ITEM), True), (doc(ITEM[:7]) + " " + doc(ITEM[12:20]), False), (doc(changed(ITEM[3:18], 4, 10)), True), (doc(changed(ITEM[3:18], 0, 14)), True),
+        (doc([w for i, w in enumerate(ITEM[3:18]) if i not in (5, 9)]), True), (doc(changed(ITEM[3:18], 3, 7, 11)), False), (doc(ITEM[5:17]), False), (doc(changed(ITEM, 5, 11, 17, 23)), True), ("", False), (None, False), ("— 🎨", False),
     ],
 )
 def test_cases(spark, text, found):
@@ -57,6 +75,44 @@ def test_cases(spark, text, found):
     assert rows(leakage.leaks(docs, items), "doc_id", "item_id") == ([(1, 7)] if found else [])
 
 
+@pytest.mark.parametrize("n", range(1, 15))
+def test_short_items(spark, n):
+    words = "grey linen hides seven tall doors while nobody counts those quiet northern harbour lights".split()[:n]
+    mid = n // 2
+    cases = {1: doc(words), 2: " ".join(words), 3: doc(changed(words, mid)), 4: doc(words[:mid] + words[mid + 1 :]), 5: doc([]), 6: doc(words[: n // 2])}
+    docs = spark.createDataFrame(list(cases.items()), "doc_id bigint, text string")
+    items = spark.createDataFrame([(7, " ".join(words)), (8, " ".join(words))], "item_id bigint, text string")
+    right = [1, 2, 3, 4] if n >= 7 else [1, 2]
+    assert rows(leakage.leaks(docs, items), "doc_id", "item_id") == [(d, i) for d in right for i in (7, 8)]
+
+
+def test_every_passage_that_counts_shares_the_seeds_it_needs():
+    rnd = random.Random(3)
+    for n in [*range(1, 15)] * 6 + [40] * 60:
+        item = [f"w{i}" for i in range(n)]
+        items = leakage.Items.of([(1, item)])
+        a = rnd.randrange(max(1, n - leakage.PASSAGE + 1))
+        passage = changed(item[a : a + leakage.PASSAGE], *rnd.sample(range(min(n, leakage.PASSAGE)), leakage.allowed(n)))
+        if rnd.random() < 0.5:
+            passage = [w for w in passage if w != "zzz"]
+        _, numbers = items.hits(items.encode(["x", *passage, "y"]))
+        assert items.candidates(numbers, np.zeros(len(items.seeds), bool)) == [0]
+
+
+def test_blocks_of_items_give_the_same(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, doc(ITEM[i : i + 15])) for i in range(14)], "doc_id bigint, text string")
+    items = spark.createDataFrame([(k, " ".join(ITEM[k:])) for k in range(9)], "item_id bigint, text string")
+    whole = rows(leakage.leaks(docs, items))
+    monkeypatch.setattr(leakage, "BLOCK_WORDS", 50)
+    assert rows(leakage.leaks(docs, items)) == whole and len(whole) > 20
+
+
+def test_empty_tables(spark):
+    docs = spark.createDataFrame([(1, doc(ITEM))], "doc_id bigint, text string")
+    items = spark.createDataFrame([(7, " ".join(ITEM))], "item_id bigint, text string")
+    assert leakage.leaks(docs.filter("false"), items).count() == leakage.leaks(docs, items.filter("false")).count() == 0
+
+
 def test_frequent_passages_are_not_lost(spark, monkeypatch):
     monkeypatch.setattr(leakage, "RARE_LEAST", 2)
     docs = spark.createDataFrame([(i, doc(ITEM[3:19])) for i in range(40)], "doc_id bigint, text string")

@@ -1,19 +1,27 @@
 """Held-out passages that appear, whole or in part, in a training corpus.
 
-Every document is brought to plain words. Word n-grams of the test items seed
-the search: pairs of a document and an item that share seeds of which one is
-rare, or several common ones, are aligned by Smith–Waterman over words, which finds passages
-that are written differently or have single words changed, added or missing.
+Every document is brought to plain words, and these to the codes they have in
+the test items' vocabulary. Word n-grams of the items seed the search: a
+document and an item that share enough seeds, or fewer of which one is rare in
+the corpus, are aligned by Smith-Waterman over words, which finds passages that
+are written differently or have single words changed, added or missing.
 
-Only documents that share a seed leave the first stage, as ids. The corpus is
-joined with the small table of seeds map-side; frequencies of seeds are counted
-over the whole corpus. Nothing is capped: a frequent seed is no candidate by
-itself, but any passage long enough to count has ``MANY`` seeds or more.
+The test items are taken in blocks of a bounded number of words. A block is sent
+to the executors, and the corpus is read in two narrow maps: the first keeps,
+of documents that share a seed, the codes and the seeds; the frequencies of the
+block's seeds are counted from these over the whole corpus; the second aligns.
+No text is shuffled, and no seed or document is capped.
+
+What counts (``allowed`` words of an item or passage may be changed or missing):
+an item of fewer than ``PASSAGE`` words must appear whole but for these; of a
+longer one a passage of ``PASSAGE`` words but for these, wherever they stand, or
+an alignment that scores ``COPY``. A pair that counts shares as many seeds as ``needed`` says, so that it is a
+candidate however frequent its seeds are.
 
 Defined cases: null and empty texts and items match nothing; an item that
 occurs twice under different ids is found under both; repeated documents are
-each reported; an item shorter than ``PASSAGE`` words must appear whole, but
-for one word; Chinese and Japanese characters count as words.
+each reported; Chinese and Japanese characters count as words; columns other
+than the two named are ignored.
 """
 
 from __future__ import annotations
@@ -21,7 +29,8 @@ from __future__ import annotations
 import html
 import re
 import unicodedata
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
+from dataclasses import dataclass
 from functools import cache
 
 import numpy as np
@@ -32,23 +41,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vernissage.llm.canonical import canonical
-from vernissage.session import checkpoint
+from vernissage.session import checkpoint, small_rows
 
-#: Words of an n-gram that seeds a match. A passage of fifteen words with two words changed
-#: still has an unchanged run of five.
+#: Words of a passage that counts, and how many of them may be changed or missing.
+PASSAGE, CHANGED = 15, 2
+#: Score (words equal less words changed, added or missing) from which a more densely changed copy counts.
+COPY = 20
+#: Words of a seed; seeds of items too short to share one of these for sure are shorter.
 SEED = 4
-#: A seed is rare if at most this share of the documents (or ``RARE_LEAST`` of them) has it.
-RARE_SHARE, RARE_LEAST = 0.001, 20
-#: Shared seeds that make a candidate: a few if one of them is rare, more if all are frequent.
-#: A passage that scores enough with three words changed has four at least.
-FEW, MANY = 2, 4
-#: Item words an alignment must span, and its least score (match 1, mismatch or gap -1): fifteen
-#: words with one changed score 13; phrases of ten words, or what two items share, score less.
-PASSAGE, SCORE = 15, 13.0
-#: Words of a document that are aligned at a time; neighbouring blocks overlap.
-BLOCK = 4096
-
-_TAGS = regex.compile(r"<[^<>]{0,400}>")
+#: A seed is rare if at most this share of the documents (or ``RARE_LEAST`` of them) has it. With a
+#: rare one among them this many shared seeds make a candidate.
+RARE_SHARE, RARE_LEAST, FEW = 0.001, 20, 2
+#: Words of the items sent to the executors at a time.
+BLOCK_WORDS = 1_000_000
+#: Words of an item, and of a document, that are aligned at a time; neighbours overlap.
+PIECE, STRETCH = 256, 2048
+
+_TAGS = regex.compile(r"<[^<>]*>")
 _WORD = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}]|[\p{L}\p{M}\p{N}--[\p{Han}\p{Hiragana}\p{Katakana}]]+", regex.V1)
 _HYPHEN = regex.compile(r"(?<=\p{L})[-‐]\s*\n\s*(?=\p{Ll})")
 _MARKS = regex.compile(r"\p{M}+")
@@ -88,92 +97,271 @@ def plain_words(text: str | None) -> list[str]:
     return _WORD.findall(_MARKS.sub("", unicodedata.normalize("NFKD", t)))
 
 
-@F.pandas_udf(T.StringType())
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def _words_udf(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: " ".join(plain_words(t)))
+    return texts.map(plain_words)
+
+
+def allowed(n_words: int) -> int:
+    """Words of an item of this length that may be changed or missing: one in seven, ``CHANGED`` at most."""
+    return min(CHANGED, n_words // 7)
+
+
+def _shared(n_words: int, size: int) -> int:
+    """Seeds of this size that a passage shares at least: errors part it into one more run than there are."""
+    n, e = min(n_words, PASSAGE), allowed(n_words)
+    return n - e - (e + 1) * (size - 1)
+
+
+def seed_size(n_words: int) -> int:
+    sure = [k for k in range(SEED, 0, -1) if _shared(n_words, k) >= 2]
+    return sure[0] if sure else 1
+
+
+def needed(n_words: int) -> int:
+    return max(1, _shared(n_words, seed_size(n_words)))
+
+
+def gram_hashes(codes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places and hashes of the n-grams of known words (codes from 0 on)."""
+    n = len(codes) - size + 1
+    if n <= 0:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    h, known = np.full(n, size, np.uint64), np.ones(n, bool)
+    for k in range(size):
+        part = codes[k : k + n]
+        known &= part >= 0
+        h = (h ^ (h >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15) + (part.astype(np.int64) + 1).astype(np.uint64)
+    at = np.flatnonzero(known)
+    h = h[at]
+    return at, ((h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)).view(np.int64)
+
+
+@dataclass
+class Items:
+    """A block of test items with the places of their seeds, sorted by hash."""
+
+    ids: list
+    codes: list[np.ndarray]
+    vocabulary: dict[str, int]
+    sizes: list[int]
+    seeds: np.ndarray  # distinct hashes in order
+    starts: np.ndarray  # places of seed i: starts[i] to starts[i + 1]
+    item: np.ndarray
+    place: np.ndarray
+    needed: np.ndarray
+
+    @classmethod
+    def of(cls, rows: Sequence[tuple[object, Sequence[str]]]) -> Items:
+        vocabulary: dict[str, int] = {}
+        codes = [np.array([vocabulary.setdefault(w, len(vocabulary)) for w in words], np.int32) for _, words in rows]
+        found = [(i, *gram_hashes(c, seed_size(len(c)))) for i, c in enumerate(codes)]
+        hashes = np.concatenate([h for *_, h in found]) if found else np.empty(0, np.int64)
+        order = np.argsort(hashes, kind="stable")
+        seeds, starts = np.unique(hashes[order], return_index=True)
+        item = np.concatenate([np.full(len(h), i) for i, _, h in found])[order] if found else np.empty(0, np.int64)
+        place = np.concatenate([at for _, at, _ in found])[order] if found else np.empty(0, np.int64)
+        return cls([i for i, _ in rows], codes, vocabulary, sorted({seed_size(len(c)) for c in codes}), seeds, np.r_[starts, len(hashes)], item, place, np.array([needed(len(c)) for c in codes], np.int64))
+
+    def encode(self, words: Sequence[str]) -> np.ndarray:
+        return np.array([self.vocabulary.get(w, -1) for w in words], np.int32)
+
+    def hits(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the codes where a seed begins, and its number."""
+        places, numbers = [], []
+        for size in self.sizes:
+            at, h = gram_hashes(codes, size)
+            i = np.searchsorted(self.seeds, h)
+            i[i == len(self.seeds)] = 0
+            same = self.seeds[i] == h if len(self.seeds) else np.zeros(len(h), bool)
+            places.append(at[same])
+            numbers.append(i[same])
+        return (np.concatenate(places), np.concatenate(numbers)) if places else (np.empty(0, np.int64), np.empty(0, np.int64))
+
+    def uses(self, numbers: np.ndarray) -> np.ndarray:
+        """Indexes into ``item`` and ``place`` of all uses of distinct seeds."""
+        lengths = self.starts[numbers + 1] - self.starts[numbers]
+        return np.repeat(self.starts[numbers] - np.r_[0, lengths.cumsum()[:-1]], lengths) + np.arange(lengths.sum())
 
+    def candidates(self, numbers: np.ndarray, rare: np.ndarray | None = None) -> list[int]:
+        """Items that share enough places; without ``rare`` every seed may turn out to be a rare one."""
+        distinct = np.unique(numbers)
+        used = self.uses(distinct)
+        items, n = np.unique(self.item[used], return_counts=True)
+        few = n >= np.minimum(FEW, self.needed[items])
+        if rare is not None:
+            some = np.unique(self.item[self.uses(distinct[rare[distinct]])])
+            few &= np.isin(items, some)
+        return items[few | (n >= self.needed[items])].tolist()
 
-def with_seeds(df: DataFrame, id_col: str, words: str, n: int = SEED) -> DataFrame:
-    """``id, seed`` for every distinct word n-gram of every row."""
-    w = df.select(id_col, F.split(words, " ").alias("w")).filter(F.size("w") >= n)
-    grams = F.transform(F.sequence(F.lit(1), F.size("w") - (n - 1)), lambda i: F.xxhash64(*[F.element_at("w", i + k) for k in range(n)]))
-    return w.select(id_col, F.explode(F.array_distinct(grams)).alias("seed"))
 
+@dataclass(frozen=True)
+class Alignment:
+    """``ops``: for each step ``=`` equal, ``x`` changed, ``d`` missing from, ``i`` added in the document."""
 
-def align(item: list[str], doc: list[str]) -> tuple[float, int, int]:
-    """Best local alignment: ``(score, first item word, item word after the last)``.
+    score: int = 0
+    first: int = 0
+    end: int = 0
+    doc_first: int = 0
+    doc_end: int = 0
+    ops: str = ""
+
+    def leaks(self, n_item: int) -> bool:
+        """Whether a stretch of ``PASSAGE`` item words (or all there are) has no more errors than allowed.
+
+        Item words before and after the alignment are errors. A longer, more
+        densely changed copy counts by its score.
+        """
+        if self.score >= COPY:
+            return True
+        # Errors up to and including each item word; added words count with the word after them.
+        marks = np.cumsum([*[1] * self.first, *self._errors(), *[1] * (n_item - self.end)])
+        size = min(n_item, PASSAGE)
+        before = np.r_[0, marks[:-size]] if len(marks) > size else np.zeros(1, int)
+        return bool(self.ops) and int((marks[size - 1 :] - before).min()) <= allowed(n_item)
+
+    def _errors(self) -> list[int]:
+        out, added = [], 0
+        for op in self.ops:
+            if op == "i":
+                added += 1
+            else:
+                out.append(added + (op != "="))
+                added = 0
+        return out
+
+
+def align(item: np.ndarray, doc: np.ndarray) -> Alignment:
+    """Best local alignment of two arrays of codes: match 1, mismatch or gap -1.
 
     One row of the matrix at a time; gaps along the row are a running maximum.
     """
-    codes: dict[str, int] = {}
-    a = np.array([codes.setdefault(w, len(codes)) for w in item], dtype=np.int32)
-    best = (0.0, 0, 0)
-    step = BLOCK - min(BLOCK // 2, 4 * len(item))
-    for at in range(0, max(1, len(doc)), step):
-        b = np.array([codes.get(w, -1) for w in doc[at : at + BLOCK]], dtype=np.int32)
-        if (b >= 0).any():
-            # Scores are kept with their column number added: then a gap along the row costs
-            # nothing, and the row's running maximum is all that it needs.
-            m = len(b)
-            column = np.arange(m + 1, dtype=np.int32)
-            gain = np.where(a[:, None] == b[None, :], np.int32(2), np.int32(0))
-            g = np.empty((len(a) + 1, m + 1), dtype=np.int32)
-            g[0] = column
-            for i in range(len(a)):
-                row = g[i + 1]
-                np.subtract(g[i], 1, out=row)
-                np.maximum(row, column, out=row)
-                np.maximum(row[1:], g[i, :-1] + gain[i], out=row[1:])
-                np.maximum.accumulate(row, out=row)
-            h = g - column
-            top = int(h.max())
-            if top > best[0]:
-                i, j = (int(x) for x in np.unravel_index(h.argmax(), h.shape))
-                end = i
-                while i and j and h[i, j] > 0:
-                    if h[i, j] == h[i - 1, j - 1] + (1 if b[j - 1] == a[i - 1] else -1):
-                        i, j = i - 1, j - 1
-                    elif h[i, j] == h[i - 1, j] - 1:
-                        i -= 1
-                    else:
-                        j -= 1
-                best = (float(top), i, end)
-        if at + BLOCK >= len(doc):
-            break
-    return best
+    m = len(doc)
+    if not len(item) or not m:
+        return Alignment()
+    # Scores are kept with their column number added: then a gap along the row costs nothing,
+    # and the row's running maximum is all that it needs.
+    column = np.arange(m + 1, dtype=np.int32)
+    gain = np.where(item[:, None] == doc[None, :], np.int32(2), np.int32(0))
+    g = np.empty((len(item) + 1, m + 1), dtype=np.int32)
+    g[0] = column
+    for i in range(len(item)):
+        row = g[i + 1]
+        np.subtract(g[i], 1, out=row)
+        np.maximum(row, column, out=row)
+        np.maximum(row[1:], g[i, :-1] + gain[i], out=row[1:])
+        np.maximum.accumulate(row, out=row)
+    h = g - column
+    end, doc_end = (int(x) for x in np.unravel_index(h.argmax(), h.shape))
+    i, j = end, doc_end
+    top, ops = int(h[i, j]), []
+    while i and j and h[i, j] > 0:
+        same = doc[j - 1] == item[i - 1]
+        if h[i, j] == h[i - 1, j - 1] + (1 if same else -1):
+            ops.append("=" if same else "x")
+            i, j = i - 1, j - 1
+        elif h[i, j] == h[i - 1, j] - 1:
+            ops.append("d")
+            i -= 1
+        else:
+            ops.append("i")
+            j -= 1
+    return Alignment(top, i, end, j, doc_end, "".join(reversed(ops)))
+
+
+def _leak_in(item: np.ndarray, doc: np.ndarray, least: int) -> Alignment | None:
+    """The best alignment that leaks; where the best one does not, those beside it are looked at."""
+    if min(len(item), len(doc)) < least:
+        return None
+    found = align(item, doc)
+    if found.score < least:
+        return None
+    if found.leaks(len(item)):
+        return found
+    return _leak_in(item, doc[: found.doc_first], least) or _leak_in(item, doc[found.doc_end :], least)
+
 
+def find_leak(item: np.ndarray, doc: np.ndarray, item_places: np.ndarray, doc_places: np.ndarray) -> Alignment | None:
+    """A leak near the seeds both share; long items and documents are taken in overlapping parts.
 
-def is_leak(n_item: int, score: float, span: int) -> bool:
-    return score >= min(SCORE, n_item - 2) and span >= min(PASSAGE, n_item - 1) and score > 0
+    A passage that counts is shorter than half a part, so that one part holds it whole.
+    """
+    n = min(len(item), PASSAGE)
+    least, reach = n - 2 * allowed(n), 2 * min(len(item), PIECE)
+    doc_places = np.sort(doc_places)
+    gaps = np.flatnonzero(np.diff(doc_places) > 2 * reach)
+    stretches = [(max(0, int(doc_places[a]) - reach), min(len(doc), int(doc_places[b]) + SEED + reach)) for a, b in zip(np.r_[0, gaps + 1], np.r_[gaps, len(doc_places) - 1])]
+    best: Alignment | None = None
+    for p in range(0, max(1, len(item) - PIECE // 2), PIECE // 2):
+        if not ((item_places >= p) & (item_places < p + PIECE)).any():
+            continue
+        for low, high in stretches:
+            for at in range(low, high, STRETCH // 2):
+                one = _leak_in(item[p : p + PIECE], doc[at : min(high, at + STRETCH)], least)
+                if one and (best is None or one.score > best.score):
+                    best = Alignment(one.score, one.first + p, one.end + p, one.doc_first + at, one.doc_end + at, one.ops)
+                if at + STRETCH >= high:
+                    break
+    return best
 
 
 def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text") -> DataFrame:
     """``doc_id, item_id, score, first_word, n_words`` of every leaked item in every document."""
-    texts = docs.select(doc_id, F.col(text).alias("text")).filter(F.col("text").isNotNull())
-    test = checkpoint(items.select(item_id, _words_udf(F.col(text)).alias("item_words")).filter("item_words <> ''"))
-    seeds = with_seeds(test, item_id, "item_words")
-    known = seeds.select("seed").distinct()
-    hits = checkpoint(with_seeds(texts.select(doc_id, _words_udf("text").alias("words")), doc_id, "words").join(known, "seed", "left_semi"))
-    n_docs = texts.count()
-    limit = max(RARE_LEAST, int(RARE_SHARE * n_docs))
-    rare = hits.groupBy("seed").agg(F.countDistinct(doc_id).alias("df")).select("seed", (F.col("df") <= limit).alias("rare"))
-    pairs = hits.join(seeds.join(rare, "seed"), "seed").groupBy(doc_id, item_id).agg(F.max("rare").alias("rare"), F.count("*").alias("n")).filter((F.col("rare") & (F.col("n") >= FEW)) | (F.col("n") >= MANY)).select(doc_id, item_id)
-    candidates = pairs.join(test, item_id)
-    found = texts.join(candidates, doc_id)
-
-    def score(batches: Iterable[pd.DataFrame]) -> Iterable[pd.DataFrame]:
+    spark = docs.sparkSession
+    test = checkpoint(items.select(F.col(item_id).alias("i"), _words_udf(F.col(text)).alias("w")).filter("size(w) > 0").distinct())
+    n_blocks = -(-(test.agg(F.sum(F.size("w"))).first()[0] or 0) // BLOCK_WORDS) or 1
+    texts = docs.select(F.col(doc_id).alias("d"), F.col(text).alias("t")).filter("t is not null")
+    limit = max(RARE_LEAST, int(RARE_SHARE * texts.count()))
+    if n_blocks > 1:
+        texts = checkpoint(texts.select("d", F.array_join(_words_udf("t"), " ").alias("t")))
+    found = None
+    for k in range(n_blocks):
+        part = test.filter(F.pmod(F.xxhash64("i", "w"), F.lit(n_blocks)) == k)
+        # A block holds about BLOCK_WORDS words, whatever the number of items.
+        one = _block_leaks(texts, [(r["i"], r["w"]) for r in part.collect()], items.schema[item_id].dataType.simpleString(), limit, plain=n_blocks > 1)
+        found = one if found is None else found.unionByName(one)
+    return found.withColumnsRenamed({"d": doc_id, "i": item_id})
+
+
+def _block_leaks(texts: DataFrame, rows: list, item_type: str, limit: int, plain: bool) -> DataFrame:
+    """``d, i, score, first_word, n_words`` for one block of items."""
+    sc = texts.sparkSession.sparkContext
+    doc_type = texts.schema["d"].dataType.simpleString()
+    block = Items.of(rows)
+    shared = sc.broadcast(block)
+
+    def sharing(batches: Iterable[pd.DataFrame]) -> Iterable[pd.DataFrame]:
+        items = shared.value
         for pdf in batches:
-            # A document's rows are put side by side, so that its words are found once.
-            pdf = pdf.sort_values(doc_id, kind="stable")
-            rows, last, words, items = [], None, [], {}
-            for d, i, t, w in zip(pdf[doc_id], pdf[item_id], pdf["text"], pdf["item_words"]):
-                if t != last:
-                    last, words = t, plain_words(t)
-                item = items.setdefault(i, w.split(" "))
-                s, first, end = align(item, words)
-                if is_leak(len(item), s, end - first):
-                    rows.append((d, i, s, first, end - first))
-            yield pd.DataFrame(rows, columns=[doc_id, item_id, "score", "first_word", "n_words"])
-
-    kinds = [f"{c} {df.schema[c].dataType.simpleString()}" for c, df in ((doc_id, docs), (item_id, items))]
-    return found.select(doc_id, item_id, "text", "item_words").mapInPandas(score, f"{', '.join(kinds)}, score double, first_word int, n_words int")
+            out = []
+            for d, t in zip(pdf["d"], pdf["t"]):
+                codes = items.encode(t.split(" ") if plain else plain_words(t))
+                _, numbers = items.hits(codes)
+                if len(numbers):
+                    out.append((d, codes if items.candidates(numbers) else None, np.unique(numbers)))
+            yield pd.DataFrame(out, columns=["d", "codes", "seeds"])
+
+    hits = checkpoint(texts.mapInPandas(sharing, f"d {doc_type}, codes array<int>, seeds array<int>"))
+    frequent = hits.select(F.explode("seeds").alias("seed")).groupBy("seed").agg(F.count("*").alias("df")).filter(F.col("df") > limit)
+    # One row per seed of the block at most.
+    rare = np.ones(len(block.seeds), bool)
+    rare[[r["seed"] for r in small_rows(frequent.select("seed"), max(1, len(rare)), "the list of frequent seeds")]] = False
+    told = sc.broadcast(rare)
+
+    def aligned(batches: Iterable[pd.DataFrame]) -> Iterable[pd.DataFrame]:
+        items = shared.value
+        for pdf in batches:
+            out = []
+            for d, c in zip(pdf["d"], pdf["codes"]):
+                codes = np.asarray(c, np.int32)
+                places, numbers = items.hits(codes)
+                for i in items.candidates(numbers, told.value):
+                    used = items.uses(np.unique(numbers))
+                    used = used[items.item[used] == i]
+                    own = np.isin(numbers, np.searchsorted(items.starts, used, side="right") - 1)
+                    found = find_leak(items.codes[i], codes, items.place[used], places[own])
+                    if found:
+                        out.append((d, items.ids[i], found.score, found.first, found.end - found.first))
+            yield pd.DataFrame(out, columns=["d", "i", "score", "first_word", "n_words"])
+
+    return hits.filter("codes is not null").select("d", "codes").mapInPandas(aligned, f"d {doc_type}, i {item_type}, score int, first_word int, n_words int")

@@ -97,6 +97,7 @@ def test_every_passage_that_counts_shares_the_seeds_it_needs():
             passage = [w for w in passage if w != "zzz"]
         _, numbers = items.hits(items.encode(["x", *passage, "y"]))
         assert items.candidates(numbers, np.zeros(len(items.seeds), bool)) == [0]
+        assert items.may_leak(0, items.pairs_of(items.encode(["x", *passage, "y"])))
 
 
 def test_blocks_of_items_give_the_same(spark, monkeypatch):

@@ -163,36 +163,51 @@ class Items:
         place = np.concatenate([at for _, at, _ in found])[order] if found else np.empty(0, np.int64)
         return cls([i for i, _ in rows], codes, vocabulary, sorted({seed_size(len(c)) for c in codes}), seeds, np.r_[starts, len(hashes)], item, place, np.array([needed(len(c)) for c in codes], np.int64))
 
-    def encode(self, words: Sequence[str]) -> np.ndarray:
+    def encode(self, words: Sequence[str | None]) -> np.ndarray:
         return np.array([self.vocabulary.get(w, -1) for w in words], np.int32)
 
     def hits(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places of the codes where a seed begins, and its number."""
-        places, numbers = [], []
-        for size in self.sizes:
+        """Places of the codes where a seed begins, in order, and its number."""
+        places, numbers = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for size in self.sizes if len(self.seeds) else ():
             at, h = gram_hashes(codes, size)
-            i = np.searchsorted(self.seeds, h)
-            i[i == len(self.seeds)] = 0
-            same = self.seeds[i] == h if len(self.seeds) else np.zeros(len(h), bool)
+            i = np.minimum(np.searchsorted(self.seeds, h), len(self.seeds) - 1)
+            same = self.seeds[i] == h
             places.append(at[same])
             numbers.append(i[same])
-        return (np.concatenate(places), np.concatenate(numbers)) if places else (np.empty(0, np.int64), np.empty(0, np.int64))
+        place, number = np.concatenate(places), np.concatenate(numbers)
+        order = np.argsort(place, kind="stable")
+        return place[order], number[order]
 
     def uses(self, numbers: np.ndarray) -> np.ndarray:
         """Indexes into ``item`` and ``place`` of all uses of distinct seeds."""
         lengths = self.starts[numbers + 1] - self.starts[numbers]
         return np.repeat(self.starts[numbers] - np.r_[0, lengths.cumsum()[:-1]], lengths) + np.arange(lengths.sum())
 
-    def candidates(self, numbers: np.ndarray, rare: np.ndarray | None = None) -> list[int]:
-        """Items that share enough places; without ``rare`` every seed may turn out to be a rare one."""
+    def candidates(self, numbers: np.ndarray, rare: np.ndarray) -> list[int]:
+        """Items that share enough places."""
         distinct = np.unique(numbers)
-        used = self.uses(distinct)
-        items, n = np.unique(self.item[used], return_counts=True)
-        few = n >= np.minimum(FEW, self.needed[items])
-        if rare is not None:
-            some = np.unique(self.item[self.uses(distinct[rare[distinct]])])
-            few &= np.isin(items, some)
-        return items[few | (n >= self.needed[items])].tolist()
+        items, n = np.unique(self.item[self.uses(distinct)], return_counts=True)
+        with_rare = np.isin(items, self.item[self.uses(distinct[rare[distinct]])])
+        return items[(n >= self.needed[items]) | (with_rare & (n >= np.minimum(FEW, self.needed[items])))].tolist()
+
+    def pairs_of(self, codes: np.ndarray) -> np.ndarray:
+        """Sorted distinct pairs of neighbouring known words."""
+        a, b = codes[:-1].astype(np.int64), codes[1:].astype(np.int64)
+        return np.unique((a * len(self.vocabulary) + b)[(a >= 0) & (b >= 0)])
+
+    def may_leak(self, i: int, pairs: np.ndarray) -> bool:
+        """Whether a document with these pairs of words can hold a leak of the item.
+
+        A passage that counts keeps all pairs of its words but two for each
+        error, at most; a copy by its score keeps ``COPY - 1``. Most documents that
+        share a phrase only are told apart here, without an alignment.
+        """
+        codes = self.codes[i].astype(np.int64)
+        n, e = min(len(codes), PASSAGE), allowed(len(codes))
+        there = np.r_[0, np.isin(codes[:-1] * len(self.vocabulary) + codes[1:], pairs).cumsum()]
+        most = int((there[n - 1 :] - there[: len(there) - n + 1]).max())
+        return most >= n - 1 - 2 * e or int(there[-1]) >= COPY - 1
 
 
 @dataclass(frozen=True)
@@ -332,17 +347,23 @@ def _block_leaks(texts: DataFrame, rows: list, item_type: str, limit: int, plain
 
     def sharing(batches: Iterable[pd.DataFrame]) -> Iterable[pd.DataFrame]:
         items = shared.value
+        least = min([FEW, *items.needed.tolist()])
         for pdf in batches:
+            words = [t.split(" ") for t in pdf["t"]] if plain else [plain_words(t) for t in pdf["t"]]
+            # All documents of the batch as one row of codes, with a word no item has between them.
+            ends = np.cumsum([len(w) + 1 for w in words])
+            codes = items.encode([w for one in words for w in (*one, None)])
+            place, number = items.hits(codes)
+            doc = np.searchsorted(ends, place, side="right")
             out = []
-            for d, t in zip(pdf["d"], pdf["t"]):
-                codes = items.encode(t.split(" ") if plain else plain_words(t))
-                _, numbers = items.hits(codes)
-                if len(numbers):
-                    out.append((d, codes if items.candidates(numbers) else None, np.unique(numbers)))
-            yield pd.DataFrame(out, columns=["d", "codes", "seeds"])
-
-    hits = checkpoint(texts.mapInPandas(sharing, f"d {doc_type}, codes array<int>, seeds array<int>"))
-    frequent = hits.select(F.explode("seeds").alias("seed")).groupBy("seed").agg(F.count("*").alias("df")).filter(F.col("df") > limit)
+            for k, a, b in zip(*np.unique(doc, return_index=True), np.r_[np.unique(doc, return_index=True)[1][1:], len(doc)]):
+                start = ends[k] - len(words[k]) - 1
+                enough = len(items.uses(np.unique(number[a:b]))) >= least
+                out.append((pdf["d"].iloc[k], codes[start : ends[k] - 1] if enough else None, (place[a:b] - start).astype(np.int32) if enough else None, number[a:b].astype(np.int32)))
+            yield pd.DataFrame(out, columns=["d", "codes", "places", "seeds"])
+
+    hits = checkpoint(texts.mapInPandas(sharing, f"d {doc_type}, codes array<int>, places array<int>, seeds array<int>"))
+    frequent = hits.select(F.explode(F.array_distinct("seeds")).alias("seed")).groupBy("seed").agg(F.count("*").alias("df")).filter(F.col("df") > limit)
     # One row per seed of the block at most.
     rare = np.ones(len(block.seeds), bool)
     rare[[r["seed"] for r in small_rows(frequent.select("seed"), max(1, len(rare)), "the list of frequent seeds")]] = False
@@ -352,10 +373,12 @@ def _block_leaks(texts: DataFrame, rows: list, item_type: str, limit: int, plain
         items = shared.value
         for pdf in batches:
             out = []
-            for d, c in zip(pdf["d"], pdf["codes"]):
-                codes = np.asarray(c, np.int32)
-                places, numbers = items.hits(codes)
+            for d, codes, places, numbers in zip(pdf["d"], pdf["codes"], pdf["places"], pdf["seeds"]):
+                codes, places, numbers = np.asarray(codes, np.int32), np.asarray(places, np.int64), np.asarray(numbers, np.int64)
+                pairs = items.pairs_of(codes)
                 for i in items.candidates(numbers, told.value):
+                    if not items.may_leak(i, pairs):
+                        continue
                     used = items.uses(np.unique(numbers))
                     used = used[items.item[used] == i]
                     own = np.isin(numbers, np.searchsorted(items.starts, used, side="right") - 1)
@@ -364,4 +387,4 @@ def _block_leaks(texts: DataFrame, rows: list, item_type: str, limit: int, plain
                         out.append((d, items.ids[i], found.score, found.first, found.end - found.first))
             yield pd.DataFrame(out, columns=["d", "i", "score", "first_word", "n_words"])
 
-    return hits.filter("codes is not null").select("d", "codes").mapInPandas(aligned, f"d {doc_type}, i {item_type}, score int, first_word int, n_words int")
+    return hits.filter("codes is not null").mapInPandas(aligned, f"d {doc_type}, i {item_type}, score int, first_word int, n_words int")

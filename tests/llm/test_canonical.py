@@ -4,7 +4,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from vernissage.llm.canonical import Transducer, canonical, disguised
+from vernissage.llm.canonical import LOOKS, Transducer, canonical, disguised, phonetic, transducer
 
 
 @pytest.mark.parametrize(
@@ -36,9 +36,45 @@ def test_one_pass_is_enough_and_nothing_crashes(text):
 
 def test_conflicts_are_refused():
     with pytest.raises(ValueError, match="again"):
-        Transducer({"ａ": "ｂ", "ｂ": "b"})
+        Transducer({"ａ": "ｂ", "ｂ": "b"}, LOOKS, {})
     with pytest.raises(ValueError, match="two outputs"):
-        Transducer({"а": "x"})
+        Transducer({"а": "x"}, LOOKS, {})
+    with pytest.raises(ValueError, match="two outputs"):
+        Transducer({}, LOOKS, {"Ꭺ": "a"})
+    with pytest.raises(ValueError, match="again"):
+        Transducer({}, {**LOOKS, "A": {"ո": "а"}}, {})
+    # All tables that are in use take part.
+    assert set(transducer().to_latin) == {c for table in (*LOOKS.values(), phonetic()) for c in table}
+
+
+@pytest.mark.parametrize(
+    "text, expected",
+    [
+        ("Ꭺrt", "Art"), ("ᎪᎡᎢ", "ART"), ("ꓮrt ꓮꓣꓔ", "Art ART"), ("ᴀrt ᴀʀᴛ", "art art"), ("Ԍallery", "Gallery"), ("pɑint in a ɡallery", "paint in a gallery"), ("սnder", "under"),
+        ("[ˈɡɑːlə]", "[ˈɡɑːlə]"), ("Ժողովուրդ ոսո", "Ժողովուրդ ոսո"), ("ᏣᎳᎩ ᎦᏬᏂᎯᏍᏗ", "ᏣᎳᎩ ᎦᏬᏂᎯᏍᏗ"), ("👩🏽‍💻 ​x", "👩🏽‍💻 x"), ("🖼️Word аnd", "🖼️Word and"),
+    ],
+)
+def test_scripts_of_few_texts(text, expected):
+    assert canonical(text) == expected
+
+
+def test_the_longest_match_wins():
+    # A base, what is invisible and its marks are one match; so is a whole emoji sequence.
+    assert canonical("e\u200b\u0301\u200bt") == "ét"
+    assert canonical("o\u0302\u0301") == unicodedata.normalize("NFC", "o\u0302\u0301")
+    assert canonical("❤\ufe0f\u200d🔥\u200b") == "❤\ufe0f\u200d🔥"
+
+
+def test_very_long_text_is_linear():
+    import time
+
+    took = []
+    for n in (20_000, 200_000):
+        text = "Ηоllоw Field\u200b Ночной рынок café " * (n // 36)
+        began = time.perf_counter()
+        assert len(canonical(text)) == len(text) - n // 36
+        took.append(time.perf_counter() - began)
+    assert took[1] < 40 * took[0]
 
 
 def test_composition_agrees_with_unicode():

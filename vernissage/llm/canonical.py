@@ -1,12 +1,15 @@
 """One consistent form for text that only looks like the usual characters.
 
-A transducer is compiled once from a precomputed mapping, which is checked for
-conflicts (two outputs for one input, an output that would be changed again).
-It reads grapheme clusters and applies the longest match in one pass: widths,
-ligatures and styled letters, decomposed accents, invisible characters and
-unusual blanks. Look-alike letters of another script depend on the word they
-stand in, which is the transducer's state; words that consist of look-alikes
-only take the script of the words beside them.
+A transducer is compiled once from one precomputed mapping: widths, ligatures
+and styled letters, unusual blanks, decomposed accents (a base and its marks,
+also with invisible characters between them, are one longest match), and the
+look-alike letters of other scripts. The mapping is checked for conflicts: two
+outputs for one input, an output that would be changed again, two ways back.
+
+A text is read once. Grapheme clusters that are in the mapping are replaced by
+the longest match. What a look-alike letter becomes depends on the word it
+stands in, which is the transducer's state: a word is held back until its end,
+and a word of look-alikes only until the next word that is surely in one script.
 
 Left alone: composed accents, typographic quotes, dashes and ellipses, ASCII
 blanks, emoji sequences and words truly in another script.
@@ -17,7 +20,9 @@ extra columns do not matter, since each text is mapped on its own.
 
 from __future__ import annotations
 
+import re
 import unicodedata as U
+from collections.abc import Iterable
 from functools import cache, lru_cache
 
 import pandas as pd
@@ -29,14 +34,30 @@ from pyspark.sql import types as T
 #: Letters of other scripts and the Latin letters they look like.
 CYRILLIC = dict(zip("АВЕЅІЈКМНОРСТХУаеѕіјорсухԁһԛԝ", "ABESIJKMHOPCTXYaesijopcyxdhqw", strict=True))
 GREEK = dict(zip("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧνοαικρτυχ", "ABEZHIKMNOPTYXvoaikptux", strict=True))
-#: Rare letters that look like Latin ones and have no word of their own in these texts.
-OTHER = {"ɑ": "a", "ɡ": "g", "ո": "n", "օ": "o", "ѵ": "v", "ӏ": "l", "Ӏ": "I"}
+#: Cyrillic letters of few languages, which never bring a word of Latin look to Cyrillic.
+CYRILLIC_RARE = dict(zip("ѵӏӀԌԚԜүҮ", "vlIGQWyY", strict=True))
+ARMENIAN = dict(zip("ոօսհյցՕՍՏ", "nouhjgOUS", strict=True))
+CHEROKEE = dict(zip("ᎠᎡᎢᎥᎩᎪᎫᎬᎳᎷᎻᎽᏀᏂᏃᏏᏒᏔᏕᏙᏚᏞᏟᏢᏦᏧᏳᏴ", "DRTiyAJEWMHYGhZbRWSVSLCPKdGB", strict=True))
+LISU = dict(zip("ꓐꓑꓒꓓꓔꓖꓗꓙꓚꓜꓝꓟꓠꓡꓢꓣꓦꓧꓪꓫꓬꓮꓰꓲꓳꓴ", "BPdDTGKJCZFMNLSRVHWXYAEIOU", strict=True))
 #: Greek small letters that are only look-alikes beside Latin letters, never on their own.
 _WEAK_GREEK = set("αικρτυχ")
 
+
+@cache
+def phonetic() -> dict[str, str]:
+    """Latin letters of phonetic alphabets that look like plain ones: small capitals and two round letters."""
+    out = {"ɑ": "a", "ɡ": "g"}
+    for cp in (*range(0x250, 0x2B0), *range(0x1D00, 0x1D2C), *range(0xA730, 0xA732)):
+        name = U.name(chr(cp), "").removeprefix("LATIN LETTER SMALL CAPITAL ")
+        if len(name) == 1:
+            out[chr(cp)] = name.lower()
+    return out
+
+
 #: Characters that print nothing. Joiners and selectors inside emoji, and joiners in scripts
 #: that need them, are left alone (see ``_LEGITIMATE``).
 _INVISIBLE = r"\p{Cf}\uFE00-\uFE0F\U000E0100-\U000E01EF\u034F\u115F\u1160\u17B4\u17B5\u3164\uFFA0\u0000"
+_HIDDEN = regex.compile(rf"[{_INVISIBLE}]+")
 _EMOJI = r"\p{Extended_Pictographic}"
 _LEGITIMATE = rf"(?:{_EMOJI}\p{{EMod}}?\uFE0F?(?:\u200D{_EMOJI}\p{{EMod}}?\uFE0F?)*|[0-9#*]\uFE0F\u20E3|[\p{{Arab}}\p{{Deva}}\p{{Beng}}\p{{Taml}}\p{{Telu}}\p{{Knda}}\p{{Mlym}}\p{{Sinh}}]\p{{M}}*[\u200C\u200D](?=[\p{{L}}\p{{M}}]))"
 
@@ -69,142 +90,197 @@ def character_map() -> dict[str, str]:
     return out
 
 
+#: Scripts whose letters look like Latin ones, by a letter for the state of a word.
+LOOKS = {"C": {**CYRILLIC, **CYRILLIC_RARE}, "G": GREEK, "A": ARMENIAN, "H": CHEROKEE, "U": LISU}
+_SCRIPTS = {"C": "Cyrillic", "G": "Greek", "A": "Armenian", "H": "Cherokee", "U": "Lisu"}
+
+
+def _char_class(chars: Iterable[str]) -> str:
+    """A character class of ranges."""
+    ranges: list[list[int]] = []
+    for c in sorted(map(ord, chars)):
+        if ranges and c == ranges[-1][1] + 1:
+            ranges[-1][1] = c
+        else:
+            ranges.append([c, c])
+    return "[" + "".join(rf"\U{a:08X}-\U{b:08X}" for a, b in ranges) + "]"
+
+
+def _mapped(word: str, to: dict[str, str]) -> str:
+    return U.normalize("NFC", "".join(to.get(c, c) for c in U.normalize("NFD", word)))
+
+
 class Transducer:
-    """Longest-match rewriting by a conflict-checked mapping, compiled to one pattern."""
+    """Longest-match rewriting of clusters and words by one conflict-checked mapping."""
 
-    def __init__(self, singles: dict[str, str]):
-        for source, target in singles.items():
-            for ch in target:
-                if ch in singles and singles[ch] != ch:
-                    raise ValueError(f"{source!r} → {target!r} would be changed again")
-        for ch, to in {**CYRILLIC, **GREEK, **OTHER}.items():
-            if ch in singles:
-                raise ValueError(f"{ch!r} has two outputs: {to!r} and {singles[ch]!r}")
+    def __init__(self, singles: dict[str, str], looks: dict[str, dict[str, str]], phonetics: dict[str, str]):
         self.singles = singles
-        chars = "".join(map(regex.escape, singles))
-        # The longest match: a legitimate sequence, then a cluster with its marks, then one character.
-        self.pattern = regex.compile(rf"({_LEGITIMATE})|([^\p{{M}}\s][{_INVISIBLE}]*(?:\p{{M}}[{_INVISIBLE}]*)+)|([{_INVISIBLE}]+)|([{chars}])")
-        self.hidden = regex.compile(rf"[{_INVISIBLE}]+")
-        # The same pattern without the parts that cannot match in texts without marks or joiners.
-        self.simple = regex.compile(rf"(?!)()()|([{_INVISIBLE}]+)|([{chars}])")
-        self.joined = regex.compile(rf"({_LEGITIMATE})|(?!)()|([{_INVISIBLE}]+)|([{chars}])")
-        self.marks = regex.compile(r"[\p{M}--[\uFE00-\uFE0F]]", regex.V1)
-        self.joiners = regex.compile(r"[\u200C\u200D\u20E3\uFE0F]")
+        self.to_latin = {k: v for table in (phonetics, *looks.values()) for k, v in table.items()}
+        # Ways back, for Latin letters within words of another script.
+        self.back = {
+            "C": {v: k for k, v in CYRILLIC.items() if k not in "ѕіјЅІЈԁһԛԝ"},
+            "G": {v: k for k, v in GREEK.items() if k not in _WEAK_GREEK},
+        }
+        self.check(singles, looks, phonetics)
+        self.latin_like = frozenset(self.back["C"])
+        for own, other in (("C", "G"), ("G", "C")):
+            self.back[own] |= {f: self.back[own][latin] for f, latin in looks[other].items() if latin in self.back[own] and f not in CYRILLIC_RARE}
+        self.looks, self.phonetics = looks, phonetics
+        hidden = [chr(c) for c in range(0x110000) if not 0xD800 <= c <= 0xDFFF and _HIDDEN.match(chr(c))]
+        marks = [chr(c) for c in range(0x300, 0x1F000) if U.category(chr(c))[0] == "M"]
+        #: Places where a match may begin, or the one before: everything else is copied.
+        self.trigger = re.compile(_char_class({*singles, *hidden, *marks}))
+        self.modifier = regex.compile(r"\p{EMod}")
+        # The longest match: a legitimate sequence, then a cluster with its marks, then invisible
+        # characters, then one character.
+        self.longest = regex.compile(rf"({_LEGITIMATE})|([^\p{{M}}\s][{_INVISIBLE}]*(?:\p{{M}}[{_INVISIBLE}]*)+)|([{_INVISIBLE}]+)|(.)", regex.S)
         self.cjk = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}\u3001-\u303F]")
+        self.script = {k: regex.compile(rf"\p{{Script={v}}}") for k, v in _SCRIPTS.items()}
+        self.latin = regex.compile(r"\p{Script=Latin}")
+        foreign = "".join(rf"\p{{Script={s}}}" for s in _SCRIPTS.values())
+        self.foreign = regex.compile(rf"[{foreign}\u0250-\u02AF\u1D00-\u1D2B\uA730\uA731]")
+        lettered = "".join(regex.escape(k) for k, v in singles.items() if v.isalpha() and not k.isalpha())
+        letter = rf"[\p{{L}}{lettered}]"
+        self.words = regex.compile(rf"{letter}[\p{{L}}\p{{M}}{lettered}{_INVISIBLE}]*(?:['’]{letter}[\p{{L}}\p{{M}}{lettered}{_INVISIBLE}]*)*")
+        self.word = lru_cache(1 << 16)(self._word)
+
+    def check(self, singles: dict[str, str], looks: dict[str, dict[str, str]], phonetics: dict[str, str]) -> None:
+        """Raises for two outputs of one input, an output that is changed again, and two ways back."""
+        tables = [singles, phonetics, *looks.values()]
+        sources: set[str] = set()
+        for table in tables:
+            for source, target in table.items():
+                if source in sources:
+                    raise ValueError(f"{source!r} has two outputs, one of them {target!r}")
+                sources.add(source)
+        for table in tables:
+            for source, target in table.items():
+                # Phonetic and foreign letters an output keeps are a matter of its word.
+                again = [c for c in target if c in singles or (table is not singles and c in sources)]
+                if again:
+                    raise ValueError(f"{source!r} → {target!r} would be changed again")
+        for back in (CYRILLIC, GREEK):
+            if len(set(back.values())) < len(back):
+                raise ValueError("two letters of one script for one Latin letter")
 
     def _rewrite(self, m: regex.Match) -> str:
         s = m.group()
-        if m.group(1):
+        if m.lastindex == 1:
             return s
-        if m.group(3) is not None:
+        if m.lastindex == 3:
             return ""
-        if m.group(4) is not None:
+        if m.lastindex == 4:
             if "！" <= s <= "～" and not s.isalnum():
                 near = m.string[m.start() - 1 : m.start()] + m.string[m.end() : m.end() + 1]
                 if self.cjk.search(near):
                     return s  # the native punctuation of East Asian text
-            return self.singles[s]
-        return U.normalize("NFC", self.hidden.sub("", "".join(self.singles.get(c, c) for c in s)))
-
-    def characters(self, text: str) -> str:
-        pattern = self.pattern if self.marks.search(text) else self.joined if self.joiners.search(text) else self.simple
-        return pattern.sub(self._rewrite, text)
-
-
-_WORD = regex.compile(r"[\p{L}\p{M}]+(?:['’][\p{L}\p{M}]+)*")
-_TO_CYRILLIC = {v: k for k, v in CYRILLIC.items() if k not in "ѕіјЅІЈԁһԛԝ"}
-_LATIN_LIKE_CYRILLIC = frozenset(_TO_CYRILLIC)
-_TO_CYRILLIC |= {g: _TO_CYRILLIC[latin] for g, latin in GREEK.items() if latin in _TO_CYRILLIC}
-_TO_GREEK = {v: k for k, v in GREEK.items() if k not in _WEAK_GREEK}
-_TO_GREEK |= {c: _TO_GREEK[latin] for c, latin in CYRILLIC.items() if latin in _TO_GREEK}
-_LATIN, _CYR, _GREEK = (regex.compile(rf"\p{{Script={s}}}") for s in ("Latin", "Cyrillic", "Greek"))
-
-
-_TO_LATIN = {**OTHER, **GREEK, **CYRILLIC}
-
-
-def _mapped(word: str, to: dict[str, str]) -> str:
-    return U.normalize("NFC", "".join(to.get(c, c) for c in U.normalize("NFD", word)))
-
-
-def to_latin(word: str) -> str:
-    return _mapped(word, _TO_LATIN)
-
-
-@lru_cache(1 << 16)
-def _word(word: str) -> tuple[str, str]:
-    """A word in one script, and that script: L, C, G, other (O); c or g for look-alikes only, l for Latin ones only."""
-    latin = cyr = greek = sure_cyr = sure_greek = sure_latin = 0
-    plain = U.normalize("NFD", word)
-    for ch in plain:
-        if _LATIN.match(ch):
-            latin += 1
-            sure_latin += ch not in _LATIN_LIKE_CYRILLIC
-        elif _CYR.match(ch):
-            cyr += 1
-            sure_cyr += ch not in CYRILLIC and ch not in OTHER
-        elif _GREEK.match(ch):
-            greek += 1
-            sure_greek += ch not in GREEK
-        elif ch in OTHER:
-            cyr += 1
-    if sum(map(bool, (latin, cyr, greek))) > 1:
-        if not sure_cyr and not sure_greek:
-            return to_latin(word), "L"
-        if sure_cyr and not sure_greek and not sure_latin:
-            return _mapped(word, _TO_CYRILLIC), "C"
-        if sure_greek and not sure_cyr:
-            return _mapped(word, _TO_GREEK), "G"
-        return word, "O"
-    if latin:
-        return word, "L" if sure_latin else "l"
-    if cyr:
-        return word, "C" if sure_cyr else "c"
-    if greek:
-        accented = any(U.combining(c) for c in plain)
-        return word, "G" if sure_greek or accented or all(c in _WEAK_GREEK for c in word) else "g"
-    return word, "O"
+            return self.singles.get(s, s)
+        return U.normalize("NFC", _HIDDEN.sub("", "".join(self.singles.get(c, c) for c in s)))
+
+    def clusters(self, text: str, start: int = 0, end: int | None = None) -> str:
+        """``text[start:end]`` with its clusters replaced; what is not in the mapping is copied."""
+        end = len(text) if end is None else end
+        out, last, at = [], start, start
+        while (found := self.trigger.search(text, at, end)) is not None:
+            p = found.start()
+            # A mark or joiner belongs to the character before it, an emoji's to the one before its modifier.
+            first = p - 2 if p > 1 and self.modifier.match(text[p - 1]) else p - 1
+            first = max(first, last)
+            m = self.longest.match(text, first, end)
+            if m.end() <= p:
+                m = self.longest.match(text, p, end)
+            out += [text[last : m.start()], self._rewrite(m)]
+            last = at = m.end()
+        return "".join(out) + text[last:end] if out else text[start:end]
+
+    def run(self, text: str) -> str:
+        if not self.foreign.search(text):
+            return self.clusters(text)
+        # Each word with what stands before it; words of look-alikes wait for their neighbours.
+        pieces: list[str] = []
+        scripts: list[str] = []
+        last = 0
+        for m in self.words.finditer(text):
+            word, script = self.word(m.group())
+            pieces += [self.clusters(text, last, m.start()) if m.start() > last else "", word]
+            scripts.append(script)
+            last = m.end()
+        pieces.append(self.clusters(text, last))
+        if any(s in "cgahul" for s in scripts):
+            self.settle(pieces, scripts)
+        return "".join(pieces)
+
+    def settle(self, pieces: list[str], scripts: list[str]) -> None:
+        """Gives words of look-alikes only the script of the sure words before and after them."""
+        before: list[str | None] = [None] * len(scripts)
+        after = before.copy()
+        for near, order in ((before, range(len(scripts))), (after, range(len(scripts) - 1, -1, -1))):
+            seen = None
+            for i in order:
+                near[i] = seen
+                seen = scripts[i] if scripts[i].isupper() else seen
+        for i, script in enumerate(scripts):
+            word, at, own = pieces[2 * i + 1], 2 * i + 1, script.upper()
+            if script in ("c", "g"):
+                near = {before[i], after[i]}
+                foreign = any(c in "іІјЈѕЅ" for c in word)
+                if "L" in near and (foreign or own not in near and not (before[i] is None and own in scripts)):
+                    pieces[at] = _mapped(word, self.to_latin)
+            elif script in ("a", "h", "u") and own not in scripts:
+                pieces[at] = _mapped(word, self.to_latin)
+            elif script == "l" and len(word) <= 2 and 0 < i < len(scripts) - 1 and scripts[i - 1] == scripts[i + 1] == "C":
+                pieces[at] = _mapped(word, self.back["C"])
+
+    def _letter(self, ch: str) -> tuple[str, bool] | None:
+        """Script of a letter, and whether no other script has one of its look."""
+        if ch in self.phonetics:
+            return "P", False
+        if self.latin.match(ch):
+            if "\u0250" <= ch <= "\u02AF" or "\u1D00" <= ch <= "\u1D2B":
+                return "P", True
+            return "L", ch not in self.latin_like
+        for k, pattern in self.script.items():
+            if pattern.match(ch):
+                return k, ch not in self.looks[k]
+        return None
+
+    def _word(self, raw: str) -> tuple[str, str]:
+        """A word in one script and that script's letter; in lower case if all its letters are look-alikes."""
+        word = self.clusters(raw)
+        plain = U.normalize("NFD", word)
+        found = [x for x in map(self._letter, plain) if x]
+        there, sure = {k for k, _ in found}, {k for k, s in found if s}
+        foreign = sure - {"L"}
+        if len(there) > 1:
+            if not foreign:
+                return _mapped(word, self.to_latin), "L"
+            if foreign == {"C"} and "L" not in sure:
+                return _mapped(word, self.back["C"]), "C"
+            if "G" in foreign and "C" not in foreign:
+                return _mapped(word, self.back["G"]), "G"
+            return word, "O"
+        if not there:
+            return word, "O"
+        (k,) = there
+        if k == "P":
+            return (word, "O") if sure else (_mapped(word, self.to_latin), "L")
+        if k == "G" and not sure:
+            # Accents are Greek, and so are words of weak look-alikes only.
+            accented = any(U.combining(c) for c in plain)
+            return word, "G" if accented or all(c in _WEAK_GREEK for c in word) else "g"
+        return word, k if sure else k.lower()
 
 
 @cache
 def transducer() -> Transducer:
-    return Transducer(character_map())
-
-
-_NEEDS = regex.compile(r"[\p{Script=Cyrillic}\p{Script=Greek}ɑɡոօѵӏӀ]")
+    return Transducer(character_map(), LOOKS, phonetic())
 
 
 def canonical(text: str | None) -> str | None:
     """The text in the one consistent form."""
     if not text or text.isascii() and "\0" not in text or not _suspect().search(text):
         return text
-    text = transducer().characters(text)
-    if not _NEEDS.search(text):
-        return text
-    words = list(_WORD.finditer(text))
-    done = [_word(m.group()) for m in words]
-    scripts = [s for _, s in done]
-    # The nearest word before and after each that is surely in one script.
-    before: list[str | None] = [None] * len(words)
-    after = before.copy()
-    for near, order in ((before, range(len(words))), (after, range(len(words) - 1, -1, -1))):
-        seen = None
-        for i in order:
-            near[i] = seen
-            seen = scripts[i] if scripts[i] in "LCGO" else seen
-    out, last = [], 0
-    for i, m in enumerate(words):
-        new, script = done[i]
-        if script in "cg":
-            near, own = {before[i], after[i]}, script.upper()
-            foreign = any(c in "іІјЈѕЅ" for c in new)
-            if "L" in near and (foreign or own not in near and not (before[i] is None and own in scripts)):
-                new = to_latin(new)
-        elif script == "l" and len(new) <= 2 and 0 < i < len(words) - 1 and scripts[i - 1] == scripts[i + 1] == "C":
-            new = _mapped(new, _TO_CYRILLIC)
-        out += [text[last : m.start()], new]
-        last = m.end()
-    return "".join(out) + text[last:]
+    return transducer().run(text)
 
 
 @cache
@@ -212,7 +288,7 @@ def suspicious() -> str:
     """Pattern of texts the transducer might change, for a filter inside the JVM."""
     t = character_map()
     inert = {chr(c) for c in (*range(1, 0x250), *range(0x2010, 0x2028), *range(0x2030, 0x205F), *range(0x20A0, 0x20C1), *range(0x2100, 0x27C0), *range(0x2B00, 0x2C00), *range(0x3001, 0x3100), *range(0x4E00, 0xA000), *range(0x1F000, 0x1FB00))}
-    inert = sorted(ord(c) for c in inert if c not in t and not U.combining(c) and U.category(c) not in ("Cf", "Cn") and c not in OTHER)
+    inert = sorted(ord(c) for c in inert if c not in t and not U.combining(c) and U.category(c) not in ("Cf", "Cn"))
     ranges: list[list[int]] = []
     for c in inert:
         if ranges and c == ranges[-1][1] + 1:
@@ -223,8 +299,8 @@ def suspicious() -> str:
 
 
 @cache
-def _suspect() -> regex.Pattern:
-    return regex.compile(regex.sub(r"\\x\{([0-9A-F]+)\}", lambda m: f"\\U{int(m[1], 16):08X}", suspicious()))
+def _suspect() -> re.Pattern:
+    return re.compile(regex.sub(r"\\x\{([0-9A-F]+)\}", lambda m: f"\\U{int(m[1], 16):08X}", suspicious()))
 
 
 @F.pandas_udf(T.StringType())

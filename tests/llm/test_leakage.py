@@ -95,9 +95,27 @@ def test_every_passage_that_counts_shares_the_seeds_it_needs():
         passage = changed(item[a : a + leakage.PASSAGE], *rnd.sample(range(min(n, leakage.PASSAGE)), leakage.allowed(n)))
         if rnd.random() < 0.5:
             passage = [w for w in passage if w != "zzz"]
-        _, numbers = items.hits(items.encode(["x", *passage, "y"]))
-        assert items.candidates(numbers, np.zeros(len(items.seeds), bool)) == [0]
-        assert items.may_leak(0, items.pairs_of(items.encode(["x", *passage, "y"])))
+        codes = items.encode(["x", *passage, "y"])
+        _, numbers = items.hits(codes)
+        doc, item = items.candidates(np.zeros(len(numbers), np.int64), numbers, np.zeros(len(items.seeds), bool))
+        assert doc.tolist() == item.tolist() == [0]
+        assert items.may_leak([codes], doc, item).all()
+
+
+def test_pairs_of_words_tell_phrases_apart_from_passages():
+    rnd = random.Random(4)
+    rows = [(k, [rnd.choice("abcdefgh") for _ in range(n)]) for k, n in enumerate([1, 2, 8, 14, 15, 16, 40, 300])]
+    items = leakage.Items.of(rows)
+    docs = [[rnd.choice("abcdefghxyz") for _ in range(n)] for n in (0, 1, 30, 200)] + [w for _, w in rows]
+    codes = [items.encode(d) for d in docs]
+    pairs = [(d, i) for d in range(len(docs)) for i in range(len(rows))]
+    got = items.may_leak(codes, np.array([d for d, _ in pairs]), np.array([i for _, i in pairs]))
+    for (d, i), likely in zip(pairs, got):
+        has = set(zip(docs[d], docs[d][1:]))
+        flags = [p in has for p in zip(rows[i][1], rows[i][1][1:])]
+        n, e = min(len(rows[i][1]), leakage.PASSAGE), leakage.allowed(len(rows[i][1]))
+        most = max(sum(flags[k : k + n - 1]) for k in range(len(rows[i][1]) - n + 1))
+        assert likely == (most >= n - 1 - 2 * e or sum(flags) >= leakage.COPY - 1)
 
 
 def test_blocks_of_items_give_the_same(spark, monkeypatch):

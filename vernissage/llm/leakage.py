@@ -184,30 +184,54 @@ class Items:
         lengths = self.starts[numbers + 1] - self.starts[numbers]
         return np.repeat(self.starts[numbers] - np.r_[0, lengths.cumsum()[:-1]], lengths) + np.arange(lengths.sum())
 
-    def candidates(self, numbers: np.ndarray, rare: np.ndarray) -> list[int]:
-        """Items that share enough places."""
-        distinct = np.unique(numbers)
-        items, n = np.unique(self.item[self.uses(distinct)], return_counts=True)
-        with_rare = np.isin(items, self.item[self.uses(distinct[rare[distinct]])])
-        return items[(n >= self.needed[items]) | (with_rare & (n >= np.minimum(FEW, self.needed[items])))].tolist()
-
-    def pairs_of(self, codes: np.ndarray) -> np.ndarray:
-        """Sorted distinct pairs of neighbouring known words."""
-        a, b = codes[:-1].astype(np.int64), codes[1:].astype(np.int64)
-        return np.unique((a * len(self.vocabulary) + b)[(a >= 0) & (b >= 0)])
-
-    def may_leak(self, i: int, pairs: np.ndarray) -> bool:
-        """Whether a document with these pairs of words can hold a leak of the item.
+    def candidates(self, doc: np.ndarray, number: np.ndarray, rare: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Documents and items that share enough places; ``doc`` and ``number`` tell the seeds of many documents."""
+        seed = np.unique(doc.astype(np.int64) * len(self.seeds) + number)
+        doc, number = seed // len(self.seeds), seed % len(self.seeds)
+        lengths = self.starts[number + 1] - self.starts[number]
+        pair = np.repeat(doc, lengths) * len(self.ids) + self.item[self.uses(number)]
+        pairs, at, n = np.unique(pair, return_inverse=True, return_counts=True)
+        with_rare = np.bincount(at, weights=np.repeat(rare[number], lengths), minlength=len(pairs)) > 0
+        needed = self.needed[pairs % len(self.ids)]
+        kept = pairs[(n >= needed) | (with_rare & (n >= np.minimum(FEW, needed)))]
+        return kept // len(self.ids), kept % len(self.ids)
+
+    def _neighbours(self, codes: np.ndarray) -> np.ndarray:
+        return codes[:-1].astype(np.int64) * len(self.vocabulary) + codes[1:]
+
+    def may_leak(self, docs: list[np.ndarray], doc: np.ndarray, item: np.ndarray) -> np.ndarray:
+        """Whether each document can hold a leak of each item, by the pairs of neighbouring words both have.
 
         A passage that counts keeps all pairs of its words but two for each
         error, at most; a copy by its score keeps ``COPY - 1``. Most documents that
         share a phrase only are told apart here, without an alignment.
         """
-        codes = self.codes[i].astype(np.int64)
-        n, e = min(len(codes), PASSAGE), allowed(len(codes))
-        there = np.r_[0, np.isin(codes[:-1] * len(self.vocabulary) + codes[1:], pairs).cumsum()]
-        most = int((there[n - 1 :] - there[: len(there) - n + 1]).max())
-        return most >= n - 1 - 2 * e or int(there[-1]) >= COPY - 1
+        if not len(doc):
+            return np.zeros(0, bool)
+        known, where = np.unique(np.concatenate([self._neighbours(c) for c in self.codes]), return_inverse=True)
+        first = np.r_[0, np.cumsum([max(0, len(c) - 1) for c in self.codes])]
+        of = np.repeat(np.arange(len(docs)), [max(0, len(c) - 1) for c in docs])
+        found = np.concatenate([np.where((c[:-1] >= 0) & (c[1:] >= 0), self._neighbours(c), -1) for c in docs])
+        at = np.minimum(np.searchsorted(known, found), max(0, len(known) - 1))
+        same = known[at] == found if len(known) else np.zeros(len(found), bool)
+        there = np.unique(of[same] * max(1, len(known)) + at[same])
+        # All pairs of all candidates' items in a row; ``cum`` counts those the document has.
+        lengths = first[item + 1] - first[item]
+        begin = np.r_[0, lengths.cumsum()]
+        within = np.arange(begin[-1]) - np.repeat(begin[:-1], lengths)
+        key = np.repeat(doc, lengths) * max(1, len(known)) + where[np.repeat(first[item], lengths) + within]
+        place = np.minimum(np.searchsorted(there, key), max(0, len(there) - 1))
+        cum = np.r_[0, (there[place] == key if len(there) else np.zeros(len(key), bool)).cumsum()]
+        words = np.array([len(c) for c in self.codes])[item]
+        window = np.minimum(words, PASSAGE) - 1
+        errors = np.array([allowed(n) for n in range(PASSAGE + 1)])[np.minimum(words, PASSAGE)]
+        # The best window of each item: one that would pass its end is that at its end.
+        wide = np.repeat(window, lengths)
+        start = np.repeat(begin[:-1], lengths) + np.minimum(within, np.repeat(lengths, lengths) - wide)
+        most, filled = np.zeros(len(doc), np.int64), lengths > 0
+        if filled.any():
+            most[filled] = np.maximum.reduceat(cum[start + wide] - cum[start], begin[:-1][filled])
+        return (most >= window - 2 * errors) | (cum[begin[1:]] - cum[begin[:-1]] >= COPY - 1)
 
 
 @dataclass(frozen=True)
@@ -356,7 +380,8 @@ def _block_leaks(texts: DataFrame, rows: list, item_type: str, limit: int, plain
             place, number = items.hits(codes)
             doc = np.searchsorted(ends, place, side="right")
             out = []
-            for k, a, b in zip(*np.unique(doc, return_index=True), np.r_[np.unique(doc, return_index=True)[1][1:], len(doc)]):
+            with_hits, first = np.unique(doc, return_index=True)
+            for k, a, b in zip(with_hits, first, np.r_[first[1:], len(doc)]):
                 start = ends[k] - len(words[k]) - 1
                 enough = len(items.uses(np.unique(number[a:b]))) >= least
                 out.append((pdf["d"].iloc[k], codes[start : ends[k] - 1] if enough else None, (place[a:b] - start).astype(np.int32) if enough else None, number[a:b].astype(np.int32)))
@@ -373,18 +398,20 @@ def _block_leaks(texts: DataFrame, rows: list, item_type: str, limit: int, plain
         items = shared.value
         for pdf in batches:
             out = []
-            for d, codes, places, numbers in zip(pdf["d"], pdf["codes"], pdf["places"], pdf["seeds"]):
-                codes, places, numbers = np.asarray(codes, np.int32), np.asarray(places, np.int64), np.asarray(numbers, np.int64)
-                pairs = items.pairs_of(codes)
-                for i in items.candidates(numbers, told.value):
-                    if not items.may_leak(i, pairs):
-                        continue
-                    used = items.uses(np.unique(numbers))
-                    used = used[items.item[used] == i]
-                    own = np.isin(numbers, np.searchsorted(items.starts, used, side="right") - 1)
-                    found = find_leak(items.codes[i], codes, items.place[used], places[own])
-                    if found:
-                        out.append((d, items.ids[i], found.score, found.first, found.end - found.first))
+            docs = [np.asarray(c, np.int32) for c in pdf["codes"]]
+            doc = np.repeat(np.arange(len(docs)), [len(x) for x in pdf["seeds"]])
+            number, place = (np.concatenate([np.asarray(x, np.int64) for x in pdf[c]]) if len(pdf) else np.empty(0, np.int64) for c in ("seeds", "places"))
+            first = np.searchsorted(doc, np.arange(len(docs) + 1))
+            with_doc, with_item = items.candidates(doc, number, told.value)
+            likely = items.may_leak(docs, with_doc, with_item)
+            for k, i in zip(with_doc[likely].tolist(), with_item[likely].tolist()):
+                numbers, places = number[first[k] : first[k + 1]], place[first[k] : first[k + 1]]
+                used = items.uses(np.unique(numbers))
+                used = used[items.item[used] == i]
+                own = np.isin(numbers, np.searchsorted(items.starts, used, side="right") - 1)
+                found = find_leak(items.codes[i], docs[k], items.place[used], places[own])
+                if found:
+                    out.append((pdf["d"].iloc[k], items.ids[i], found.score, found.first, found.end - found.first))
             yield pd.DataFrame(out, columns=["d", "i", "score", "first_word", "n_words"])
 
     return hits.filter("codes is not null").mapInPandas(aligned, f"d {doc_type}, i {item_type}, score int, first_word int, n_words int")

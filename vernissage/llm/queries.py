@@ -37,17 +37,31 @@ def p2_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("platform_name", "platform_artist_id", F.col("crawl_date").cast("string").alias("crawl_date"), "n_rows", *[F.col(f"{f}.value").alias(f) for f in fields])
 
 
+def _judged(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    rows = survivor.artist_rows(table(spark, sf_dir, "artists"))
+    # The biography tells nothing about how full a page is.
+    with_age, source = survivor.page_source(rows, _GROUP, [f for f in survivor.ARTIST_FIELDS if f != "biography"])
+    return rows, *survivor.value_quality(with_age, _GROUP, survivor.ARTIST_FIELDS, source, F.struct("source_file", "crawled_at"))
+
+
 def p2_value_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Posterior truth of every value of a group; several values may be retained."""
-    fields = survivor.ARTIST_FIELDS
-    rows = survivor.artist_rows(table(spark, sf_dir, "artists"), fields)
-    # The biography tells nothing about how full a page is: the buckets are those of the other fields.
-    filled = sum((survivor.is_usable(rows, f).cast("int") for f in fields if f != "biography"), F.lit(0))
-    source = F.concat_ws("#", "platform_name", F.when(filled >= 4, "full").when(filled >= 2, "partial").otherwise("card"))
-    judged, _ = survivor.value_quality(rows, _GROUP, fields, source)
+    _, judged, _ = _judged(spark, sf_dir)
     return judged.withColumn("crawl_date", F.col("crawl_date").cast("string")).withColumn("posterior", F.round("posterior", 4))
 
 
+def p2_source_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sensitivity and specificity the model infers for every source and field."""
+    _, _, quality = _judged(spark, sf_dir)
+    return quality.withColumn("sensitivity", F.round("sensitivity", 4)).withColumn("specificity", F.round("specificity", 4))
+
+
+def p2_rule_and_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often the newest usable value, which ``p2_found`` asks for, is the model's choice."""
+    rows, judged, _ = _judged(spark, sf_dir)
+    return survivor.rule_and_model(rows, _GROUP, survivor.ARTIST_FIELDS, judged, ["crawled_at", "source_file"])
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Names, biographies and titles written with other characters than they show."""
     return canonical.disguised_fields(table(spark, sf_dir, "artists"), table(spark, sf_dir, "artworks"))
@@ -126,4 +140,4 @@ ORACLES["p2_records"] = (
     + " FROM a WHERE id IS NOT NULL GROUP BY platform_name, id, a.crawl_date"
 )
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p2_found, p2_survivors, p2_records, p2_value_quality, p4_found, p5_found, p5_confidence, p5_classes, p7_ids, p8_found, p9_found, p9_segments)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p2_found, p2_survivors, p2_records, p2_value_quality, p2_source_quality, p2_rule_and_model, p4_found, p5_found, p5_confidence, p5_classes, p7_ids, p8_found, p9_found, p9_segments)}

@@ -33,6 +33,45 @@ def test_references_with_cycle():
     assert payload.resolve_references([]) is None
 
 
+def test_references_used_many_times_are_resolved_once():
+    import time
+
+    began = time.perf_counter()
+    levels = [[i + 1, i + 1] for i in range(18)] + ["leaf"]
+    out = payload.resolve_references(levels)
+    assert time.perf_counter() - began < 0.5 and out[0] is out[1]
+    with pytest.raises(ValueError, match="too large"):
+        payload.resolve_references([[i + 1, i + 1] for i in range(60)] + ["leaf"])
+
+
+def test_members_that_are_no_index_stand_for_themselves():
+    table = [{"a": "x", "b": True, "c": 1, "d": -1, "e": 99, "f": None}, {"g": 2, "up": 0}, 7]
+    assert payload.resolve_references(table) == {"a": "x", "b": True, "c": {"g": 7, "up": None}, "d": None, "e": None, "f": None}
+
+
+def test_linked_objects():
+    store = {"Q": {"lot": {"__ref": "L1"}, "more": [{"__ref": "L2"}, {"__ref": "gone"}]}, "L1": {"id": 1, "sale": {"__ref": "S"}}, "L2": {"id": 2}, "S": {"lots": [{"__ref": "L1"}]}}
+    assert payload.linked_objects(store, "Q") == {"lot": {"id": 1, "sale": {"lots": [{"__ref": "L1"}]}}, "more": [{"id": 2}, {"__ref": "gone"}]}
+    assert payload.linked_objects(store, "none") is None
+
+
+@pytest.mark.parametrize(
+    "chunks, expected",
+    [(['{"lot" : {"a": 1}}'], '{"a": 1}'), (['"lot":\n\t{ "b": "}" }'], '{ "b": "}" }'), (['"lot": null, "lot": [1], "lot": {"c"', ": 2}"], '{"c": 2}'), (['"lot": {broken}, "lot": {}'], "{}"), (['"lots": {}'], None), ([None], None), ([], None)],
+)
+def test_object_after_a_key(spark, chunks, expected):
+    df = spark.createDataFrame([(chunks,), (None,)], "c array<string>")
+    assert [r.v for r in df.select(payload.object_after("lot")("c").alias("v")).collect()] == [expected, None]
+
+
+def test_pairs_and_paths_of_any_length(one):
+    far = "LOT" + " " * 50_000 + '"a":"1","a":"2","b":"x\\"y"'
+    assert one(payload.pairs_after("s", "LOT"), "s string", far) == {"a": "1", "b": 'x\\"y'}
+    deep = '{"k":' * 30 + '"v"' + "}" * 30
+    assert [tuple(x) for x in one(payload.leaf_paths("s"), "s string", deep)] == [(".".join("k" * 30), '"v"')]
+    assert [tuple(x) for x in one(payload.leaf_paths("s"), "s string", '{"a": [], "b": {}, "c": "' + "x" * 200 + '"}')] == [("a", "[]"), ("b", "{}"), ("c", '"' + "x" * 200 + '"')]
+
+
 def test_scripts_metas_and_chunks(one, spark):
     html = '<script type="application/json" id="__D__">{"a": {"b": [1, 2]}}</script><script type="application/ld+json">{"@type": "X"}</script><meta content="10" property="og:price"><script>f.push([1,"x\\"y"])</script>'
     assert one(F.try_variant_get(payload.script_json("s", "__D__"), "$.a.b[1]", "int"), "s string", html) == 2

@@ -70,14 +70,16 @@ def flight_chunks(html: Column | str) -> Column:
     return F.array_compact(F.transform(raw, lambda s: F.try_variant_get(F.try_parse_json(s), "$", "string")))
 
 
-def pairs_after(html: Column | str, anchor: str, length: int = 6000) -> Column:
-    """``"key":"value"`` pairs in the text after an anchor, as a map; the first of a key wins."""
+def pairs_after(html: Column | str, anchor: str) -> Column:
+    """``"key":"value"`` pairs in all the text after an anchor, as a map; the first of a key wins."""
     h = _col(html)
     at = F.instr(h, anchor)
-    part = F.substring(h, at, F.lit(length))
-    found = F.transform(F.regexp_extract_all(part, F.lit(r"\"(\w+)\"\s*:\s*\"((?:[^\"\\]|\\.)*)\""), 0), lambda p: F.struct(F.regexp_extract(p, r"^\"(\w+)\"", 1).alias("k"), F.regexp_extract(p, r":\s*\"((?:[^\"\\]|\\.)*)\"$", 1).alias("v")))
-    keys = F.array_distinct(F.transform(found, lambda s: s["k"]))
-    return F.when(at > 0, F.map_from_entries(F.transform(keys, lambda k: F.struct(k.alias("key"), F.get(F.filter(found, lambda s: s["k"] == k), 0)["v"].alias("value")))))
+    part = F.substring(h, at, F.length(h))
+    pair = r"\"(\w+)\"\s*:\s*\"((?:[^\"\\]|\\.)*)\""
+    keys, values = (F.regexp_extract_all(part, F.lit(pair), i) for i in (1, 2))
+    entries = F.arrays_zip(keys.alias("k"), values.alias("v"))
+    first = F.filter(entries, lambda e, i: F.array_position(keys, e["k"]) == i + 1)
+    return F.when(at > 0, F.map_from_entries(first))
 
 
 def blocked(status: Column, header: Column, body: Column, statuses: tuple[int, ...] = (403, 429, 503), keywords: tuple[str, ...] = ("captcha", "access denied", "unusual traffic", "verify you are human")) -> Column:
@@ -219,25 +221,74 @@ def parse_literal(text: str | None) -> Any:
         return None
 
 
+#: Values of a resolved table at most, counted as often as they are written out; more are refused.
+MAX_VALUES = 2_000_000
+
+
 def resolve_references(table: list[Any]) -> Any:
-    """Value of an array whose containers hold the indexes of their members; cycles become None."""
+    """Value of an array whose containers hold the indexes of their members.
 
-    def value(at: Any, seen: tuple[int, ...]) -> Any:
-        if not isinstance(at, int) or isinstance(at, bool) or not 0 <= at < len(table) or at in seen or len(seen) > 200:
-            return None
-        node, path = table[at], (*seen, at)
+    Members that are no index (texts, truth values, containers) stand for
+    themselves. A value that is used many times is resolved once. What refers
+    back to a container that is still being read is None, and so is an index
+    the table does not have. Raises ``ValueError`` if the value, written out,
+    had more than ``MAX_VALUES`` parts.
+    """
+    known: dict[int, tuple[Any, int]] = {}
+    reading: set[int] = set()
+
+    def member(at: Any) -> tuple[Any, int]:
+        if isinstance(at, bool) or not isinstance(at, int):
+            return at, 1
+        if at in known:
+            return known[at]
+        if at in reading or not 0 <= at < len(table):
+            return None, 1
+        reading.add(at)
+        out = container(table[at])
+        reading.discard(at)
+        if out[1] > MAX_VALUES:
+            raise ValueError("the table is too large when written out")
+        known[at] = out
+        return out
+
+    def container(node: Any) -> tuple[Any, int]:
         if isinstance(node, dict):
-            return {k: value(v, path) for k, v in node.items()}
+            parts = {k: member(v) for k, v in node.items()}
+            return {k: v for k, (v, _) in parts.items()}, 1 + sum(n for _, n in parts.values())
+        if isinstance(node, list) and node and isinstance(node[0], str):
+            kind, rest = node[0], node[1:]
+            if kind == "Date":
+                return (rest[0] if rest else None), 1
+            if kind in WRAPPERS:
+                return member(rest[0]) if rest else (None, 1)
         if isinstance(node, list):
-            if node and isinstance(node[0], str):
-                if node[0] == "Date":
-                    return node[1] if len(node) > 1 else None
-                if node[0] in ("Reactive", "ShallowReactive", "Ref", "ShallowRef", "EmptyRef"):
-                    return value(node[1], path) if len(node) > 1 else None
-            return [value(v, path) for v in node]
-        return node
+            items = [member(v) for v in node]
+            return [v for v, _ in items], 1 + sum(n for _, n in items)
+        return node, 1
 
-    return value(0, ())
+    return member(0)[0] if table else None
+
+
+#: Wrappers whose first member is the value.
+WRAPPERS = frozenset(("Reactive", "ShallowReactive", "Ref", "ShallowRef", "EmptyRef", "EmptyShallowRef"))
+
+
+def linked_objects(store: dict[str, Any], root: str, ref: str = "__ref") -> Any:
+    """An entry of a store of objects, with ``{"__ref": key}`` replaced by the entry of that key.
+
+    A reference back to an entry that is being read stays a reference.
+    """
+
+    def value(node: Any, path: tuple[str, ...]) -> Any:
+        if isinstance(node, dict):
+            key = node.get(ref)
+            if isinstance(key, str) and len(node) == 1:
+                return node if key in path or key not in store else value(store[key], (*path, key))
+            return {k: value(v, path) for k, v in node.items()}
+        return [value(v, path) for v in node] if isinstance(node, list) else node
+
+    return value(store[root], (root,)) if root in store else None
 
 
 def _json(value: Any) -> str | None:
@@ -264,30 +315,23 @@ def assigned_udf(name: str):
 
 
 def object_after(key: str):
-    """Function of arrays of text chunks: JSON text of the first object assigned to a key."""
-
-    @F.pandas_udf(T.StringType())
-    def found(chunks: pd.Series) -> pd.Series:
-        mark = f'"{key}":'
-
-        def one(parts: Any) -> str | None:
-            text = "".join(p for p in parts if p) if parts is not None else ""
-            at = text.find(mark)
-            while at >= 0:
-                start = at + len(mark)
-                body = balanced(text, start) if text[start : start + 1] == "{" else None
-                try:
-                    if body:
-                        json.loads(body)
-                        return body
-                except ValueError:
-                    pass
-                at = text.find(mark, start)
-            return None
-
-        return chunks.map(one)
+    """Function of arrays of text chunks: JSON text of the first object that is the value of a key."""
+    import re
+
+    # The brace is part of the match, so values of other kinds are passed over.
+    opening = re.compile(rf'{re.escape(json.dumps(key))}\s*:\s*{{')
+
+    def one(parts: Any) -> str | None:
+        text, reader = "" if parts is None else "".join(filter(None, parts)), json.JSONDecoder()
+        for m in opening.finditer(text):
+            try:
+                _, end = reader.raw_decode(text, m.end() - 1)
+            except (ValueError, RecursionError):
+                continue
+            return text[m.end() - 1 : end]
+        return None
 
-    return found
+    return F.pandas_udf(lambda chunks: chunks.map(one), T.StringType())
 
 
 class _Cards(HTMLParser):
@@ -352,36 +396,39 @@ def cards_udf(card: str, parts: dict[str, tuple[str, str]]):
 
 @F.pandas_udf(T.StringType())
 def resolved_json(tables: pd.Series) -> pd.Series:
-    """JSON text of a reference-coded array of values."""
+    """JSON text of a reference-coded array of values; null for what is none or too large written out."""
 
     def one(text: str | None) -> str | None:
         try:
             table = json.loads(text) if text else None
         except ValueError:
             return None
-        return _json(resolve_references(table)) if isinstance(table, list) and table else None
+        try:
+            return _json(resolve_references(table)) if isinstance(table, list) and table else None
+        except (ValueError, RecursionError):
+            return None
 
     return tables.map(one)
 
 
 @F.pandas_udf(T.ArrayType(T.StructType([T.StructField("path", T.StringType()), T.StructField("sample", T.StringType())])))
 def leaf_paths(texts: pd.Series) -> pd.Series:
-    """Paths of the leaves of a JSON text down to eight levels, with the first value of each."""
+    """Paths of the leaves of a JSON text, with the first value of each; empty containers are leaves."""
 
-    def walk(node: Any, path: str, out: dict[str, str], depth: int) -> None:
-        if isinstance(node, dict) and depth < 8:
+    def walk(node: Any, path: str, out: dict[str, str]) -> None:
+        if isinstance(node, dict) and node:
             for k, v in node.items():
-                walk(v, f"{path}.{k}" if path else str(k), out, depth + 1)
-        elif isinstance(node, list) and depth < 8:
+                walk(v, f"{path}.{k}" if path else str(k), out)
+        elif isinstance(node, list) and node:
             for v in node:
-                walk(v, path + "[]", out, depth + 1)
-        else:
-            out.setdefault(path, json.dumps(node, ensure_ascii=False)[:80])
+                walk(v, path + "[]", out)
+        elif path not in out:
+            out[path] = json.dumps(node, ensure_ascii=False)
 
     def one(text: str | None) -> list[dict[str, str]]:
         out: dict[str, str] = {}
         try:
-            walk(json.loads(text), "", out, 0) if text else None
+            walk(json.loads(text), "", out) if text else None
         except (ValueError, RecursionError):
             return []
         return [{"path": k, "sample": v} for k, v in out.items()]

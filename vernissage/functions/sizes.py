@@ -40,40 +40,76 @@ def written_number(text: Column) -> Column:
     return F.when(w.isNotNull() | part.isNotNull(), F.coalesce(w, F.lit(0)) + F.coalesce(part, F.lit(0)))
 
 
-_BY = r" ?(?:x|×|by) ?"
-_SIZE = rf"({NUM}){_BY}({NUM})(?:{_BY}({NUM}))? ?(cm|mm|in(?:ch(?:es)?)?\b|\")"
-_HEIGHT = rf"(?:^|[^a-zß-ÿ])(?:height|hauteur|höhe|ht|h)[. :]* ?({NUM}) ?(cm|mm|in(?:ch(?:es)?)?\b|\")?"
-_WIDTH = rf"(?:^|[^a-zß-ÿ])(?:width|largeur|breite|larg|w|l)[. :]* ?({NUM}) ?(cm|mm|in(?:ch(?:es)?)?\b|\")?"
-#: Centimetres outside these bounds are no size of an object.
+#: Units in millimetres; only these are read in running text.
+MILLIMETRES = {"mm": "1", "cm": "10", "dm": "100", "m": "1000", "in": "25.4", "ft": "304.8"}
+_METRIC = ("mm", "cm", "dm", "m")
+_UNIT_NAMES = {"millimetre": "mm", "millimeter": "mm", "centimetre": "cm", "centimeter": "cm", "zentimeter": "cm", "metre": "m", "meter": "m", "inch": "in", "inche": "in", "feet": "ft", "foot": "ft", '"': "in", "''": "in"}
+#: Words that say which side a number is.
+SIDES = {"h": "h height high hauteur haut hohe hoch altezza alto altura ht".split(), "w": "w width wide l length largeur large larg breite breit b larghezza anchura ancho largura".split(), "d": "d depth deep profondeur prof tiefe profondita profundidad".split()}
+#: Centimetres outside these bounds are no side of an object.
 LEAST_CM, MOST_CM = 0.3, 2000.0
 
+_TOKEN = rf"{NUM}|[a-z]+|[×\"]|''"
+_LENGTH = r"n\S+(?: [hwd])?(?: u\w+)?"
 
-def _cm(number: Column, unit: Column) -> Column:
-    factor = F.when(unit == "cm", 1.0).when(unit == "mm", 0.1).when(unit.startswith("in") | (unit == '"'), 2.54).cast("decimal(4,2)")
-    v = F.round(written_number(number) * factor, 1).cast("double")
-    return F.when(v.between(LEAST_CM, MOST_CM), v)
+
+def size_tokens(t: Column) -> Column:
+    """A size text as words with a mark: ``n`` and a number, ``u`` and a unit, ``x``, ``h``, ``w`` or ``d``; others are ``o``."""
+
+    def marked(w: Column) -> Column:
+        one = F.regexp_replace(w, "s$", "")
+        out = F.when(w.rlike(r"^\d"), F.concat(F.lit("n"), F.replace(w, F.lit(" "), F.lit("_")))).when(w.isin("x", "×", "by", "per", "mal"), "x")
+        for side, words in SIDES.items():
+            out = out.when(w.isin(*words), side)
+        out = out.when(w.isin(*MILLIMETRES), F.concat(F.lit("u"), w))
+        for name, unit in _UNIT_NAMES.items():
+            out = out.when((one == name) | (w == name), f"u{unit}")
+        return out.otherwise("o")
+
+    plain = F.translate(t, "äöüéèà", "aoueea")
+    return F.array_join(F.transform(F.regexp_extract_all(plain, F.lit(_TOKEN), 0), marked), " ")
+
+
+def _centimetres(number: Column, unit: Column) -> Column:
+    factor = F.lit(None).cast("decimal(8,2)")
+    for name, mm in MILLIMETRES.items():
+        factor = F.when(unit == name, F.lit(mm).cast("decimal(8,2)")).otherwise(factor)
+    cm = F.round(written_number(F.replace(number, F.lit("_"), F.lit(" "))) * factor / 10, 1).cast("double")
+    return F.when(cm.between(LEAST_CM, MOST_CM), cm)
 
 
 def size_cm(c: Column | str) -> Column:
     """``struct(height, width, depth)`` in centimetres, rounded half up to 0.1.
 
-    A metric size wins over one in inches; without ``a x b`` the labelled
-    height and width count, with a unit of their own or the next one in the text.
+    Of the sizes written ``a x b`` or ``a x b x c`` the first in a metric unit
+    counts, else the first, among those whose sides are all possible. Without
+    one the numbers beside the words for height, width and depth count, each
+    in its own unit or the next one in the text.
     """
+    none = F.struct(*[F.lit(None).cast("double").alias(side) for side in ("height", "width", "depth")])
+
+    def box(words: Column) -> Column:
+        lengths = F.split(words, " x ")
+        last = F.try_element_at(F.regexp_extract_all(words, F.lit(r"u(\w+)"), 1), F.lit(-1))
+
+        def side(i: int) -> Column:
+            own = F.regexp_extract(F.get(lengths, i), r"u(\w+)", 1)
+            return _centimetres(F.regexp_extract(F.get(lengths, i), r"n(\S+)", 1), F.when(own != "", own).otherwise(last))
+
+        return F.struct(side(0).alias("height"), side(1).alias("width"), side(2).alias("depth"), last.isin(*_METRIC).alias("metric"), F.size(lengths).alias("n"))
 
-    def of_text(t: Column) -> Column:
-        found = F.regexp_extract_all(t, F.lit(_SIZE), 0)
-        metric = F.filter(found, lambda m: m.rlike("(?:cm|mm)$"))
-        chosen = F.coalesce(F.get(metric, 0), F.get(found, 0))
-        part = lambda m, i: F.regexp_extract(m, _SIZE, i)
-        boxed = let(chosen, lambda m: F.struct(_cm(part(m, 1), part(m, 4)).alias("height"), _cm(part(m, 2), part(m, 4)).alias("width"), _cm(part(m, 3), part(m, 4)).alias("depth")))
-        any_unit = F.regexp_extract(t, r"(cm|mm|in(?:ch(?:es)?)?\b|\")", 1)
+    def of_words(words: Column) -> Column:
+        # A unit must close the size, or each side has its own.
+        found = F.transform(F.regexp_extract_all(words, F.lit(rf"{_LENGTH} x {_LENGTH}(?: x {_LENGTH})?"), 0), box)
+        possible = F.filter(found, lambda b: b["height"].isNotNull() & b["width"].isNotNull() & (b["depth"].isNotNull() | (b["n"] < 3)))
+        chosen = F.coalesce(F.get(F.filter(possible, lambda b: b["metric"]), 0), F.get(possible, 0))
 
-        def labelled(pattern: str) -> Column:
-            own = F.regexp_extract(t, pattern, 2)
-            return _cm(F.regexp_extract(t, pattern, 1), F.when(own != "", own).otherwise(any_unit))
+        def labelled(side: str) -> Column:
+            near = rf"\b{side}(?: o)? n(\S+)(?: [^u]\S*){{0,6}}? u(\w+)"
+            return _centimetres(F.regexp_extract(words, near, 1), F.regexp_extract(words, near, 2))
 
-        sides = F.struct(labelled(_HEIGHT).alias("height"), labelled(_WIDTH).alias("width"), F.lit(None).cast("double").alias("depth"))
-        return F.when(chosen.isNotNull(), boxed).otherwise(sides)
+        sides = F.struct(labelled("h").alias("height"), labelled("w").alias("width"), labelled("d").alias("depth"))
+        boxed = let(chosen, lambda b: F.when(b.isNotNull(), F.struct(b["height"].alias("height"), b["width"].alias("width"), b["depth"].alias("depth"))))
+        return F.coalesce(boxed, F.when(F.size(found) == 0, sides), none)
 
-    return let(size_text(_col(c), brackets=True), of_text)
+    return let(size_tokens(size_text(_col(c), brackets=True)), of_words)

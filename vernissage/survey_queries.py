@@ -104,7 +104,7 @@ def f_host(spark: SparkSession, d: str) -> DataFrame:
 @query("SELECT platform_name, count(website) AS website, count(facebook) AS facebook, count(instagram) AS instagram, count(tiktok) AS tiktok, count(twitter) AS twitter FROM artists GROUP BY 1")
 def f_sort_links(spark: SparkSession, d: str) -> DataFrame:
     a = table(spark, d, "artists")
-    links = scalars.sort_links(F.array("twitter", "website", "tiktok", "instagram", "facebook"), NETWORKS)
+    links = scalars.sort_links(F.array("twitter", "website", "tiktok", "instagram", "facebook"), (), NETWORKS)
     s = a.select("platform_name", links.alias("l")).select("platform_name", "l.*")
     return s.groupBy("platform_name").agg(*[F.count(c).alias(c) for c in ("website", *NETWORKS)])
 

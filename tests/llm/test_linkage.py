@@ -94,3 +94,21 @@ def test_every_related_pair_is_a_candidate_however_frequent_its_tokens(spark, mo
     assert want <= set(got) and len(got) == len(set(got))
     if rare == 5:
         assert ("Anna Smith", "Johanes Smith") not in got  # no initial, nothing but a frequent token
+
+
+@pytest.mark.parametrize("n", [400, 4_000, 40_000])
+def test_recall_of_slips_does_not_fall_with_size(spark, n):
+    # Eight given names and four surnames; the listings have a slip of one letter or an initial, and no year.
+    from pyspark.sql import functions as F
+
+    given, surnames = ["johannes", "margareta", "theodor", "katharina", "sebastian", "elisabeth", "cornelius", "magdalena"], ["lindqvist", "hartmann", "vandenberg", "moreau"]
+    pick = lambda words, i: F.get(F.array(*map(F.lit, words)), i.cast("int"))
+    i = F.col("i")
+    named = spark.range(n).withColumnRenamed("id", "i").select(F.concat(F.lit("a"), i).alias("id"), pick(given, i % 8).alias("g"), pick(surnames, F.floor(i / 8) % 4).alias("s"), (F.lit(1800) + F.floor(i / 32) % 200).cast("int").alias("year"))
+    artists = named.select("id", F.array_sort(F.array("g", "s")).alias("tokens"), "year", F.concat_ws(" ", "g", "s").alias("name"))
+    listed = [(f"{g} {s} {k}", f"{g} {s}", sorted(t)) for g in given for s in surnames for k, t in (("lost", [g, s[:2] + s[3:]]), ("swap", [g[0] + g[2] + g[1] + g[3:], s]), ("initial", [g[0], s]))]
+    houses = spark.createDataFrame([(i, t, None) for i, _, t in listed], "id string, tokens array<string>, year int")
+    found = K.candidates(artists.drop("name"), houses)
+    right = found.join(artists.select(F.col("id").alias("a_id"), "name"), "a_id").filter(F.col("b_id").startswith(F.col("name")))
+    assert right.count() == 3 * n  # every artist with the three listings of its name
+    assert found.count() <= 12 * n

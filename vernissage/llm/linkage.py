@@ -28,6 +28,7 @@ from __future__ import annotations
 import unicodedata
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -36,6 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vernissage.functions.countries import country_code, country_words
 from vernissage.functions.text import fold, usable, usable_year
 from vernissage.llm.canonical import canonical
 from vernissage.llm.survivor import artist_rows, survivors
@@ -47,14 +49,6 @@ RARE = 64
 #: Vote patterns at most (the levels of all functions multiplied).
 MAX_PATTERNS = 20_000
 
-#: Countries with their codes and the words for their people.
-COUNTRIES = {
-    "FR": "fr fra france french francaise francais", "DE": "de deu germany german deutsch deutsche deutschland", "IT": "it ita italy italian italiana italiano italia",
-    "ES": "es esp spain spanish espanola espanol espana", "PT": "pt prt portugal portuguese portuguesa portugues", "NL": "nl nld netherlands dutch nederlands nederlandse",
-    "PL": "pl pol poland polish polska polski", "SE": "se swe sweden swedish svensk svenska sverige", "GB": "gb gbr uk british britannique united_kingdom great_britain english",
-    "US": "us usa american americaine united_states",
-}
-
 _NOTE = regex.compile(r"\([^()]*\)|\[[^\[\]]*\]")
 _TOKEN = regex.compile(r"[\p{L}\p{N}]+(?:[-'’][\p{L}\p{N}]+)*")
 _YEAR = regex.compile(r"(?:born|b\.|né|née|geb\.)\s*(\d{4})")
@@ -74,11 +68,6 @@ def _tokens_udf(names: pd.Series) -> pd.Series:
     return names.map(name_tokens)
 
 
-def country_of(c: Column | str) -> Column:
-    table = F.create_map(*[F.lit(x) for code, names in COUNTRIES.items() for n in names.split() for x in (n.replace("_", " "), code)])
-    return F.try_element_at(table, fold(c))
-
-
 def one_edit(a: str, b: str) -> str | None:
     """``swap``, ``double`` or ``lost`` for letters swapped, doubled, lost or added, ``near`` for one replaced, else None."""
     if a == b:
@@ -132,17 +121,23 @@ def name_relation(a: Sequence[str], b: Sequence[str]) -> str:
     return "middle" if same > 1 else "other"
 
 
+@lru_cache(1 << 16)
+def _relation(a: tuple[str, ...], b: tuple[str, ...]) -> str:
+    return name_relation(a, b)
+
+
 @F.pandas_udf(T.StringType())
 def _relation_udf(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([name_relation(list(x), list(y)) for x, y in zip(a, b)], dtype=object)
+    return pd.Series([_relation(tuple(x), tuple(y)) for x, y in zip(a, b)], dtype=object)
 
 
 def profiles(df: DataFrame, id_cols: Sequence[str]) -> DataFrame:
     """``id (struct), tokens, year, nat, country, city, land`` of records with a usable name."""
+    words = country_words(df.sparkSession)
     noted = F.regexp_extract("full_name", _YEAR.pattern, 1).try_cast("int")
     year = F.coalesce(F.when(usable_year("birth_year"), F.col("birth_year").cast("int")), noted)
     p = df.filter(usable("full_name")).select(
-        F.struct(*id_cols).alias("id"), _tokens_udf("full_name").alias("tokens"), year.alias("year"), country_of("nationality").alias("nat"), country_of("country").alias("country"), F.when(usable("city"), fold("city")).alias("city"), F.lit(None).cast("string").alias("land")
+        F.struct(*id_cols).alias("id"), _tokens_udf("full_name").alias("tokens"), year.alias("year"), country_code("nationality", words).alias("nat"), country_code("country", words).alias("country"), F.when(usable("city"), fold("city")).alias("city"), F.lit(None).cast("string").alias("land")
     )
     return p.filter(F.size("tokens") > 0)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vernissage.functions.text import fold
@@ -71,18 +71,18 @@ def fold_word(word: str) -> str:
     return " ".join("".join(c for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c)).split())
 
 
-def country_code(c: Column | str, words: dict[str, str]) -> Column:
-    """ISO code of a country or its people, in any of the notations of ``words``; null if unknown."""
-    table = F.from_json(F.lit(_json(words)), "map<string,string>")
-    return F.try_element_at(table, fold(c))
+def country_table(spark: SparkSession, words: dict[str, str] | None = None) -> DataFrame:
+    """``word, code``: a row for each of some two thousand words, whatever the data."""
+    return spark.createDataFrame(sorted((words or country_words(spark)).items()), "word string, code string")
+
+
+def with_country_code(df: DataFrame, column: str, out: str, table: DataFrame) -> DataFrame:
+    """Adds ``out``: the ISO code of a country or its people, in any of the table's notations; null if unknown."""
+    # The table's size does not depend on the data.
+    found = F.broadcast(table.select(F.col("word").alias("_word"), F.col("code").alias(out)))
+    return df.withColumn("_word", fold(column)).join(found, "_word", "left").drop("_word")
 
 
 def is_people(word: Column) -> Column:
     """Whether a folded word names the people of a country."""
     return word.isin(*sorted({w for table in (PEOPLE, PEOPLE_ABROAD) for words in table.values() for w in words.split()}))
-
-
-def _json(words: dict[str, str]) -> str:
-    import json
-
-    return json.dumps(words, ensure_ascii=False)

@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vernissage.functions.countries import country_code, country_words
+from vernissage.functions.countries import country_table, with_country_code
 from vernissage.functions.text import fold, usable, usable_year
 from vernissage.llm.canonical import canonical
 from vernissage.llm.survivor import artist_rows, survivors
@@ -131,21 +131,22 @@ def _relation_udf(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([_relation(tuple(x), tuple(y)) for x, y in zip(a, b)], dtype=object)
 
 
+#: What makes two records the same for every label function.
+PROFILE = ("tokens", "year", "nat", "country", "city", "land")
+
+
 def profiles(df: DataFrame, id_cols: Sequence[str]) -> DataFrame:
     """``id (struct), tokens, year, nat, country, city, land`` of records with a usable name."""
-    words = country_words(df.sparkSession)
     noted = F.regexp_extract("full_name", _YEAR.pattern, 1).try_cast("int")
     year = F.coalesce(F.when(usable_year("birth_year"), F.col("birth_year").cast("int")), noted)
     p = df.filter(usable("full_name")).select(
-        F.struct(*id_cols).alias("id"), _tokens_udf("full_name").alias("tokens"), year.alias("year"), country_code("nationality", words).alias("nat"), country_code("country", words).alias("country"), F.when(usable("city"), fold("city")).alias("city"), F.lit(None).cast("string").alias("land")
+        F.struct(*id_cols).alias("id"), _tokens_udf("full_name").alias("tokens"), year.alias("year"), F.col("nationality").alias("_nat"), F.col("country").alias("_country"), F.when(usable("city"), fold("city")).alias("city"), F.lit(None).cast("string").alias("land")
     )
+    words = country_table(df.sparkSession)
+    p = with_country_code(with_country_code(p, "_nat", "nat", words), "_country", "country", words).select("id", *PROFILE)
     return p.filter(F.size("tokens") > 0)
 
 
-#: What makes two records the same for every label function.
-PROFILE = ("tokens", "year", "nat", "country", "city", "land")
-
-
 def classes(p: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Distinct profiles with the least id of their records and their number, and ``id, member``.
 

@@ -83,3 +83,30 @@ def test_ngrams_do_not_cross_texts():
     assert sorted(together[owner == 1]) == sorted(alone)
     assert len(L.ngram_buckets([])[0]) == 0 and len(L.ngram_buckets(["", "a"])[0]) == 1
 
+
+
+@pytest.mark.parametrize(
+    "text, langs",
+    [
+        # Markup and quotations of any length; text that only looks like them.
+        ('<p data-note="' + "Bitte beachten Sie die Farben dieser Ansicht " * 40 + '">' + EN + "</p>", {"en"}), ("“" + ", ".join(["Bitte beachten Sie die Farben dieser Ansicht"] * 20) + ".” " + EN, {"en"}),
+        ('The panel is 12" high. ' + EN + DE + ' The other is 10" high.', {"en", "de"}), ("3 < 4. " + EN + DE + " 5 > 4.", {"en", "de"}), ('"' + DE * 3 + '"', {"de"}),
+    ],
+)
+def test_markup_and_quotations_of_any_length(model, text, langs):
+    assert set(L.languages_of(L.segments(model, [text])[0])) == langs
+
+
+def test_least_words_are_parameters(spark, model):
+    docs = spark.createDataFrame([(1, EN + "Bitte beachten Sie die Farben.", "en")], "doc_id bigint, text string, lang string")
+    assert L.mislabelled(docs, model).count() == 0
+    assert rows(L.mislabelled(docs, model, min_words=4.0), "doc_id", "lang") == [(1, "de"), (1, "en")]
+
+
+def test_long_texts_are_read_in_linear_time(model):
+    import time
+
+    began = time.perf_counter()
+    for text in ("x" * 300_000 + "@", "<" * 300_000, '"' * 100_001, "«" * 100_000, "日本の画家" * 60_000 + " http://x"):
+        L._QUOTED.sub(" ", L._plain(text))
+    assert time.perf_counter() - began < 5

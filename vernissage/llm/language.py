@@ -40,9 +40,10 @@ ORDERS = (1, 2, 3, 4)
 TEMPERATURE = 4.0
 #: Log-odds a change of language within a document costs.
 SWITCH = 6.0
-#: A segment counts from this many words on; a character of Chinese or Japanese is half a word.
+#: Default of ``min_words``: words from which on a segment makes its language one of the document's,
+#: so that titles and names do not; a character of Chinese or Japanese is half a word.
 MIN_WORDS = 8.0
-#: Words a text needs that has no such segment: below, it has no language.
+#: Default of ``least_words``: words a text needs that has no such segment; below, it has no language.
 LEAST_WORDS = 2.0
 #: Documents at most from which the model learns further words of the languages it knows.
 SAMPLE_DOCUMENTS = 2_000
@@ -59,8 +60,10 @@ LANGUAGE_NAMES = {
     "hu": "hun hungarian", "ro": "ron rum romanian", "el": "ell gre greek", "tr": "tur turkish", "uk": "ukr ukrainian", "zh": "zho chi chinese", "ko": "kor korean", "ar": "ara arabic", "he": "heb hebrew", "ca": "cat catalan",
 }
 
-_TAGS = re.compile(r"<[^<>]{0,400}>|https?://\S+|\S+@\S+|#\w+")
-_QUOTED = re.compile(r"«[^«»\n]{0,200}»|„[^„“”\n]{0,200}[“”]|“[^“”\n]{0,200}”|\"[^\"\n]{0,200}\"|「[^「」\n]{0,200}」|『[^『』\n]{0,200}』|‹[^‹›\n]{0,200}›")
+_TAGS = re.compile(r"<[/!?a-zA-Z][^<>]*>|https?://\S+|(?<!\S)[^\s@]+@\S+|#\w+")
+#: Quoted phrases and sentences of any length, on one line. What holds several sentences is text of its
+#: own; a straight mark after a letter or digit opens nothing (it may be inches).
+_QUOTED = re.compile("|".join(rf"{a}[^{a}{b}\n.!?。！？]*[.!?。！？…]*{b}" for a, b in ("«»", "„“", "„”", "“”", "「」", "『』", "‹›")) + r"|(?<!\w)\"[^\"\n.!?。！？]*[.!?。！？…]*\"")
 _SENTENCE = re.compile(r"[^\n.!?。！？]+(?:[.!?]+(?![\s\n])[^\n.!?。！？]+)*[.!?。！？]*")
 _WORDS = re.compile(r"[^\W\d_]+")
 _MARKED = regex.compile(r"[\p{L}\p{M}]+")
@@ -221,15 +224,15 @@ def _viterbi(rows: np.ndarray) -> list[int]:
     return path[::-1]
 
 
-def languages_of(found: list[Segment]) -> dict[str, float]:
+def languages_of(found: list[Segment], min_words: float = MIN_WORDS, least_words: float = LEAST_WORDS) -> dict[str, float]:
     """Languages that count, with the confidence of their best segment."""
     out: dict[str, float] = {}
     for s in found:
-        if s.words >= MIN_WORDS:
+        if s.words >= min_words:
             out[s.lang] = max(out.get(s.lang, 0.0), s.confidence)
     if not out and found:
         longest = max(found, key=lambda s: s.words)
-        if longest.words >= LEAST_WORDS:
+        if longest.words >= least_words:
             out[longest.lang] = longest.confidence
     return out
 
@@ -280,7 +283,7 @@ def document_segments(docs: DataFrame, model: NaiveBayes, id_col: str = "doc_id"
     return rows.mapInPandas(score, f"id {kind}, segment int, start int, end int, lang string, confidence double, words double").withColumnRenamed("id", id_col)
 
 
-def document_languages(docs: DataFrame, model: NaiveBayes, id_col: str = "doc_id", text: str = "text", label: str = "lang") -> DataFrame:
+def document_languages(docs: DataFrame, model: NaiveBayes, id_col: str = "doc_id", text: str = "text", label: str = "lang", min_words: float = MIN_WORDS, least_words: float = LEAST_WORDS) -> DataFrame:
     """``id, label, languages`` (map of language to confidence; empty for texts without words)."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)
@@ -291,7 +294,7 @@ def document_languages(docs: DataFrame, model: NaiveBayes, id_col: str = "doc_id
             for at in range(0, len(pdf), 256):
                 part = pdf.iloc[at : at + 256]
                 found = segments(shared.value, [t or "" for t in part[text]])
-                yield pd.DataFrame({"id": part[id_col].values, "label": part[label].values, "languages": [list(languages_of(f).items()) for f in found]})
+                yield pd.DataFrame({"id": part[id_col].values, "label": part[label].values, "languages": [list(languages_of(f, min_words, least_words).items()) for f in found]})
 
     out = docs.select(id_col, text, label).mapInPandas(score, f"id {kind}, label string, languages array<struct<lang:string,confidence:double>>")
     return out.withColumnRenamed("id", id_col)
@@ -305,9 +308,12 @@ def label_language(c: Column | str) -> Column:
     return F.coalesce(F.try_element_at(table, key), F.try_element_at(table, F.regexp_extract(key, r"^([a-z]{2,3})[-_][a-z0-9_-]+$", 1)))
 
 
-def mislabelled(docs: DataFrame, model: NaiveBayes) -> DataFrame:
-    """``doc_id, lang, confidence``: one row per language of documents whose label does not tell their one language."""
-    found = document_languages(docs, model)
+def mislabelled(docs: DataFrame, model: NaiveBayes, **words: float) -> DataFrame:
+    """``doc_id, lang, confidence``: one row per language of documents whose label does not tell their one language.
+
+    ``words``: ``min_words`` and ``least_words`` of ``languages_of``.
+    """
+    found = document_languages(docs, model, **words)
     named = found.withColumn("named", label_language("label")).filter(F.size("languages") > 0)
     wrong = F.col("named").isNull() | (F.size("languages") > 1) | (F.col("languages")[0]["lang"] != F.col("named"))
     return named.filter(wrong).select("doc_id", F.inline("languages"))

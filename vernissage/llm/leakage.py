@@ -57,7 +57,7 @@ BLOCK_WORDS = 1_000_000
 #: Words of an item, and of a document, that are aligned at a time; neighbours overlap.
 PIECE, STRETCH = 256, 2048
 
-_TAGS = regex.compile(r"<[^<>]*>")
+_TAGS = regex.compile(r"<[/!?a-zA-Z][^<>]*>")
 _WORD = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}]|[\p{L}\p{M}\p{N}--[\p{Han}\p{Hiragana}\p{Katakana}]]+", regex.V1)
 _HYPHEN = regex.compile(r"(?<=\p{L})[-‐]\s*\n\s*(?=\p{Ll})")
 _MARKS = regex.compile(r"\p{M}+")

@@ -84,5 +84,46 @@ def test_store_rerun_late_crawl_and_compaction(spark, tmp_path):
     assert rows(st.read("current"), "id", "source_file") == [("a", "again"), ("c", "c")]
     st.publish(df(r("d", True, 6, "d", d=5)), replace=False)
     assert rows(st.read("versions").filter("crawl_date = '2025-01-05'"), "id") == [("a",), ("d",)]
-    left = st.delete_crawl("p", "2025-01-05")
-    assert rows(st.current(left), "id", "source_file") == [("a", "old"), ("c", "c")]
+    st.delete_crawl("p", "2025-01-05")
+    assert rows(st.read("current"), "id", "source_file") == [("a", "old"), ("c", "c")] == rows(st.read("versions"), "id", "source_file")
+    st.delete_crawl("p", "2025-01-01")
+    assert st.read("versions") is None and st.read("current") is None
+    assert rows(st.ledger(), "crawl_date", "status") == [(dt.date(2025, 1, 1), "deleted"), (dt.date(2025, 1, 5), "deleted")]
+
+
+def test_readers_keep_the_state_they_opened(spark, tmp_path):
+    st = merge.Store(spark, str(tmp_path), "artworks", "id", ORDER)
+    st.publish(spark.createDataFrame([r("a", True, 5, "one", d=1)], S))
+    st.compact()
+    opened = st.read("current")
+    st.publish(spark.createDataFrame([r("a", True, 5, "two", d=2)], S))
+    st.compact()
+    assert rows(opened, "source_file") == [("one",)] and rows(st.read("current"), "source_file") == [("two",)]
+    st.compact()
+    folders = [p.name for p in (tmp_path / "current" / "dataset=artworks").iterdir() if p.name.startswith("state=")]
+    assert len(folders) == 2  # the state and the one before
+
+
+def test_finalize_counts_rejects_and_keeps_a_ledger(spark, tmp_path):
+    st = merge.Store(spark, str(tmp_path), "artworks", "id", ORDER)
+    df = spark.createDataFrame([r("a", True, 5, "x"), r("a", False, 5, "y"), r("b", True, 5, "x"), r("", True, 5, "x"), r(None, True, 5, "x")], S)
+    bad = spark.createDataFrame([("broken.html", "no payload", 1)], "source_file string, error string, more int")
+    counters = {"rows_in": 5, "no_key": 2, "published": 2, "rejected": 1, "duplicates": 1}
+    assert st.finalize(df, "a b/c", "2025-02-01", bad) == counters
+    assert st.finalize(df.filter("id = 'b'"), "a b/c", "2025-02-01") == {"rows_in": 1, "no_key": 0, "published": 1, "rejected": 0, "duplicates": 0}
+    assert rows(st.read("versions"), "id") == [("b",)]
+    assert rows(st.ledger(), "platform_name", "status", "published") == [("a b/c", "completed", 1)] and st.read("ledger").count() == 2
+    st.delete_crawl("a b/c", "2025-02-01")
+    assert st.read("versions") is None
+
+
+def test_a_large_crawl_is_written_by_many_tasks(spark, tmp_path):
+    st = merge.Store(spark, str(tmp_path), "artworks", "id", [SortField("source_file")])
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    try:
+        wide = spark.range(200_000).select(F.lit("p").alias("platform_name"), F.lit("2025-01-01").cast("date").alias("crawl_date"), F.col("id").cast("string").alias("id"), F.sha2(F.col("id").cast("string"), 256).alias("source_file"))
+        st.publish(wide)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = list((tmp_path / "versions").rglob("*.parquet"))
+    assert len(files) >= 3 and st.read("versions").count() == 200_000

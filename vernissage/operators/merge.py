@@ -1,21 +1,26 @@
 """Upserts as joins and aggregations, and a versioned store of Parquet files.
 
 ``merge_columns`` and ``fold_columns`` are the column-wise merges; ``Store``
-keeps every version per crawl, the latest state, and a ledger. Publishing
-replaces the partition of its crawl and nothing else, so that it can be run
-again, and the latest state is a pure function of the versions: late or
-repeated crawls cannot corrupt it.
+keeps every version per crawl, the latest state, rejected rows and a ledger.
+Publishing replaces the partition of its crawl and nothing else, so that it can
+be run again, and the latest state is a pure function of the versions: late,
+repeated or deleted crawls cannot corrupt it. The latest state is written to a
+folder of its own, and a pointer file that is replaced atomically names the
+folder to read: readers find the old state or the new one, never none.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from vernissage.operators.dedup import SortField, winners
+from vernissage.session import checkpoint
 
 
 def merge_columns(old: DataFrame, new: DataFrame, keys: Sequence[str], own: Column | None = None) -> DataFrame:
@@ -63,8 +68,12 @@ def children(df: DataFrame, keys: Sequence[str], array: str, value: str = "value
     return df.select(*keys, F.posexplode(array).alias("position", value))
 
 
+#: Columns of the ledger: one row for each run of a crawl; the last one counts.
+LEDGER = "dataset string, platform_name string, crawl_date date, status string, rows_in bigint, no_key bigint, duplicates bigint, published bigint, rejected bigint, error string, run_at timestamp"
+
+
 class Store:
-    """Versions, latest state and ledger of one dataset under a folder."""
+    """Versions, latest state, rejected rows and ledger of one dataset under a folder."""
 
     def __init__(self, spark: SparkSession, root: str, dataset: str, key: str, order: Sequence[SortField]):
         self.spark, self.root, self.dataset, self.key, self.order = spark, root.rstrip("/"), dataset, key, list(order)
@@ -73,33 +82,77 @@ class Store:
         return f"{self.root}/{what}/dataset={self.dataset}"
 
     def read(self, what: str) -> DataFrame | None:
+        """``versions``, ``rejects``, ``ledger`` or ``current``; None if nothing was written yet."""
+        path = self.path(what)
+        if what == "current":
+            name = self._pointer()
+            if name is None:
+                return None
+            path = f"{path}/{name}"
         try:
-            return self.spark.read.parquet(self.path(what))
+            return self.spark.read.parquet(path)
         except AnalysisException:
             return None
 
     def publish(self, rows: DataFrame, replace: bool = True) -> None:
         """Winners of ``rows`` (with ``platform_name``, ``crawl_date``) become the versions of their crawls.
 
-        ``replace=False`` keeps versions of keys that are not in ``rows``.
+        ``replace=False`` keeps versions of keys that are not in ``rows``. Files
+        follow the size: a large crawl is written by many tasks, small ones share one.
         """
         best = winners(rows, ["platform_name", "crawl_date", self.key], self.order)
         if not replace and (old := self.read("versions")) is not None:
             crawls = best.select("platform_name", "crawl_date").distinct()
             kept = old.join(crawls, ["platform_name", "crawl_date"], "left_semi").join(best, ["platform_name", "crawl_date", self.key], "left_anti")
-            from vernissage.session import checkpoint
-
             best = checkpoint(best.unionByName(kept, allowMissingColumns=True))
-        (
-            best.repartition("platform_name", "crawl_date", F.pmod(F.xxhash64(self.key), F.lit(8)))
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
-            .partitionBy("platform_name", "crawl_date").parquet(self.path("versions"))
-        )
+        self._write(best, "versions", "overwrite")
 
-    def delete_crawl(self, platform: str, crawl_date: str) -> DataFrame | None:
-        """Versions without one crawl; the caller decides when files are removed."""
-        v = self.read("versions")
-        return None if v is None else v.filter(~((F.col("platform_name") == platform) & (F.col("crawl_date") == F.lit(crawl_date).cast("date"))))
+    def finalize(self, rows: DataFrame, platform: str, crawl_date: str, rejected: DataFrame | None = None) -> dict[str, int]:
+        """Publishes one crawl's rows with its rejected ones and adds a row of counters to the ledger.
+
+        ``rejected`` has ``source_file, error``. Rows without a key are counted
+        and left out. Returns the counters.
+        """
+        named = rows.withColumn("platform_name", F.lit(platform)).withColumn("crawl_date", F.lit(crawl_date).cast("date"))
+        has_key = F.col(self.key).isNotNull() & (F.col(self.key) != "")
+        bad = rejected if rejected is not None else self.spark.createDataFrame([], "source_file string, error string")
+        bad = checkpoint(bad.select("source_file", "error", F.lit(platform).alias("platform_name"), F.lit(crawl_date).cast("date").alias("crawl_date")))
+        self.publish(named)
+        self._write(bad, "rejects", "overwrite")
+        counted = named.agg(F.count("*").alias("rows_in"), F.count_if(~F.coalesce(has_key, F.lit(False))).alias("no_key")).first()
+        mine = (F.col("platform_name") == platform) & (F.col("crawl_date") == F.lit(crawl_date).cast("date"))
+        versions = self.read("versions")
+        published = 0 if versions is None else versions.filter(mine).count()
+        out = {"rows_in": counted["rows_in"], "no_key": counted["no_key"], "published": published, "rejected": bad.count()}
+        out["duplicates"] = out["rows_in"] - out["no_key"] - published
+        self.record(platform, crawl_date, "completed", **out)
+        return out
+
+    def record(self, platform: str, crawl_date: str, status: str, error: str | None = None, **counters: int) -> None:
+        """Adds a row to the ledger."""
+        values = {"dataset": self.dataset, "platform_name": platform, "status": status, "error": error, **counters}
+        fields = T._parse_datatype_string(LEDGER)
+        row = self.spark.range(1).select(*[F.lit(values.get(f.name)).cast(f.dataType).alias(f.name) if f.name not in ("crawl_date", "run_at") else (F.lit(crawl_date).cast("date").alias("crawl_date") if f.name == "crawl_date" else F.current_timestamp().alias("run_at")) for f in fields])
+        row.coalesce(1).write.mode("append").parquet(self.path("ledger"))
+
+    def ledger(self) -> DataFrame | None:
+        """The last row of each crawl."""
+        rows = self.read("ledger")
+        return None if rows is None else winners(rows, ["platform_name", "crawl_date"], [SortField("run_at")])
+
+    def delete_crawl(self, platform: str, crawl_date: str) -> None:
+        """Removes a crawl's versions and rejects and repairs the latest state.
+
+        Entities last seen in that crawl go back to their newest other version,
+        entities seen in no other crawl go.
+        """
+        for what in ("versions", "rejects"):
+            self._remove(f"{self.path(what)}/platform_name={_escaped(self.spark, platform)}/crawl_date={crawl_date}")
+        self.record(platform, crawl_date, "deleted")
+        if self.read("versions") is None:
+            self._remove(self.path("current"))  # it was the only crawl
+        else:
+            self.compact()
 
     def current(self, versions: DataFrame | None = None) -> DataFrame:
         """Latest version of each entity with first and last seen, from all versions."""
@@ -109,16 +162,66 @@ class Store:
         return current_state(v, ["platform_name", self.key])
 
     def compact(self) -> None:
-        """Writes the latest state to a new folder beside the old one, then swaps the names."""
-        out = self.path("current")
-        self.current().write.mode("overwrite").option("compression", "zstd").parquet(f"{out}.next")
-        fs = self.spark._jvm.org.apache.hadoop.fs.FileSystem.get(self.spark._jvm.java.net.URI(out), self.spark._jsc.hadoopConfiguration())
-        P = self.spark._jvm.org.apache.hadoop.fs.Path
-        if fs.exists(P(out)):
-            fs.delete(P(f"{out}.old"), True)
-            fs.rename(P(out), P(f"{out}.old"))
-        fs.rename(P(f"{out}.next"), P(out))
-        fs.delete(P(f"{out}.old"), True)
+        """Writes the latest state to a new folder and turns the pointer to it.
+
+        The folder read before stays until the next run, for readers that still use it.
+        """
+        before = self._pointer()
+        name = f"state={uuid.uuid4().hex}"
+        self.current().write.option("compression", "zstd").parquet(f"{self.path('current')}/{name}")
+        self._point(name)
+        fs, folder = self._fs(self.path("current"))
+        for entry in fs.listStatus(folder):
+            if entry.isDirectory() and entry.getPath().getName() not in (name, before):
+                fs.delete(entry.getPath(), True)
+
+    def _write(self, rows: DataFrame, what: str, mode: str) -> None:
+        (
+            rows.hint("rebalance", "platform_name", "crawl_date")
+            .write.mode(mode).option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
+            .partitionBy("platform_name", "crawl_date").parquet(self.path(what))
+        )
+
+    def _fs(self, path: str):
+        jvm = self.spark._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
+
+    def _remove(self, path: str) -> None:
+        fs, p = self._fs(path)
+        if fs.exists(p) and not fs.delete(p, True):
+            raise OSError(f"{path} could not be removed")
+
+    def _pointer(self) -> str | None:
+        fs, p = self._fs(f"{self.path('current')}/_CURRENT")
+        if not fs.exists(p):
+            return None
+        stream = fs.open(p)
+        try:
+            return bytes(stream.readAllBytes()).decode()
+        finally:
+            stream.close()
+
+    def _point(self, name: str) -> None:
+        """Replaces the pointer: a whole new file takes the old one's place in one step."""
+        jvm = self.spark._jvm
+        fs, p = self._fs(f"{self.path('current')}/_CURRENT")
+        _, new = self._fs(f"{self.path('current')}/_CURRENT.{uuid.uuid4().hex}")
+        stream = fs.create(new, True)
+        try:
+            stream.write(bytearray(name.encode()))
+        finally:
+            stream.close()
+        kind = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+        how = self.spark.sparkContext._gateway.new_array(kind, 1)
+        how[0] = kind.valueOf("OVERWRITE")
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(p.toUri(), self.spark._jsc.hadoopConfiguration())
+        context.rename(new, p, how)
+
+
+def _escaped(spark: SparkSession, value: str) -> str:
+    """A partition value as it stands in a folder's name."""
+    return spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(value)
 
 
 def current_state(versions: DataFrame, keys: Sequence[str], at: str = "crawl_date") -> DataFrame:

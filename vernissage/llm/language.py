@@ -61,9 +61,10 @@ LANGUAGE_NAMES = {
 }
 
 _TAGS = re.compile(r"<[/!?a-zA-Z][^<>]*>|https?://\S+|(?<!\S)[^\s@]+@\S+|#\w+")
-#: Quoted phrases and sentences of any length, on one line. What holds several sentences is text of its
-#: own; a straight mark after a letter or digit opens nothing (it may be inches).
-_QUOTED = re.compile("|".join(rf"{a}[^{a}{b}\n.!?。！？]*[.!?。！？…]*{b}" for a, b in ("«»", "„“", "„”", "“”", "「」", "『』", "‹›")) + r"|(?<!\w)\"[^\"\n.!?。！？]*[.!?。！？…]*\"")
+#: Quoted phrases of any length, on one line; a straight mark after a letter or digit opens nothing (it may be inches).
+_QUOTED = re.compile("|".join(rf"{a}[^{a}{b}\n]*{b}" for a, b in ("«»", "„“", "„”", "“”", "「」", "『』", "‹›")) + r"|(?<!\w)\"[^\"\n]*\"")
+#: A sentence that ends within a quotation: what holds several sentences is text of its own, no phrase.
+_INNER_END = re.compile(r"(?<=\w\w\w\w)[.!?…]\s+(?=[A-ZÀ-ÞΑ-ΩА-Я¿¡])|[。！？](?=[^。！？])")
 _SENTENCE = re.compile(r"[^\n.!?。！？]+(?:[.!?]+(?![\s\n])[^\n.!?。！？]+)*[.!?。！？]*")
 _WORDS = re.compile(r"[^\W\d_]+")
 _MARKED = regex.compile(r"[\p{L}\p{M}]+")
@@ -77,6 +78,11 @@ def _plain(text: str) -> str:
     return unicodedata.normalize("NFC", text)
 
 
+def _unquoted(text: str) -> str:
+    """Text with blanks in the place of quoted phrases."""
+    return _QUOTED.sub(lambda m: m.group() if _INNER_END.search(m.group()[1:-1]) else " " * len(m.group()), text)
+
+
 def _letters(text: str) -> str:
     """Words in lower case with one blank around each; everything else is dropped."""
     text = text.lower()
@@ -139,7 +145,7 @@ class NaiveBayes:
         size = 1 << BUCKETS_BITS
         counts = np.zeros((len(languages), size))
         for i, lang in enumerate(languages):
-            own = [_letters(_QUOTED.sub(" ", _plain(t))) for x, t in samples if x == lang and t]
+            own = [_letters(_unquoted(_plain(t))) for x, t in samples if x == lang and t]
             for at in range(0, len(own), 200):
                 counts[i] += np.bincount(ngram_buckets(own[at : at + 200])[0], minlength=size)
         counts += alpha
@@ -177,7 +183,7 @@ def segments(model: NaiveBayes, texts: list[str]) -> list[list[Segment]]:
     spans: list[list[tuple[int, int, int, float]]] = []
     for text in texts:
         plain = _plain(text)
-        bare = _QUOTED.sub(lambda m: " " * len(m.group()), plain)
+        bare = _unquoted(plain)
         own = []
         for m in _SENTENCE.finditer(bare) if model.languages else ():
             letters = _letters(m.group())

@@ -2,10 +2,13 @@ import datetime as dt
 import gzip
 import json
 
+import pytest
+from pyspark.sql import functions as F
+
 from vernissage.functions.urls import Rule
 from vernissage.sources import crawl, lists
 
-from .conftest import rows
+from .conftest import rows, utc
 
 
 def write(path, text):
@@ -34,7 +37,6 @@ def test_pages_and_log(spark, tmp_path):
 def test_manifest_folder_and_pending(spark, tmp_path):
     for day, status in (("2025-01-03", "completed"), ("2025-02", "failed"), ("2025-03-01", "running")):
         write(tmp_path / "p" / day / "manifest.json", json.dumps({"status": status, "finished_at": "2025-01-05T00:00:00"}))
-    write(tmp_path / "p" / "2025-04-01" / "manifest.json", "[1, 2]")
     m = crawl.manifests(spark, str(tmp_path / "p" / "*" / "manifest.json"))
     assert rows(m, "platform_name", "crawl_day", "status") == [("p", dt.date(2025, 1, 3), "completed"), ("p", dt.date(2025, 2, 1), "failed"), ("p", dt.date(2025, 3, 1), "running")]
     s = "platform_name string, crawl_date string, status string, started_at string, finished_at string"
@@ -43,6 +45,41 @@ def test_manifest_folder_and_pending(spark, tmp_path):
     assert rows(crawl.pending(man, led), "crawl_date", "action") == [("a", "done"), ("b", "stale"), ("c", "resume"), ("d", "new")]
 
 
+@pytest.mark.parametrize("text", ["[1, 2]", "{broken", ""])
+def test_a_manifest_that_is_no_object_is_an_error(spark, tmp_path, text):
+    write(tmp_path / "p" / "2025-04-01" / "manifest.json", text)
+    with pytest.raises(Exception, match="no manifest" if text else ""):
+        rows(crawl.manifests(spark, str(tmp_path / "p" / "*" / "manifest.json")), "status")
+        assert not text, "an empty file has no line to complain about"
+        raise ValueError
+
+
+def test_folders_and_dates_of_crawls(spark, tmp_path):
+    for day in ("2025-03", "2025-01-09", "notes", "2025-13-01"):
+        write(tmp_path / "p" / day / "html" / "a.html", "x")
+    write(tmp_path / "p" / "flat" / "a.html", "x")
+    assert [(r.folder, r.crawl_date) for r in crawl.crawl_folders(spark, str(tmp_path), "p").collect()] == [("2025-01-09", dt.date(2025, 1, 9)), ("2025-03", dt.date(2025, 3, 1))]
+    assert crawl.crawl_folders(spark, str(tmp_path), "none").count() == 0
+    assert crawl.html_root(spark, str(tmp_path / "p" / "notes")).endswith("/notes/html") and crawl.html_root(spark, str(tmp_path / "p" / "flat")).endswith("/flat")
+    assert crawl.crawl_date_of(spark, "/data/p/2025-03/html") == "2025-03-01" and crawl.crawl_date_of(spark, "/data/p", "2024-01-01") == "2024-01-01"
+    with pytest.raises(ValueError, match="no dated folder"):
+        crawl.crawl_date_of(spark, "/data/p/html")
+
+
+def test_times_of_pages_in_order_of_trust(spark):
+    f = spark.createDataFrame([("a", utc(2025, 1, 1), utc(2025, 3, 1)), ("b", utc(2025, 1, 1), None), ("c", utc(2025, 1, 1), None)], "filename string, modified timestamp, said timestamp")
+    log = spark.createDataFrame([("a", "u", utc(2025, 2, 1)), ("b", "v", utc(2025, 2, 1))], "filename string, url string, crawled_at timestamp")
+    assert [r.crawled_at.month for r in crawl.pages_with_log(f, log, F.col("said")).orderBy("filename").collect()] == [3, 2, 1]
+
+
+def test_finished_snapshots(spark, tmp_path):
+    spark.createDataFrame([("a b", "2025-01-01", "1"), ("a b", "2025-02-01", "2")], "platform_name string, crawl_date string, id string").write.partitionBy("platform_name", "crawl_date").parquet(str(tmp_path / "s"))
+    folder = next(p for p in (tmp_path / "s").rglob("crawl_date=2025-01-01"))
+    write(folder / "_manifest.json", "{}")
+    assert rows(crawl.finished_snapshots(spark, str(tmp_path / "s"), "id string, platform_name string, crawl_date date"), "id") == [("1",)]
+    assert crawl.platforms(spark, str(tmp_path / "s")) in (["a b"], ["a%20b"])
+
+
 def test_retention_keeps_the_newest_complete(spark):
     f = spark.createDataFrame([("p", d) for d in "abcde"], "platform_name string, crawl_date string")
     led = spark.createDataFrame([("p", d, x, "completed") for d in "abce" for x in ("artists", "artworks")] + [("p", "d", "artists", "completed")], "platform_name string, crawl_date string, dataset string, status string")

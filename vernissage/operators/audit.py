@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vernissage.operators.ordering import sliding
+
 
 def counters(df: DataFrame, by: Sequence[str], **conditions: Column) -> DataFrame:
     """Rows and rows that meet each condition, per group."""
@@ -38,9 +40,8 @@ def histogram(df: DataFrame, by: Sequence[str], value: str, width: float) -> Dat
 
 
 def rate_alarm(df: DataFrame, by: Sequence[str], order: Sequence[Column], flag: Column, rows: int = 100, share: float = 0.15) -> DataFrame:
-    """Rows at which at least ``share`` of the last ``rows`` rows (a full window) are flagged."""
-    w = Window.partitionBy(*by).orderBy(*order).rowsBetween(-(rows - 1), 0)
-    seen = df.withColumn("rate", F.avg(F.when(flag, 1.0).otherwise(0.0)).over(w)).withColumn("n_window", F.count("*").over(w))
+    """Rows at which at least ``share`` of the last ``rows`` rows (a full window) are flagged; groups may be of any size."""
+    seen = sliding(df, by, order, rows, rate=F.avg(F.when(flag, 1.0).otherwise(0.0)), n_window=F.count("*"))
     return seen.filter((F.col("n_window") == rows) & (F.col("rate") >= share))
 
 
@@ -52,8 +53,8 @@ def hash_sample(df: DataFrame, key: str, n: int, seed: int = 0) -> DataFrame:
 def spread_sample(df: DataFrame, size: int, weight: str, at: str, key: str) -> DataFrame:
     """A quarter of the sample by weight, the rest evenly over time.
 
-    The even part takes the least row of each of equally many ranges of time
-    positions, which are found by an approximate quantile and one aggregation.
+    The even part takes the first row of each of equally long stretches of time;
+    a stretch without rows gives none.
     """
     heavy = df.orderBy(F.desc(weight), F.col(key)).limit(max(1, size // 4))
     rest = df.join(heavy.select(key), key, "left_anti")
@@ -83,3 +84,22 @@ def requeue(children: DataFrame, cached: DataFrame, keys: Sequence[str], found:
     promised = children.agg(F.coalesce(F.sum(F.when(F.col(done), F.col(found))), F.lit(0))).scalar()
     have = cached.select(*keys).distinct().agg(F.count("*")).scalar()
     return children.filter((have < promised * least_share) | ~F.coalesce(F.col(done), F.lit(False)))
+
+
+def window_summary(windows: DataFrame, rows: DataFrame, window: str, key: Sequence[str], expected: str = "expected", settled: str = "settled") -> DataFrame:
+    """Per window its expected and found keys, duplicate rows, what is missing, and its status.
+
+    ``done`` if nothing is missing and the window is settled, ``incomplete`` if
+    something is missing of a settled one, else ``open``.
+    """
+    per = rows.groupBy(window, *key).agg(F.count("*").alias("_n")).groupBy(window).agg(F.count("*").alias("found"), (F.sum("_n") - F.count("*")).alias("n_duplicates"))
+    j = windows.join(per, window, "left").withColumn("found", F.coalesce("found", F.lit(0))).withColumn("n_duplicates", F.coalesce("n_duplicates", F.lit(0)))
+    j = j.withColumn("missing", F.greatest(F.col(expected) - F.col("found"), F.lit(0)))
+    status = F.when(~F.coalesce(F.col(settled), F.lit(False)), "open").when(F.col("missing") > 0, "incomplete").otherwise("done")
+    return j.withColumn("status", status)
+
+
+def next_children(children: DataFrame, state: DataFrame, url: str, epoch: str, order: Sequence[Column], k: int) -> DataFrame:
+    """The first ``k`` children not done in their present epoch, in the given order."""
+    done = state.filter("done").select(url, epoch).distinct()
+    return children.join(done, [url, epoch], "left_anti").orderBy(*order, F.col(url)).limit(k)

@@ -14,12 +14,13 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from vernissage.operators.dedup import SortField, winners
+from vernissage.operators.ordering import positions
 from vernissage.session import checkpoint
 
 
@@ -241,4 +242,11 @@ def latest_epoch(log: DataFrame, window: Sequence[str], epoch: str, position: st
 
 
 def running_rank(df: DataFrame, keys: Sequence[str], order: Sequence[Column], out: str = "rank") -> DataFrame:
-    return df.withColumn(out, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    """Adds each row's rank in its group, which may be of any size."""
+    return positions(df, keys, order, out)
+
+
+def delete_pairs(df: DataFrame, pairs: DataFrame, columns: Sequence[str], arrays: Sequence[str]) -> DataFrame:
+    """Rows without those whose ``columns`` stand side by side in the ``arrays`` of a row of ``pairs``."""
+    named = F.transform(F.arrays_zip(*arrays), lambda z: F.struct(*[z[a].alias(c) for a, c in zip(arrays, columns)]))
+    return df.join(pairs.select(F.inline(named)).distinct(), list(columns), "left_anti")

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vernissage.session import broadcast_if_small
+
 #: More ledger rows than this are joined by shuffle instead of by broadcast.
 LEDGER_BROADCAST_ROWS = 100_000
 
@@ -26,9 +28,7 @@ def crawls_of(ledger: DataFrame, dataset: str, full_only: bool = False) -> DataF
 
 def only_crawls(rows: DataFrame, crawls: DataFrame) -> DataFrame:
     """Rows that belong to the given crawls. The ledger is broadcast only if counted small."""
-    if crawls.limit(LEDGER_BROADCAST_ROWS + 1).count() <= LEDGER_BROADCAST_ROWS:
-        crawls = F.broadcast(crawls)
-    return rows.join(crawls, ["platform_name", "crawl_date"], "left_semi")
+    return rows.join(broadcast_if_small(crawls, LEDGER_BROADCAST_ROWS), ["platform_name", "crawl_date"], "left_semi")
 
 
 def best_per_crawl(rows: DataFrame, keys: Sequence[str], rank: Column, values: Sequence[str]) -> DataFrame:

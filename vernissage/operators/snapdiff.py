@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from vernissage.functions.text import clean_id
 from vernissage.operators.observations import LEDGER_BROADCAST_ROWS, best_per_crawl, best_rank, crawls_of
-from vernissage.session import checkpoint
+from vernissage.session import broadcast_if_small, checkpoint
 
 #: Rows of one snapshot that share a leaf, on average, and children per inner node (a power of two).
 ROWS_PER_LEAF, FAN_OUT = 16, 16
@@ -124,8 +124,7 @@ def snapshot_diff(snapshots: DataFrame, source: str, key: str, values: Sequence[
 def artwork_changes(artworks: DataFrame, ledger: DataFrame) -> DataFrame:
     """``platform_name, platform_artwork_id, crawl_date, change_kind`` between consecutive full crawls."""
     crawls = consecutive_crawls(crawls_of(ledger, "artworks", full_only=True)).select("platform_name", "crawl_date", "seq")
-    if crawls.limit(LEDGER_BROADCAST_ROWS + 1).count() <= LEDGER_BROADCAST_ROWS:
-        crawls = F.broadcast(crawls)
+    crawls = broadcast_if_small(crawls, LEDGER_BROADCAST_ROWS)
     cols = ["platform_name", "platform_artwork_id", "crawl_date", "price", "is_available_for_sale", "has_detail", "crawled_at", "source_file"]
     rows = artworks.select(*cols).join(crawls, ["platform_name", "crawl_date"]).withColumn("platform_artwork_id", clean_id("platform_artwork_id")).filter("platform_artwork_id is not null")
     best = best_per_crawl(rows, ["platform_name", "platform_artwork_id", "seq"], best_rank("has_detail", "crawled_at", "source_file"), ["price", "is_available_for_sale"])

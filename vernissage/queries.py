@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vernissage import page_queries, survey_queries  # noqa: F401 - registers its queries
+from vernissage import page_queries, source_queries, survey_queries  # noqa: F401 - they register their queries
 from vernissage.operators import history, snapdiff, units
 from vernissage.session import table
 

@@ -13,6 +13,7 @@ from vernissage.operators.dedup import SortField, winners
 
 LOG_SCHEMA = "url string, filename string, status_code int, error string, block_detected boolean, block_reason string, duration_ms int, timestamp string, skipped_existing boolean, _bad string"
 MANIFEST_SCHEMA = "marketplace string, crawl_date string, started_at string, finished_at string, workers int, rps double, url_count int, status string, crawl_mode string"
+MANIFEST_TYPE = f"struct<{MANIFEST_SCHEMA.replace(' ', ':').replace(',:', ',')}>"
 
 
 def page_files(spark: SparkSession, root: str) -> DataFrame:
@@ -30,10 +31,12 @@ def crawl_log(spark: SparkSession, path: str) -> DataFrame:
     """``filename, url, crawled_at``: the last entry of each file.
 
     Broken lines and entries without a file are dropped (``bad_lines`` counts
-    them). The order of lines is that of the file's partitions.
+    them). Lines follow each other by the log's path, the place of their block
+    in it, and their order within the block.
     """
     log = spark.read.schema(LOG_SCHEMA).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_bad").json(path)
-    rows = log.withColumn("_at", F.monotonically_increasing_id()).filter("_bad is null and filename is not null and filename <> ''")
+    at = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
+    rows = log.withColumn("_at", at).filter("_bad is null and filename is not null and filename <> ''")
     return winners(rows.select("filename", "url", to_timestamp("timestamp").alias("crawled_at"), "_at"), ["filename"], [SortField("_at")]).drop("_at")
 
 
@@ -42,10 +45,47 @@ def bad_lines(spark: SparkSession, path: str) -> DataFrame:
     return text.agg(F.count("*").alias("n_lines"), F.count_if(F.try_parse_json("value").isNull()).alias("n_bad"))
 
 
-def pages_with_log(files: DataFrame, log: DataFrame) -> DataFrame:
-    """Pages with their address and time; the file's own time where the log has none."""
+def pages_with_log(files: DataFrame, log: DataFrame, said: Column | None = None) -> DataFrame:
+    """Pages with their address and time: what the page says, else the log, else the file's own time."""
     j = files.join(log, "filename", "left")
-    return j.withColumn("crawled_at", F.coalesce("crawled_at", "modified")).drop("modified")
+    times = ([] if said is None else [said]) + [F.col("crawled_at"), F.col("modified")]
+    return j.withColumn("crawled_at", F.coalesce(*times)).drop("modified")
+
+
+def _children(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder, sorted; none if it is missing."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    return sorted(f.getPath().getName() for f in fs.listStatus(p) if f.isDirectory())
+
+
+def html_root(spark: SparkSession, folder: str) -> str:
+    """The ``html`` folder of a crawl's folder, or the folder itself if it has none."""
+    return f"{folder.rstrip('/')}/html" if "html" in _children(spark, folder) else folder
+
+
+def crawl_folders(spark: SparkSession, root: str, platform: str) -> DataFrame:
+    """``platform_name, folder, crawl_date`` of a platform's dated folders, in order of their names."""
+    names = _children(spark, f"{root.rstrip('/')}/{platform}")
+    found = spark.createDataFrame([(platform, n) for n in names], "platform_name string, folder string")
+    return found.withColumn("crawl_date", folder_date("folder")).filter("crawl_date is not null").orderBy("folder")
+
+
+def platforms(spark: SparkSession, root: str) -> list[str]:
+    """Platforms that have snapshots below a root."""
+    return [n.removeprefix("platform_name=") for n in _children(spark, root) if n.startswith("platform_name=")]
+
+
+def crawl_date_of(spark: SparkSession, folder: str, explicit: str | None = None) -> str:
+    """A crawl's date: the one given, else that of the nearest folder whose name is one; it must have one."""
+    if explicit is not None:
+        return explicit
+    found = spark.range(1).select(crawl_of_path(F.lit(folder))["crawl_date"].cast("string").alias("d")).first()["d"]
+    if found is None:
+        raise ValueError(f"{folder} lies in no dated folder")
+    return found
 
 
 def crawl_of_path(path: Column | str) -> Column:
@@ -58,10 +98,12 @@ def crawl_of_path(path: Column | str) -> Column:
 
 
 def manifests(spark: SparkSession, glob: str) -> DataFrame:
-    """Manifests of crawls with the crawl their folder names; files that are no object are dropped."""
-    m = spark.read.schema(MANIFEST_SCHEMA).option("multiLine", "true").json(glob)
-    at = crawl_of_path(F.col("_metadata.file_path"))
-    return m.withColumn("_c", at).filter("status is not null").select(F.col("_c.platform_name").alias("platform_name"), F.col("_c.crawl_date").alias("crawl_day"), "*").drop("_c")
+    """Manifests of crawls with the crawl their folder names. A file that is no JSON object is an error."""
+    raw = spark.read.option("wholetext", "true").text(glob).select("value", crawl_of_path(F.col("_metadata.file_path")).alias("_c"), F.col("_metadata.file_path").alias("path"))
+    v = raw.withColumn("v", F.try_parse_json("value"))
+    whole = F.when(F.coalesce(F.schema_of_variant("v").startswith("OBJECT"), F.lit(False)), F.from_json("value", MANIFEST_SCHEMA))
+    checked = F.coalesce(whole, F.raise_error(F.concat(F.lit("no manifest: "), F.col("path"))).cast(MANIFEST_TYPE))
+    return v.select(F.col("_c.platform_name").alias("platform_name"), F.col("_c.crawl_date").alias("crawl_day"), checked.alias("m")).select("platform_name", "crawl_day", "m.*")
 
 
 def snapshots(spark: SparkSession, root: str, schema: str) -> DataFrame:
@@ -69,6 +111,16 @@ def snapshots(spark: SparkSession, root: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("basePath", root).parquet(f"{root}/platform_name=*/crawl_date=*")
 
 
+def finished_snapshots(spark: SparkSession, root: str, schema: str) -> DataFrame:
+    """Rows of snapshots whose folder holds a manifest beside its parts; others are still being written."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/platform_name=*/crawl_date=*/_manifest.json")
+    # One name per crawl, from the listing alone.
+    names = [str(f.getPath()) for f in p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p) or ()]
+    done = spark.createDataFrame([(n,) for n in names], "path string")
+    done = done.select(F.url_decode(F.regexp_extract("path", r"/platform_name=([^/]+)/", 1)).alias("platform_name"), F.regexp_extract("path", r"/crawl_date=([^/]+)/", 1).cast("date").alias("crawl_date"))
+    return snapshots(spark, root, schema).join(done, ["platform_name", "crawl_date"], "left_semi")
+
+
 def with_seen(df: DataFrame) -> DataFrame:
     return df.withColumn("seen_at", seen_at("crawled_at", "crawl_date"))
 

@@ -334,6 +334,25 @@ def object_after(key: str):
     return F.pandas_udf(lambda chunks: chunks.map(one), T.StringType())
 
 
+def literal_with(marker: str, key: str):
+    """Function of pages: JSON text of the first JavaScript object right after a marker that has a key."""
+
+    @F.pandas_udf(T.StringType())
+    def found(pages: pd.Series) -> pd.Series:
+        def one(html: str | None) -> str | None:
+            at = (html or "").find(marker)
+            while at >= 0:
+                value = parse_literal(balanced(html, at + len(marker)))
+                if isinstance(value, dict) and value.get(key) is not None:
+                    return _json(value)
+                at = html.find(marker, at + 1)
+            return None
+
+        return pages.map(one)
+
+    return found
+
+
 class _Cards(HTMLParser):
     """Collects the texts and attributes of the elements inside every card."""
 

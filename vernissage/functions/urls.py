@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -67,6 +68,55 @@ def classify(url: Column | str, rules: Sequence[Rule]) -> Column:
     return out
 
 
+#: Parts of a template and the patterns they stand for.
+_PARTS = {"{d}": r"(\d+)", "{s}": r"([A-Za-z0-9_-]+)", "{x}": r"([0-9A-Fa-f]{10,})", "*": r"[^/?#]+", "~": r"(?:[A-Za-z]{2}/)?", "**": r"[^?#]*"}
+
+
+def template(entity_type: str, path: str, lower: bool = False) -> Rule:
+    """Rule of a path template: ``{d}``, ``{s}``, ``{x}`` are an id of digits, letters or hex, ``*`` a part, ``**`` the rest, ``~`` an optional language."""
+    pieces = re.split(r"(\{[dsx]\}|\*\*|\*|~)", path)
+    return Rule(entity_type, "^" + "".join(_PARTS.get(p) or re.escape(p) for p in pieces) + "/?$", lower=lower)
+
+
+@dataclass(frozen=True)
+class Entities:
+    """Entity pages of one site. ``plain``: addresses with a query or fragment are none; ``reserved``: ids that are none."""
+
+    host: str
+    rules: tuple[Rule, ...]
+    plain: bool = False
+    reserved: frozenset[str] = frozenset()
+    upper: bool = False
+
+
+def entity_of(url: Column | str, site: Entities) -> Column:
+    """``struct(entity_type, entity_id)`` of an address of the site, also on a subdomain of it; else null."""
+    u = _col(url)
+    host = F.lower(F.regexp_extract(u, r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*://)?(?:[^/?#@]*@)?([^/?#:]+)", 1))
+    ours = (host == site.host) | host.endswith("." + site.host)
+    if site.plain:
+        ours = ours & ~u.rlike("[?#]")
+    k = classify(u, site.rules)
+    key = F.upper(k["entity_id"]) if site.upper else k["entity_id"]
+    return F.when(ours & k.isNotNull() & ~F.lower(key).isin(*(site.reserved or {""})), F.struct(k["entity_type"].alias("entity_type"), key.alias("entity_id")))
+
+
+#: How sites write the addresses of their entities, and first parts that are no entity.
+ENTITIES = {
+    "artsper": Entities("artsper.com", (template("artwork", "/~contemporary-artworks/*/{d}/**"), template("artist", "/~contemporary-artists/*/{d}/**"))),
+    "saatchi": Entities("saatchiart.com", (template("artwork", "/art/*/*/{d}"), template("artwork", "/art/*/*/{d}/view"), template("artist", "/account/profile/{s}", True), template("artist", "/{s}", True)), reserved=frozenset("art account accounts search collections stories magazine api www".split())),
+    "artsy": Entities("artsy.net", (template("artwork", "/artwork/{s}", True), template("artist", "/artist/{s}", True))),
+    "artmajeur": Entities("artmajeur.com", (template("artwork", "/*/~artworks/{d}/**"), template("artist", "/{s}", True)), reserved=frozenset("en fr de es it pt nl pl ru ja zh magazine help search blog faq www api cdn-cgi".split())),
+    "singulart": Entities("singulart.com", (template("artist", "/~artist/*-{d}"), template("artwork", "/~artworks/*-{d}")), plain=True),
+    "1stdibs": Entities("1stdibs.com", (template("item", "/art/**/id-a_{d}"), template("dealer", "/dealers/{s}", True)), plain=True),
+    "artfinder": Entities("artfinder.com", (template("artwork", "/product/{s}", True), template("artist", "/artist/{s}", True)), plain=True),
+    "fineartamerica": Entities("fineartamerica.com", (template("artwork", "/featured/{s}.html", True), template("artist", "/profiles/{s}", True)), plain=True),
+    "phaidon": Entities("phaidon.com", (template("product", "/products/{s}", True),), plain=True),
+    "ugallery": Entities("ugallery.com", (template("artwork", "/products/{s}", True), template("artist", "/pages/{s}", True)), plain=True, reserved=frozenset("contact terms about-us faq for-artists commissions quiz privacy-policy accessibility a-guide-to-choosing-art-for-your-home how-to-decorate-your-living-room-with-original-art".split())),
+    "mutualart": Entities("mutualart.com", tuple(template(k.lower(), f"/{k}/*/{{x}}") for k in ("Artist", "Organization", "Exhibition", "Auction")), plain=True, upper=True),
+}
+
+
 def canonical_url(url: Column | str, site: Site) -> Column:
     """https, the site's one host, no fragment, tracking, locale or closing slash."""
     t = drop_tracking(url) if site.keep_query else F.regexp_replace(_col(url), r"[?#].*$", "")

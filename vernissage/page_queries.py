@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vernissage.functions import payload
-from vernissage.plans import mappings, pages
+from vernissage.plans import lots, mappings, pages
 from vernissage.session import table
 from vernissage.survey_queries import _clean, _id, query
 
@@ -116,3 +116,71 @@ def p_blocked(spark: SparkSession, d: str) -> DataFrame:
     status, header = F.when(u == 0, 429).otherwise(200), F.when(u == 1, "cf-mitigated: Challenge")
     body = F.when(u == 2, F.concat(F.coalesce("props", F.lit("")), F.lit(" solve the CAPTCHA"))).otherwise(F.col("props"))
     return table(spark, d, "events").groupBy("event_type", payload.blocked(status, header, body).alias("reason")).agg(F.count("*").alias("n"))
+
+
+# ── lots of auction houses ──────────────────────────────────────────────────────
+
+_LOT = (
+    "CAST(p_partkey AS VARCHAR) AS platform_lot_id, p_name AS title, 'EUR' AS currency, CAST(CASE WHEN p_size > 10 THEN p_retailprice END AS DECIMAL(14,2)) AS low_estimate, "
+    "CAST(CASE WHEN p_size > 25 THEN p_retailprice END AS DECIMAL(14,2)) AS price_realized, p_size > 25 AS is_result, p_brand AS selling_house_name, 'Bronze' AS medium, 30.0::DOUBLE AS height_cm, 1911::SMALLINT AS year, true AS is_signed"
+)
+_LOT_COLUMNS = ["platform_lot_id", "title", "currency", "low_estimate", "price_realized", "is_result", "selling_house_name", "medium", "height_cm", "year", "is_signed"]
+
+
+def _lots(spark: SparkSession, d: str, source: str, page) -> DataFrame:
+    """All parts as lots of one source; amounts of zero stand where there is none."""
+    p = table(spark, d, "part")
+    money = F.col("p_retailprice").cast("decimal(14,2)")
+    p = p.select(
+        F.col("p_partkey").cast("string").alias("id"), F.col("p_name").alias("name"), F.col("p_brand").alias("house"), F.when(F.col("p_size") > 10, money).otherwise(0).alias("low"), F.when(F.col("p_size") > 25, money).otherwise(0).alias("price"),
+        (F.col("p_size") > 25).alias("sold"), F.concat("p_name", F.lit("\nBronze, signed. Cast in 1911. 30 x 20 cm")).alias("text"),
+    )
+    pages = p.select(F.col("id").alias("filename"), F.lit(None).cast("timestamp").alias("crawled_at"), page(p).alias("html"))
+    return lots.lot_rows(pages, source, 2026).select(*_LOT_COLUMNS)
+
+
+@query(f"SELECT {_LOT} FROM part")
+def p_lots_invaluable(spark: SparkSession, d: str) -> DataFrame:
+    lot = F.struct(F.col("id").alias("lotRef"), F.col("name").alias("lotTitle"), F.col("text").alias("lotDescription"), F.lit("eur").alias("currency"), F.col("low").alias("estimateLow"), F.col("price").alias("soldAmount"), F.col("sold").alias("isLotSold"))
+    state = F.to_json(F.struct(F.struct(lot.alias("lotData"), F.struct(F.col("house").alias("name")).alias("auctionHouseData")).alias("pdp")))
+    return _lots(spark, d, "invaluable", lambda p: F.concat(F.lit("<script>window.__PRELOADED_STATE__ = "), state, F.lit(";</script>")))
+
+
+@query(f"SELECT {_LOT.replace('p_size > 25 AS is_result', 'true AS is_result')} FROM part")
+def p_lots_liveauctioneers(spark: SparkSession, d: str) -> DataFrame:
+    """The lot is named by its id on some pages, by the slug of the address on others."""
+    item = F.struct(F.col("id").alias("slug"), F.col("name").alias("title"), F.col("text").alias("shortDescription"), F.lit("EUR").alias("currency"), F.col("low").alias("lowBidEstimate"), F.col("price").alias("salePrice"), F.col("sold").alias("isSold"), F.col("house").alias("sellerName"))
+    other = F.struct(F.lit("other").alias("slug"), F.lit("Other").alias("title"))
+    by_id = F.concat(F.lit('{"0": '), F.to_json(other), F.lit(', "7": '), F.to_json(item), F.lit("}"))
+    named = F.when(F.col("id").cast("int") % 2 == 0, F.lit('"7"')).otherwise(F.lit("null"))
+    data = F.concat(F.lit('{"data": {"itemSummary": {"byId": '), by_id, F.lit('}, "priceResults": {"slugItemId": '), named, F.lit("}}}"))
+    link = F.concat(F.lit('<link href="https://h.example/price-result/'), F.col("id"), F.lit('/?x=1">'))
+    return _lots(spark, d, "liveauctioneers", lambda p: F.concat(link, F.lit('<script id="__SERVER_DATA__">'), data, F.lit("</script>")))
+
+
+@query(f"SELECT {_LOT} FROM part")
+def p_lots_drouot(spark: SparkSession, d: str) -> DataFrame:
+    """A JavaScript literal after one that is no lot."""
+    sale = F.struct(F.struct(F.struct(F.col("house").alias("auctioneerName")).alias("link")).alias("auctioneerCard"))
+    lot = F.struct(F.col("id"), F.col("text").alias("description"), F.lit("EUR").alias("currencyId"), F.col("low").alias("lowEstim"), F.col("price").alias("result"), sale.alias("saleInfo"))
+    return _lots(spark, d, "drouot", lambda p: F.concat(F.lit("<script>a({data:{user:null}},{data:{lot:"), F.to_json(lot), F.lit(",metaData:{canonicalUrl:'x'},n:void 0}})</script>")))
+
+
+@query(f"SELECT {_LOT} FROM part")
+def p_lots_barnebys(spark: SparkSession, d: str) -> DataFrame:
+    lot = F.struct(F.concat(F.lit("lot-"), "id").alias("id"), F.col("name").alias("title"), F.col("text").alias("description"), F.lit("EUR").alias("currency"), F.col("low").alias("estimatePrice"), F.lit(0).alias("soldPrice"), F.col("price").alias("hammer_price"), F.struct(F.col("house").alias("name")).alias("auctionHouse"))
+    text = F.concat(F.lit('1:{"lot" : '), F.to_json(lot), F.lit("}"))
+    chunk = F.regexp_replace(F.to_json(F.array(text)), r"^\[|\]$", "")
+    return _lots(spark, d, "barnebys", lambda p: F.concat(F.lit("<script>self.__next_f.push([1,"), chunk, F.lit("])</script>")))
+
+
+@query(f"SELECT {_LOT.replace('p_brand AS selling_house_name', 'NULL::VARCHAR AS selling_house_name')} FROM part")
+def p_lots_artcurial(spark: SparkSession, d: str) -> DataFrame:
+    """A table of references: root, data, lot, descriptions and their values."""
+    quoted = lambda c: F.regexp_replace(F.to_json(F.array(c)), r"^\[|\]$", "")
+    status = F.when(F.col("sold"), "sold").otherwise("open")
+    table_text = F.concat(
+        F.lit('[{"data": 1}, ["Reactive", 2], {"lot": 3}, {"uuid": 4, "descriptions": 5, "currency": 6, "low": 7, "adjudicationPrice": 8, "status": 9}, '), quoted("id"), F.lit(', {"en": 10}, "EUR", '), F.col("low").cast("string"), F.lit(", "), F.col("price").cast("string"), F.lit(", "), quoted(status),
+        F.lit(', {"titleWithHtml": 11, "descriptionWithHtml": 12}, '), quoted("name"), F.lit(", "), quoted("text"), F.lit("]"),
+    )
+    return _lots(spark, d, "artcurial", lambda p: F.concat(F.lit('<script id="__NUXT_DATA__" type="application/json">'), table_text, F.lit("</script>")))

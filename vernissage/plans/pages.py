@@ -27,14 +27,15 @@ class Mapping:
     payload: Callable[[Column], Column]  # pages → variant
     rows: str  # path of the object or array of objects
     key: str
-    columns: dict[str, tuple[str, str]]  # column → (path, type)
+    columns: dict[str, tuple[str | tuple[str, ...], str]]  # column → (path, or paths in order of trust, type)
     convert: dict[str, Callable[[Column], Column]] = field(default_factory=dict)
     relevant: Callable[[Column], Column] | None = None
+    derived: dict[str, Callable[[Column], Column]] = field(default_factory=dict)  # column → expression over the object
 
 
 def fingerprint(m: Mapping) -> str:
     """Short digest of what a mapping declares; rows of different fingerprints were read differently."""
-    said = repr((m.rows, m.key, sorted(m.columns.items()), sorted(m.convert)))
+    said = repr((m.rows, m.key, sorted(m.columns.items()), sorted(m.convert), sorted(m.derived)))
     return hashlib.sha256(said.encode()).hexdigest()[:16]
 
 
@@ -57,14 +58,21 @@ def mapped(with_payload: DataFrame, m: Mapping, keep: Sequence[str] = ("filename
     items = F.coalesce(F.try_variant_get("v", m.rows, "array<variant>"), F.when(found.isNotNull(), F.array(found)))
     each = p.select(*keep, F.explode(items).alias("item"))
 
-    def column(name: str, path: str, kind: str) -> Column:
-        c = F.try_variant_get("item", path, kind)
+    def column(name: str, path: str | tuple[str, ...], kind: str) -> Column:
+        c = F.coalesce(*[F.try_variant_get("item", p, kind) for p in ((path,) if isinstance(path, str) else path)])
         return m.convert[name](c).alias(name) if name in m.convert else c.alias(name)
 
-    rows = each.select(*keep, *[column(n, path, kind) for n, (path, kind) in m.columns.items()])
+    rows = each.select(*keep, *[column(n, path, kind) for n, (path, kind) in m.columns.items()], *[c(F.col("item")).alias(n) for n, c in m.derived.items()])
     return rows.withColumn(m.key, clean_text(F.col(m.key).cast("string"))).filter(F.col(m.key).isNotNull())
 
 
+def filled_names(rows: DataFrame, page: str, key: str, name: str, position: str) -> DataFrame:
+    """Rows without a name get the first one the same page gives for their id, in order of position."""
+    there = rows.filter(F.col(name).isNotNull() & F.col(key).isNotNull())
+    first = there.groupBy(page, key).agg(F.min(F.struct(position, name))[name].alias("_first"))
+    return rows.join(first, [page, key], "left").withColumn(name, F.coalesce(name, "_first")).select(*rows.columns)
+
+
 def run(pages: DataFrame, m: Mapping, order: Sequence[SortField], platform: str, crawl_date: str, store: Store | None = None) -> DataFrame:
     """Winners of one crawl, published if a store is given."""
     rows = mapped(parsed(pages, m), m).withColumnRenamed("filename", "source_file")

@@ -12,7 +12,7 @@ from vernissage.functions import countries, scalars, sizes, urls
 from vernissage.functions.text import clean_id
 from vernissage.operators import audit, dedup, entries, merge, search
 from vernissage.operators.dedup import SortField
-from vernissage.plans import disappearances
+from vernissage.plans import disappearances, pages
 from vernissage.session import table
 from vernissage.sources import crawl, lists
 from vernissage.survey_queries import _ARTWORK_WINNERS, _SHORT, ARTIST_ORDER, ARTWORK_ORDER, _clean, _id, _scratch, query
@@ -335,3 +335,46 @@ def c_size(spark: SparkSession, d: str) -> DataFrame:
     text = F.concat(F.lit("Oil on panel ("), F.col("height_cm").cast("decimal(14,4)").cast("string"), F.lit(" × "), F.col("width_cm").cast("decimal(14,4)").cast("string"), F.lit(" cm), framed"))
     s = table(spark, d, "artworks").select("platform_artwork_id", "source_file", sizes.size_cm(F.coalesce(text, F.lit("no size"))).alias("s"))
     return s.select("platform_artwork_id", "source_file", "s.height", "s.width")
+
+
+# ── addresses of sites ──────────────────────────────────────────────────────────
+
+_ADDRESSES = {
+    "artsper": ("https://www.artsper.com/fr/contemporary-artworks/painting/{d}/title", "artwork", "{d}"), "artsy": ("https://www.artsy.net/artist/Name-{d}?x=1#y", "artist", "name-{d}"), "artmajeur": ("https://www.artmajeur.com/some-one/en/artworks/{d}/title", "artwork", "{d}"),
+    "saatchi": ("http://saatchiart.com/art/Painting-Title/77/{d}/view", "artwork", "{d}"), "singulart": ("https://www.singulart.com/en/artist/ann-bell-{d}", "artist", "{d}"), "1stdibs": ("https://www.1stdibs.com/art/paintings/title/id-a_{d}/", "item", "{d}"), "artfinder": ("https://www.artfinder.com/product/Title-{d}/", "artwork", "title-{d}"),
+    "fineartamerica": ("https://fineartamerica.com/featured/title-{d}.html", "artwork", "title-{d}"), "phaidon": ("https://www.phaidon.com/products/title-{d}", "product", "title-{d}"), "ugallery": ("https://www.ugallery.com/pages/ann-{d}", "artist", "ann-{d}"), "mutualart": ("https://www.mutualart.com/Exhibition/Title/abcdef00000{d}", "exhibition", "ABCDEF00000{d}"),
+}
+_NO_ENTITIES = ("https://www.artfinder.com/en-US/product/x{d}/", "https://www.phaidon.com/products/x{d}?y=1", "https://www.ugallery.com/pages/faq", "https://artmajeur.com/magazine", "https://example.com/artist/x{d}", "https://www.mutualart.com/Artist/Title/abcdef00000{d}/Graphs", "https://www.saatchiart.com/search")
+
+
+def _text_of(pattern: str, key: str) -> str:
+    return "'" + pattern.replace("{d}", f"' || {key} || '") + "'"
+
+
+@query(" UNION ALL ".join(f"SELECT '{site}' AS site, '{kind}' AS entity_type, {_text_of(key, 'o_orderkey')} AS entity_id FROM orders" for site, (_, kind, key) in sorted(_ADDRESSES.items())))
+def u_sites(spark: SparkSession, d: str) -> DataFrame:
+    """Addresses of eleven sites for every order, and some that name no entity; each is judged by every site."""
+    patterns = [url for url, _, _ in _ADDRESSES.values()] + list(_NO_ENTITIES)
+    address = F.explode(F.array(*[F.replace(F.lit(p), F.lit("{d}"), F.col("o_orderkey").cast("string")) for p in patterns]))
+    u = table(spark, d, "orders").select(address.alias("url"))
+    each = F.array(*[F.struct(F.lit(name).alias("site"), urls.entity_of("url", site).alias("k")) for name, site in urls.ENTITIES.items()])
+    return u.select(F.inline(F.filter(each, lambda x: x["k"].isNotNull()))).select("site", "k.entity_type", "k.entity_id")
+
+
+@query("WITH p AS (SELECT o_custkey AS c, list(o_orderkey ORDER BY o_orderkey) AS k FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY 1) SELECT o_custkey, o_orderkey FROM orders WHERE (o_custkey, o_orderkey) NOT IN (SELECT c, unnest(k) FROM p)")
+def m_delete_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """Rows named by pairs of arrays are deleted."""
+    o = table(spark, d, "orders").select("o_custkey", "o_orderkey", "o_orderpriority")
+    pairs = o.filter("o_orderpriority = '1-URGENT'").groupBy((F.col("o_orderkey") % 1000).alias("part")).agg(F.collect_list("o_custkey").alias("c"), F.collect_list("o_orderkey").alias("k"))
+    return merge.delete_pairs(o.drop("o_orderpriority"), pairs, ["o_custkey", "o_orderkey"], ["c", "k"])
+
+
+@query(
+    "WITH f AS (SELECT platform_name, platform_artist_id, min((source_file, artist_name)) AS s FROM artworks WHERE artist_name IS NOT NULL AND platform_artist_id IS NOT NULL AND source_file IS NOT NULL GROUP BY 1, 2) "
+    "SELECT a.platform_name, coalesce(a.artist_name, struct_extract(s, 2)) AS artist_name, count(*) AS n FROM artworks a LEFT JOIN f ON f.platform_name = a.platform_name AND f.platform_artist_id = a.platform_artist_id GROUP BY 1, 2"
+)
+def j_filled_names(spark: SparkSession, d: str) -> DataFrame:
+    """Artworks without an artist's name get the first one their source gives for the artist."""
+    a = table(spark, d, "artworks").select("platform_name", "platform_artist_id", "artist_name", "source_file")
+    filled = pages.filled_names(a, "platform_name", "platform_artist_id", "artist_name", "source_file")
+    return filled.groupBy("platform_name", "artist_name").agg(F.count("*").alias("n"))

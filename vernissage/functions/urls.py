@@ -117,14 +117,26 @@ ENTITIES = {
 }
 
 
+def page_group(url: Column | str, rules: Sequence[Rule]) -> Column:
+    """Type of the first rule that matches, ``other`` if none does, ``no-url`` without an address."""
+    return F.when(_col(url).isNull() | (F.trim(_col(url)) == ""), "no-url").otherwise(F.coalesce(classify(url, rules)["entity_type"], F.lit("other")))
+
+
 def canonical_url(url: Column | str, site: Site) -> Column:
-    """https, the site's one host, no fragment, tracking, locale or closing slash."""
+    """https, the site's one host, no fragment, tracking, locale or closing slash; the path is unquoted.
+
+    A port stays on hosts the site does not know.
+    """
     t = drop_tracking(url) if site.keep_query else F.regexp_replace(_col(url), r"[?#].*$", "")
     host = F.lower(F.regexp_extract(t, r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]+)", 1))
     rest = F.regexp_replace(t, r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*", "")
     if site.locales:
         rest = F.regexp_replace(rest, rf"^/(?:{site.locales})(?=/|$)", "")
-    one = F.when(host.isin(site.host, *site.aliases), site.host).otherwise(host)
+    path = F.regexp_extract(rest, r"^[^?]*", 0)
+    # A plus is itself in a path; what cannot be unquoted stays.
+    plain = F.coalesce(F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), path)
+    rest = F.concat(plain, F.substring(rest, F.length(path) + 1, F.length(rest)))
+    one = F.when(F.regexp_replace(host, r":\d+$", "").isin(site.host, *site.aliases), site.host).otherwise(host)
     return F.when(host != "", F.regexp_replace(F.concat(F.lit("https://"), one, rest), "/+$", ""))
 
 

@@ -103,3 +103,9 @@ def next_children(children: DataFrame, state: DataFrame, url: str, epoch: str, o
     """The first ``k`` children not done in their present epoch, in the given order."""
     done = state.filter("done").select(url, epoch).distinct()
     return children.join(done, [url, epoch], "left_anti").orderBy(*order, F.col(url)).limit(k)
+
+
+def path_categories(df: DataFrame, url: str) -> DataFrame:
+    """``category, n``: addresses by the first part of their path, empty for none."""
+    path = F.regexp_extract(F.col(url), r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*://)?[^/?#]*/?([^/?#]*)", 1)
+    return df.filter(F.col(url).isNotNull()).groupBy(path.alias("category")).agg(F.count("*").alias("n"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -83,3 +83,21 @@ def fill_ranges(df: DataFrame, by: Sequence[str], number: str, expected: str) ->
     whole = per.filter(F.col("hi") - F.col("lo") + 1 == F.col("size")).select(*by, F.explode(F.sequence("lo", "hi")).alias(number))
     rest = df.join(whole.select(*by).distinct(), list(by), "left_anti").select(*by, number).distinct()
     return whole.unionByName(rest)
+
+
+def walked_pages(pages: DataFrame, by: Sequence[str], page: str, n_items: str, size: int, empty_streak: int = 2, ceiling: int | None = None) -> DataFrame:
+    """Pages of a listing that are read, with ``stop``: why the walk ends at its last page, else null.
+
+    A walk ends at the first page that is ``short`` (fewer items than ``size``,
+    but some), at the last of ``empty_streak`` empty pages in a row (``empty``),
+    or at the ``ceiling``. Pages are numbered from 1 without gaps.
+    """
+    w = Window.partitionBy(*by).orderBy(page)
+    n = F.coalesce(F.col(n_items), F.lit(0))
+    empty = F.sum(F.when(n == 0, 1).otherwise(0)).over(w.rowsBetween(-(empty_streak - 1), 0)) == empty_streak
+    why = F.when(empty, "empty").when((n > 0) & (n < size), "short")
+    if ceiling is not None:
+        why = F.coalesce(why, F.when(F.col(page) >= ceiling, "ceiling"))
+    ends = pages.withColumn("stop", why)
+    last = F.min(F.when(F.col("stop").isNotNull(), F.col(page))).over(Window.partitionBy(*by))
+    return ends.withColumn("_last", last).filter(F.col("_last").isNull() | (F.col(page) <= F.col("_last"))).drop("_last")

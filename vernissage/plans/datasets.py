@@ -33,8 +33,13 @@ class Dataset:
 
     def conform(self, df: DataFrame, keep: Sequence[str] = ("platform_name", "crawl_date")) -> DataFrame:
         """Exactly the dataset's columns and types: absent ones null, others dropped, bad values null."""
-        have = set(df.columns)
-        cols = [F.col(f.name).try_cast(f.dataType).alias(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema]
+        have = {f.name: f.dataType for f in df.schema}
+
+        def fits(f: T.StructField) -> bool:
+            # Only truth values are truth values: "yes" and 1 are not.
+            return f.name in have and (not isinstance(f.dataType, T.BooleanType) or isinstance(have[f.name], T.BooleanType))
+
+        cols = [F.col(f.name).try_cast(f.dataType).alias(f.name) if fits(f) else F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema]
         return df.select(*[c for c in keep if c in have], *cols).filter(F.col(self.key).isNotNull() & (F.col(self.key) != ""))
 
     def winners(self, df: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import zipfile
 from pathlib import Path
@@ -19,6 +21,7 @@ def build_session(app: str = "vernissage", cores: int | str = "*", **conf: str)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )
@@ -37,7 +40,9 @@ def ship(spark: SparkSession) -> SparkSession:
     if getattr(sc, "_vernissage_shipped", False):
         return spark
     package = Path(__file__).resolve().parent
-    archive = Path(tempfile.mkdtemp(prefix="vernissage-code-")) / "vernissage_code.zip"
+    folder = tempfile.mkdtemp(prefix="vernissage-code-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = Path(folder) / "vernissage_code.zip"
     with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
         for p in sorted(package.rglob("*.py")):
             z.write(p, p.relative_to(package.parent))
@@ -50,22 +55,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpoint(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the folder the cluster names.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share, as the cluster names it in ``spark.checkpoint.dir``.
 
-    ``spark.checkpoint.dir`` is read from the session. Only a local master may
-    fall back to a folder of its own: on a cluster such a folder would be lost
-    with its machine.
+    Only a local master may fall back to a folder of its own, which is removed
+    at the end: on a cluster such a folder would be lost with its machine.
     """
-    spark = df.sparkSession
-    sc = spark.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        sc = spark.sparkContext
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        folder = getattr(sc, "_vernissage_folder", None)
         if folder is None:
-            if not sc.master.startswith("local[") and sc.master != "local":
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="vernissage-checkpoint-")
-        sc.setCheckpointDir(folder)
+            folder = sc._vernissage_folder = tempfile.mkdtemp(prefix="vernissage-")
+            atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder.rstrip("/")
+
+
+def checkpoint(df: DataFrame, eager: bool = True) -> DataFrame:
+    """Cut the lineage with a reliable checkpoint in the folder the cluster names."""
+    sc = df.sparkSession.sparkContext
+    if sc._jsc.sc().getCheckpointDir().isEmpty():
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager)
 
 

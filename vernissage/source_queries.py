@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from vernissage.functions import countries, scalars, sizes, urls
 from vernissage.functions.text import clean_id
-from vernissage.operators import audit, dedup, entries, merge, search
+from vernissage.operators import audit, dedup, entries, merge, partitioning, search
 from vernissage.operators.dedup import SortField
 from vernissage.plans import disappearances, pages
 from vernissage.session import table
@@ -41,7 +41,7 @@ def _crawl_folders(spark: SparkSession, d: str) -> str:
         if r["status"] == "completed":
             log.append({"filename": r["name"], "url": r["crawl_id"], "timestamp": r["finished_at"].strftime("%Y-%m-%dT%H:%M:%SZ")})
         _put(spark, f"{at}/results.jsonl", "\n".join(map(json.dumps, log)) + "\n{broken\n")
-        _put(spark, f"{at}/manifest.json", json.dumps({"marketplace": r["source"], "status": r["status"], "crawl_mode": r["crawl_mode"]}))
+        crawl.write_manifest(spark, at, {"marketplace": r["source"], "status": r["status"], "crawl_mode": r["crawl_mode"]})
     return root
 
 
@@ -378,3 +378,96 @@ def j_filled_names(spark: SparkSession, d: str) -> DataFrame:
     a = table(spark, d, "artworks").select("platform_name", "platform_artist_id", "artist_name", "source_file")
     filled = pages.filled_names(a, "platform_name", "platform_artist_id", "artist_name", "source_file")
     return filled.groupBy("platform_name", "artist_name").agg(F.count("*").alias("n"))
+
+
+# ── walks and runs ──────────────────────────────────────────────────────────────
+
+_WALK = "SELECT o_custkey AS k, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS INT) AS page, CAST(CASE WHEN o_orderpriority = '5-LOW' THEN 0 WHEN o_orderpriority = '1-URGENT' THEN 7 ELSE 20 END AS INT) AS n FROM orders"
+
+
+@query(
+    f"WITH p AS ({_WALK}), w AS (SELECT *, CASE WHEN n = 0 AND lag(n) OVER (PARTITION BY k ORDER BY page) = 0 THEN 'empty' WHEN n > 0 AND n < 20 THEN 'short' WHEN page >= 12 THEN 'ceiling' END AS stop FROM p), "
+    "l AS (SELECT k, min(page) AS last FROM w WHERE stop IS NOT NULL GROUP BY 1) SELECT k, page, n, stop FROM w LEFT JOIN l USING (k) WHERE last IS NULL OR page <= last"
+)
+def r_walked_pages(spark: SparkSession, d: str) -> DataFrame:
+    """Every customer's orders as the pages of a listing."""
+    o = merge.running_rank(table(spark, d, "orders").select(F.col("o_custkey").alias("k"), "o_orderkey", "o_orderpriority"), ["k"], [F.col("o_orderkey")], "page")
+    n = F.when(F.col("o_orderpriority") == "5-LOW", 0).when(F.col("o_orderpriority") == "1-URGENT", 7).otherwise(20)
+    p = o.select("k", F.col("page").cast("int").alias("page"), n.alias("n"))
+    return partitioning.walked_pages(p, ["k"], "page", "n", 20, ceiling=12)
+
+
+@query("SELECT CASE WHEN (SELECT count(*) FROM (SELECT c_custkey FROM customer EXCEPT SELECT o_custkey FROM orders)) = 0 AND (SELECT count(*) FROM (SELECT o_custkey FROM orders EXCEPT SELECT c_custkey FROM customer)) = 0 THEN 'full' ELSE 'incremental' END AS crawl_mode, (SELECT count(*) FROM orders) AS n")
+def s_results_and_mode(spark: SparkSession, d: str) -> DataFrame:
+    """Download results are appended in two parts and read again; their addresses decide the mode of the crawl."""
+    o = table(spark, d, "orders").select(F.concat(F.col("o_orderkey").cast("string"), F.lit(".html")).alias("filename"), F.col("o_custkey").cast("string").alias("url"), F.lit("2025-01-01T00:00:00Z").alias("timestamp"), (F.col("o_orderkey") % 2).alias("part"))
+    folder = _folder(spark)
+    for part in (0, 1):
+        crawl.append_results(o.filter(F.col("part") == part).drop("part"), folder)
+    log = crawl.crawl_log(spark, f"{folder}/results.jsonl")
+    mode = crawl.crawl_mode(log.select(F.col("url").cast("bigint").alias("k")), table(spark, d, "customer").select(F.col("c_custkey").cast("bigint").alias("k")), ["k"])
+    return mode.withColumn("n", log.agg(F.count("*")).scalar())
+
+
+@query("WITH l AS (SELECT event_type, arg_max(user_id % 3, event_id) AS epoch FROM events GROUP BY 1) SELECT e.event_type, l.epoch, count(*) AS n FROM events e JOIN l ON l.event_type = e.event_type AND l.epoch = e.user_id % 3 GROUP BY 1, 2")
+def w_latest_epoch(spark: SparkSession, d: str) -> DataFrame:
+    log = table(spark, d, "events").select("event_type", (F.col("user_id") % 3).alias("epoch"), "event_id")
+    return merge.latest_epoch(log, ["event_type"], "epoch", "event_id").groupBy("event_type", "epoch").agg(F.count("*").alias("n"))
+
+
+@query(
+    "WITH s AS (SELECT o_custkey AS k, min(o_orderkey) AS a, min(o_orderkey) FILTER (WHERE o_orderpriority = '1-URGENT') AS b FROM orders WHERE o_orderstatus = 'F' GROUP BY 1), "
+    "t AS (SELECT o_custkey AS k, max(o_orderkey) AS a, max(o_orderkey) FILTER (WHERE o_orderpriority = '2-HIGH') AS b FROM orders GROUP BY 1) "
+    "SELECT k, CASE WHEN s.k % 2 = 0 THEN coalesce(s.a, t.a) ELSE coalesce(t.a, s.a) END AS a, CASE WHEN s.k % 2 = 0 THEN coalesce(s.b, t.b) ELSE coalesce(t.b, s.b) END AS b FROM s FULL JOIN t USING (k)"
+)
+def m_own_priority(spark: SparkSession, d: str) -> DataFrame:
+    """Columns merged: what an entity's own page says is kept, elsewhere the newer value wins."""
+    o = table(spark, d, "orders").withColumnRenamed("o_custkey", "k")
+    old = o.filter("o_orderstatus = 'F'").groupBy("k").agg(F.min("o_orderkey").alias("a"), F.min(F.when(F.col("o_orderpriority") == "1-URGENT", F.col("o_orderkey"))).alias("b"))
+    new = o.groupBy("k").agg(F.max("o_orderkey").alias("a"), F.max(F.when(F.col("o_orderpriority") == "2-HIGH", F.col("o_orderkey"))).alias("b"))
+    return merge.merge_columns(old, new, ["k"], own=F.col("k") % 2 == 0)
+
+
+@query("SELECT 'https://h.example/x?id=' || o_orderkey || '&page=2' AS url, CASE o_orderkey % 3 WHEN 0 THEN 'no-url' WHEN 1 THEN 'order' ELSE 'other' END AS page_group FROM orders")
+def u_tracking_and_groups(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("o_orderkey").cast("string")
+    tracked = F.concat(F.lit("https://h.example/x?utm_source=a&id="), k, F.lit("&gclid=1&page=2#top"))
+    page = F.when(F.col("o_orderkey") % 3 == 1, F.concat(F.lit("https://h.example/order/"), k)).when(F.col("o_orderkey") % 3 == 2, F.concat(F.lit("https://h.example/about/"), k))
+    return table(spark, d, "orders").select(urls.drop_tracking(tracked).alias("url"), urls.page_group(page, (urls.template("order", "/order/{d}"),)).alias("page_group"))
+
+
+@query("SELECT 'https://www.house.example/lot/' || o_orderkey || '/Ann Bell+Co' AS url, count(*) AS n FROM (SELECT o_orderkey FROM orders UNION ALL SELECT o_orderkey FROM orders) GROUP BY 1")
+def u_canonical(spark: SparkSession, d: str) -> DataFrame:
+    """Two ways of writing each address give one."""
+    site = urls.Site("www.house.example", (), aliases=("house.example",), locales="en|fr|zh-cn")
+    k = F.col("o_orderkey").cast("string")
+    ways = F.array(F.concat(F.lit("http://House.example:80/zh-cn/lot/"), k, F.lit("/Ann%20Bell+Co/?utm_source=x#y")), F.concat(F.lit("https://www.house.example/fr/lot/"), k, F.lit("/Ann Bell+Co")))
+    return table(spark, d, "orders").select(F.explode(ways).alias("u")).groupBy(urls.canonical_url("u", site).alias("url")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT o_orderkey, strftime(m + to_days(CAST(least(o_orderkey % 31 + 1, date_part('day', last_day(m))) - 1 AS INT)), '%Y-%m-%d') AS day FROM (SELECT o_orderkey, CAST(date_trunc('month', o_orderdate) AS DATE) AS m FROM orders)")
+def r_monthly(spark: SparkSession, d: str) -> DataFrame:
+    """The day of the month a schedule names, or the month's last one."""
+    o = table(spark, d, "orders").select("o_orderkey", F.trunc(F.col("o_orderdate").cast("date"), "month").alias("m"))
+    return o.select("o_orderkey", partitioning.monthly((F.col("o_orderkey") % 31 + 1).cast("int"), F.col("m")).cast("string").alias("day"))
+
+
+@query(
+    "WITH g AS (SELECT l_orderkey AS k, min(l_linenumber) AS lo, max(l_linenumber) AS hi, max(CASE WHEN l_orderkey % 2 = 0 THEN l_linenumber ELSE 99 END) AS size FROM lineitem WHERE l_returnflag <> 'R' GROUP BY 1) "
+    "SELECT k, n FROM (SELECT k, unnest(generate_series(lo, hi)) AS n FROM g WHERE hi - lo + 1 = size) UNION ALL SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem JOIN g ON k = l_orderkey WHERE l_returnflag <> 'R' AND hi - lo + 1 <> size"
+)
+def r_fill_ranges(spark: SparkSession, d: str) -> DataFrame:
+    """Numbers of lines between the first and the last are filled in where the size says there is no gap."""
+    li = table(spark, d, "lineitem").filter("l_returnflag <> 'R'")
+    size = F.when(F.col("l_orderkey") % 2 == 0, F.col("l_linenumber")).otherwise(99)
+    return partitioning.fill_ranges(li.select(F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("n"), size.alias("size")), ["k"], "n", "size")
+
+
+@query("SELECT n_nationkey AS child FROM nation WHERE (SELECT count(DISTINCT c_custkey) FROM customer WHERE c_nationkey < 10) < 0.5 * (SELECT count(*) FROM customer) OR n_nationkey % 5 = 0")
+def a_requeue(spark: SparkSession, d: str) -> DataFrame:
+    """Lists are read again if the cache holds less than half of what they gave."""
+    c = table(spark, d, "customer")
+    given = c.groupBy("c_nationkey").agg(F.count("*").alias("found"))
+    children = table(spark, d, "nation").join(given, F.col("n_nationkey") == F.col("c_nationkey"), "left").select(F.col("n_nationkey").alias("child"), (F.col("n_nationkey") % 5 != 0).alias("done"), "found")
+    everything = children.withColumn("found", F.when(F.col("child") == 1, F.lit(c.count())).otherwise(0))
+    return audit.requeue(everything, c.filter("c_nationkey < 10").select("c_custkey"), ["c_custkey"]).select("child")

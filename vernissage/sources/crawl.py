@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql.utils import AnalysisException
 
 from vernissage.functions.scalars import folder_date, seen_at, to_timestamp
 from vernissage.operators.dedup import SortField, winners
+from vernissage.operators.diffs import same_set
 
 LOG_SCHEMA = "url string, filename string, status_code int, error string, block_detected boolean, block_reason string, duration_ms int, timestamp string, skipped_existing boolean, _bad string"
 MANIFEST_SCHEMA = "marketplace string, crawl_date string, started_at string, finished_at string, workers int, rps double, url_count int, status string, crawl_mode string"
@@ -154,3 +156,23 @@ def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
         return spark.read.json(path)
     except AnalysisException:
         return None
+
+
+def write_manifest(spark: SparkSession, folder: str, manifest: Mapping[str, object]) -> None:
+    """Writes a crawl's manifest, replacing an older one."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/manifest.json")
+    stream = p.getFileSystem(spark._jsc.hadoopConfiguration()).create(p, True)
+    try:
+        stream.write(bytearray(json.dumps(manifest, default=str).encode()))
+    finally:
+        stream.close()
+
+
+def append_results(results: DataFrame, folder: str) -> None:
+    """Appends download results, as JSON lines, to those of a crawl's folder; ``crawl_log`` reads them."""
+    results.write.mode("append").json(f"{folder.rstrip('/')}/results.jsonl")
+
+
+def crawl_mode(read: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row ``crawl_mode``: ``full`` if a crawl read exactly the known addresses, else ``incremental``."""
+    return same_set(read, known, keys).select(F.when(F.col("same"), "full").otherwise("incremental").alias("crawl_mode"))

@@ -8,7 +8,6 @@ i incremental runs, k stores, p payloads.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -20,7 +19,7 @@ from vernissage.operators import audit, dedup, diffs, merge, partitioning
 from vernissage.operators.dedup import SortField
 from vernissage.operators.observations import best_per_crawl, best_rank, crawls_of, only_crawls
 from vernissage.operators.snapdiff import consecutive_crawls
-from vernissage.session import checkpoint, table
+from vernissage.session import checkpoint, shared_folder, table
 from vernissage.sources import crawl
 from vernissage.streaming import ingest
 
@@ -274,13 +273,8 @@ def k_publish_and_compact(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _scratch(spark: SparkSession) -> str:
-    """Shared folder for written tables: beside the cluster's checkpoints, a temporary one in local runs."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="vernissage-")
-    return folder.rstrip("/") + "/vernissage"
+    """Shared folder for written tables, beside the checkpoints."""
+    return f"{shared_folder(spark)}/vernissage"
 
 
 # ── joins and differences ───────────────────────────────────────────────────────
@@ -440,8 +434,7 @@ def x_same_set(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT regexp_extract(artwork_url, '^https?://[^/]+/([^/]+)', 1) AS category, count(*) AS n FROM artworks WHERE artwork_url IS NOT NULL GROUP BY 1")
 def a_path_categories(spark: SparkSession, d: str) -> DataFrame:
-    u = table(spark, d, "artworks").filter("artwork_url is not null")
-    return u.groupBy(F.get(F.split(F.regexp_replace("artwork_url", "^https?://", ""), "/"), 1).alias("category")).agg(F.count("*").alias("n"))
+    return audit.path_categories(table(spark, d, "artworks"), "artwork_url")
 
 
 # ── ranges ──────────────────────────────────────────────────────────────────────

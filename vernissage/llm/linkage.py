@@ -4,14 +4,16 @@ Candidates share a token of the name that is rare in both sources, or one that
 differs from it by one edit (deletion neighbourhoods). Names that share only a
 frequent token are candidates if a second token is equal, differs by one edit
 or is the other's initial: all pairs whose names relate are candidates, however
-frequent their tokens are. Equal whole names are always candidates. Many heuristic functions vote on each candidate: how the
-names relate, how far the birth years are apart, whether nationalities,
-countries (also those the cities lie in) and cities agree. A generative label
-model with a latent class (same person or not) learns from the votes alone how
-accurate each function is: each has a table of probabilities per class,
-abstentions included. Votes on nationality and country depend on each other, so
-they share one table; among different persons all votes depend on how the names
-relate. The posterior is the confidence.
+frequent their tokens are. Equal whole names are always candidates.
+
+Many heuristic functions vote on each candidate: how the names relate, how far
+the birth years are apart, whether nationalities, countries (also those the
+cities lie in) and cities agree. A generative label model with a latent class
+(same person or not) learns from the votes alone how accurate each function is:
+each has a table of probabilities per class, abstentions included. Votes on
+nationality and country depend on each other, so they share one table; among
+different persons all votes depend on how the names relate. The posterior is the
+confidence.
 
 The votes have few levels, so the model is fitted by expectation-maximisation
 on counts of vote patterns, of which there are at most a few thousand at any
@@ -292,7 +294,7 @@ class LabelModel:
         score = p["name"].map({"exact": 2.0, "middle": 1.5, "initial": 1.0, "swap": 1.0, "double": 1.0, "lost": 1.0, "near": -0.5, "other": -3.0}).to_numpy(float)
         score += p["years"].map({"0": 2.0, "1": 1.5, "2": -0.5, "3": -2.0, "10": -3.0, "?": 0.0}).to_numpy(float)
         score += np.array([(("+" in x) - 2.0 * ("-" in x and "+" not in x)) for x in p["place"]]) + p["town"].map({"+": 0.5, "-": 0.0, "?": 0.0}).to_numpy(float)
-        # Names that do not relate are anchors of the other class.
+        # Names that do not relate are taken for different persons at first; what that is worth is learned.
         post = (p["name"] != "other").to_numpy() / (1 + np.exp(-2 * (score - 1.5)))
         for _ in range(iterations):
             model = cls._maximise(p, n, post, smooth)
@@ -326,7 +328,7 @@ class LabelModel:
 
     def posterior(self, patterns: pd.DataFrame) -> np.ndarray:
         p = self._with_noted(patterns)
-        odds = np.where(p["name"] == "other", -50.0, np.log(self.prior / (1 - self.prior)))
+        odds = np.full(len(p), np.log(self.prior / (1 - self.prior)))
         for f in FUNCTIONS:
             odds += np.array([0.0 if f in ("years", "fresh") and v == "?" else np.log(self.same[f][v] / self.other[f][(k, v)]) for k, v in zip(p["name"], p[f])])
         return 1 / (1 + np.exp(-np.clip(odds, -50, 50)))

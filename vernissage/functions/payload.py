@@ -295,14 +295,14 @@ def _json(value: Any) -> str | None:
     return None if value is None else json.dumps(value, ensure_ascii=False)
 
 
-def assigned_udf(name: str):
-    """Function of pages: JSON text of what is assigned to ``name``, read as a JavaScript literal."""
+def assigned_udf(name: str, numbered: bool = False):
+    """Function of pages: JSON text of what is assigned to ``name`` (followed by a number), read as a JavaScript literal."""
 
     @F.pandas_udf(T.StringType())
     def assigned(pages: pd.Series) -> pd.Series:
         import re
 
-        at = re.compile(rf"(?<![\w.]){re.escape(name)}\s*=\s*(?=[{{\[])")
+        at = re.compile(rf"(?<![\w.]){re.escape(name)}{'[0-9]+' if numbered else ''}\s*=\s*(?=[{{\[])")
 
         def one(html: str | None) -> str | None:
             m = at.search(html or "")

@@ -184,3 +184,33 @@ def p_lots_artcurial(spark: SparkSession, d: str) -> DataFrame:
         F.lit(', {"titleWithHtml": 11, "descriptionWithHtml": 12}, '), quoted("name"), F.lit(", "), quoted("text"), F.lit("]"),
     )
     return _lots(spark, d, "artcurial", lambda p: F.concat(F.lit('<script id="__NUXT_DATA__" type="application/json">'), table_text, F.lit("</script>")))
+
+
+@query(f"SELECT {_LOT.replace('CAST(p_partkey AS VARCHAR)', "'2025/spring/' || p_partkey").replace('p_brand AS selling_house_name', 'NULL::VARCHAR AS selling_house_name')} FROM part")
+def p_lots_sothebys(spark: SparkSession, d: str) -> DataFrame:
+    """A store of objects that refer to each other; every other title holds the artist, too."""
+    ref = lambda key: F.struct(F.lit(key).alias("__ref"))
+    odd = F.col("id").cast("int") % 2 == 1
+    title = F.when(odd, F.concat(F.lit("ANN BELL | "), "name")).otherwise(F.col("name"))
+    lot = F.struct(F.col("id").alias("slug"), title.alias("title"), F.when(~odd, "Ann Bell").alias("creatorsDisplayTitle"), F.col("text").alias("description"), ref("Auction:1").alias("auction"), ref("Bid:1").alias("bidState"), F.struct(F.struct(F.col("low").alias("amount")).alias("lowEstimate")).alias("estimateV2"))
+    auction = F.lit('{"slug": {"year": "2025", "name": "spring"}, "currencyV2": "EUR", "state": "Open"}')
+    bid = F.struct(F.struct(F.col("sold").alias("isSold"), F.struct(F.struct(F.col("price").alias("amount")).alias("finalPriceV2")).alias("premiums")).alias("sold"))
+    store = F.concat(F.lit('{"props": {"pageProps": {"apolloCache": {"Auction:1": '), auction, F.lit(', "LotV2:9": '), F.to_json(lot), F.lit(', "Bid:1": '), F.to_json(bid), F.lit("}}}}"))
+    return _lots(spark, d, "sothebys", lambda p: F.concat(F.lit('<script id="__NEXT_DATA__" type="application/json">'), store, F.lit("</script>")))
+
+
+@query(f"SELECT {_LOT.replace('p_brand AS selling_house_name', 'NULL::VARCHAR AS selling_house_name')} FROM part")
+def p_lots_christies(spark: SparkSession, d: str) -> DataFrame:
+    lot = F.struct(F.col("id").cast("int").alias("object_id"), F.col("name").alias("title_secondary_txt"), F.col("text").alias("description_txt"), F.lit("EUR 1,000").alias("estimate_txt"), F.col("low").alias("estimate_low"), F.col("price").alias("price_realised"), F.lit(False).alias("is_unsold"))
+    data = F.to_json(F.struct(F.struct(F.array(lot).alias("lots")).alias("data")))
+    return _lots(spark, d, "christies", lambda p: F.concat(F.lit("<script>window.chrComponents.lotHeader_12 =\n "), data, F.lit(";</script>")))
+
+
+@query(f"SELECT {_LOT} FROM part")
+def p_lots_saleroom(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs after an anchor, meta tags, and a currency and a price in the visible text."""
+    pair = lambda k, c: F.concat(F.lit(f'"{k}":'), F.regexp_replace(F.to_json(F.array(c.cast("string"))), r"^\[|\]$", ""), F.lit(","))
+    model = F.concat(F.lit('dataLayer.push({"LotDetailsViewModel":{'), pair("lotId", F.col("id")), pair("lotName", F.col("name")), pair("minEstimate", F.col("low")), pair("auctioneer", F.col("house")), F.lit('"n":1}})'))
+    meta = F.concat(F.lit('<meta property="og:description" content="'), _escaped(F.col("text")), F.lit('">'))
+    price = F.when(F.col("sold"), F.concat(F.lit("<b>Sold for "), F.format_number("price", 2), F.lit(" EUR</b>"))).otherwise(F.lit(""))
+    return _lots(spark, d, "saleroom", lambda p: F.concat(meta, F.lit("<script>"), model, F.lit("</script><td>100 EUR - 150 EUR</td>"), price))

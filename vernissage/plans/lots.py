@@ -1,4 +1,4 @@
-"""Lots of auction houses: five sources as data, one shared path to typed rows.
+"""Lots of auction houses: eight sources as data, one shared path to typed rows.
 
 A source names the payload of its pages and where each field stands in it. What
 no source says (size, medium, year, signature, life dates) is read from the
@@ -69,7 +69,43 @@ def _sale_and_number(item: Column) -> Column:
     return F.coalesce(F.concat(at("saleRef"), F.lit(":"), at("index"), sub), at("uuid"))
 
 
-#: Where five sources keep a lot's fields.
+def _with_references(html: Column) -> Column:
+    """The lot of a store of linked objects, with the auction and the bids it refers to."""
+    store = F.try_variant_get(payload.script_json(html, "__NEXT_DATA__"), "$.props.pageProps.apolloCache", "map<string,variant>")
+    lot = F.get(F.map_values(F.map_filter(store, lambda k, _: k.startswith("LotV2:"))), 0)
+
+    def referred(name: str) -> Column:
+        target = F.try_element_at(store, F.try_variant_get(lot, f"$.{name}.__ref", "string"))
+        return F.coalesce(target, F.try_variant_get(lot, f"$.{name}", "variant")).alias(name)
+
+    return F.when(lot.isNotNull(), F.to_variant_object(F.struct(lot.alias("lot"), referred("auction"), referred("bidState"))))
+
+
+def _named_before_bar(i: int, own: str):
+    """The lot's own field, else a part of a title written ``ARTIST | TITLE``; the whole title has no artist."""
+
+    def of(item: Column) -> Column:
+        title, artist = F.try_variant_get(item, "$.lot.title", "string"), F.nullif(F.trim(F.try_variant_get(item, "$.lot.creatorsDisplayTitle", "string")), F.lit(""))
+        split = F.when(artist.isNull() & title.contains(" | "), F.split(title, r" \| ", 2))
+        return _line(F.coalesce(F.get(split, i), artist if own == "artist" else title))
+
+    return of
+
+
+def _view_model(html: Column) -> Column:
+    """Pairs of the object a page pushes, its meta tags, and the currency and price it shows."""
+    pairs = payload.pairs_after(html, "LotDetailsViewModel")
+    shown = F.struct(
+        pairs.alias("pairs"), *[payload.meta_content(html, f"og:{n}").alias(n) for n in ("url", "description", "image")],
+        F.nullif(F.regexp_extract(html, r"[\d,.]+\s+([A-Z]{3})\s*-\s*[\d,.]+\s+[A-Z]{3}", 1), F.lit("")).alias("currency"),
+        *[F.nullif(F.regexp_extract(html, r"(?i)sold for\s+([\d,.]+)\s+([A-Z]{3})", i), F.lit("")).alias(n) for i, n in ((1, "sold"), (2, "sold_currency"))],
+    )
+    return F.when(pairs.isNotNull(), F.to_variant_object(shown))
+
+
+_CHRISTIES_UNSOLD = lambda v: F.coalesce(F.try_variant_get(v, "$.lots[0].is_unsold", "boolean"), F.try_variant_get(v, "$.lots[0].price_on_request", "boolean"), F.lit(False))
+
+#: Where eight sources keep a lot's fields.
 SOURCES = {
     "invaluable": _mapping(
         lambda html: F.try_variant_get(F.try_parse_json(payload.assigned_udf("window.__PRELOADED_STATE__")(html)), "$.pdp", "variant"),
@@ -101,6 +137,28 @@ SOURCES = {
         {"lot_number": "$.data.lot.index", "title": ("$.data.lot.descriptions.en.titleWithHtml", "$.data.lot.descriptions.fr.titleWithHtml"), "description": ("$.data.lot.descriptions.en.descriptionWithHtml", "$.data.lot.descriptions.fr.descriptionWithHtml"), "artist_name": ("$.data.lot.artistName", "$.data.lot.artist.party.fullName"), "category": "$.data.lot.category", "currency": "$.data.lot.currency", "low_estimate": "$.data.lot.low", "high_estimate": "$.data.lot.high", "sale_id": ("$.data.lot.saleRef", "$.data['sale-lot-page'].ref"), "sale_title": "$.data['sale-lot-page'].name", "sale_date": ("$.data['sale-lot-page'].effectiveDate", "$.data.lot.adjudicationDate"), "medium": "$.data.lot.descriptions.en.technique"},
         {"platform_lot_id": _sale_and_number, "price_realized": _if(lambda v: F.upper(F.try_variant_get(v, "$.data.lot.status", "string")) == "SOLD", lambda v: F.coalesce(*[F.try_variant_get(v, f"$.data.lot.{k}", "string") for k in ("adjudicationPrice", "finalPrice")])), "is_result": lambda v: F.coalesce(F.upper(F.try_variant_get(v, "$.data.lot.status", "string")) == "SOLD", F.lit(False))},
     ),
+    "sothebys": _mapping(
+        _with_references,
+        {"lot_number": "$.lot.lotNumber.lotDisplayNumber", "description": "$.lot.description", "currency": ("$.auction.currencyV2", "$.auction.currency"), "low_estimate": ("$.lot.estimateV2.lowEstimate.amount", "$.lot.estimateV2.lowEstimate"), "high_estimate": ("$.lot.estimateV2.highEstimate.amount", "$.lot.estimateV2.highEstimate"), "sale_id": ("$.lot.sapAuctionSaleNumber", "$.auction.sapSaleNumber"), "sale_title": "$.auction.title", "sale_date": ("$.auction.dates.closed", "$.auction.dates.acceptsBids"), "sale_location": ("$.auction.locationV2.name", "$.auction.location")},
+        {
+            "platform_lot_id": lambda v: F.coalesce(F.concat(*[x for i, p in enumerate(("$.auction.slug.year", "$.auction.slug.name", "$.lot.slug")) for x in (([F.lit("/")] if i else []) + [F.try_variant_get(v, p, "string")])]), F.try_variant_get(v, "$.lot.lotId", "string")),
+            "title": _named_before_bar(1, "title"), "artist_name": _named_before_bar(0, "artist"),
+            "price_realized": _if(_at("$.bidState.sold.isSold", "boolean"), lambda v: F.coalesce(*[F.try_variant_get(v, f"$.bidState.sold.premiums.finalPriceV2{x}", "string") for x in (".amount", ".value", "")])),
+            "is_result": lambda v: F.coalesce(F.try_variant_get(v, "$.bidState.sold.isSold", "boolean"), F.lit(False)) | F.coalesce(F.try_variant_get(v, "$.auction.state", "string") == "Closed", F.lit(False)),
+        },
+    ),
+    "christies": _mapping(
+        lambda html: let(F.try_parse_json(payload.assigned_udf("window.chrComponents.lotHeader_", numbered=True)(html)), lambda v: F.coalesce(F.try_variant_get(v, "$.data", "variant"), v)),
+        {"platform_lot_id": "$.lots[0].object_id", "lot_number": "$.lots[0].lot_id_txt", "title": "$.lots[0].title_secondary_txt", "artist_name": "$.lots[0].title_primary_txt", "description": "$.lots[0].description_txt", "image_url": "$.lots[0].lot_assets[0].image_url", "currency": ("$.lots[0].price_realised_txt", "$.lots[0].estimate_txt"), "low_estimate": "$.lots[0].estimate_low", "high_estimate": "$.lots[0].estimate_high", "sale_id": ("$.sale.sale_number", "$.sale.sale_id"), "sale_title": "$.sale.title_txt", "sale_date": ("$.sale.start_date", "$.sale.end_date"), "sale_location": "$.sale.location_txt"},
+        {"price_realized": _if(lambda v: ~_CHRISTIES_UNSOLD(v), _at("$.lots[0].price_realised")), "is_result": lambda v: F.coalesce(F.try_variant_get(v, "$.sale.is_auction_over", "boolean"), F.lit(False)) | F.coalesce(F.try_variant_get(v, "$.lots[0].is_unsold", "boolean"), F.lit(False)) | F.coalesce(F.try_variant_get(v, "$.lots[0].price_realised", "double") > 0, F.lit(False))},
+        currency=lambda c: currency_code(F.regexp_extract(c, r"\b([A-Z]{3})\b", 1)),
+    ),
+    "saleroom": _mapping(
+        _view_model,
+        {"platform_lot_id": "$.pairs.lotId", "title": "$.pairs.lotName", "description": "$.description", "category": "$.pairs.lotPrimaryCategory", "image_url": "$.image", "currency": ("$.sold_currency", "$.currency"), "low_estimate": "$.pairs.minEstimate", "high_estimate": "$.pairs.maxEstimate", "sale_id": "$.pairs.catalogueId", "sale_title": "$.pairs.catalogueName", "sale_date": "$.pairs.lotStartDate", "selling_house_name": "$.pairs.auctioneer"},
+        {"price_realized": lambda v: F.coalesce(*[_money(F.try_variant_get(v, p, "string")) for p in ("$.pairs.hammerPrice", "$.pairs.priceRealised", "$.pairs.realisedPrice", "$.pairs.soldPrice", "$.sold")]), "is_result": lambda v: F.try_variant_get(v, "$.sold", "string").isNotNull() | F.coalesce(F.lower(F.try_variant_get(v, "$.pairs.lotStatus", "string")).isin("sold", "passed", "unsold"), F.lit(False))},
+        platform_lot_id=lambda c: F.lower(clean_id(c)),
+    ),
 }
 
 

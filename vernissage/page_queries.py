@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vernissage.functions import payload
-from vernissage.plans import lots, mappings, pages
+from vernissage.functions import countries, payload
+from vernissage.plans import lots, mappings, marketplaces, pages
 from vernissage.session import table
 from vernissage.survey_queries import _clean, _id, query
 
@@ -214,3 +214,71 @@ def p_lots_saleroom(spark: SparkSession, d: str) -> DataFrame:
     meta = F.concat(F.lit('<meta property="og:description" content="'), _escaped(F.col("text")), F.lit('">'))
     price = F.when(F.col("sold"), F.concat(F.lit("<b>Sold for "), F.format_number("price", 2), F.lit(" EUR</b>"))).otherwise(F.lit(""))
     return _lots(spark, d, "saleroom", lambda p: F.concat(meta, F.lit("<script>"), model, F.lit("</script><td>100 EUR - 150 EUR</td>"), price))
+
+
+# ── marketplaces in linked data ─────────────────────────────────────────────────
+
+
+def _ld(*objects: Column) -> Column:
+    return F.concat(F.lit("<html>"), *[F.concat(F.lit('<script type="application/ld+json">'), F.replace(o, F.lit("</"), F.lit("<\\/")), F.lit("</script>")) for o in objects], F.lit("</html>"))
+
+
+def _marketplace(spark: SparkSession, pages_of: DataFrame, name: str) -> DataFrame:
+    m = marketplaces.mappings(2026, countries.country_names(spark))[name]
+    return pages.mapped(pages.parsed(pages_of.withColumn("crawled_at", F.lit(None).cast("timestamp")), m), m)
+
+
+@query(
+    "SELECT 'title-' || p_partkey AS platform_artwork_id, p_name AS title, 'ann-' || p_size AS platform_artist_id, p_brand AS artist_name, CAST(p_retailprice AS DECIMAL(14,2)) AS price, 'USD' AS currency, CASE WHEN p_size > 25 THEN p_size > 40 END AS is_available_for_sale, p_type AS category FROM part"
+)
+def p_fineartamerica_artworks(spark: SparkSession, d: str) -> DataFrame:
+    p = table(spark, d, "part")
+    k, size = F.col("p_partkey").cast("string"), F.col("p_size").cast("string")
+    stock = F.when(F.col("p_size") > 25, F.array(F.struct(F.lit("https://schema.org/OutOfStock").alias("availability")), F.struct(F.when(F.col("p_size") > 40, "https://schema.org/InStock").otherwise("x").alias("availability"))))
+    art = F.struct(
+        F.array(F.lit("VisualArtwork"), F.lit("Painting")).alias("@type"), F.concat(F.lit("https://fineartamerica.com/featured/Title-"), k, F.lit(".html?x=1")).alias("url"), F.col("p_name").alias("name"), F.col("p_type").alias("artMedium"),
+        F.struct(F.concat(F.lit("https://fineartamerica.com/profiles/Ann-"), size).alias("url"), F.col("p_brand").alias("name")).alias("creator"), F.struct(F.lit("USD").alias("priceCurrency"), stock.alias("offers")).alias("offers"),
+    )
+    meta = F.concat(F.lit('<meta property="og:price:amount" content="'), F.format_number("p_retailprice", 2), F.lit('">'))
+    rows = _marketplace(spark, p.select(k.alias("filename"), F.concat(meta, _ld(F.lit('{"@type": "Person"}'), F.to_json(art))).alias("html")), "fineartamerica/artworks")
+    return rows.select("platform_artwork_id", "title", "platform_artist_id", "artist_name", "price", "currency", "is_available_for_sale", "category")
+
+
+@query(
+    "SELECT 'c-' || c_custkey AS platform_artist_id, c_name AS full_name, 'https://fineartamerica.com/profiles/C-' || c_custkey AS profile_url, CASE WHEN c_custkey % 2 = 0 THEN 'https://i.example/' || c_custkey || '.jpg' END AS avatar, "
+    "CASE c_custkey % 3 WHEN 0 THEN 'Poland' WHEN 1 THEN 'Poland' ELSE 'Atlantis' END AS country FROM customer"
+)
+def p_fineartamerica_artists(spark: SparkSession, d: str) -> DataFrame:
+    """Profiles; pages of artworks name artists, too, and are none."""
+    k = F.col("c_custkey").cast("string")
+    land = F.when(F.col("c_custkey") % 3 == 0, "PL").when(F.col("c_custkey") % 3 == 1, "POL").otherwise("Atlantis")
+    image = F.when(F.col("c_custkey") % 2 == 0, F.concat(F.lit("https://i.example/"), k, F.lit(".jpg"))).otherwise("https://i.example/headshotPlaceholder.png")
+    person = F.struct(F.lit("Person").alias("@type"), F.concat(F.lit("https://fineartamerica.com/profiles/C-"), k).alias("url"), F.col("c_name").alias("name"), image.alias("image"), F.struct(F.struct(land.alias("addressCountry")).alias("address")).alias("homeLocation"))
+    c = table(spark, d, "customer")
+    own = c.select(k.alias("filename"), _ld(F.to_json(person)).alias("html"))
+    other = c.select(k.alias("filename"), _ld(F.to_json(person), F.lit('{"@type": "Painting", "url": "/featured/x.html"}')).alias("html"))
+    return _marketplace(spark, own.unionByName(other), "fineartamerica/artists").select("platform_artist_id", "full_name", "profile_url", "avatar", "country")
+
+
+@query(
+    "SELECT 'ABCDEF0000' || o_orderkey AS platform_artwork_id, 'Still life' AS title, CASE WHEN o_orderstatus = 'F' THEN 'AAAAAAAAAA' || o_custkey ELSE 'BBBBBBBBBB' || o_custkey END AS platform_artist_id, CASE WHEN o_orderstatus <> 'P' THEN true END AS is_available_for_sale, CAST(date_part('year', o_orderdate) AS INT) AS year FROM orders"
+)
+def p_mutualart_artworks(spark: SparkSession, d: str) -> DataFrame:
+    """Two lists of an artist's page, one of articles beside them; a card without an artist is the page's."""
+    k, c, year = F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string"), F.year("o_orderdate").cast("string")
+    base = F.concat(F.lit("https://www.mutualart.com/Artist/Ann/bbbbbbbbbb"), c)
+    own = F.when(F.col("o_orderstatus") == "F", F.struct(F.concat(F.lit("https://www.mutualart.com/Artist/Bea/aaaaaaaaaa"), c).alias("@id")))
+    item = F.struct(F.lit("VisualArtwork").alias("@type"), F.concat(F.lit("https://www.mutualart.com/Artwork/Title/abcdef0000"), k).alias("url"), F.concat(F.lit("Still life, "), year).alias("name"), year.alias("dateCreated"), own.alias("artist"))
+    listed = F.when(F.col("o_orderstatus") == "P", "#auction-results").otherwise("#artworks")
+    lst = lambda at, i: F.to_json(F.struct(F.lit("ItemList").alias("@type"), F.concat(base, at).alias("@id"), F.array(F.struct(i.alias("item"))).alias("itemListElement")))
+    person = F.to_json(F.struct(F.lit("Person").alias("@type"), F.concat(base, F.lit("#artist")).alias("@id")))
+    p = table(spark, d, "orders").select(k.alias("filename"), _ld(person, lst(F.lit("#articles"), item), lst(listed, item)).alias("html"))
+    return _marketplace(spark, p, "mutualart/artworks").select("platform_artwork_id", "title", "platform_artist_id", "is_available_for_sale", "year")
+
+
+@query("SELECT 'ABCDEF0000' || c_custkey AS platform_artist_id, c_name AS full_name, CAST(1900 + c_custkey % 90 AS INT) AS birth_year, 'https://www.mutualart.com/Artist/Ann/abcdef0000' || c_custkey AS profile_url FROM customer")
+def p_mutualart_artists(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("c_custkey").cast("string")
+    person = F.struct(F.lit("Person").alias("@type"), F.concat(F.lit("https://www.mutualart.com/Artist/Ann/abcdef0000"), k, F.lit("#artist")).alias("@id"), F.col("c_name").alias("name"), F.concat((1900 + F.col("c_custkey") % 90).cast("string"), F.lit("-05-01")).alias("birthDate"))
+    p = table(spark, d, "customer").select(k.alias("filename"), _ld(F.lit('{"@type": "Person", "@id": "https://x#author"}'), F.to_json(person)).alias("html"))
+    return _marketplace(spark, p, "mutualart/artists").select("platform_artist_id", "full_name", "birth_year", "profile_url")

@@ -282,3 +282,50 @@ def p_mutualart_artists(spark: SparkSession, d: str) -> DataFrame:
     person = F.struct(F.lit("Person").alias("@type"), F.concat(F.lit("https://www.mutualart.com/Artist/Ann/abcdef0000"), k, F.lit("#artist")).alias("@id"), F.col("c_name").alias("name"), F.concat((1900 + F.col("c_custkey") % 90).cast("string"), F.lit("-05-01")).alias("birthDate"))
     p = table(spark, d, "customer").select(k.alias("filename"), _ld(F.lit('{"@type": "Person", "@id": "https://x#author"}'), F.to_json(person)).alias("html"))
     return _marketplace(spark, p, "mutualart/artists").select("platform_artist_id", "full_name", "birth_year", "profile_url")
+
+
+def _next_data(data: Column) -> Column:
+    return _script(F.to_json(F.struct(F.struct(F.struct(F.struct(F.struct(data.alias("data")).alias("page")).alias("initialState")).alias("pageProps")).alias("props"))), 'id="__NEXT_DATA__"')
+
+
+_SAATCHI = "CAST(p_partkey AS VARCHAR) AS platform_artwork_id, p_name AS title, CAST(p_size AS VARCHAR) AS platform_artist_id, 'Ann Bell' AS artist_name, CAST(p_retailprice AS DECIMAL(14,2)) AS price, 'USD' AS currency, CASE WHEN p_size > 10 THEN p_size > 25 END AS is_sold, 'https://www.saatchiart.com/art/x/' || p_partkey || '/view' AS artwork_url"
+_SAATCHI_COLUMNS = ["platform_artwork_id", "title", "platform_artist_id", "artist_name", "price", "currency", "is_sold", "artwork_url", "has_detail", "styles"]
+
+
+@query(f"SELECT {_SAATCHI}, false AS has_detail, ['Pop', p_type] AS styles FROM part UNION ALL SELECT {_SAATCHI}, true AS has_detail, ['Pop', p_type] AS styles FROM part")
+def p_saatchi_artworks(spark: SparkSession, d: str) -> DataFrame:
+    """Cards on profiles and pages of single works."""
+    p = table(spark, d, "part")
+    k, cents = F.col("p_partkey"), (F.col("p_retailprice").cast("decimal(14,2)") * 100).cast("bigint")
+    status, path = F.when(F.col("p_size") > 25, "Sold").when(F.col("p_size") > 10, "avail"), F.concat(F.lit("/art/x/"), k.cast("string"), F.lit("/view"))
+    styles = F.array(F.lit("Pop"), F.col("p_type"), F.lit("Pop"))
+    card = F.struct(k.alias("artworkID"), F.col("p_name").alias("title"), path.alias("pdpUrl"), cents.alias("listPrice"), status.alias("originalStatus"), styles.alias("styles"))
+    profile = F.struct(F.struct(F.col("p_size").alias("userId"), F.lit(" Ann").alias("firstName"), F.lit("Bell").alias("lastName"), F.array(card).alias("artworks")).alias("accountData"))
+    product = F.struct(F.struct(cents.alias("listPrice")).alias("original"))
+    single = F.struct(F.struct(k.alias("artworkId"), F.col("p_size").alias("userId"), F.col("p_name").alias("title"), styles.alias("styles"), F.array(product).alias("products")).alias("artwork"), F.struct(path.alias("artworkOriginalUrl"), status.alias("originalArtworkStatus")).alias("pdpArtwork"), F.struct(F.lit("Ann").alias("firstName"), F.lit("Bell").alias("lastName")).alias("artist"))
+    both = [_marketplace(spark, p.select(k.cast("string").alias("filename"), _next_data(data).alias("html")), f"saatchi/{name}").select(*_SAATCHI_COLUMNS) for data, name in ((profile, "cards"), (single, "artworks"))]
+    return both[0].unionByName(both[1])
+
+
+@query("SELECT CAST(c_custkey AS VARCHAR) AS platform_artist_id, c_name AS full_name, 'https://www.saatchiart.com/u' || c_custkey AS profile_url, 'https://www.instagram.com/u' || c_custkey AS instagram, 'Poland' AS country, 'about' || chr(10) || 'her' AS biography FROM customer")
+def p_saatchi_artists(spark: SparkSession, d: str) -> DataFrame:
+    user = F.concat(F.lit("u"), F.col("c_custkey").cast("string"))
+    account = F.struct(F.col("c_custkey").alias("userId"), user.alias("userName"), F.lit("").alias("firstName"), F.col("c_name").alias("displayName"), F.lit("PL").alias("countryCode"), F.struct(F.lit("<p>about</p>her").alias("about")).alias("aboutArtist"), F.struct(F.concat(F.lit("@"), user).alias("instagram")).alias("socialLinks"))
+    p = table(spark, d, "customer").select(user.alias("filename"), _next_data(F.struct(account.alias("accountData"))).alias("html"))
+    return _marketplace(spark, p, "saatchi/artists").select("platform_artist_id", "full_name", "profile_url", "instagram", "country", "biography")
+
+
+@query("SELECT 'work-' || p_partkey AS platform_artwork_id, p_name AS title, 'a' || p_size AS platform_artist_id, CAST(p_retailprice AS DECIMAL(14,2)) AS price, 'GBP' AS currency, p_size > 25 AS is_available_for_sale, p_size <= 25 AS is_sold, 'United States' AS ships_from_country FROM part")
+def p_artsy_artworks(spark: SparkSession, d: str) -> DataFrame:
+    """Twice encoded answers, the artwork's among them."""
+    p = table(spark, d, "part")
+    work = F.struct(
+        F.concat(F.lit("work-"), F.col("p_partkey").cast("string")).alias("slug"), F.col("p_name").alias("title"), F.array(F.struct(F.concat(F.lit("a"), F.col("p_size").cast("string")).alias("internalID"), F.lit('Ann "B" Bell').alias("name"))).alias("artists"),
+        F.struct(F.col("p_retailprice").cast("decimal(14,2)").alias("major"), F.lit("GBP").alias("currencyCode")).alias("listPrice"), F.when(F.col("p_size") > 25, "For Sale").otherwise("sold").alias("availability"), (F.col("p_size") <= 25).alias("isSold"), F.lit("New York, NY, US").alias("shippingOrigin"),
+    )
+    answer = F.to_json(F.struct(F.struct(F.struct(work.alias("artworkResult")).alias("data")).alias("json")))
+    key = lambda name: F.regexp_replace(F.to_json(F.array(F.lit(f'{{"queryID": "{name}"}}'))), r"^\[|\]$", "")
+    pairs = F.concat(F.lit("[["), key("buildAppRoutesQuery"), F.lit(', {"json": {}}], ['), key("artworkRoutes_ArtworkQuery"), F.lit(", "), answer, F.lit("]]"))
+    page = F.concat(F.lit("<script>var __RELAY_HYDRATION_DATA__ = "), F.regexp_replace(F.to_json(F.array(pairs)), r"^\[|\]$", ""), F.lit(";</script>"))
+    rows = _marketplace(spark, p.select(F.lit("f").alias("filename"), page.alias("html")), "artsy/artworks")
+    return rows.select("platform_artwork_id", "title", "platform_artist_id", "price", "currency", "is_available_for_sale", "is_sold", "ships_from_country")

@@ -1,4 +1,4 @@
-"""Two marketplaces whose pages describe themselves in linked data, with their artworks and artists.
+"""Four marketplaces with their artworks and artists: two in linked data, two in embedded state.
 
 An artist's row comes from the artist's own page only. Names of artists are
 those the page gives for their ids.
@@ -13,13 +13,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from vernissage.functions import payload
-from vernissage.functions.scalars import country_name, currency_code, let, plain_text, to_money, to_url, year_of
+from vernissage.functions.scalars import SOCIAL, country_name, currency_code, let, plain_text, profile_url, text_list, to_money, to_url, year_of
 from vernissage.functions.text import clean_text
 from vernissage.plans.pages import Mapping
 
 #: Types of linked data that are artworks, and the name of the picture of artists without one.
 ARTWORK_TYPES = ("VisualArtwork", "Painting", "Photograph", "Drawing", "Sculpture")
 NO_PORTRAIT = "headshotPlaceholder"
+#: How networks write the addresses of profiles.
+PROFILES = {"facebook": "https://www.facebook.com/{}", "instagram": "https://www.instagram.com/{}", "tiktok": "https://www.tiktok.com/@{}", "twitter": "https://x.com/{}"}
 #: Lists of an artist's page that hold artworks, and whether these are for sale (null: not told).
 ARTWORK_LISTS = {"artworks": True, "auction-results": None}
 
@@ -95,9 +97,55 @@ def _one(c: Column) -> Column:
     return F.when(text.isNotNull(), F.array(text))
 
 
+def _page_state(html: Column) -> Column:
+    return F.try_variant_get(payload.script_json(html, "__NEXT_DATA__"), "$.props.pageProps.initialState.page.data", "variant")
+
+
+def _profile_cards(html: Column) -> Column:
+    """Artworks on an artist's profile, each with the artist it is of."""
+
+    def read(v: Column) -> Column:
+        works = F.try_variant_get(v, "$.accountData.artworks", "array<variant>")
+        artist = [F.try_variant_get(v, f"$.accountData.{k}", "string").alias(k) for k in ("userId", "firstName", "lastName")]
+        return F.to_variant_object(F.transform(works, lambda w: F.struct(w.alias("item"), *artist)))
+
+    return let(_page_state(html), read)
+
+
+def _full_name(first: str, last: str):
+    return lambda v: clean_text(F.concat_ws(" ", *[clean_text(F.try_variant_get(v, p, "string")) for p in (first, last)]))
+
+
+def _on_site(base: str):
+    return lambda c: to_url(F.when(c.startswith("/"), F.concat(F.lit(base), c)).otherwise(c))
+
+
+def _cents(c: Column) -> Column:
+    return to_money((c.try_cast("decimal(20,4)") / 100).cast("string"))
+
+
+def _usd_if_priced(path: str):
+    return lambda v: F.when(_cents(F.try_variant_get(v, path, "string")).isNotNull(), F.lit("USD"))
+
+
+def _is(word: str, path: str):
+    return lambda v: let(F.lower(clean_text(F.try_variant_get(v, path, "string"))), lambda t: t == word)
+
+
+def _routed_artwork(html: Column) -> Column:
+    """The artwork among the answers a page was rendered from: twice encoded pairs of a query and its answer."""
+    text = F.try_variant_get(F.try_parse_json(F.regexp_extract(html, r'(?s)var __RELAY_HYDRATION_DATA__ = ("(?:[^"\\]|\\.)*")', 1)), "$", "string")
+    pairs = F.try_variant_get(F.try_parse_json(text), "$", "array<variant>")
+    asked = lambda p: F.try_variant_get(F.try_parse_json(F.try_variant_get(p, "$[0]", "string")), "$.queryID", "string")
+    mine = F.filter(pairs, lambda p: F.coalesce(asked(p).startswith("artworkRoutes_Artwork"), F.lit(False)))
+    return F.try_variant_get(F.get(mine, 0), "$[1].json.data.artworkResult", "variant")
+
+
 def mappings(as_of: int, countries: Names[str, str]) -> dict[str, Mapping]:
     """The mappings by site and dataset; ``countries`` are names by codes (``countries.country_names``)."""
     faa_work, faa_artist = _id_in(r"/featured/([^/?#]+)\.html"), _id_in(r"/profiles/([^/?#]+)")
+    sizes = lambda c: F.when(c > 0, c)
+    saatchi, artsy = _on_site("https://www.saatchiart.com"), _on_site("https://www.artsy.net")
     hex_artist, hex_work = _id_in(r"/Artist/[^/?#]+/([0-9A-Fa-f]{10,})", True), _id_in(r"/Artwork/[^/?#]+/([0-9A-Fa-f]{10,})", True)
     return {
         "fineartamerica/artworks": Mapping(
@@ -111,6 +159,31 @@ def mappings(as_of: int, countries: Names[str, str]) -> dict[str, Mapping]:
             {"platform_artist_id": ("$.url", "string"), "full_name": ("$.name", "string"), "profile_url": ("$.url", "string"), "avatar": ("$.image", "string"), "city": ("$.homeLocation.address.addressLocality", "string"), "state": ("$.homeLocation.address.addressRegion", "string"), "country": ("$.homeLocation.address.addressCountry", "string")},
             {"platform_artist_id": faa_artist, "full_name": clean_text, "profile_url": to_url, "avatar": _picture, "city": clean_text, "state": clean_text, "country": lambda c: country_name(c, countries)},
         ),
+        "saatchi/cards": Mapping(
+            _profile_cards, "$", "platform_artwork_id",
+            {"platform_artwork_id": ("$.item.artworkID", "string"), "title": ("$.item.title", "string"), "platform_artist_id": ("$.userId", "string"), "artwork_url": ("$.item.pdpUrl", "string"), "category": ("$.item.category", "string"), "subject": ("$.item.subject", "string"), "width_cm": ("$.item.widthInCentimeters", "double"), "height_cm": ("$.item.heightInCentimeters", "double"), "depth_cm": ("$.item.depthInCentimeters", "double"), "price": ("$.item.listPrice", "string"), "styles": ("$.item.styles", "array<string>"), "mediums": ("$.item.mediums", "array<string>"), "image_url": ("$.item.artworkImage", "string")},
+            {"title": clean_text, "platform_artist_id": clean_text, "artwork_url": saatchi, "category": clean_text, "subject": clean_text, "width_cm": sizes, "height_cm": sizes, "depth_cm": sizes, "price": _cents, "styles": lambda c: text_list(c), "mediums": lambda c: text_list(c), "image_url": saatchi},
+            derived={"artist_name": _full_name("$.firstName", "$.lastName"), "currency": _usd_if_priced("$.item.listPrice"), "is_sold": _is("sold", "$.item.originalStatus"), "has_detail": lambda _: F.lit(False)},
+        ),
+        "saatchi/artworks": Mapping(
+            _page_state, "$", "platform_artwork_id",
+            {"platform_artwork_id": (("$.artwork.artworkId", "$.pdpArtwork.artworkId"), "string"), "title": ("$.artwork.title", "string"), "platform_artist_id": (("$.artwork.userId", "$.artist.userId"), "string"), "artwork_url": ("$.pdpArtwork.artworkOriginalUrl", "string"), "category": ("$.artwork.category", "string"), "subject": ("$.artwork.subject", "string"), "description": ("$.artwork.description", "string"), "year": ("$.artwork.yearProduced", "string"), "width_cm": ("$.pdpArtwork.dimensions.widthInCentimeters", "double"), "height_cm": ("$.pdpArtwork.dimensions.heightInCentimeters", "double"), "price": ("$.artwork.products[0].original.listPrice", "string"), "ships_from_country": ("$.artwork.products[0].original.shippingCountry", "string"), "is_available_for_sale": ("$.artwork.products[0].isAvailableForSale", "boolean"), "styles": (("$.artwork.styles", "$.pdpArtwork.styles"), "array<string>"), "mediums": (("$.artwork.mediums", "$.pdpArtwork.mediums"), "array<string>"), "image_url": ("$.artwork.artworkImage.imageUrl", "string")},
+            {"title": clean_text, "platform_artist_id": clean_text, "artwork_url": saatchi, "category": clean_text, "subject": clean_text, "description": plain_text, "year": lambda c: year_of(c, as_of), "width_cm": sizes, "height_cm": sizes, "price": _cents, "ships_from_country": lambda c: country_name(c, countries), "styles": lambda c: text_list(c), "mediums": lambda c: text_list(c), "image_url": saatchi},
+            relevant=lambda v: F.try_variant_get(v, "$.artwork", "variant").isNotNull(),
+            derived={"artist_name": _full_name("$.artist.firstName", "$.artist.lastName"), "currency": _usd_if_priced("$.artwork.products[0].original.listPrice"), "is_sold": _is("sold", "$.pdpArtwork.originalArtworkStatus"), "has_detail": lambda _: F.lit(True)},
+        ),
+        "saatchi/artists": Mapping(
+            _page_state, "$.accountData", "platform_artist_id",
+            {"platform_artist_id": ("$.userId", "string"), "avatar": ("$.avatar", "string"), "biography": ("$.aboutArtist.about", "string"), "website": ("$.socialLinks.artistHomepage", "string"), **{n: (f"$.socialLinks.{n}", "string") for n in SOCIAL}, "city": ("$.city", "string"), "state": ("$.state", "string"), "zip_code": ("$.zipcode", "string"), "country": (("$.country", "$.countryCode"), "string")},
+            {"avatar": saatchi, "biography": plain_text, "website": to_url, **{n: (lambda c, n=n: profile_url(c, PROFILES[n])) for n in SOCIAL}, "city": clean_text, "state": clean_text, "zip_code": clean_text, "country": lambda c: country_name(c, countries)},
+            derived={"full_name": lambda v: F.coalesce(_full_name("$.firstName", "$.lastName")(v), clean_text(F.try_variant_get(v, "$.displayName", "string"))), "profile_url": lambda v: to_url(F.concat(F.lit("https://www.saatchiart.com/"), clean_text(F.try_variant_get(v, "$.userName", "string"))))},
+        ),
+        "artsy/artworks": Mapping(
+            _routed_artwork, "$", "platform_artwork_id",
+            {"platform_artwork_id": ("$.slug", "string"), "title": ("$.title", "string"), "artist_name": (("$.artistNames", "$.artists[0].name"), "string"), "platform_artist_id": ("$.artists[0].internalID", "string"), "artwork_url": ("$.href", "string"), "category": ("$.category", "string"), "width_cm": ("$.widthCm", "double"), "height_cm": ("$.heightCm", "double"), "depth_cm": ("$.depthCm", "double"), "price": ("$.listPrice.major", "string"), "currency": (("$.priceCurrency", "$.listPrice.currencyCode"), "string"), "year": ("$.date", "string"), "description": ("$.descriptionHTML", "string"), "mediums": ("$.medium", "string"), "dimensions_cm": ("$.dimensions.cm", "string"), "dimensions_in": ("$.dimensions.in", "string"), "is_sold": ("$.isSold", "boolean"), "image_url": ("$.image.resized.src", "string"), "has_certificate": ("$.hasCertificateOfAuthenticity", "boolean"), "signature": ("$.signatureInfo.details", "string"), "ships_from_country": ("$.shippingOrigin", "string")},
+            {"title": clean_text, "artist_name": clean_text, "platform_artist_id": clean_text, "artwork_url": artsy, "category": clean_text, "price": to_money, "currency": currency_code, "year": lambda c: year_of(c, as_of), "description": plain_text, "mediums": _one, "dimensions_cm": clean_text, "dimensions_in": clean_text, "image_url": to_url, "signature": clean_text, "ships_from_country": lambda c: country_name(F.element_at(F.split(c, ","), -1), countries)},
+            derived={"is_available_for_sale": _is("for sale", "$.availability"), "has_detail": lambda _: F.lit(True)},
+        ),
         "mutualart/artworks": Mapping(
             _listed_artworks, "$", "platform_artwork_id",
             {"platform_artwork_id": ("$.item.url", "string"), "artwork_url": ("$.item.url", "string"), "year": ("$.item.dateCreated", "string"), "description": ("$.item.description", "string"), "mediums": ("$.item.artMedium", "string"), "support": ("$.item.artworkSurface", "string"), "image_url": ("$.item.image", "string")},

@@ -72,6 +72,14 @@ def test_pairs_and_paths_of_any_length(one):
     assert [tuple(x) for x in one(payload.leaf_paths("s"), "s string", '{"a": [], "b": {}, "c": "' + "x" * 200 + '"}')] == [("a", "[]"), ("b", "{}"), ("c", '"' + "x" * 200 + '"')]
 
 
+def test_very_long_strings_in_scripts(spark):
+    inner = json.dumps({"k": ['a"b\\n'] * 100_000})
+    html = f"self.__next_f.push([1,{json.dumps(inner)}]) LOT " + '"a":"' + 'x\\"' * 100_000 + '"'
+    df = spark.createDataFrame([(html, f"v = {json.dumps(inner)};"), ("f.push([1,\"open", "v = open"), (None, None)], "h string, v string")
+    got = df.select(F.length(F.get(payload.flight_chunks("h"), 0)).alias("c"), F.length(payload.string_after("v = ")("v")).alias("s"), F.length(payload.pairs_after("h", "LOT")["a"]).alias("p")).collect()
+    assert [tuple(r) for r in got] == [(len(inner), len(inner), 300_000), (None, None, None), (None, None, None)]
+
+
 def test_scripts_metas_and_chunks(one, spark):
     html = '<script type="application/json" id="__D__">{"a": {"b": [1, 2]}}</script><script type="application/ld+json">{"@type": "X"}</script><meta content="10" property="og:price"><script>f.push([1,"x\\"y"])</script>'
     assert one(F.try_variant_get(payload.script_json("s", "__D__"), "$.a.b[1]", "int"), "s string", html) == 2

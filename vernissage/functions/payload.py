@@ -8,6 +8,7 @@ the one column they read.
 from __future__ import annotations
 
 import json
+import re
 from html.parser import HTMLParser
 from typing import Any
 
@@ -64,22 +65,69 @@ def meta_content(html: Column | str, name: str) -> Column:
     return F.nullif(F.coalesce(F.nullif(first, F.lit("")), second), F.lit(""))
 
 
+def _string_at(text: str, at: int) -> tuple[str | None, int]:
+    """The JSON string that opens at a place, and where it ends; None if there is none.
+
+    Strings within scripts are read here and not by a pattern in the JVM: a
+    pattern that repeats a choice recurses once for each character, and a long
+    string would end the executor.
+    """
+    try:
+        value, end = json.JSONDecoder(strict=False).raw_decode(text, at)
+    except (ValueError, RecursionError):
+        return None, at
+    return (value, end) if isinstance(value, str) else (None, at)
+
+
+_PUSH, _CLOSE = re.compile(r"\.push\(\s*\[\s*\d+\s*,\s*(?=\")"), re.compile(r"\s*\]\s*\)")
+
+
+def _chunks_of(html: str | None) -> list[str]:
+    found, text = [], html or ""
+    for m in _PUSH.finditer(text):
+        value, end = _string_at(text, m.end())
+        if value is not None and _CLOSE.match(text, end):
+            found.append(value)
+    return found
+
+
 def flight_chunks(html: Column | str) -> Column:
     """Strings pushed by streamed page rendering, unescaped, as one array."""
-    raw = F.regexp_extract_all(_col(html), F.lit(r"\.push\(\s*\[\s*\d+\s*,\s*(\"(?:[^\"\\]|\\.)*\")\s*\]\s*\)"), 1)
-    return F.array_compact(F.transform(raw, lambda s: F.try_variant_get(F.try_parse_json(s), "$", "string")))
+    return F.pandas_udf(lambda pages: pages.map(_chunks_of), T.ArrayType(T.StringType()))(_col(html))
+
+
+def string_after(marker: str):
+    """Function of pages: the string literal right after a marker, unescaped."""
+
+    @F.pandas_udf(T.StringType())
+    def found(pages: pd.Series) -> pd.Series:
+        def one(html: str | None) -> str | None:
+            at = (html or "").find(marker)
+            return _string_at(html, at + len(marker))[0] if at >= 0 else None
+
+        return pages.map(one)
+
+    return found
+
+
+_PAIR = re.compile(r'"(\w+)"\s*:\s*"((?:[^"\\]|\\.)*)"', re.S)
 
 
 def pairs_after(html: Column | str, anchor: str) -> Column:
-    """``"key":"value"`` pairs in all the text after an anchor, as a map; the first of a key wins."""
-    h = _col(html)
-    at = F.instr(h, anchor)
-    part = F.substring(h, at, F.length(h))
-    pair = r"\"(\w+)\"\s*:\s*\"((?:[^\"\\]|\\.)*)\""
-    keys, values = (F.regexp_extract_all(part, F.lit(pair), i) for i in (1, 2))
-    entries = F.arrays_zip(keys.alias("k"), values.alias("v"))
-    first = F.filter(entries, lambda e, i: F.array_position(keys, e["k"]) == i + 1)
-    return F.when(at > 0, F.map_from_entries(first))
+    """``"key":"value"`` pairs in all the text after an anchor, as a map; the first of a key wins, values stay as written."""
+
+    @F.pandas_udf(T.MapType(T.StringType(), T.StringType()))
+    def found(pages: pd.Series) -> pd.Series:
+        def one(text: str | None) -> dict[str, str] | None:
+            at = (text or "").find(anchor)
+            out: dict[str, str] = {}
+            for m in _PAIR.finditer(text, at) if at >= 0 else ():
+                out.setdefault(m[1], m[2])
+            return out if at >= 0 else None
+
+        return pages.map(one)
+
+    return found(_col(html))
 
 
 def blocked(status: Column, header: Column, body: Column, statuses: tuple[int, ...] = (403, 429, 503), keywords: tuple[str, ...] = ("captcha", "access denied", "unusual traffic", "verify you are human")) -> Column:
@@ -300,8 +348,6 @@ def assigned_udf(name: str, numbered: bool = False):
 
     @F.pandas_udf(T.StringType())
     def assigned(pages: pd.Series) -> pd.Series:
-        import re
-
         at = re.compile(rf"(?<![\w.]){re.escape(name)}{'[0-9]+' if numbered else ''}\s*=\s*(?=[{{\[])")
 
         def one(html: str | None) -> str | None:
@@ -316,8 +362,6 @@ def assigned_udf(name: str, numbered: bool = False):
 
 def object_after(key: str):
     """Function of arrays of text chunks: JSON text of the first object that is the value of a key."""
-    import re
-
     # The brace is part of the match, so values of other kinds are passed over.
     opening = re.compile(rf'{re.escape(json.dumps(key))}\s*:\s*{{')
 

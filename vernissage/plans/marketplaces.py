@@ -134,7 +134,7 @@ def _is(word: str, path: str):
 
 def _routed_artwork(html: Column) -> Column:
     """The artwork among the answers a page was rendered from: twice encoded pairs of a query and its answer."""
-    text = F.try_variant_get(F.try_parse_json(F.regexp_extract(html, r'(?s)var __RELAY_HYDRATION_DATA__ = ("(?:[^"\\]|\\.)*")', 1)), "$", "string")
+    text = payload.string_after("var __RELAY_HYDRATION_DATA__ = ")(html)
     pairs = F.try_variant_get(F.try_parse_json(text), "$", "array<variant>")
     asked = lambda p: F.try_variant_get(F.try_parse_json(F.try_variant_get(p, "$[0]", "string")), "$.queryID", "string")
     mine = F.filter(pairs, lambda p: F.coalesce(asked(p).startswith("artworkRoutes_Artwork"), F.lit(False)))

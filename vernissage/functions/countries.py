@@ -35,6 +35,10 @@ PEOPLE_ABROAD = {
 }
 
 
+#: Words read before, by languages: they are the same for every session.
+_known: dict[tuple[str, ...], dict[str, str]] = {}
+
+
 def country_words(spark: SparkSession, languages: tuple[str, ...] = LANGUAGES) -> dict[str, str]:
     """Folded codes, names and words for people, and the ISO code each stands for.
 
@@ -42,15 +46,19 @@ def country_words(spark: SparkSession, languages: tuple[str, ...] = LANGUAGES) -
     the locale data of the platform, about 250 countries in each language. A
     word that stands for two countries stands for none.
     """
+    if languages in _known:
+        return _known[languages]
     locale = spark._jvm.java.util.Locale
+    tongues = [locale.forLanguageTag(x) for x in languages]
     found: dict[str, set[str]] = {}
     for code in locale.getISOCountries():
         place = locale("", code)
-        for word in (code, place.getISO3Country(), *(place.getDisplayCountry(locale.forLanguageTag(x)) for x in languages)):
+        for word in (code, place.getISO3Country(), *(place.getDisplayCountry(t) for t in tongues)):
             found.setdefault(fold_word(word), set()).add(code)
     own = {w: {c} for table in (PEOPLE, PEOPLE_ABROAD) for c, words in table.items() for w in words.split()}
     own |= {w: {c} for w, c in ALIASES.items()}
-    return {w: next(iter(codes)) for w, codes in {**found, **own}.items() if w and len(codes) == 1}
+    _known[languages] = {w: next(iter(codes)) for w, codes in {**found, **own}.items() if w and len(codes) == 1}
+    return _known[languages]
 
 
 def country_names(spark: SparkSession, language: str = "en") -> dict[str, str]:

@@ -126,7 +126,9 @@ class Transducer:
         for own, other in (("C", "G"), ("G", "C")):
             self.back[own] |= {f: self.back[own][latin] for f, latin in looks[other].items() if latin in self.back[own] and f not in CYRILLIC_RARE}
         self.looks, self.phonetics = looks, phonetics
-        hidden = [chr(c) for c in range(0x110000) if not 0xD800 <= c <= 0xDFFF and _HIDDEN.match(chr(c))]
+        # All planes that have characters of these kinds.
+        planes = "".join(map(chr, (*range(0xD800), *range(0xE000, 0x20000), *range(0xE0000, 0xE1000))))
+        hidden = regex.findall(rf"[{_INVISIBLE}]", planes)
         marks = [chr(c) for c in range(0x300, 0x1F000) if U.category(chr(c))[0] == "M"]
         #: Places where a match may begin, or the one before: everything else is copied.
         self.trigger = re.compile(_char_class({*singles, *hidden, *marks}))

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from vernissage.functions.sizes import NUM, ONE, UNIT, size_text, written_number
 from vernissage.functions.text import clean_id, clean_line
 from vernissage.operators.history import price_observations
-from vernissage.session import small_rows
+from vernissage.session import small_rows, spread
 
 #: A reference table of currencies with more rows than this is refused.
 MAX_RATES = 10_000
@@ -216,7 +216,7 @@ def recorded_widths(artworks: DataFrame) -> DataFrame:
     """
     cols = ["platform_name", "platform_artwork_id", "width_cm", "width_in", "dimensions_cm", "dimensions_in", "dimensions"]
     a = artworks.select(*cols).filter("width_cm is not null or width_in is not null or dimensions_cm is not null or dimensions_in is not null or dimensions is not null")
-    a = a.select("platform_name", clean_id("platform_artwork_id").alias("platform_artwork_id"), *cols[2:]).filter("platform_artwork_id is not null")
+    a = spread(a).select("platform_name", clean_id("platform_artwork_id").alias("platform_artwork_id"), *cols[2:]).filter("platform_artwork_id is not null")
     width_cm = F.col("width_cm").try_cast("decimal(14,4)")
     none = F.lit(None)
 

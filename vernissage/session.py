@@ -92,3 +92,14 @@ def small_rows(df: DataFrame, limit: int, what: str) -> list:
 def broadcast_if_small(df: DataFrame, limit: int) -> DataFrame:
     """Broadcast ``df`` only when it is counted to hold at most ``limit`` rows."""
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """The same rows over all cores, where the input comes in far fewer parts than there are cores.
+
+    A file with one row group is read by one task. For maps that cost much more
+    than moving their rows; inputs of many parts, and so all large ones, stay where they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    parts = df._jdf.queryExecution().toRdd().getNumPartitions()
+    return df.repartition(cores) if 0 < parts * 4 < cores else df

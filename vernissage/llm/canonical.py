@@ -31,6 +31,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vernissage.session import spread
+
 #: Letters of other scripts and the Latin letters they look like.
 CYRILLIC = dict(zip("АВЕЅІЈКМНОРСТХУаеѕіјорсухԁһԛԝ", "ABESIJKMHOPCTXYaesijopcyxdhqw", strict=True))
 GREEK = dict(zip("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧνοαικρτυχ", "ABEZHIKMNOPTYXvoaikptux", strict=True))
@@ -329,8 +331,8 @@ def disguised_fields(artists: DataFrame, artworks: DataFrame) -> DataFrame:
     """``entity_type, platform_name, platform_id, field_name``, each once, of disguised names, biographies and titles."""
     from vernissage.functions.text import clean_id
 
-    people = artists.select(F.lit("artist").alias("entity_type"), "platform_name", F.col("platform_artist_id").alias("id"), F.inline(F.array(*[F.struct(F.lit(c).alias("field_name"), F.col(c).alias("value")) for c in ("full_name", "biography")])))
-    works = artworks.select(F.lit("artwork").alias("entity_type"), "platform_name", F.col("platform_artwork_id").alias("id"), F.lit("title").alias("field_name"), F.col("title").alias("value"))
+    people = spread(artists.select("platform_name", "platform_artist_id", "full_name", "biography")).select(F.lit("artist").alias("entity_type"), "platform_name", F.col("platform_artist_id").alias("id"), F.inline(F.array(*[F.struct(F.lit(c).alias("field_name"), F.col(c).alias("value")) for c in ("full_name", "biography")])))
+    works = spread(artworks.select("platform_name", "platform_artwork_id", "title")).select(F.lit("artwork").alias("entity_type"), "platform_name", F.col("platform_artwork_id").alias("id"), F.lit("title").alias("field_name"), F.col("title").alias("value"))
     found = disguised(people, "value").drop("canonical", "value").unionByName(disguised(works, "value").drop("canonical", "value"))
     named = found.select("entity_type", "platform_name", clean_id("id").alias("platform_id"), "field_name").filter("platform_id is not null")
     return named.distinct()

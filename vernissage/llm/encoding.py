@@ -30,6 +30,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vernissage.session import spread
+
 #: Where the vocabulary files are, unless a caller says otherwise.
 TOKENIZERS = "/opt/tokenizers"
 
@@ -138,4 +140,4 @@ def encoder_udf(spark, name: str = "byte_bpe_50k", folder: str = TOKENIZERS, lea
 
 def encode_corpus(docs: DataFrame, text: str = "text", out: str = "ids", **options) -> DataFrame:
     """Adds ``out``: the token ids of every text."""
-    return docs.withColumn(out, encoder_udf(docs.sparkSession, **options)(F.col(text)))
+    return spread(docs).withColumn(out, encoder_udf(docs.sparkSession, **options)(F.col(text)))

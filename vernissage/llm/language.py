@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vernissage.functions.text import fold
-from vernissage.session import small_rows
+from vernissage.session import small_rows, spread
 
 #: Labelled sentences the model is fitted on at most; more are refused, not sampled.
 MAX_SAMPLES = 100_000
@@ -285,7 +285,7 @@ def document_segments(docs: DataFrame, model: NaiveBayes, id_col: str = "doc_id"
                 ]
                 yield pd.DataFrame(rows, columns=["id", "segment", "start", "end", "lang", "confidence", "words"])
 
-    rows = docs.select(id_col, text).filter(F.col(text).isNotNull())
+    rows = spread(docs.select(id_col, text).filter(F.col(text).isNotNull()))
     return rows.mapInPandas(score, f"id {kind}, segment int, start int, end int, lang string, confidence double, words double").withColumnRenamed("id", id_col)
 
 
@@ -302,7 +302,7 @@ def document_languages(docs: DataFrame, model: NaiveBayes, id_col: str = "doc_id
                 found = segments(shared.value, [t or "" for t in part[text]])
                 yield pd.DataFrame({"id": part[id_col].values, "label": part[label].values, "languages": [list(languages_of(f, min_words, least_words).items()) for f in found]})
 
-    out = docs.select(id_col, text, label).mapInPandas(score, f"id {kind}, label string, languages array<struct<lang:string,confidence:double>>")
+    out = spread(docs.select(id_col, text, label)).mapInPandas(score, f"id {kind}, label string, languages array<struct<lang:string,confidence:double>>")
     return out.withColumnRenamed("id", id_col)
 
 

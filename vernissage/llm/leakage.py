@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vernissage.llm.canonical import canonical
-from vernissage.session import checkpoint, small_rows
+from vernissage.session import checkpoint, small_rows, spread
 
 #: Words of a passage that counts, and how many of them may be changed or missing.
 PASSAGE, CHANGED = 15, 2
@@ -351,6 +351,7 @@ def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: st
     n_blocks = -(-(test.agg(F.sum(F.size("w"))).first()[0] or 0) // BLOCK_WORDS) or 1
     texts = docs.select(F.col(doc_id).alias("d"), F.col(text).alias("t")).filter("t is not null")
     limit = max(RARE_LEAST, int(RARE_SHARE * texts.count()))
+    texts = spread(texts)
     if n_blocks > 1:
         texts = checkpoint(texts.select("d", F.array_join(_words_udf("t"), " ").alias("t")))
     found = None

@@ -299,7 +299,8 @@ def suspicious() -> str:
             ranges[-1][1] = c
         else:
             ranges.append([c, c])
-    return "[^" + "".join(rf"\x{{{a:X}}}-\x{{{b:X}}}" for a, b in ranges) + "]"
+    # Most characters are told by the two ranges of the look-ahead.
+    return r"(?![\x{1}-\x{7F}\x{C0}-\x{FF}])[^" + "".join(rf"\x{{{a:X}}}-\x{{{b:X}}}" for a, b in ranges) + "]"
 
 
 @cache

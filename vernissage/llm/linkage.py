@@ -296,36 +296,47 @@ class LabelModel:
         score += np.array([(("+" in x) - 2.0 * ("-" in x and "+" not in x)) for x in p["place"]]) + p["town"].map({"+": 0.5, "-": 0.0, "?": 0.0}).to_numpy(float)
         # Names that do not relate are taken for different persons at first; what that is worth is learned.
         post = (p["name"] != "other").to_numpy() / (1 + np.exp(-2 * (score - 1.5)))
+        # Votes as numbers: a table is a count by vote, or by name and vote.
+        levels = {f: np.unique(p[f]) for f in FUNCTIONS}
+        votes = {f: np.searchsorted(levels[f], p[f]) for f in FUNCTIONS}
+        seen = {f: (p[f] != "?").to_numpy() if f in ("years", "fresh") else np.ones(len(p), bool) for f in FUNCTIONS}
+        names, name = levels["name"], votes["name"]
+
+        def maximised(post: np.ndarray) -> tuple[float, dict[str, np.ndarray], dict[str, np.ndarray]]:
+            same, other = {}, {}
+            for f in FUNCTIONS:
+                k, w = len(levels[f]), seen[f]
+                m, u = (np.bincount(votes[f][w], (n * x)[w], k) for x in (post, 1 - post))
+                there = np.bincount(votes[f][w], minlength=k) > 0
+                kinds = max(1, int(there.sum()))
+                same[f], share = ((x + 0.5) / (x.sum() + 0.5 * kinds) for x in (m, u))
+                if f == "name":
+                    other[f] = np.repeat(share[None, :], len(names), axis=0)
+                    continue
+                given = np.bincount(name[w] * k + votes[f][w], (n * (1 - post))[w], len(names) * k).reshape(len(names), k)
+                other[f] = (given + smooth * share) / (given.sum(axis=1, keepdims=True) + smooth)
+            part = float((n * post).sum() / max(n.sum(), 1e-9))
+            return min(0.999, max(0.0001, part)), same, other
+
         for _ in range(iterations):
-            model = cls._maximise(p, n, post, smooth)
-            new = model.posterior(p)
+            prior, same, other = maximised(post)
+            odds = np.full(len(p), np.log(prior / (1 - prior)))
+            for f in FUNCTIONS:
+                odds += np.where(seen[f], np.log(same[f][votes[f]] / other[f][name, votes[f]]), 0.0)
+            new = 1 / (1 + np.exp(-np.clip(odds, -50, 50)))
             if np.abs(new - post).max() < 1e-6:
                 break
             post = new
-        return model
+        return cls(
+            prior,
+            {f: {v: float(same[f][i]) for i, v in enumerate(levels[f])} for f in FUNCTIONS},
+            {f: {(k, v): float(other[f][j, i]) for j, k in enumerate(names) for i, v in enumerate(levels[f])} for f in FUNCTIONS},
+        )
 
     @staticmethod
     def _with_noted(p: pd.DataFrame) -> pd.DataFrame:
         return p.assign(noted=np.where(p["years"] == "?", "no", "yes"))
 
-    @classmethod
-    def _maximise(cls, p: pd.DataFrame, n: np.ndarray, post: np.ndarray, smooth: float) -> LabelModel:
-        same: dict[str, dict[str, float]] = {}
-        other: dict[str, dict[tuple[str, str], float]] = {}
-        for f in FUNCTIONS:
-            seen = (p[f] != "?").to_numpy() if f in ("years", "fresh") else np.ones(len(p), bool)
-            q = pd.DataFrame({"name": p["name"], "v": p[f], "m": n * post, "u": n * (1 - post)})[seen]
-            levels = q.groupby("v")[["m", "u"]].sum()
-            share = (levels + 0.5) / (levels.sum() + 0.5 * max(1, len(levels)))
-            same[f] = share["m"].to_dict()
-            given = q.groupby(["name", "v"])["u"].sum()
-            totals = q.groupby("name")["u"].sum()
-            other[f] = {(k, v): (given.get((k, v), 0.0) + smooth * share["u"][v]) / (totals[k] + smooth) for k in totals.index for v in levels.index}
-            if f == "name":
-                other[f] = {(k, k): share["u"][k] for k in levels.index}
-        part = float((n * post).sum() / max(n.sum(), 1e-9))
-        return cls(min(0.999, max(0.0001, part)), same, other)
-
     def posterior(self, patterns: pd.DataFrame) -> np.ndarray:
         p = self._with_noted(patterns)
         odds = np.full(len(p), np.log(self.prior / (1 - self.prior)))

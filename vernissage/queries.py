@@ -46,7 +46,8 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _CLEAN_ID = "nullif(regexp_replace(regexp_replace({c}, '[\\x{{200B}}-\\x{{200F}}\\x{{202A}}-\\x{{202E}}\\x{{2060}}-\\x{{2064}}\\x{{FEFF}}\\x{{00AD}}\\x{{180E}}\\x{{FE00}}-\\x{{FE0F}}\\x{{061C}}]', '', 'g'), '^[\\s\\p{{Z}}\\p{{Cc}}]+|[\\s\\p{{Z}}\\p{{Cc}}]+$', '', 'g'), '')"
 _ID_ARTWORK = _CLEAN_ID.format(c="platform_artwork_id")
-_ID_ARTIST = _CLEAN_ID.format(c="platform_artist_id")
+#: SQL of an artist's cleaned id, also for the queries of the subpackage.
+ID_ARTIST = _ID_ARTIST = _CLEAN_ID.format(c="platform_artist_id")
 
 _PRICE_OBS = f"""
 price_obs AS (

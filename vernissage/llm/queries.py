@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vernissage.llm import canonical, encoding, language, leakage, linkage, survivor
-from vernissage.queries import _ID_ARTIST
+from vernissage.queries import ID_ARTIST
 from vernissage.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -118,7 +118,7 @@ def _usable_sql(f: str) -> str:
 
 ORACLES: dict[str, str] = {
     "p2_found": "WITH a AS (SELECT *, "
-    + _ID_ARTIST
+    + ID_ARTIST
     + " AS id FROM artists), g AS (SELECT platform_name, id, crawl_date FROM a WHERE id IS NOT NULL GROUP BY ALL HAVING count(*) > 1), "
     + "c AS ("
     + " UNION ALL ".join(f"SELECT platform_name, id, crawl_date, '{f}' AS field_name, source_file, crawled_at FROM a WHERE {_usable_sql(f)}" for f in _P2_FIELDS)
@@ -127,14 +127,14 @@ ORACLES: dict[str, str] = {
 }
 
 ORACLES["p2_survivors"] = (
-    f"WITH a AS (SELECT *, {_ID_ARTIST} AS id, coalesce(crawled_at, TIMESTAMPTZ '0001-01-01 00:00:00+00') AS seen, coalesce(source_file, '') AS src FROM artists) "
+    f"WITH a AS (SELECT *, {ID_ARTIST} AS id, coalesce(crawled_at, TIMESTAMPTZ '0001-01-01 00:00:00+00') AS seen, coalesce(source_file, '') AS src FROM artists) "
     "SELECT platform_name, id AS platform_artist_id, strftime(crawl_date, '%Y-%m-%d') AS crawl_date, count(*) AS n_rows, "
     + ", ".join(f"arg_max({f}, (seen, src, {f})) FILTER (WHERE {_usable_sql(f)}) AS {f}" for f in _P2_FIELDS[:-1])
     + " FROM a WHERE id IS NOT NULL GROUP BY platform_name, id, a.crawl_date"
 )
 
 ORACLES["p2_records"] = (
-    f"WITH a AS (SELECT *, {_ID_ARTIST} AS id, coalesce(crawled_at, TIMESTAMPTZ '0001-01-01 00:00:00+00') AS seen, coalesce(source_file, '') AS src FROM artists) "
+    f"WITH a AS (SELECT *, {ID_ARTIST} AS id, coalesce(crawled_at, TIMESTAMPTZ '0001-01-01 00:00:00+00') AS seen, coalesce(source_file, '') AS src FROM artists) "
     "SELECT platform_name, id AS platform_artist_id, strftime(crawl_date, '%Y-%m-%d') AS crawl_date, count(*) AS n_rows, "
     + ", ".join(f"arg_max({f}, (seen, src, {f})) FILTER (WHERE {_usable_sql(f)}) AS {f}" for f in _P2_FIELDS)
     + " FROM a WHERE id IS NOT NULL GROUP BY platform_name, id, a.crawl_date"

@@ -279,33 +279,6 @@ def _scratch(spark: SparkSession) -> str:
 
 # ── joins and differences ───────────────────────────────────────────────────────
 
-_SIDES = (
-    "WITH c AS (SELECT crawl_date, row_number() OVER (ORDER BY crawl_date DESC) AS k FROM (SELECT DISTINCT crawl_date FROM crawls WHERE dataset = 'artworks' AND source = 'galerista' AND status = 'completed' AND crawl_mode = 'full')), "
-    f"b AS (SELECT platform_artwork_id, platform_artist_id, is_sold FROM {_ARTWORK_WINNERS} WHERE platform_name = 'galerista' AND crawl_date = (SELECT crawl_date FROM c WHERE k = 2)), "
-    f"a AS (SELECT platform_artwork_id, platform_artist_id, is_sold FROM {_ARTWORK_WINNERS} WHERE platform_name = 'galerista' AND crawl_date = (SELECT crawl_date FROM c WHERE k = 1)) "
-)
-
-
-def _sides(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    """The last two full crawls of one source; a join with the ledger selects them."""
-    ledger = table(spark, d, "crawls").filter("dataset = 'artworks' and source = 'galerista' and status = 'completed' and crawl_mode = 'full'")
-    ranked = merge.running_rank(ledger.select("crawl_date").distinct().withColumn("one", F.lit(1)), ["one"], [F.desc("crawl_date")]).select("crawl_date", "rank")
-    rows = table(spark, d, "artworks").filter("platform_name = 'galerista'").select(*_SHORT, "platform_artist_id").join(ranked, "crawl_date")
-    w = dedup.winners(rows, ["platform_name", "crawl_date", "platform_artwork_id"], ARTWORK_ORDER)
-    side = lambda n: w.filter(F.col("rank") == n).select("platform_artwork_id", "platform_artist_id", "is_sold")
-    return side(2), side(1)
-
-
-@query(
-    _SIDES + "SELECT b.platform_artwork_id, 'disappeared' AS reason FROM b WHERE NOT EXISTS (SELECT 1 FROM a WHERE a.platform_artwork_id = b.platform_artwork_id) "
-    "AND (b.platform_artist_id IS NULL OR EXISTS (SELECT 1 FROM a WHERE a.platform_artist_id = b.platform_artist_id)) AND (SELECT count(*) FROM a) >= 0.8 * (SELECT count(*) FROM b) "
-    "UNION ALL SELECT a.platform_artwork_id, 'flagged' FROM a JOIN b USING (platform_artwork_id) WHERE a.is_sold AND NOT b.is_sold"
-)
-def j_vanished(spark: SparkSession, d: str) -> DataFrame:
-    before, after = _sides(spark, d)
-    return diffs.vanished(before, after, "platform_artwork_id", "is_sold", "platform_artist_id")
-
-
 def _id(c: str) -> str:
     return f"nullif(regexp_replace(regexp_replace({c}, '{_HIDDEN}', '', 'g'), '^{_SPACE}|{_SPACE}$', '', 'g'), '')"
 
@@ -323,7 +296,7 @@ def _id(c: str) -> str:
     "SELECT platform_name, strftime(d, '%Y-%m-%d') AS crawl_date, k AS platform_artwork_id, reason FROM f"
 )
 def j_vanished_pairs(spark: SparkSession, d: str) -> DataFrame:
-    """Each full crawl of every source against the full crawl before it; ``j_vanished`` is the last pair of one source."""
+    """Each full crawl of every source against the full crawl before it."""
     crawls = consecutive_crawls(crawls_of(table(spark, d, "crawls"), "artworks", full_only=True)).drop("seq")
     columns = [c for c in _SHORT if c not in ("platform_artwork_id", "price")]
     ids = [text.clean_id(c).alias(c) for c in ("platform_artwork_id", "platform_artist_id")]

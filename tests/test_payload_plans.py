@@ -4,11 +4,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from vernissage.functions import payload
-from vernissage.functions.scalars import to_money
+from vernissage.functions.scalars import plain_text, to_money
 from vernissage.operators.dedup import SortField
 from vernissage.plans import pages
 
-from .conftest import rows, utc
+from .conftest import SF, rows, utc
 
 
 @pytest.mark.parametrize(
@@ -147,3 +147,21 @@ def test_pages_to_rows(spark, tmp_path):
     assert rows(best, "platform_artwork_id", "title", "price", "source_file") == [("1", "one object", None, "b.html"), ("2", None, None, "a.html")]
     assert store.read("versions").count() == 2
     assert rows(pages.run_stats(p, best)) == [(5, 2, 2)]
+
+
+def test_a_page_of_a_lot_is_read_once_and_by_all_cores(spark):
+    import __spark_entry__
+
+    found = __spark_entry__.queries()["p_lots_sothebys"](spark, SF)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("parseJson") == 1
+    assert found.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    cleaned = spark.createDataFrame([("<b>A</b>",)], "s string").select(plain_text("s").alias("t"))
+    assert cleaned._jdf.queryExecution().optimizedPlan().toString().count("(script|style)") == 1 and cleaned.first()["t"] == "A"
+
+
+def test_pages_without_a_payload_give_no_rows(spark):
+    m = pages.Mapping(lambda html: payload.script_json(html, "S"), "$", "id", {"id": ("$.id", "string")})
+    html = ['<script id="S">{"id": "a"}</script>', '<script id="S"></script>', '<script id="S">{broken</script>', "no script", None]
+    df = spark.createDataFrame([(str(i), utc(2025, 1, 1), h) for i, h in enumerate(html)], "filename string, crawled_at timestamp, html string")
+    assert rows(pages.mapped(pages.parsed(df, m), m), "filename", "id") == [("0", "a")]
+    assert pages.rejected(pages.parsed(df, m)).count() == 4

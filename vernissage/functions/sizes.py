@@ -56,8 +56,7 @@ _LENGTH = r"n\S+(?: [hwd])?(?: u\w+)?"
 def size_tokens(t: Column) -> Column:
     """A size text as words with a mark: ``n`` and a number, ``u`` and a unit, ``x``, ``h``, ``w`` or ``d``; others are ``o``."""
 
-    def marked(w: Column) -> Column:
-        one = F.regexp_replace(w, "s$", "")
+    def read(w: Column, one: Column) -> Column:
         out = F.when(w.rlike(r"^\d"), F.concat(F.lit("n"), F.replace(w, F.lit(" "), F.lit("_")))).when(w.isin("x", "×", "by", "per", "mal"), "x")
         for side, words in SIDES.items():
             out = out.when(w.isin(*words), side)
@@ -66,16 +65,22 @@ def size_tokens(t: Column) -> Column:
             out = out.when((one == name) | (w == name), f"u{unit}")
         return out.otherwise("o")
 
+    def marked(w: Column) -> Column:
+        return let(F.regexp_replace(w, "s$", ""), lambda one: read(w, one))
+
     plain = F.translate(t, "äöüéèà", "aoueea")
     return F.array_join(F.transform(F.regexp_extract_all(plain, F.lit(_TOKEN), 0), marked), " ")
 
 
 def _centimetres(number: Column, unit: Column) -> Column:
-    factor = F.lit(None).cast("decimal(8,2)")
-    for name, mm in MILLIMETRES.items():
-        factor = F.when(unit == name, F.lit(mm).cast("decimal(8,2)")).otherwise(factor)
-    cm = F.round(written_number(F.replace(number, F.lit("_"), F.lit(" "))) * factor / 10, 1).cast("double")
-    return F.when(cm.between(LEAST_CM, MOST_CM), cm)
+    def in_millimetres(u: Column) -> Column:
+        factor = F.lit(None).cast("decimal(8,2)")
+        for name, mm in MILLIMETRES.items():
+            factor = F.when(u == name, F.lit(mm).cast("decimal(8,2)")).otherwise(factor)
+        return factor
+
+    written = let(F.replace(number, F.lit("_"), F.lit(" ")), written_number)
+    return let(F.round(written * let(unit, in_millimetres) / 10, 1).cast("double"), lambda cm: F.when(cm.between(LEAST_CM, MOST_CM), cm))
 
 
 def size_cm(c: Column | str) -> Column:
@@ -92,17 +97,23 @@ def size_cm(c: Column | str) -> Column:
         lengths = F.split(words, " x ")
         last = F.try_element_at(F.regexp_extract_all(words, F.lit(r"u(\w+)"), 1), F.lit(-1))
 
-        def side(i: int) -> Column:
-            own = F.regexp_extract(F.get(lengths, i), r"u(\w+)", 1)
-            return _centimetres(F.regexp_extract(F.get(lengths, i), r"n(\S+)", 1), F.when(own != "", own).otherwise(last))
+        def sides(b: Column) -> Column:
+            def side(i: int) -> Column:
+                own = F.regexp_extract(F.get(b["lengths"], i), r"u(\w+)", 1)
+                return _centimetres(F.regexp_extract(F.get(b["lengths"], i), r"n(\S+)", 1), let(own, lambda u: F.when(u != "", u).otherwise(b["last"])))
+
+            return F.struct(side(0).alias("height"), side(1).alias("width"), side(2).alias("depth"), b["last"].isin(*_METRIC).alias("metric"), F.size(b["lengths"]).alias("n"))
 
-        return F.struct(side(0).alias("height"), side(1).alias("width"), side(2).alias("depth"), last.isin(*_METRIC).alias("metric"), F.size(lengths).alias("n"))
+        return let(F.struct(lengths.alias("lengths"), last.alias("last")), sides)
 
     def of_words(words: Column) -> Column:
         # A unit must close the size, or each side has its own.
-        found = F.transform(F.regexp_extract_all(words, F.lit(rf"{_LENGTH} x {_LENGTH}(?: x {_LENGTH})?"), 0), box)
+        boxes = F.transform(F.regexp_extract_all(words, F.lit(rf"{_LENGTH} x {_LENGTH}(?: x {_LENGTH})?"), 0), box)
+        return let(boxes, lambda found: of_boxes(words, found))
+
+    def of_boxes(words: Column, found: Column) -> Column:
         possible = F.filter(found, lambda b: b["height"].isNotNull() & b["width"].isNotNull() & (b["depth"].isNotNull() | (b["n"] < 3)))
-        chosen = F.coalesce(F.get(F.filter(possible, lambda b: b["metric"]), 0), F.get(possible, 0))
+        chosen = let(possible, lambda p: F.coalesce(F.get(F.filter(p, lambda b: b["metric"]), 0), F.get(p, 0)))
 
         def labelled(side: str) -> Column:
             near = rf"\b{side}(?: o)? n(\S+)(?: [^u]\S*){{0,6}}? u(\w+)"

@@ -41,14 +41,20 @@ def clean_text(c: Column | str, multiline: bool = False) -> Column:
 
     With ``multiline`` line breaks stay and at most one blank line is kept.
     """
-    if multiline:
-        t = F.regexp_replace(_col(c), INVISIBLE, "")
-        t = F.regexp_replace(t, r"\r\n?", "\n")
-        t = F.regexp_replace(t, r"[^\S\n]|[\p{Z}&&[^\n]]", " ")
-        t = F.regexp_replace(F.regexp_replace(t, r" {2,}", " "), r" ?\n ?", "\n")
-        t = F.regexp_replace(F.regexp_replace(t, r"\n{3,}", "\n\n"), r"^\s+|\s+$", "")
-    else:
-        t = clean_line(c)
+    return stated(clean_lines(c) if multiline else clean_line(c))
+
+
+def clean_lines(c: Column | str) -> Column:
+    """Lines of text: no invisible characters, single blanks, at most one blank line."""
+    t = F.regexp_replace(_col(c), INVISIBLE, "")
+    t = F.regexp_replace(t, r"\r\n?", "\n")
+    t = F.regexp_replace(t, r"[^\S\n]|[\p{Z}&&[^\n]]", " ")
+    t = F.regexp_replace(F.regexp_replace(t, r" {2,}", " "), r" ?\n ?", "\n")
+    return F.regexp_replace(F.regexp_replace(t, r"\n{3,}", "\n\n"), r"^\s+|\s+$", "")
+
+
+def stated(t: Column) -> Column:
+    """A cleaned text, or null where it is empty or a placeholder."""
     return F.when((t != "") & ~F.lower(t).isin(*PLACEHOLDERS), t)
 
 

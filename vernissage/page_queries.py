@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from vernissage.functions import countries, payload
 from vernissage.plans import lots, mappings, marketplaces, pages
-from vernissage.session import table
+from vernissage.session import spread, table
 from vernissage.survey_queries import _clean, _id, query
 
 _HIDE = {"<": "&lt;", ">": "&gt;", "&": "&amp;", '"': "&quot;"}
@@ -129,7 +129,7 @@ _LOT_COLUMNS = ["platform_lot_id", "title", "currency", "low_estimate", "price_r
 
 def _lots(spark: SparkSession, d: str, source: str, page) -> DataFrame:
     """All parts as lots of one source; amounts of zero stand where there is none."""
-    p = table(spark, d, "part")
+    p = spread(table(spark, d, "part").select("p_partkey", "p_name", "p_brand", "p_size", "p_retailprice"), 2)
     money = F.col("p_retailprice").cast("decimal(14,2)")
     p = p.select(
         F.col("p_partkey").cast("string").alias("id"), F.col("p_name").alias("name"), F.col("p_brand").alias("house"), F.when(F.col("p_size") > 10, money).otherwise(0).alias("low"), F.when(F.col("p_size") > 25, money).otherwise(0).alias("price"),

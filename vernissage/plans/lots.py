@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from vernissage.functions import payload
 from vernissage.functions.scalars import currency_code, let, plain_text, to_date, to_money, to_url
-from vernissage.functions.text import clean_id, clean_line, clean_text
+from vernissage.functions.text import clean_id, clean_line, clean_text, stated
 from vernissage.plans.datasets import LOTS, fill_from_catalogue
 from vernissage.plans.pages import Mapping, mapped, parsed
 
@@ -23,7 +23,7 @@ def _money(c: Column) -> Column:
 
 
 def _line(c: Column) -> Column:
-    return clean_text(clean_line(plain_text(c)))
+    return let(clean_line(plain_text(c)), stated)
 
 
 def _at(path: str, kind: str = "string"):
@@ -72,13 +72,18 @@ def _sale_and_number(item: Column) -> Column:
 def _with_references(html: Column) -> Column:
     """The lot of a store of linked objects, with the auction and the bids it refers to."""
     store = F.try_variant_get(payload.script_json(html, "__NEXT_DATA__"), "$.props.pageProps.apolloCache", "map<string,variant>")
-    lot = F.get(F.map_values(F.map_filter(store, lambda k, _: k.startswith("LotV2:"))), 0)
 
-    def referred(name: str) -> Column:
-        target = F.try_element_at(store, F.try_variant_get(lot, f"$.{name}.__ref", "string"))
-        return F.coalesce(target, F.try_variant_get(lot, f"$.{name}", "variant")).alias(name)
+    def with_lot(objects: Column) -> Column:
+        def whole(lot: Column) -> Column:
+            def referred(name: str) -> Column:
+                target = F.try_element_at(objects, F.try_variant_get(lot, f"$.{name}.__ref", "string"))
+                return F.coalesce(target, F.try_variant_get(lot, f"$.{name}", "variant")).alias(name)
 
-    return F.when(lot.isNotNull(), F.to_variant_object(F.struct(lot.alias("lot"), referred("auction"), referred("bidState"))))
+            return F.when(lot.isNotNull(), F.to_variant_object(F.struct(lot.alias("lot"), referred("auction"), referred("bidState"))))
+
+        return let(F.get(F.map_values(F.map_filter(objects, lambda k, _: k.startswith("LotV2:"))), 0), whole)
+
+    return let(store, with_lot)
 
 
 def _named_before_bar(i: int, own: str):

@@ -50,9 +50,10 @@ def rejected(with_payload: DataFrame, reason: str = "no payload") -> DataFrame:
 
 def mapped(with_payload: DataFrame, m: Mapping, keep: Sequence[str] = ("filename", "crawled_at")) -> DataFrame:
     """One row per object; rows without a key are dropped."""
-    p = with_payload.filter("v is not null")
+    # Without a payload there is no array and so no row; a filter would read each payload once more.
+    p = with_payload
     if m.relevant is not None:
-        p = p.filter(m.relevant(F.col("v")))
+        p = p.filter(F.col("v").isNotNull() & m.relevant(F.col("v")))
     found = F.try_variant_get("v", m.rows, "variant")
     # One object is handled as an array of one.
     items = F.coalesce(F.try_variant_get("v", m.rows, "array<variant>"), F.when(found.isNotNull(), F.array(found)))

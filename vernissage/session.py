@@ -94,12 +94,14 @@ def broadcast_if_small(df: DataFrame, limit: int) -> DataFrame:
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, least: float = 0.25) -> DataFrame:
     """The same rows over all cores, where the input comes in far fewer parts than there are cores.
 
     A file with one row group is read by one task. For maps that cost much more
     than moving their rows; inputs of many parts, and so all large ones, stay where they are.
+    ``least`` is the number of parts a core that is enough: a file of few row groups counts as
+    more parts than are read, so the dearest maps ask for more.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     parts = df._jdf.queryExecution().toRdd().getNumPartitions()
-    return df.repartition(cores) if 0 < parts * 4 < cores else df
+    return df.repartition(max(cores, int(cores * least))) if 0 < parts < cores * least else df

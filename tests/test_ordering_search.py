@@ -7,7 +7,7 @@ from vernissage.functions import urls
 from vernissage.operators import audit, entries, ordering, partitioning, search
 from vernissage.plans import disappearances
 
-from .conftest import rows
+from .conftest import SF, rows
 
 
 def hot(n=3000):
@@ -116,3 +116,19 @@ def test_disappearances_once_per_pair(spark, tmp_path):
     more = led.unionByName(spark.createDataFrame([("artists", "p", "completed", "full")], "dataset string, source string, status string, crawl_mode string").withColumn("crawl_date", F.lit("2025-03-01").cast("date")))
     assert rows(disappearances.run(spark, versions, more, folder, "id", "sold", "artist"), "id", "reason") == want  # too few rows: taken for incomplete
     assert disappearances.pending_pairs(more, spark.read.parquet(folder)).count() == 0
+
+
+def test_host_and_path_are_read_once_for_all_sites(spark):
+    import __spark_entry__
+
+    plan = __spark_entry__.queries()["u_sites"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("(?:[^/?#@]*@)?([^/?#:]+)") == 1
+
+
+def test_an_address_of_two_sites_is_given_for_both(spark):
+    two = {"a": urls.ENTITIES["artsy"], "b": urls.Entities("shop.artsy.net", (urls.template("item", "/artist/{s}"),))}
+    given = [("https://shop.artsy.net/artist/Ann",), ("https://artsy.net/artist/Ann",), ("https://artsy.org/artist/Ann",), ("",), (None,)]
+    found = spark.createDataFrame(given, "u string").select("u", F.inline(urls.entities_of("u", two)))
+    assert rows(found, "u", "site", "k.entity_type", "k.entity_id") == [
+        ("https://artsy.net/artist/Ann", "a", "artist", "ann"), ("https://shop.artsy.net/artist/Ann", "a", "artist", "ann"), ("https://shop.artsy.net/artist/Ann", "b", "item", "Ann"),
+    ]

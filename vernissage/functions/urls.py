@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from vernissage.functions.scalars import let
 from vernissage.functions.text import _col
 
 #: Query parameters that only track visits.
@@ -59,13 +60,21 @@ class Site:
 
 def classify(url: Column | str, rules: Sequence[Rule]) -> Column:
     """``struct(entity_type, entity_id)`` by the first rule that matches, else null."""
-    path = F.regexp_replace(F.regexp_replace(_col(url), r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*", ""), r"[?#].*$", "")
-    out = F.lit(None).cast("struct<entity_type:string,entity_id:string>")
-    for r in reversed(rules):
-        key = F.concat_ws("-", *[F.nullif(F.regexp_extract(path, r.pattern, g), F.lit("")) for g in r.groups])
-        key = F.lower(key) if r.lower else key
-        out = F.when(path.rlike(r.pattern) & (key != ""), F.struct(F.lit(r.entity_type).alias("entity_type"), key.alias("entity_id"))).otherwise(out)
-    return out
+    return let(_path(_col(url)), lambda path: _first_rule(path, rules))
+
+
+def _path(url: Column) -> Column:
+    return F.regexp_replace(F.regexp_replace(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*", ""), r"[?#].*$", "")
+
+
+def _first_rule(path: Column, rules: Sequence[Rule]) -> Column:
+    def key(r: Rule) -> Column:
+        found = F.concat_ws("-", *[F.nullif(F.regexp_extract(path, r.pattern, g), F.lit("")) for g in r.groups]) if len(r.groups) > 1 else F.regexp_extract(path, r.pattern, r.groups[0])
+        return F.lower(found) if r.lower else found
+
+    # A pattern that does not match gives no id, so each is tried once.
+    named = [let(key(r), lambda k, r=r: F.when(k != "", F.struct(F.lit(r.entity_type).alias("entity_type"), k.alias("entity_id")))) for r in rules]
+    return F.coalesce(*named, F.lit(None).cast("struct<entity_type:string,entity_id:string>"))
 
 
 #: Parts of a template and the patterns they stand for.
@@ -91,14 +100,30 @@ class Entities:
 
 def entity_of(url: Column | str, site: Entities) -> Column:
     """``struct(entity_type, entity_id)`` of an address of the site, also on a subdomain of it; else null."""
-    u = _col(url)
+    return let(_parts(_col(url)), lambda a: _entity(a, site))
+
+
+def entities_of(url: Column | str, sites: Mapping[str, Entities]) -> Column:
+    """Array of ``struct(site, k)`` with the entity ``k`` of each site whose address it is; host and path are read once for all sites."""
+    each = lambda a: F.array(*[F.struct(F.lit(name).alias("site"), _entity(a, site).alias("k")) for name, site in sites.items()])
+    return let(_parts(_col(url)), lambda a: F.filter(each(a), lambda x: x["k"].isNotNull()))
+
+
+def _parts(u: Column) -> Column:
     host = F.lower(F.regexp_extract(u, r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*://)?(?:[^/?#@]*@)?([^/?#:]+)", 1))
-    ours = (host == site.host) | host.endswith("." + site.host)
+    return F.struct(host.alias("host"), _path(u).alias("path"), u.rlike("[?#]").alias("more"))
+
+
+def _entity(a: Column, site: Entities) -> Column:
+    ours = (a["host"] == site.host) | a["host"].endswith("." + site.host)
     if site.plain:
-        ours = ours & ~u.rlike("[?#]")
-    k = classify(u, site.rules)
-    key = F.upper(k["entity_id"]) if site.upper else k["entity_id"]
-    return F.when(ours & k.isNotNull() & ~F.lower(key).isin(*(site.reserved or {""})), F.struct(k["entity_type"].alias("entity_type"), key.alias("entity_id")))
+        ours = ours & ~a["more"]
+
+    def allowed(k: Column) -> Column:
+        key = F.upper(k["entity_id"]) if site.upper else k["entity_id"]
+        return F.when(k.isNotNull() & ~F.lower(key).isin(*(site.reserved or {""})), F.struct(k["entity_type"].alias("entity_type"), key.alias("entity_id")))
+
+    return F.when(ours, let(_first_rule(a["path"], site.rules), allowed))
 
 
 #: How sites write the addresses of their entities, and first parts that are no entity.

@@ -13,7 +13,7 @@ from vernissage.functions.text import clean_id
 from vernissage.operators import audit, dedup, entries, merge, partitioning, search
 from vernissage.operators.dedup import SortField
 from vernissage.plans import disappearances, pages
-from vernissage.session import table
+from vernissage.session import spread, table
 from vernissage.sources import crawl, lists
 from vernissage.survey_queries import _ARTWORK_WINNERS, _SHORT, ARTIST_ORDER, ARTWORK_ORDER, _clean, _id, _scratch, query
 
@@ -356,9 +356,8 @@ def u_sites(spark: SparkSession, d: str) -> DataFrame:
     """Addresses of eleven sites for every order, and some that name no entity; each is judged by every site."""
     patterns = [url for url, _, _ in _ADDRESSES.values()] + list(_NO_ENTITIES)
     address = F.explode(F.array(*[F.replace(F.lit(p), F.lit("{d}"), F.col("o_orderkey").cast("string")) for p in patterns]))
-    u = table(spark, d, "orders").select(address.alias("url"))
-    each = F.array(*[F.struct(F.lit(name).alias("site"), urls.entity_of("url", site).alias("k")) for name, site in urls.ENTITIES.items()])
-    return u.select(F.inline(F.filter(each, lambda x: x["k"].isNotNull()))).select("site", "k.entity_type", "k.entity_id")
+    u = spread(table(spark, d, "orders").select("o_orderkey"), 2).select(address.alias("url"))
+    return u.select(F.inline(urls.entities_of("url", urls.ENTITIES))).select("site", "k.entity_type", "k.entity_id")
 
 
 @query("WITH p AS (SELECT o_custkey AS c, list(o_orderkey ORDER BY o_orderkey) AS k FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY 1) SELECT o_custkey, o_orderkey FROM orders WHERE (o_custkey, o_orderkey) NOT IN (SELECT c, unnest(k) FROM p)")
